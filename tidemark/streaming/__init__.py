@@ -1,0 +1,6 @@
+"""Intentionally empty: the work rebuilt here is a daily batch.
+
+It has no event-time windows, no state and no late-data rules, so there is no
+streaming operator to offer.  ("stream" in table names is a business entity, a
+cohort of a course.)
+"""
