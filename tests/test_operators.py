@@ -1,0 +1,224 @@
+"""Operators on small hand-made frames, and upsert laws on random ones."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import COURSES
+from tidemark.operators import (
+    batch_profile,
+    changed_between,
+    combine_counts,
+    affected_rows,
+    conform,
+    denormalise,
+    insert_update_split,
+    key_violations,
+    map_by_position,
+    prune,
+    reference_violations,
+    rename_key,
+    text_violations,
+    upsert,
+)
+from tidemark.plans.courses import D_COURSE, F_LESSON
+from tidemark.sources import inline_rows
+from tidemark.specs import Entity, Model, Reference, TargetSpec, columns
+
+
+def test_window_edges(spark):
+    df = inline_rows(
+        spark,
+        columns("id int, t timestamp_ntz"),
+        [
+            (1, dt.datetime(2024, 3, 13, 23, 59, 59, 999999)),
+            (2, dt.datetime(2024, 3, 14)),
+            (3, dt.datetime(2024, 3, 14, 23, 59, 59, 999999)),
+            (4, dt.datetime(2024, 3, 15)),
+            (5, None),
+        ],
+    )
+
+    def ids(start, end):
+        return sorted(r.id for r in changed_between(df, "t", start, end).collect())
+
+    assert ids("2024-03-14", "2024-03-15") == [2, 3]
+    assert ids("2024-03-14 12:00:00", dt.datetime(2024, 3, 15, 9)) == [2, 3]
+    assert ids("2024-03-14", "2024-03-14") == []
+    whole = ids("2024-03-13", "2024-03-16")
+    assert whole == [1, 2, 3, 4] == sorted(
+        ids("2024-03-13", "2024-03-14") + ids("2024-03-14", "2024-03-16")
+    )
+
+
+def test_rename_key_leads(spark):
+    df = inline_rows(spark, columns("a int, id int, b int"), [(1, 2, 3)])
+    found = rename_key(df, "id", "x_id")
+    assert found.columns == ["x_id", "a", "b"]
+    assert tuple(found.first()) == (2, 1, 3)
+
+
+def test_prune_and_map(spark):
+    df = inline_rows(spark, columns("a int, b int"), [(1, 2)])
+    assert map_by_position(prune(df, ["b", "a"]), ["x", "y"]).first().asDict() == {"x": 2, "y": 1}
+    with pytest.raises(ValueError, match="missing"):
+        prune(df, ["c"])
+    with pytest.raises(ValueError, match="cannot become"):
+        map_by_position(df, ["x"])
+
+
+def staged_course(spark, **changes):
+    row = {
+        "course_id": 1,
+        "title": "T",
+        "created_at": dt.datetime(2024, 1, 1),
+        "updated_at": dt.datetime(2024, 1, 1),
+        "deleted_at": dt.datetime(2024, 1, 1, 0, 0, 0, 500000),
+        "icon_url": None,
+        "is_auto_course_enroll": True,
+        "is_demo_enroll": False,
+    }
+    return inline_rows(spark, D_COURSE.schema, [tuple((row | changes).values())])
+
+
+def test_conform_settles_precision_and_blanks(spark):
+    found = conform(staged_course(spark, title="x" * 250 + " " * 20), D_COURSE).first()
+    assert found.deleted_at == dt.datetime(2024, 1, 1, 0, 0, 1)
+    assert found.title == "x" * 250 + " " * 5
+
+
+def test_conform_parses_text_and_all_null_columns(spark):
+    df = staged_course(spark).withColumns(
+        {"deleted_at": F.lit("2024-01-02 03:04:05"), "title": F.lit(None)}
+    )
+    found = conform(df, D_COURSE)
+    assert found.schema == D_COURSE.schema
+    assert found.first().deleted_at == dt.datetime(2024, 1, 2, 3, 4, 5)
+    with pytest.raises(Exception, match="not a timestamp_ntz: soon"):
+        conform(df.withColumn("deleted_at", F.lit("soon")), D_COURSE).collect()
+
+
+def test_conform_narrows_but_does_not_lose(spark):
+    wide = staged_course(spark).withColumn("course_id", F.lit(7).cast("bigint"))
+    assert conform(wide, D_COURSE).first().course_id == 7
+    too_wide = wide.withColumn("course_id", F.lit(2**40))
+    with pytest.raises(Exception, match="OVERFLOW"):
+        conform(too_wide, D_COURSE).collect()
+    with pytest.raises(Exception, match="INVALID_COLUMN_OR_FIELD_DATA_TYPE|CAST|cast"):
+        conform(wide.withColumn("is_demo_enroll", F.current_timestamp()), D_COURSE).collect()
+
+
+def test_fact_maps_by_position(spark):
+    staged = inline_rows(
+        spark,
+        columns(
+            "lesson_id int, title string, description string, start_at timestamp_ntz,"
+            "end_at timestamp_ntz, homework_url string, teacher_id int, stream_module_id int,"
+            "deleted_at timestamp_ntz, online_lesson_join_url string,"
+            "online_lesson_recording_url string, stream_id int, course_id int,"
+            "updated_at date, created_at date"
+        ),
+        [(1, "t", "d", None, None, "h", 9, 4, None, "j", "r", 3, 2, None, None)],
+    )
+    assert tuple(conform(staged, F_LESSON).first()) == (
+        1, 4, 2, 3, "t", "d", None, None, "h", 9, None, "j", "r",
+    )
+
+
+def test_view_drops_lessons_without_parents(spark):
+    detail = inline_rows(spark, columns("id int, p int"), [(1, 1), (2, None), (3, 9), (4, 2)])
+    parent = inline_rows(spark, columns("id int, g int"), [(1, 1), (2, None)])
+    grandparent = inline_rows(spark, columns("id int, x int"), [(1, 10)])
+    found = denormalise(
+        detail,
+        parent,
+        grandparent,
+        ("p", "id"),
+        ("g", "id"),
+        [("id", F.col("detail.id")), ("x", F.col("grandparent.x"))],
+    )
+    assert [tuple(r) for r in found.collect()] == [(1, 10)]
+
+
+def test_key_violations(spark, rows):
+    df = inline_rows(
+        spark, columns("a int, b int"), [(1, 1), (1, 1), (1, 2), (None, 1), (2, None), (2, None)]
+    )
+    assert rows(key_violations(df, ["a", "b"])) == sorted(
+        [(1, 1, 2), (None, 1, 1), (2, None, 2)], key=repr
+    )
+    assert key_violations(df.limit(0), ["a"]).count() == 0
+
+
+def test_reference_violations(spark, rows):
+    child = inline_rows(spark, columns("f int"), [(1,), (1,), (2,), (3,), (3,), (None,)])
+    parent = inline_rows(spark, columns("id int"), [(1,), (4,)])
+    assert rows(reference_violations(child, "f", parent, "id")) == [(2, 1), (3, 2)]
+    assert rows(reference_violations(child, "f", parent.limit(0), "id")) == [(1, 2), (2, 1), (3, 2)]
+
+
+def test_text_violations_and_profile(spark, rows):
+    df = inline_rows(
+        spark,
+        columns("k int, a string, b string"),
+        [(1, "abc", "x"), (1, "ab ", None), (2, "ab   ", "yyyy"), (None, None, "zz")],
+    )
+    assert rows(text_violations(df, {"a": 2, "b": 2}).select("k")) == [(1,), (2,)]
+    assert batch_profile(df, ["k"], {"a": 2, "b": 2}).first().asDict() == {
+        "rows": 4,
+        "null_keys": 1,
+        "duplicate_keys": 1,
+        "a_too_long": 1,
+        "b_too_long": 1,
+    }
+    assert set(batch_profile(df.where("k > 9"), ["k"], {"a": 2}).first()) == {0}
+
+
+def test_combine_counts(spark):
+    frames = {"x": spark.range(3), "y": spark.range(0), "z": spark.range(7)}
+    counted = combine_counts({name: affected_rows(df) for name, df in frames.items()})
+    assert counted.first().asDict() == {"x": 3, "y": 0, "z": 7}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_upsert_laws(spark, seed):
+    rng = random.Random(seed)
+    schema = columns("id int, part int, v string")
+
+    def table(size, tag):
+        keys = rng.sample([(i, p) for i in range(20) for p in range(2)], size)
+        return [(i, p, rng.choice([None, f"{tag}{i}"])) for i, p in keys]
+
+    old, new = table(rng.randint(0, 30), "old"), table(rng.randint(0, 30), "new")
+    target, batch = inline_rows(spark, schema, old), inline_rows(spark, schema, new)
+    key = ["id", "part"]
+    merged = upsert(target, batch, key)
+    expected = {r[:2]: r for r in old} | {r[:2]: r for r in new}
+    found = [tuple(r) for r in merged.collect()]
+    assert sorted(found, key=repr) == sorted(expected.values(), key=repr)
+    known = {r[:2] for r in old}
+    split = insert_update_split(target, batch, key).first().asDict()
+    updated = sum(r[:2] in known for r in new)
+    assert split == {"inserted": len(new) - updated, "updated": updated}
+    assert len(found) == len(old) + split["inserted"]
+    again = upsert(merged, batch, key)
+    assert sorted((tuple(r) for r in again.collect()), key=repr) == sorted(found, key=repr)
+
+
+def test_upsert_matches_columns_by_name(spark):
+    target = inline_rows(spark, columns("id int, v int"), [(1, 10), (2, 20)])
+    batch = inline_rows(spark, columns("v int, id int"), [(11, 1)])
+    assert sorted(tuple(r) for r in upsert(target, batch, ["id"]).collect()) == [(1, 11), (2, 20)]
+    with pytest.raises(ValueError, match="differ"):
+        upsert(target, batch.withColumn("x", F.lit(1)), ["id"])
+
+
+def test_load_order_follows_references():
+    names = [[e.name for e in group] for group in COURSES.load_order()]
+    assert names == [["course", "stream", "stream_module"], ["lesson"]]
+    loop = TargetSpec("t", columns("id int, up int"), "id", (Reference("up", "t"),))
+    model = Model({}, {}, (Entity("t", "t", loop),), COURSES.mart)
+    with pytest.raises(ValueError, match="circular"):
+        model.load_order()

@@ -9,7 +9,7 @@ from tidemark.operators.checks import (
     require_valid_batch,
     text_violations,
 )
-from tidemark.operators.joins import denormalise, star_join
+from tidemark.operators.joins import broadcast_limit, denormalise, payload_bytes, star_join
 from tidemark.operators.shape import conform, map_by_position, prune, rename_key, transform
 from tidemark.operators.upsert import affected_rows, combine_counts, insert_update_split, upsert
 from tidemark.operators.window import changed_between
@@ -18,6 +18,7 @@ __all__ = [
     "ConstraintError",
     "affected_rows",
     "batch_profile",
+    "broadcast_limit",
     "changed_between",
     "combine_counts",
     "conform",
@@ -25,6 +26,7 @@ __all__ = [
     "insert_update_split",
     "key_violations",
     "map_by_position",
+    "payload_bytes",
     "prune",
     "reference_violations",
     "rename_key",

@@ -31,10 +31,11 @@ def reference_violations(
     child: DataFrame, column: str, parent: DataFrame, parent_key: str
 ) -> DataFrame:
     """Values of ``column`` that no parent row has, with their row counts.
-    NULL references nothing and passes.
+    NULL references nothing and passes.  ``parent_key`` is unique in ``parent``.
 
-    Counting per value first makes the anti-join's left side at most one row
-    per distinct value, already partitioned by the join key.
+    Values are counted first, so a hot parent arrives as partial counts.  Then
+    the parent is narrowed to the referenced keys: against a small batch that
+    is a broadcast join, and a large parent table is not shuffled.
     """
     referenced = (
         child.where(F.col(column).isNotNull())
@@ -42,7 +43,8 @@ def reference_violations(
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     keys = parent.select(F.col(parent_key).alias(column))
-    return referenced.join(keys, column, "left_anti")
+    known = keys.join(referenced.select(column), column, "left_semi")
+    return referenced.join(known, column, "left_anti")
 
 
 def text_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:

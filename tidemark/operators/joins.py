@@ -1,16 +1,17 @@
 """The two join shapes of the model: snowflake to fact, and star to mart.
 
-No join hints: which side is small enough to broadcast is decided from
-measured sizes (the planner's threshold, then AQE), and a shuffled join gets
-AQE's skew splitting, so one hot parent does not become one long task.
+Which side is small enough to broadcast is decided from measured sizes (the
+planner's threshold, then AQE), and a shuffled join gets AQE's skew splitting,
+so one hot parent does not become one long task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.specs import StarMart
 
@@ -42,6 +43,23 @@ def denormalise(
     return joined.select(*[column.alias(name) for name, column in columns])
 
 
+def payload_bytes(df: DataFrame) -> DataFrame:
+    """One row: the exact size of the values in ``df``, uncompressed (a file
+    or planner size says little about encoded columns)."""
+    size = F.lit(0).cast("bigint")
+    for field in df.schema:
+        if isinstance(field.dataType, T.StringType):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        else:
+            size = size + F.lit(8)
+    return df.agg(F.coalesce(F.sum(size), F.lit(0).cast("bigint")).alias("bytes"))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def star_join(mart: StarMart, tables: Mapping[str, DataFrame]) -> DataFrame:
     """The mart's rows: the fact inner-joined to each dimension.  A fact whose
     reference is NULL or unknown has no row."""

@@ -24,7 +24,13 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import star_join, upsert
+from tidemark.operators import (
+    broadcast_limit,
+    combine_counts,
+    payload_bytes,
+    star_join,
+    upsert,
+)
 from tidemark.plans.files import delete_tree, names_in, publish_text, read_text
 from tidemark.sources import empty_table
 from tidemark.specs import Model
@@ -186,18 +192,21 @@ class Load:
             raise ValueError(f"{name}: keys are too sparse for buckets of {self._width} keys")
         return buckets
 
-    def _write(self, name: str, rows: DataFrame) -> list[int]:
+    def _write(self, name: str, rows: DataFrame, clustered: bool = False) -> list[int]:
         """Write rows into new bucket directories; the buckets written.
 
-        AQE merges small buckets and splits large ones among tasks; sorting
-        by key gives the files narrow key ranges.
+        Rows are brought together by bucket, where AQE joins small buckets and
+        splits large ones among tasks, unless they are ``clustered`` already
+        (each task holds few buckets).  Sorting by key gives the files narrow
+        key ranges.
         """
         warehouse = self._warehouse
         path = f"{warehouse.root}/tables/{name}/{self._run}"
+        placed = rows.select("*", self._bucket_of(name))
+        if not clustered:
+            placed = placed.hint("rebalance", F.col(BUCKET))
         (
-            rows.select("*", self._bucket_of(name))
-            .hint("rebalance", F.col(BUCKET))
-            .sortWithinPartitions(BUCKET, self._model.key_of(name))
+            placed.sortWithinPartitions(BUCKET, self._model.key_of(name))
             .write.mode("errorifexists")
             .partitionBy(BUCKET)
             .parquet(path)
@@ -256,15 +265,32 @@ class Load:
         stale = set(facts) if whole else self._stale_buckets()
         if not stale:
             return
-        tables = {dimension: self.table(dimension) for dimension, _ in mart.joins}
-        tables[mart.fact] = self._warehouse._read(mart.fact, facts, stale)
+        rows, clustered = self._mart_rows(stale)
         placement = {} if whole else self._after[mart.name]
         for bucket in stale:
             placement.pop(bucket, None)
-        for bucket in self._write(mart.name, star_join(mart, tables)):
+        for bucket in self._write(mart.name, rows, clustered):
             placement[bucket] = self._run
         self._after[mart.name] = placement
 
+    def _mart_rows(self, buckets: Iterable[int]) -> tuple[DataFrame, bool]:
+        """The mart's rows of some buckets, and whether tasks hold them by
+        bucket.  With all dimensions small enough to broadcast, facts stay as
+        they lie in their bucket files: the refresh then needs no shuffle."""
+        mart = self._model.mart
+        tables = {
+            dimension: self.table(dimension).select(
+                column, *[c for c in mart.visible(dimension) if c != column]
+            )
+            for dimension, column in mart.joins
+        }
+        sizes = combine_counts({name: payload_bytes(df) for name, df in tables.items()})
+        clustered = max(sizes.first()) <= broadcast_limit(self._warehouse.spark)
+        if clustered:
+            tables = {name: F.broadcast(df) for name, df in tables.items()}
+        tables[mart.fact] = self._warehouse._read(mart.fact, self._after[mart.fact], buckets)
+        return star_join(mart, tables), clustered
+
     def publish(self) -> int:
         """Make this load's tables the current version.  Raises if another
         load published first; its tables then stand."""

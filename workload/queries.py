@@ -242,7 +242,10 @@ def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fk_violations_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reference_violations(
-        table(spark, sf_dir, "orders"), "o_custkey", table(spark, sf_dir, "events"), "user_id"
+        table(spark, sf_dir, "orders"),
+        "o_custkey",
+        table(spark, sf_dir, "events").select("user_id").distinct(),
+        "user_id",
     )
 
 
