@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key's partition also where that costs one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Size of a shuffled partition, and so of a written file.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Above this measured size no side is broadcast.

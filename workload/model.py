@@ -24,7 +24,7 @@ from tidemark.specs import (
 )
 
 # Line numbers run from 1 to 7, so this packs a line's two-part key into one.
-LINES_PER_ORDER = 8
+LINE_KEY = "l_orderkey * 8 + l_linenumber"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +41,7 @@ def unique_lines(lineitem: DataFrame) -> DataFrame:
     others = sorted(set(lineitem.columns) - set(key))
     least = lineitem.groupBy(*key).agg(F.min(F.struct(*others)).alias("least"))
     return least.select(
-        (F.col("l_orderkey") * LINES_PER_ORDER + F.col("l_linenumber")).alias("line_key"),
+        F.expr(LINE_KEY).alias("line_key"),
         *key,
         "least.*",
     )

@@ -99,18 +99,26 @@ _BACKFILL_MART = _line_mart(
 )
 
 
-def _order_mart(orders: str) -> str:
+def _sales_mart(lines: str, parts: str) -> str:
     return f"""
-        select o.o_orderkey as id, o.o_orderstatus as order_status, o.o_totalprice as total,
-               o.o_orderdate as ordered_at, o.o_custkey as customer_id, c.c_name as name,
-               c.c_mktsegment as segment, c.c_nationkey as nation_id, n.n_name as nation_name,
-               n.n_regionkey as region_id
-        from ({orders}) o
-        join customer c on c.c_custkey = o.o_custkey
-        join nation n on n.n_nationkey = c.c_nationkey
+        select l.line_key as id, l.l_quantity as line_quantity, l.l_extendedprice as price,
+               l.l_shipdate as ship_date, l.l_partkey as part_id, p.p_name as name,
+               p.p_size as size, l.l_suppkey as supplier_id, s.s_name as supplier_name,
+               s.s_acctbal as supplier_balance
+        from ({lines}) l
+        join ({parts}) p on p.p_partkey = l.l_partkey
+        join supplier s on s.s_suppkey = l.l_suppkey
     """
 
 
+_PARTS_UPSERTED = """
+    select p_partkey, p_name, p_brand, p_type,
+           p_size + case when p_type in ('PROMO', 'LARGE') then 1 else 0 end as p_size,
+           p_retailprice
+    from part
+"""
+
+
 _VIEW = """
     select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
            l_shipdate, o_custkey as customer_id, c_nationkey as nation_id,
@@ -179,12 +187,7 @@ ORACLE = {
                c_mktsegment
         from customer
     """,
-    "upsert_dim_module": """
-        select p_partkey, p_name, p_brand, p_type,
-               p_size + case when p_type in ('PROMO', 'LARGE') then 1 else 0 end as p_size,
-               p_retailprice
-        from part
-    """,
+    "upsert_dim_module": _PARTS_UPSERTED,
     "upsert_fact_rows": f"""
         select line_key as id, l_orderkey as order_id, c_nationkey as nation_id,
                o_custkey as customer_id, l_linenumber as line_number,
@@ -280,8 +283,22 @@ ORACLE = {
         join (values ('O', 'Open', true), ('F', 'Fulfilled', false), ('P', null, true))
             as s(o_orderstatus, status_title, is_open) using (o_orderstatus)
     """,
-    "mart_star_join": _order_mart("select * from orders"),
-    "mart_after_upsert": _order_mart(_ORDERS_UPSERTED),
+    "mart_star_join": _sales_mart(
+        "select *, l_orderkey * 8 + l_linenumber as line_key from lineitem",
+        "select * from part",
+    ),
+    "mart_after_upsert": _sales_mart(
+        f"select * replace ({_moved('l_quantity', 'l_shipdate')} as l_quantity)"
+        f" from ({_UNIQUE_LINES}) u where l_orderkey in (select o_orderkey from orders)",
+        _PARTS_UPSERTED,
+    ),
+    "order_view": """
+        select o.*, c.c_name as customer_name, c.c_mktsegment as segment,
+               c.c_nationkey as nation_id, n.n_name as nation_name
+        from orders o
+        join customer c on c.c_custkey = o.o_custkey
+        join nation n on n.n_nationkey = c.c_nationkey
+    """,
     "stage_roundtrip": f"""
         select o_orderkey as order_id, * exclude (o_orderkey) from ({_ORDERS_BATCH}) b
     """,

@@ -29,6 +29,7 @@ from tidemark.operators import (
     batch_profile,
     changed_between,
     conform,
+    denormalise,
     insert_update_split,
     key_violations,
     map_by_position,
@@ -46,6 +47,7 @@ from tidemark.specs import StarMart, TargetSpec, columns
 from workload.model import (
     D_ORDER,
     F_LINE,
+    LINE_KEY,
     LINES,
     line_view,
     source,
@@ -188,16 +190,18 @@ def upsert_dim_module(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, batch, ["p_partkey"])
 
 
-def _staged_lines(spark: SparkSession, sf_dir: str, later: bool) -> DataFrame:
-    """All lines, as a load stages and conforms them."""
-    view = read(LINES, source(spark, sf_dir, later), "line_view")
-    return conform(rename_key(view, "line_key", "line_id"), F_LINE)
+def _stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines with their ancestors' keys, stored once as a load stages
+    them, so that what follows does not compute the view again."""
+    view = read(LINES, source(spark, sf_dir), "line_view")
+    return _new_warehouse(spark).stage(F_LINE.name, view)
 
 
 def upsert_fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = changed_between(_staged_lines(spark, sf_dir, False), "ship_date", HISTORY, CUT)
-    batch = changed_between(_staged_lines(spark, sf_dir, True), "ship_date", START, END)
-    return upsert(target, batch, ["id"])
+    lines = conform(rename_key(_stored_lines(spark, sf_dir), "line_key", "line_id"), F_LINE)
+    target = changed_between(lines, "ship_date", HISTORY, CUT)
+    batch = changed_between(lines, "ship_date", START, END)
+    return upsert(target, batch.withColumn("quantity", F.col("quantity") + 1), ["id"])
 
 
 def upsert_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,55 +338,83 @@ def inline_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- mart -------------------------------------------------------------------
 
-_ORDER_MART = StarMart(
-    name="order_dm",
-    fact="order",
+_SALES_MART = StarMart(
+    name="sales_dm",
+    fact="line",
     key="id",
-    joins=(("customer", "customer_id"), ("nation", "nation_id")),
+    joins=(("part", "part_id"), ("supplier", "supplier_id")),
     columns=(
-        ("order", "id", "id"),
-        ("order", "status", "order_status"),
-        ("order", "total", "total"),
-        ("order", "ordered_at", "ordered_at"),
-        ("order", "customer_id", "customer_id"),
-        ("customer", "name", "name"),
-        ("customer", "segment", "segment"),
-        ("order", "nation_id", "nation_id"),
-        ("nation", "name", "nation_name"),
-        ("nation", "region_id", "region_id"),
+        ("line", "id", "id"),
+        ("line", "quantity", "line_quantity"),
+        ("line", "price", "price"),
+        ("line", "ship_date", "ship_date"),
+        ("line", "part_id", "part_id"),
+        ("part", "name", "name"),
+        ("part", "size", "size"),
+        ("line", "supplier_id", "supplier_id"),
+        ("supplier", "name", "supplier_name"),
+        ("supplier", "balance", "supplier_balance"),
     ),
 )
 
 
-def _order_mart(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    fact = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("c_nationkey").alias("nation_id"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").alias("total"),
-        F.col("o_orderdate").alias("ordered_at"),
+def _sales_mart(lines: DataFrame, part: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Lines joined to the two tables they reference directly."""
+    fact = prune(
+        lines, ["line_key", "l_quantity", "l_extendedprice", "l_shipdate", "l_partkey", "l_suppkey"]
     )
     return star_join(
-        _ORDER_MART,
+        _SALES_MART,
         {
-            "order": fact,
-            "customer": map_by_position(
-                prune(customer, ["c_custkey", "c_name", "c_mktsegment"]),
-                ["customer_id", "name", "segment"],
+            "line": map_by_position(
+                fact, ["id", "quantity", "price", "ship_date", "part_id", "supplier_id"]
+            ),
+            "part": map_by_position(
+                prune(part, ["p_partkey", "p_name", "p_size"]), ["part_id", "name", "size"]
+            ),
+            "supplier": map_by_position(
+                prune(supplier, ["s_suppkey", "s_name", "s_acctbal"]),
+                ["supplier_id", "name", "balance"],
             ),
-            "nation": map_by_position(nation, ["nation_id", "name", "region_id"]),
         },
     )
 
 
 def mart_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_mart(spark, sf_dir, table(spark, sf_dir, "orders"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("line_key", F.expr(LINE_KEY))
+    return _sales_mart(lines, table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier"))
 
 
 def mart_after_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_mart(spark, sf_dir, upsert_dim_rows(spark, sf_dir))
+    lines = _stored_lines(spark, sf_dir)
+    target = changed_between(lines, "l_shipdate", HISTORY, CUT)
+    batch = changed_between(lines, "l_shipdate", START, END).withColumn(
+        "l_quantity", F.col("l_quantity") + 1
+    )
+    return _sales_mart(
+        upsert(target, batch, ["line_key"]),
+        upsert_dim_module(spark, sf_dir),
+        table(spark, sf_dir, "supplier"),
+    )
+
+
+def order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with columns of their customer and nation."""
+    orders = table(spark, sf_dir, "orders")
+    return denormalise(
+        orders,
+        table(spark, sf_dir, "customer"),
+        table(spark, sf_dir, "nation"),
+        detail_on_parent=("o_custkey", "c_custkey"),
+        parent_on_grandparent=("c_nationkey", "n_nationkey"),
+        columns=[
+            *[(c, F.col(f"detail.{c}")) for c in orders.columns],
+            ("customer_name", F.col("parent.c_name")),
+            ("segment", F.col("parent.c_mktsegment")),
+            ("nation_id", F.col("parent.c_nationkey")),
+            ("nation_name", F.col("grandparent.n_name")),
+        ],
+    )
 
 
 # -- warehouse: the whole job, stored ---------------------------------------
@@ -489,6 +521,7 @@ QUERIES = {
     "inline_values": inline_values,
     "mart_star_join": mart_star_join,
     "mart_after_upsert": mart_after_upsert,
+    "order_view": order_view,
     "stage_roundtrip": stage_roundtrip,
     "upsert_all_counts": upsert_all_counts,
     "backfill_counts": backfill_counts,
