@@ -84,13 +84,17 @@ class Warehouse:
         text = read_text(self.spark, f"{self.root}/versions/{version:012d}.json")
         content = json.loads(text)
         tables = {
-            name: {int(bucket): run for bucket, run in placement.items()}
-            for name, placement in content["tables"].items()
+            name: {bucket: run for run, buckets in runs.items() for bucket in buckets}
+            for name, runs in content["tables"].items()
         }
         return content["bucket_width"], tables
 
     def _publish(self, version: int, bucket_width: int, tables: dict[str, Placement]) -> None:
-        text = json.dumps({"bucket_width": bucket_width, "tables": tables})
+        runs: dict[str, dict[str, list[int]]] = {name: {} for name in tables}
+        for name, placement in tables.items():
+            for bucket, run in sorted(placement.items()):
+                runs[name].setdefault(run, []).append(bucket)
+        text = json.dumps({"bucket_width": bucket_width, "tables": runs})
         target = f"{self.root}/versions/{version:012d}.json"
         publish_text(self.spark, target, text, f"{target}.{uuid.uuid4().hex}")
 
