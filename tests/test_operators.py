@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import COURSES
+from tidemark import COURSES, FrameSource
 from tidemark.operators import (
     batch_profile,
     changed_between,
@@ -23,8 +23,9 @@ from tidemark.operators import (
     text_violations,
     upsert,
 )
-from tidemark.plans.courses import D_COURSE, F_LESSON
-from tidemark.sources import inline_rows
+from tidemark.plans.courses import D_COURSE, F_LESSON, LESSON_VIEW
+from tidemark.sources import inline_rows, read
+from tidemark.sources.sample import sample_tables
 from tidemark.specs import Entity, Model, Reference, TargetSpec, columns
 
 
@@ -127,19 +128,25 @@ def test_fact_maps_by_position(spark):
     )
 
 
-def test_view_drops_lessons_without_parents(spark):
-    detail = inline_rows(spark, columns("id int, p int"), [(1, 1), (2, None), (3, 9), (4, 2)])
-    parent = inline_rows(spark, columns("id int, g int"), [(1, 1), (2, None)])
-    grandparent = inline_rows(spark, columns("id int, x int"), [(1, 10)])
-    found = denormalise(
-        detail,
-        parent,
-        grandparent,
-        ("p", "id"),
-        ("g", "id"),
-        [("id", F.col("detail.id")), ("x", F.col("grandparent.x"))],
+def test_view_drops_lessons_without_ancestors(spark):
+    detail = inline_rows(spark, columns("id int, p int"), [(1, 1), (2, None), (3, 9)])
+    ancestors = inline_rows(spark, columns("p int, x int"), [(1, 10), (2, 20)])
+    found = denormalise(detail, ancestors, "p")
+    assert found.columns == ["id", "p", "x"]
+    assert [tuple(r) for r in found.collect()] == [(1, 1, 10)]
+
+
+def test_lesson_view_follows_references(spark, rows):
+    sample = sample_tables(spark, "2024-03-15 10:00:00")
+    orphan = sample["stream_module"].withColumn(
+        "stream_id", F.when(F.col("id") != 5, F.col("stream_id"))
+    )
+    view = read(COURSES, FrameSource(sample | {"stream_module": orphan}), LESSON_VIEW)
+    found = rows(view.select("id", "stream_id", "course_id", "updated_at"))
+    day = dt.date(2024, 3, 14)
+    assert found == sorted(
+        [(i, 1, 1, day) for i in range(1, 7)] + [(i, 3, 2, day) for i in range(7, 10)], key=repr
     )
-    assert [tuple(r) for r in found.collect()] == [(1, 10)]
 
 
 def test_key_violations(spark, rows):

@@ -6,11 +6,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import Warehouse, run
+from tidemark import FrameSource, Warehouse, extract, run
 from tidemark.operators import reference_violations, star_join
 from tidemark.plans.files import names_in
 from workload import queries as q
-from workload.model import LINE_KEY, LINES, line_view, source, table
+from workload.model import LINE_KEY, LINES, source, table
 
 SF_DIR = "/root/testdata/sf0.01"
 # These run jobs when called; their result is a plain scan.
@@ -63,9 +63,9 @@ def test_window_on_the_view_reaches_the_parent_scan(spark):
 
 def test_view_shuffles_the_detail_rows_once(spark):
     with no_broadcast(spark):
-        view = line_view(lambda name: table(spark, SF_DIR, name)).select("l_orderkey", "c_nationkey")
-        plan = plan_of(view)
-    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", plan)) == 1
+        plan = plan_of(q.lesson_view(spark, SF_DIR))
+    # Both sides of either join; a second one over the lines would make five.
+    assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", plan)) == 2
     assert plan.count("Exchange hashpartitioning") == 4
 
 
@@ -75,6 +75,27 @@ def test_all_work_is_built_in_expressions_without_products(spark, name):
     assert not re.search(r"Python|Pandas|CartesianProduct|NestedLoop|ExistingRDD", plan)
 
 
+def test_stored_ancestors_spare_the_detail_rows_a_shuffle(spark, new_root):
+    """Orders alone exceed the limit, those of one window do not."""
+    warehouse = Warehouse.create(spark, new_root(), LINES)
+    tables = {n: table(spark, SF_DIR, n) for n in ["nation", "customer", "orders", "lineitem"]}
+    lines = tables["lineitem"].withColumn("line_key", F.expr(LINE_KEY))
+    tables["lineitem"] = lines.select(*LINES.sources["lineitem"].fieldNames())
+    for name in ["nation", "customer"]:
+        tables[name] = tables[name].withColumn("known_since", F.lit(None))
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold=60_000,
+        spark__sql__adaptive__autoBroadcastJoinThreshold=60_000,
+    ):
+        lazy = extract(LINES, FrameSource(tables), "1998-01-01", "1998-02-01")["line"]
+        stored = extract(LINES, FrameSource(tables), "1998-01-01", "1998-02-01", warehouse.store)
+        plans = [plan_of(lazy), plan_of(stored["line"])]
+    shuffled = r"Exchange hashpartitioning\(l_orderkey"
+    assert re.search(shuffled, plans[0]) and not re.search(shuffled, plans[1])
+    assert stored["line"].count() == lazy.count() > 500
+
+
 def test_small_batch_does_not_shuffle_the_parent(spark):
     orders = table(spark, SF_DIR, "orders")
     nations = table(spark, SF_DIR, "nation").select(F.col("n_nationkey").alias("fk"))

@@ -16,31 +16,15 @@ from pyspark.sql import types as T
 from tidemark.specs import StarMart
 
 
-def denormalise(
-    detail: DataFrame,
-    parent: DataFrame,
-    grandparent: DataFrame,
-    detail_on_parent: tuple[str, str],
-    parent_on_grandparent: tuple[str, str],
-    columns: list[tuple[str, Column]],
-) -> DataFrame:
-    """``detail`` with columns of its parent and grandparent; rows without
-    either drop out.
+def denormalise(detail: DataFrame, ancestors: DataFrame, reference: str) -> DataFrame:
+    """``detail`` with the columns of its ancestors' row; without one a detail
+    row drops out.
 
-    The two parents are joined first: they are small next to the detail rows,
-    so those are shuffled at most once, on one key.  In ``columns`` the inputs
-    go by the names ``detail``, ``parent`` and ``grandparent``.
+    The ancestors are joined among themselves before they come here: small
+    next to the detail rows, so those are shuffled at most once, on one key.
     """
-    to_parent, parent_key = detail_on_parent
-    to_grandparent, grandparent_key = parent_on_grandparent
-    parents = parent.alias("parent").join(
-        grandparent.alias("grandparent"),
-        F.col(f"parent.{to_grandparent}") == F.col(f"grandparent.{grandparent_key}"),
-    )
-    joined = detail.alias("detail").join(
-        parents, F.col(f"detail.{to_parent}") == F.col(f"parent.{parent_key}")
-    )
-    return joined.select(*[column.alias(name) for name, column in columns])
+    inherited = [c for c in ancestors.columns if c != reference]
+    return detail.join(ancestors, reference).select(*detail.columns, *inherited)
 
 
 def payload_bytes(df: DataFrame) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import to_date
-from tidemark.operators.joins import denormalise
 from tidemark.specs import (
+    DetailView,
     Entity,
     Model,
     Reference,
@@ -184,30 +184,22 @@ LESSON_MART = StarMart(
 )
 
 
-def lesson_view(table: TableReader) -> DataFrame:
-    """Lessons with the stream and course they belong to.  The dates, and so
-    the watermark of a lesson, are its module's."""
-    lessons = table("stream_module_lesson")
-    chosen = [(c, F.col(f"detail.{c}")) for c in lessons.columns]
-    chosen += [
-        ("stream_id", F.col("parent.stream_id")),
-        ("course_id", F.col("grandparent.course_id")),
-        ("updated_at", to_date(F.col("parent.updated_at"))),
-        ("created_at", to_date(F.col("parent.created_at"))),
-    ]
-    return denormalise(
-        lessons,
-        table("stream_module"),
-        table("stream"),
-        detail_on_parent=("stream_module_id", "id"),
-        parent_on_grandparent=("stream_id", "id"),
-        columns=chosen,
+def lesson_ancestors(table: TableReader) -> DataFrame:
+    """Per module what its lessons inherit: stream and course, and the
+    module's dates, one of which is the lessons' watermark."""
+    module, stream = table("stream_module").alias("module"), table("stream").alias("stream")
+    return module.join(stream, F.col("module.stream_id") == F.col("stream.id")).select(
+        F.col("module.id").alias("stream_module_id"),
+        "module.stream_id",
+        "stream.course_id",
+        to_date(F.col("module.updated_at")).alias("updated_at"),
+        to_date(F.col("module.created_at")).alias("created_at"),
     )
 
 
 COURSES = Model(
     sources=SOURCE_TABLES,
-    views={LESSON_VIEW: lesson_view},
+    views={LESSON_VIEW: DetailView("stream_module_lesson", "stream_module_id", lesson_ancestors)},
     entities=(
         Entity("course", "course", D_COURSE),
         Entity("stream", "stream", D_STREAM),

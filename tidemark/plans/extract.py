@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from tidemark.functions import as_date, default_start
 from tidemark.functions.timestamps import DateLike
-from tidemark.operators import affected_rows, changed_between, combine_counts
+from tidemark.operators import affected_rows, changed_between, combine_counts, denormalise
 from tidemark.sources import Source, read
-from tidemark.specs import Model
+from tidemark.specs import Entity, Model
+
+Store = Callable[[str, DataFrame], DataFrame]
 
 
 def window(date: DateLike | None, as_of: DateLike | None) -> tuple[dt.date, dt.date]:
@@ -21,20 +24,55 @@ def window(date: DateLike | None, as_of: DateLike | None) -> tuple[dt.date, dt.d
     return start, as_date(as_of)
 
 
+def _changed_details(
+    model: Model,
+    source: Source,
+    entity: Entity,
+    days: tuple[dt.date, dt.date],
+    store: Store | None,
+) -> DataFrame:
+    """The view's rows in the window, narrowing the ancestors first where
+    they carry the watermark.
+
+    The planner cannot tell how few ancestors a window leaves.  Stored, their
+    size is known: within the broadcast limit the detail rows, the largest
+    table there is, are then scanned and joined without a shuffle.
+    """
+
+    def table(name: str) -> DataFrame:
+        return read(model, source, name)
+
+    view = model.views[entity.source]
+    ancestors = view.ancestors(table)
+    if entity.watermark not in ancestors.columns:
+        return changed_between(table(entity.source), entity.watermark, *days)
+    ancestors = changed_between(ancestors, entity.watermark, *days)
+    if store is not None:
+        ancestors = store(f"{entity.source}_ancestors", ancestors)
+    return denormalise(table(view.detail), ancestors, view.reference)
+
+
 def extract(
     model: Model,
     source: Source,
     date: DateLike | None = None,
     as_of: DateLike | None = None,
+    store: Store | None = None,
 ) -> dict[str, DataFrame]:
-    """The rows of every entity that changed in the window, lazily."""
-    start, end = window(date, as_of)
-    return {
-        entity.name: changed_between(
-            read(model, source, entity.source), entity.watermark, start, end
-        )
-        for entity in model.entities
-    }
+    """The rows of every entity that changed in the window.
+
+    Lazy, but for what ``store`` is given to write: a function of a name and
+    a frame that returns the frame as read back.
+    """
+    days = window(date, as_of)
+    frames = {}
+    for entity in model.entities:
+        if entity.source in model.views and not source.provides(entity.source):
+            frames[entity.name] = _changed_details(model, source, entity, days, store)
+        else:
+            rows = read(model, source, entity.source)
+            frames[entity.name] = changed_between(rows, entity.watermark, *days)
+    return frames
 
 
 def extract_counts(frames: dict[str, DataFrame]) -> DataFrame:

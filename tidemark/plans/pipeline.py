@@ -103,5 +103,5 @@ def run(
     By default that is yesterday.  An earlier ``date`` catches up or fills in
     history with the same code; running a window again changes nothing.
     """
-    frames = extract(model, source, date, as_of)
+    frames = extract(model, source, date, as_of, warehouse.store)
     return load(model, transform(frames, model.entities), warehouse)

@@ -123,17 +123,21 @@ class Warehouse:
 
     # -- stage ------------------------------------------------------------
 
-    def stage(self, table: str, df: DataFrame) -> DataFrame:
-        """Replace a table's stage with ``df`` and read it back.
+    def store(self, name: str, df: DataFrame) -> DataFrame:
+        """Replace ``stage/<name>`` with ``df`` and read it back.
 
-        What follows reads the stored rows, so the extract runs once and later
-        changes at the source do not show.  Rebalancing by key turns the
-        mostly empty tasks of a narrow window over a wide scan into few files.
+        Rebalancing by the first column turns the mostly empty tasks of a
+        narrow window over a wide scan into few files.
         """
-        path = f"{self.root}/stage/{self.model.targets[table].stage_name}"
+        path = f"{self.root}/stage/{name}"
         df.hint("rebalance", F.col(df.columns[0])).write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def stage(self, table: str, df: DataFrame) -> DataFrame:
+        """Replace a table's stage.  What follows reads the stored rows, so the
+        extract runs once and later changes at the source do not show."""
+        return self.store(self.model.targets[table].stage_name, df)
+
     def staged(self, table: str) -> DataFrame:
         """The rows the last load staged for a table."""
         path = f"{self.root}/stage/{self.model.targets[table].stage_name}"

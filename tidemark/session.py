@@ -18,6 +18,8 @@ SETTINGS = {
     # Above this measured size no side is broadcast.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Encoded columns unpack to several times their file size.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     # Lets a filtered parent thin out the detail scan before its shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
     "spark.ui.enabled": "false",

@@ -12,6 +12,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.operators.joins import denormalise
 from tidemark.specs import Model
 
 
@@ -59,4 +60,9 @@ def read(model: Model, source: Source, name: str) -> DataFrame:
         return source.table(name).to(model.sources[name])
     if source.provides(name):
         return source.table(name)
-    return model.views[name](lambda table: read(model, source, table))
+
+    def table(other: str) -> DataFrame:
+        return read(model, source, other)
+
+    view = model.views[name]
+    return denormalise(table(view.detail), view.ancestors(table), view.reference)

@@ -105,12 +105,26 @@ class StarMart:
 TableReader = Callable[[str], DataFrame]
 
 
+@dataclass(frozen=True)
+class DetailView:
+    """Rows of the table ``detail`` with columns of their ancestors.
+
+    ``ancestors`` joins the parent tables into one row per parent: the parent's
+    key, named like the column ``reference`` of the detail rows that holds it,
+    and the columns those rows inherit.
+    """
+
+    detail: str
+    reference: str
+    ancestors: Callable[[TableReader], DataFrame]
+
+
 @dataclass(frozen=True)
 class Model:
     """Everything one warehouse needs."""
 
     sources: Mapping[str, T.StructType]
-    views: Mapping[str, Callable[[TableReader], DataFrame]]
+    views: Mapping[str, DetailView]
     entities: tuple[Entity, ...]
     mart: StarMart
 

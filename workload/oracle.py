@@ -24,16 +24,12 @@ _ORDERS_UPSERTED = f"""
 """
 
 _UNIQUE_LINES = """
-    select * exclude (pick), l_orderkey * 8 + l_linenumber as line_key
-    from (
-        select *, row_number() over (
-            partition by l_orderkey, l_linenumber
-            order by l_discount, l_extendedprice, l_linestatus, l_partkey, l_quantity,
-                     l_returnflag, l_shipdate, l_suppkey, l_tax
-        ) as pick
-        from lineitem
-    ) numbered
-    where pick = 1
+    select l_orderkey * 8 + l_linenumber as line_key, l_orderkey, l_linenumber,
+           min(l_partkey) as l_partkey, min(l_suppkey) as l_suppkey,
+           min(l_quantity) as l_quantity, min(l_extendedprice) as l_extendedprice,
+           min(l_shipdate) as l_shipdate
+    from lineitem
+    group by l_orderkey, l_linenumber
 """
 _KNOWN_CUSTOMERS = """
     select c.*, f.known_since

@@ -49,7 +49,7 @@ from workload.model import (
     F_LINE,
     LINE_KEY,
     LINES,
-    line_view,
+    line_ancestors,
     source,
     table,
 )
@@ -93,8 +93,8 @@ def extract_default_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The view over the table as it is, repeated keys included."""
-    view = line_view(lambda name: table(spark, sf_dir, name))
-    return view.select(
+    ancestors = line_ancestors(lambda name: table(spark, sf_dir, name))
+    return denormalise(table(spark, sf_dir, "lineitem"), ancestors, "l_orderkey").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -400,21 +400,15 @@ def mart_after_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with columns of their customer and nation."""
-    orders = table(spark, sf_dir, "orders")
-    return denormalise(
-        orders,
-        table(spark, sf_dir, "customer"),
-        table(spark, sf_dir, "nation"),
-        detail_on_parent=("o_custkey", "c_custkey"),
-        parent_on_grandparent=("c_nationkey", "n_nationkey"),
-        columns=[
-            *[(c, F.col(f"detail.{c}")) for c in orders.columns],
-            ("customer_name", F.col("parent.c_name")),
-            ("segment", F.col("parent.c_mktsegment")),
-            ("nation_id", F.col("parent.c_nationkey")),
-            ("nation_name", F.col("grandparent.n_name")),
-        ],
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    ancestors = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
+        F.col("c_custkey").alias("o_custkey"),
+        F.col("c_name").alias("customer_name"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("nation_id"),
+        F.col("n_name").alias("nation_name"),
     )
+    return denormalise(table(spark, sf_dir, "orders"), ancestors, "o_custkey")
 
 
 # -- warehouse: the whole job, stored ---------------------------------------
