@@ -89,7 +89,7 @@ def test_stored_ancestors_spare_the_detail_rows_a_shuffle(spark, new_root):
         spark__sql__adaptive__autoBroadcastJoinThreshold=60_000,
     ):
         lazy = extract(LINES, FrameSource(tables), "1998-01-01", "1998-02-01")["line"]
-        stored = extract(LINES, FrameSource(tables), "1998-01-01", "1998-02-01", warehouse.store)
+        stored = extract(LINES, FrameSource(tables), "1998-01-01", "1998-02-01", warehouse.begin().store)
         plans = [plan_of(lazy), plan_of(stored["line"])]
     shuffled = r"Exchange hashpartitioning\(l_orderkey"
     assert re.search(shuffled, plans[0]) and not re.search(shuffled, plans[1])

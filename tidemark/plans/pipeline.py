@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,9 @@ from pyspark.sql import types as T
 from tidemark.functions.timestamps import DateLike
 from tidemark.operators import conform, require_known_parents, require_valid_batch, transform
 from tidemark.plans.extract import extract
-from tidemark.plans.warehouse import Warehouse
+from tidemark.plans.warehouse import Load, Warehouse
 from tidemark.sources import Source, inline_rows
-from tidemark.specs import Entity, Model
+from tidemark.specs import Model, Reference, TargetSpec
 
 log = logging.getLogger(__name__)
 
@@ -48,43 +49,47 @@ def _together(spark: SparkSession, jobs: Sequence[Callable[[], object]]) -> list
 def load(model: Model, frames: dict[str, DataFrame], warehouse: Warehouse) -> LoadResult:
     """Stage transformed frames and upsert them, all tables together.
 
-    Every stage table is replaced first, also when a check then fails.  A
-    failed check raises and publishes nothing.
+    Every stage table is replaced first, also when a check then fails.  Checks
+    run beside the writes they guard: what a load writes does not count until
+    it is published, and a failed check raises before that.
     """
-    spark = warehouse.spark
+    return _load(model, frames, warehouse.begin(), warehouse.spark)
+
+
+def _load(
+    model: Model, frames: dict[str, DataFrame], change: Load, spark: SparkSession
+) -> LoadResult:
     staged = _together(
         spark,
         [
-            lambda e=e: conform(warehouse.stage(e.target.name, frames[e.name]), e.target)
+            lambda e=e: conform(change.stage(e.target.name, frames[e.name]), e.target)
             for e in model.entities
         ],
     )
-    batches = {e.name: batch for e, batch in zip(model.entities, staged, strict=True)}
-    counted = _together(
-        spark,
-        [lambda e=e: require_valid_batch(batches[e.name], e.target) for e in model.entities],
-    )
-    affected = {e.name: rows for e, rows in zip(model.entities, counted, strict=True)}
-    for name, rows in affected.items():
-        log.info("extracted %s rows: %d", name, rows)
+    batches = {e.target.name: batch for e, batch in zip(model.entities, staged, strict=True)}
 
-    change = warehouse.begin()
+    def check_rows(target: TargetSpec) -> int:
+        return require_valid_batch(batches[target.name], target)
+
+    def check_reference(target: TargetSpec, r: Reference) -> None:
+        parent, parent_key = change.table(r.parent), model.key_of(r.parent)
+        require_known_parents(batches[target.name], target, r.column, parent, parent_key)
 
-    def check_and_upsert(entity: Entity) -> None:
-        batch, target = batches[entity.name], entity.target
-        _together(
+    affected: dict[str, int] = {}
+    for group in model.load_order():
+        targets = [e.target for e in group]
+        # In this order: of several failures the first job's is raised.
+        done = _together(
             spark,
             [
-                lambda r=r: require_known_parents(
-                    batch, target, r.column, change.table(r.parent), model.key_of(r.parent)
-                )
-                for r in target.references
+                *[partial(check_rows, t) for t in targets],
+                *[partial(check_reference, t, r) for t in targets for r in t.references],
+                *[partial(change.upsert, t.name, batches[t.name]) for t in targets],
             ],
         )
-        change.upsert(target.name, batch)
-
-    for independent in model.load_order():
-        _together(spark, [lambda e=e: check_and_upsert(e) for e in independent])
+        for entity, rows in zip(group, done, strict=False):
+            affected[entity.name] = rows
+            log.info("extracted %s rows: %d", entity.name, rows)
     change.refresh_mart()
     version = change.publish()
     log.info("published version %d: %s", version, affected)
@@ -103,5 +108,6 @@ def run(
     By default that is yesterday.  An earlier ``date`` catches up or fills in
     history with the same code; running a window again changes nothing.
     """
-    frames = extract(model, source, date, as_of, warehouse.store)
-    return load(model, transform(frames, model.entities), warehouse)
+    change = warehouse.begin()
+    frames = extract(model, source, date, as_of, change.store)
+    return _load(model, transform(frames, model.entities), change, warehouse.spark)

@@ -2,7 +2,7 @@
 
 Layout below the root::
 
-    stage/<table>_stage/                      replaced by every load
+    stage/<table>_stage/<run>/                what a load extracted
     tables/<table>/<run>/key_bucket=<n>/      written once, never changed
     versions/<number>.json                    which run holds which bucket
 
@@ -18,6 +18,7 @@ or not at all; a failed load leaves directories nothing points to.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterable
 
@@ -121,27 +122,14 @@ class Warehouse:
         for name, placement in tables.items():
             self._read(name, placement).createOrReplaceTempView(name)
 
-    # -- stage ------------------------------------------------------------
-
-    def store(self, name: str, df: DataFrame) -> DataFrame:
-        """Replace ``stage/<name>`` with ``df`` and read it back.
-
-        Rebalancing by the first column turns the mostly empty tasks of a
-        narrow window over a wide scan into few files.
-        """
-        path = f"{self.root}/stage/{name}"
-        df.hint("rebalance", F.col(df.columns[0])).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def stage(self, table: str, df: DataFrame) -> DataFrame:
-        """Replace a table's stage.  What follows reads the stored rows, so the
-        extract runs once and later changes at the source do not show."""
-        return self.store(self.model.targets[table].stage_name, df)
-
     def staged(self, table: str) -> DataFrame:
-        """The rows the last load staged for a table."""
-        path = f"{self.root}/stage/{self.model.targets[table].stage_name}"
-        return self.spark.read.parquet(path)
+        """The rows the last load staged for a table, also if it then failed."""
+        name = self.model.targets[table].stage_name
+        for run in reversed(names_in(self.spark, f"{self.root}/stage/{name}")):
+            path = f"{self.root}/stage/{name}/{run}"
+            if "_SUCCESS" in names_in(self.spark, path):
+                return self.spark.read.parquet(path)
+        raise FileNotFoundError(f"nothing was staged for {table}")
 
     # -- writing ----------------------------------------------------------
 
@@ -149,8 +137,9 @@ class Warehouse:
         return Load(self)
 
     def drop_unreferenced(self, keep_versions: int = 2) -> list[str]:
-        """Delete all but the last versions and the directories only they
-        used.  Not while a load or a reader of an older version is active."""
+        """Delete all but the last versions, the directories only older ones
+        used, and all but the last stage of each table.  Not while a load or a
+        reader of an older version is active."""
         versions = sorted(self._versions())
         kept = versions[-keep_versions:]
         used = {
@@ -166,6 +155,9 @@ class Warehouse:
             for run in names_in(self.spark, f"{self.root}/tables/{name}"):
                 if (name, run) not in used:
                     dropped.append(f"{self.root}/tables/{name}/{run}")
+        for name in names_in(self.spark, f"{self.root}/stage"):
+            for run in names_in(self.spark, f"{self.root}/stage/{name}")[:-1]:
+                dropped.append(f"{self.root}/stage/{name}/{run}")
         for path in dropped:
             delete_tree(self.spark, path)
         return dropped
@@ -179,7 +171,8 @@ class Load:
         self._version = warehouse.version()
         self._width, self._before = warehouse._manifest(self._version)
         self._after = {name: dict(placement) for name, placement in self._before.items()}
-        self._run = f"{self._version + 1:012d}-{uuid.uuid4().hex[:8]}"
+        # Later runs sort later, also runs towards the same version.
+        self._run = f"{self._version + 1:012d}-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         self._batches: dict[str, DataFrame] = {}
         self._touched: dict[str, list[int]] = {}
 
@@ -187,6 +180,21 @@ class Load:
         """A table as this load leaves it so far."""
         return self._warehouse._read(name, self._after[name])
 
+    def store(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` below ``stage/<name>`` and read it back.
+
+        Rebalancing by the first column turns the mostly empty tasks of a
+        narrow window over a wide scan into few files.
+        """
+        path = f"{self._warehouse.root}/stage/{name}/{self._run}"
+        df.hint("rebalance", F.col(df.columns[0])).write.mode("overwrite").parquet(path)
+        return self._warehouse.spark.read.schema(df.schema).parquet(path)
+
+    def stage(self, table: str, df: DataFrame) -> DataFrame:
+        """Replace a table's stage.  What follows reads the stored rows, so the
+        extract runs once and later changes at the source do not show."""
+        return self.store(self._model.targets[table].stage_name, df)
+
     def _bucket_of(self, name: str) -> Column:
         key = self._model.key_of(name)
         return F.expr(f"cast(`{key}` as bigint) div {self._width}").alias(BUCKET)

@@ -16,8 +16,8 @@ SETTINGS = {
     # Size of a shuffled partition, and so of a written file.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Above this measured size no side is broadcast.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # Encoded columns unpack to several times their file size.
     "spark.sql.sources.fileCompressionFactor": "4.0",
     # Lets a filtered parent thin out the detail scan before its shuffle.

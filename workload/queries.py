@@ -194,7 +194,7 @@ def _stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines with their ancestors' keys, stored once as a load stages
     them, so that what follows does not compute the view again."""
     view = read(LINES, source(spark, sf_dir), "line_view")
-    return _new_warehouse(spark).stage(F_LINE.name, view)
+    return _new_warehouse(spark).begin().stage(F_LINE.name, view)
 
 
 def upsert_fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,7 +421,7 @@ def _new_warehouse(spark: SparkSession) -> Warehouse:
 
 def stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = rename_key(_orders_batch(spark, sf_dir), "o_orderkey", "order_id")
-    return _new_warehouse(spark).stage(D_ORDER.name, batch)
+    return _new_warehouse(spark).begin().stage(D_ORDER.name, batch)
 
 
 def load_twice(spark: SparkSession, sf_dir: str):
