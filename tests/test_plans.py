@@ -184,3 +184,31 @@ def test_only_touched_buckets_are_read_and_written(spark, new_root):
     found = warehouse.table("d_order")
     assert found.where("o_totalprice = 0").count() == 1000
     assert found.count() == table(spark, SF_DIR, "orders").count()
+
+
+def test_upsert_shuffles_a_small_batch_only(spark, new_root, rows, monkeypatch):
+    """Three ways to write the same rows: broadcast keys, many files, large batch."""
+    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_width=4000)
+    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
+    old = warehouse.table("d_order")
+    batch = old.where("o_orderstatus = 'P'").withColumn("o_totalprice", F.lit(0.0))
+    batch = batch.unionByName(batch.withColumn("order_id", F.col("order_id") + 14_000).limit(100))
+    batch = warehouse.begin().store("batch", batch.dropDuplicates(["order_id"]))
+    load = warehouse.begin()
+    touched = load._buckets_in(batch, "d_order")
+    narrow = load._upserted("d_order", batch, touched)
+    plan = plan_of(narrow)
+    assert plan.count("Exchange hashpartitioning") == 1 and "LeftAnti, BuildRight" in plan
+    with monkeypatch.context() as patch:
+        patch.setattr("tidemark.plans.warehouse.MAX_FILES_PER_BUCKET", 0)
+        merged = load._upserted("d_order", batch, touched)
+    with no_broadcast(spark):
+        large = load._upserted("d_order", batch, touched)
+        assert plan_of(large).count("Exchange hashpartitioning") == 3
+        expected = rows(large)
+    assert rows(narrow) == rows(merged) == expected
+    load.upsert("d_order", batch)
+    load.publish()
+    changed = warehouse.table("d_order")
+    assert rows(changed.where("o_totalprice = 0")) == rows(batch)
+    assert rows(changed) == [r[:-1] for r in expected]

@@ -11,7 +11,13 @@ from tidemark.operators.checks import (
 )
 from tidemark.operators.joins import broadcast_limit, denormalise, payload_bytes, star_join
 from tidemark.operators.shape import conform, map_by_position, prune, rename_key, transform
-from tidemark.operators.upsert import affected_rows, combine_counts, insert_update_split, upsert
+from tidemark.operators.upsert import (
+    affected_rows,
+    combine_counts,
+    insert_update_split,
+    survivors,
+    upsert,
+)
 from tidemark.operators.window import changed_between
 
 __all__ = [
@@ -33,6 +39,7 @@ __all__ = [
     "require_known_parents",
     "require_valid_batch",
     "star_join",
+    "survivors",
     "text_violations",
     "transform",
     "upsert",

@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def survivors(target: DataFrame, batch_keys: DataFrame) -> DataFrame:
+    """Rows of ``target`` whose key is not among ``batch_keys``."""
+    return target.join(batch_keys, batch_keys.columns, "left_anti").select(*target.columns)
+
+
 def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``target`` after ``batch`` is written over it.
 
@@ -18,8 +23,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame
     """
     if set(target.columns) != set(batch.columns):
         raise ValueError("target and batch differ in their columns")
-    survivors = target.join(batch.select(*key), list(key), "left_anti")
-    return survivors.select(*target.columns).unionByName(batch)
+    return survivors(target, batch.select(*key)).unionByName(batch)
 
 
 def affected_rows(batch: DataFrame) -> DataFrame:

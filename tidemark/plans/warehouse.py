@@ -30,6 +30,7 @@ from tidemark.operators import (
     combine_counts,
     payload_bytes,
     star_join,
+    survivors,
     upsert,
 )
 from tidemark.plans.files import delete_tree, names_in, publish_text, read_text
@@ -45,6 +46,9 @@ DEFAULT_BUCKET_WIDTH = 1 << 22
 # bucket width; the load says so instead of writing as many directories.
 MAX_BUCKETS_TOUCHED = 100_000
 
+# Above this average the files of touched buckets are merged (see _upserted).
+MAX_FILES_PER_BUCKET = 16
+
 # Bucket number -> run that wrote its current rows.
 Placement = dict[int, str]
 
@@ -208,19 +212,17 @@ class Load:
             raise ValueError(f"{name}: keys are too sparse for buckets of {self._width} keys")
         return buckets
 
-    def _write(self, name: str, rows: DataFrame, clustered: bool = False) -> list[int]:
-        """Write rows into new bucket directories; the buckets written.
+    def _placed(self, name: str, rows: DataFrame, gather: bool) -> DataFrame:
+        """Rows with their bucket number.  ``gather`` brings those of a bucket
+        together, where AQE joins small buckets and splits large ones."""
+        placed = rows.select("*", self._bucket_of(name))
+        return placed.hint("rebalance", F.col(BUCKET)) if gather else placed
 
-        Rows are brought together by bucket, where AQE joins small buckets and
-        splits large ones among tasks, unless they are ``clustered`` already
-        (each task holds few buckets).  Sorting by key gives the files narrow
-        key ranges.
-        """
+    def _write(self, name: str, placed: DataFrame) -> list[int]:
+        """Write placed rows into new bucket directories; the buckets written.
+        Sorting by key gives the files narrow key ranges."""
         warehouse = self._warehouse
         path = f"{warehouse.root}/tables/{name}/{self._run}"
-        placed = rows.select("*", self._bucket_of(name))
-        if not clustered:
-            placed = placed.hint("rebalance", F.col(BUCKET))
         (
             placed.sortWithinPartitions(BUCKET, self._model.key_of(name))
             .write.mode("errorifexists")
@@ -237,13 +239,32 @@ class Load:
         self._batches[name], self._touched[name] = batch, touched
         if not touched:
             return
-        rows = batch
-        if self._before[name].keys() & set(touched):
-            old = self._warehouse._read(name, self._before[name], touched)
-            rows = upsert(old, batch, [self._model.key_of(name)])
-        for bucket in self._write(name, rows):
+        for bucket in self._write(name, self._upserted(name, batch, touched)):
             self._after[name][bucket] = self._run
 
+    def _upserted(self, name: str, batch: DataFrame, touched: list[int]) -> DataFrame:
+        """The placed rows of the touched buckets after the upsert.
+
+        If the batch's keys are measured to be within the broadcast limit,
+        surviving rows go from their old files to new ones without a shuffle
+        and only the batch is gathered.  That adds a file per bucket and load;
+        when a bucket has many on average, all its rows are gathered.
+        """
+        old_buckets = self._before[name].keys() & set(touched)
+        if not old_buckets:
+            return self._placed(name, batch, gather=True)
+        key = self._model.key_of(name)
+        old = self._warehouse._read(name, self._before[name], old_buckets)
+        keys = batch.select(key)
+        few_files = len(old._jdf.inputFiles()) <= MAX_FILES_PER_BUCKET * len(old_buckets)
+        limit = broadcast_limit(self._warehouse.spark)
+        if not few_files or payload_bytes(keys).first()[0] > limit:
+            return self._placed(name, upsert(old, batch, [key]), gather=True)
+        kept = survivors(old, F.broadcast(keys))
+        return self._placed(name, kept, gather=False).unionByName(
+            self._placed(name, batch, gather=True)
+        )
+
     def _changed(self, dimension: str, column: str) -> DataFrame:
         """Keys of the batch whose row is new or looks different in the mart."""
         visible = [c for c in self._model.mart.visible(dimension) if c != column]
@@ -285,7 +306,7 @@ class Load:
         placement = {} if whole else self._after[mart.name]
         for bucket in stale:
             placement.pop(bucket, None)
-        for bucket in self._write(mart.name, rows, clustered):
+        for bucket in self._write(mart.name, self._placed(mart.name, rows, not clustered)):
             placement[bucket] = self._run
         self._after[mart.name] = placement
 

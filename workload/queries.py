@@ -439,6 +439,11 @@ def _load_twice(application: str, spark: SparkSession, sf_dir: str):
     return warehouse, first, second
 
 
+def forget_loads() -> None:
+    """Make the next query that needs the loaded warehouse load it again."""
+    _load_twice.cache_clear()
+
+
 def upsert_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_twice(spark, sf_dir)[2].frame(spark)
 
