@@ -15,6 +15,7 @@ from tidemark.functions import (
     shift,
     text_to_date,
     text_to_timestamp,
+    to_date,
 )
 from tidemark.plans.extract import window
 from tidemark.sources import inline_rows
@@ -70,6 +71,31 @@ def test_round_to_second(spark):
     ]
 
 
+def test_local_times_that_a_session_zone_lacks(spark):
+    """02:30 on this day does not exist in New York; here it is any time."""
+    df = inline_rows(spark, columns("t timestamp_ntz"), times("2024-03-10 02:30:00.600000"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = df.select(
+            round_to_second(F.col("t")),
+            shift(F.col("t"), days=1),
+            shift(F.col("t"), months=-1),
+            text_to_timestamp(F.lit("2024-03-10 02:30:00")),
+            to_date(F.col("t")),
+        )
+        assert {f.dataType.simpleString() for f in found.schema} == {"timestamp_ntz", "date"}
+        assert [str(v) for v in found.first()] == [
+            "2024-03-10 02:30:01",
+            "2024-03-11 02:30:00.600000",
+            "2024-02-10 02:30:00.600000",
+            "2024-03-10 02:30:00",
+            "2024-03-10",
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_shift_clamps_to_month_end(spark):
     df = inline_rows(spark, columns("t timestamp_ntz"), times("2024-01-31 10:00:00"))
     found = df.select(

@@ -6,9 +6,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import FrameSource, Warehouse, extract, run
+from tidemark import COURSES, FrameSource, ParquetSource, Warehouse, extract, run
 from tidemark.operators import reference_violations, star_join
 from tidemark.plans.files import names_in
+from tidemark.sources.sample import create_source
 from workload import queries as q
 from workload.model import LINE_KEY, LINES, source, table
 
@@ -61,6 +62,15 @@ def test_window_on_the_view_reaches_the_parent_scan(spark):
     assert "o_totalprice" not in orders, "only the needed columns are read"
 
 
+def test_parquet_source_scans_only_the_window(spark, tmp_path, as_of):
+    create_source(spark, str(tmp_path), as_of)
+    frames = extract(COURSES, ParquetSource(spark, str(tmp_path), COURSES.sources), as_of=as_of)
+    for name in ["course", "stream", "stream_module", "lesson"]:
+        plan = formatted(frames[name])
+        assert "GreaterThanOrEqual(updated_at,2024-03-14T00:00)" in plan
+        assert "LessThan(updated_at,2024-03-15T00:00)" in plan
+
+
 def test_view_shuffles_the_detail_rows_once(spark):
     with no_broadcast(spark):
         plan = plan_of(q.lesson_view(spark, SF_DIR))

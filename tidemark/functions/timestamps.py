@@ -69,12 +69,15 @@ def round_to_second(ts: Column) -> Column:
     """What ``timestamp(0)`` stores: the nearest whole second.
 
     An exact half second moves away from 2000-01-01: up after it, down
-    before it.  ``date_trunc`` answers with a zoned timestamp, hence the cast.
+    before it.  (``date_trunc`` would go through the session's time zone, in
+    which some local times do not exist.)
     """
     half = F.when(
         ts >= F.lit(ROUNDING_EPOCH), F.expr("interval 500000 microseconds")
     ).otherwise(F.expr("interval 499999 microseconds"))
-    return F.date_trunc("second", ts + half).cast("timestamp_ntz")
+    moved = ts + half
+    seconds = F.extract(F.lit("SECOND"), moved)
+    return moved - F.make_dt_interval(secs=seconds - F.floor(seconds))
 
 
 def shift(ts: Column, months: int | Column = 0, days: int | Column = 0) -> Column:

@@ -55,6 +55,8 @@ Placement = dict[int, str]
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, model: Model):
+        if model.mart.key != model.targets[model.mart.fact].key:
+            raise ValueError("the mart must be keyed like its fact")
         self.spark, self.root, self.model = spark, root.rstrip("/"), model
 
     @classmethod
@@ -268,12 +270,13 @@ class Load:
     def _changed(self, dimension: str, column: str) -> DataFrame:
         """Keys of the batch whose row is new or looks different in the mart."""
         visible = [c for c in self._model.mart.visible(dimension) if c != column]
-        batch = self._batches[dimension].select(column, *visible)
+        look = F.struct(F.lit(True).alias("known"), *visible)
+        batch = self._batches[dimension].select(column, look.alias("new"))
         old = self._warehouse._read(
             dimension, self._before[dimension], self._touched[dimension]
-        ).select(column, F.struct(*visible).alias("old"))
-        same = F.col("old").isNotNull() & F.col("old").eqNullSafe(F.struct(*visible))
-        return batch.join(old, column, "left").where(~same).select(column)
+        ).select(column, look.alias("old"))
+        changed = ~F.col("old").eqNullSafe(F.col("new"))
+        return batch.join(old, column, "left").where(changed).select(column)
 
     def _stale_buckets(self) -> set[int]:
         """Mart buckets whose rows can differ after this load: those of

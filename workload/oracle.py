@@ -132,7 +132,7 @@ def _rounded(ts: str) -> str:
     """
 
 
-_HALF = "(date_trunc('second', ts) + interval 500 milliseconds)"
+_HALF = f"({_rounded('ts')} + interval 500 milliseconds)"
 
 
 # One statement per query ------------------------------------------------------

@@ -303,8 +303,8 @@ def cast_text_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def round_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ts, half = F.col("ts"), F.expr("date_trunc('second', ts) + interval 500 milliseconds")
-    half = half.cast("timestamp_ntz")
+    ts = F.col("ts")
+    half = round_to_second(ts) + F.expr("interval 500 milliseconds")
     return table(spark, sf_dir, "events").select(
         "event_id",
         round_to_second(ts).alias("rounded"),
