@@ -94,6 +94,14 @@ def test_of_two_overlapping_loads_one_stands(sample, warehouse, as_of):
     assert warehouse.version() == version
 
 
+def test_overlapping_loads_do_not_share_a_stage(sample, warehouse, as_of):
+    slow = warehouse.begin()
+    mine = slow.stage("d_course", sample["course"].where("id = 1"))
+    run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
+    assert [r.id for r in mine.collect()] == [1]
+    assert warehouse.staged("d_course").count() == 4
+
+
 def test_a_reader_of_an_older_version_is_not_disturbed(spark, sample, warehouse, as_of, rows):
     first = run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of).version
     opened = warehouse.table("d_course")

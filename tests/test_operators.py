@@ -101,7 +101,17 @@ def test_conform_parses_text_and_all_null_columns(spark):
         conform(df.withColumn("deleted_at", F.lit("soon")), D_COURSE).collect()
 
 
-def test_conform_narrows_but_does_not_lose(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_conform_narrows_but_does_not_lose(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_narrowing(spark)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def check_narrowing(spark):
     wide = staged_course(spark).withColumn("course_id", F.lit(7).cast("bigint"))
     assert conform(wide, D_COURSE).first().course_id == 7
     too_wide = wide.withColumn("course_id", F.lit(2**40))

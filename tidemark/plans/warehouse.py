@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +46,9 @@ DEFAULT_BUCKET_WIDTH = 1 << 22
 # bucket width; the load says so instead of writing as many directories.
 MAX_BUCKETS_TOUCHED = 100_000
 
+# Width of a key as it is broadcast.
+KEY_BYTES = 8
+
 # Above this average the files of touched buckets are merged (see _upserted).
 MAX_FILES_PER_BUCKET = 16
 
@@ -107,7 +110,7 @@ class Warehouse:
 
     # -- reading ----------------------------------------------------------
 
-    def _read(self, name: str, placement: Placement, only: Iterable[int] | None = None) -> DataFrame:
+    def _read(self, name: str, placement: Placement, only: Collection[int] | None = None) -> DataFrame:
         schema = self.model.schema_of(name)
         wanted = placement.keys() if only is None else placement.keys() & set(only)
         paths = [
@@ -180,7 +183,7 @@ class Load:
         # Later runs sort later, also runs towards the same version.
         self._run = f"{self._version + 1:012d}-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         self._batches: dict[str, DataFrame] = {}
-        self._touched: dict[str, list[int]] = {}
+        self._touched: dict[str, dict[int, int]] = {}
 
     def table(self, name: str) -> DataFrame:
         """A table as this load leaves it so far."""
@@ -205,11 +208,11 @@ class Load:
         key = self._model.key_of(name)
         return F.expr(f"cast(`{key}` as bigint) div {self._width}").alias(BUCKET)
 
-    def _buckets_in(self, rows: DataFrame, name: str) -> list[int]:
-        """Bucket numbers present: a short list, as it grows with the key range
-        over the bucket width and not with the rows."""
-        found = rows.select(self._bucket_of(name)).distinct().limit(MAX_BUCKETS_TOUCHED + 1)
-        buckets = sorted(r[0] for r in found.collect())
+    def _buckets_in(self, rows: DataFrame, name: str) -> dict[int, int]:
+        """Bucket numbers present, with their row counts: a short list, as it
+        grows with the key range over the bucket width and not with the rows."""
+        counted = rows.groupBy(self._bucket_of(name)).agg(F.count(F.lit(1)))
+        buckets = dict(map(tuple, counted.limit(MAX_BUCKETS_TOUCHED + 1).collect()))
         if len(buckets) > MAX_BUCKETS_TOUCHED:
             raise ValueError(f"{name}: keys are too sparse for buckets of {self._width} keys")
         return buckets
@@ -244,10 +247,10 @@ class Load:
         for bucket in self._write(name, self._upserted(name, batch, touched)):
             self._after[name][bucket] = self._run
 
-    def _upserted(self, name: str, batch: DataFrame, touched: list[int]) -> DataFrame:
+    def _upserted(self, name: str, batch: DataFrame, touched: dict[int, int]) -> DataFrame:
         """The placed rows of the touched buckets after the upsert.
 
-        If the batch's keys are measured to be within the broadcast limit,
+        If the batch's keys are counted to be within the broadcast limit,
         surviving rows go from their old files to new ones without a shuffle
         and only the batch is gathered.  That adds a file per bucket and load;
         when a bucket has many on average, all its rows are gathered.
@@ -257,12 +260,11 @@ class Load:
             return self._placed(name, batch, gather=True)
         key = self._model.key_of(name)
         old = self._warehouse._read(name, self._before[name], old_buckets)
-        keys = batch.select(key)
         few_files = len(old._jdf.inputFiles()) <= MAX_FILES_PER_BUCKET * len(old_buckets)
-        limit = broadcast_limit(self._warehouse.spark)
-        if not few_files or payload_bytes(keys).first()[0] > limit:
+        key_bytes = KEY_BYTES * sum(touched.values())
+        if not few_files or key_bytes > broadcast_limit(self._warehouse.spark):
             return self._placed(name, upsert(old, batch, [key]), gather=True)
-        kept = survivors(old, F.broadcast(keys))
+        kept = survivors(old, F.broadcast(batch.select(key)))
         return self._placed(name, kept, gather=False).unionByName(
             self._placed(name, batch, gather=True)
         )
@@ -313,7 +315,7 @@ class Load:
             placement[bucket] = self._run
         self._after[mart.name] = placement
 
-    def _mart_rows(self, buckets: Iterable[int]) -> tuple[DataFrame, bool]:
+    def _mart_rows(self, buckets: Collection[int]) -> tuple[DataFrame, bool]:
         """The mart's rows of some buckets, and whether tasks hold them by
         bucket.  With all dimensions small enough to broadcast, facts stay as
         they lie in their bucket files: the refresh then needs no shuffle."""
