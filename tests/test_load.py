@@ -13,7 +13,7 @@ from tidemark.sources import inline_rows
 from tidemark.sources.sample import sample_tables
 
 TABLES = [*COURSES.targets, COURSES.mart.name]
-DAY = dt.timedelta(days=1)
+DAY, HOUR = dt.timedelta(days=1), dt.timedelta(hours=1)
 
 
 @pytest.fixture(scope="module")
@@ -68,15 +68,19 @@ def breaking_sources(spark, sample, as_of):
     "rule",
     ["duplicate_keys", "null_keys", "title_too_long", "homework_url_too_long", "unknown keys"],
 )
-def test_broken_rule_raises_and_publishes_nothing(spark, sample, warehouse, as_of, content, rule):
+def test_broken_rule_raises_and_publishes_nothing(
+    spark, sample, warehouse, as_of, content, rule
+):
     before, version = content(warehouse), warehouse.version()
+    source = breaking_sources(spark, sample, as_of)[rule]
     with pytest.raises(ConstraintError, match=rule):
-        run(COURSES, breaking_sources(spark, sample, as_of)[rule], warehouse, "2021-01-01", as_of)
+        run(COURSES, source, warehouse, "2021-01-01", as_of)
     assert warehouse.version() == version
     assert content(warehouse) == before
     # The stage shows what was tried, and the next good load replaces it.
     assert warehouse.staged("d_course").count() >= 4
-    assert run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of).affected["lesson"] == 12
+    good = run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
+    assert good.affected["lesson"] == 12
 
 
 def test_malformed_date_raises(sample, warehouse):
@@ -140,9 +144,10 @@ def test_null_watermark_is_never_extracted(spark, sample, warehouse, as_of):
 
 
 def test_all_null_columns_load(spark, sample, warehouse, as_of, rows):
+    lessons = sample["stream_module_lesson"]
     source = FrameSource(
         changed(sample, "stream", "true", start_at=F.lit(None), name=F.lit(None))
-        | {"stream_module_lesson": sample["stream_module_lesson"].withColumn("teacher_id", F.lit(None))}
+        | {"stream_module_lesson": lessons.withColumn("teacher_id", F.lit(None))}
     )
     run(COURSES, source, warehouse, "2021-01-01", as_of)
     found = warehouse.table("lesson_stream_dm")
@@ -212,7 +217,7 @@ def test_changed_dimension_reaches_facts_of_earlier_loads(sample, warehouse, as_
     run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
     later = as_of + DAY
     moved = changed(
-        sample, "course", "id = 1", title=F.lit("Python"), updated_at=F.lit(as_of + dt.timedelta(hours=1))
+        sample, "course", "id = 1", title=F.lit("Python"), updated_at=F.lit(as_of + HOUR)
     )
     counts = run(COURSES, FrameSource(moved), warehouse, as_of=later)
     assert counts.affected == {"course": 1, "stream": 0, "stream_module": 0, "lesson": 0}
@@ -223,7 +228,7 @@ def test_changed_dimension_reaches_facts_of_earlier_loads(sample, warehouse, as_
 def test_only_stale_buckets_are_rewritten(spark, sample, warehouse, as_of):
     run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
     moved = changed(
-        sample, "course", "id = 2", title=F.lit("JVM"), updated_at=F.lit(as_of + dt.timedelta(hours=1))
+        sample, "course", "id = 2", title=F.lit("JVM"), updated_at=F.lit(as_of + HOUR)
     )
     before = warehouse._manifest(warehouse.version())[1]
     run(COURSES, FrameSource(moved), warehouse, as_of=as_of + DAY)
@@ -244,7 +249,7 @@ def test_only_stale_buckets_are_rewritten(spark, sample, warehouse, as_of):
 def test_a_change_the_mart_does_not_show_leaves_it_alone(sample, warehouse, as_of):
     run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
     moved = changed(
-        sample, "course", "id = 2", icon_url=F.lit("i"), updated_at=F.lit(as_of + dt.timedelta(hours=1))
+        sample, "course", "id = 2", icon_url=F.lit("i"), updated_at=F.lit(as_of + HOUR)
     )
     before = warehouse._manifest(warehouse.version())[1]
     run(COURSES, FrameSource(moved), warehouse, as_of=as_of + DAY)
@@ -270,8 +275,8 @@ def test_refreshed_mart_equals_a_recomputed_one(spark, sample, warehouse, as_of,
             run(COURSES, FrameSource(tables), warehouse, "2021-01-01" if day == 0 else None, now)
             recomputed = star_join(COURSES.mart, {n: warehouse.table(n) for n in COURSES.targets})
             assert rows(warehouse.table("lesson_stream_dm")) == rows(recomputed)
-            touched = F.lit(now + dt.timedelta(hours=1))
-            for table, column in [("course", "title"), ("stream", "name"), ("stream_module", "title")]:
+            touched = F.lit(now + HOUR)
+            for table, column in {"course": "title", "stream": "name"}.items():
                 tables = changed(
                     tables,
                     table,

@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 
 from tidemark import COURSES, FrameSource
 from tidemark.operators import (
+    affected_rows,
     batch_profile,
+    broadcast_limit,
     changed_between,
     combine_counts,
-    affected_rows,
     conform,
     denormalise,
     insert_update_split,
     key_violations,
     map_by_position,
+    payload_bytes,
     prune,
     reference_violations,
     rename_key,
@@ -193,6 +195,25 @@ def test_text_violations_and_profile(spark, rows):
     assert set(batch_profile(df.where("k > 9"), ["k"], {"a": 2}).first()) == {0}
 
 
+@pytest.mark.parametrize(
+    "text, limit",
+    [("10485760b", 10 << 20), ("32m", 32 << 20), ("1GB", 1 << 30), ("5", 5), ("-1", -1)],
+)
+def test_broadcast_limit(spark, text, limit):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+    try:
+        assert broadcast_limit(spark) == limit
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_payload_bytes(spark):
+    df = inline_rows(spark, columns("a int, t string"), [(1, "abc"), (2, None), (3, "äö")])
+    assert payload_bytes(df).first()[0] == 3 * 8 + 3 + 4
+    assert payload_bytes(df.limit(0)).first()[0] == 0
+
+
 def test_combine_counts(spark):
     frames = {"x": spark.range(3), "y": spark.range(0), "z": spark.range(7)}
     counted = combine_counts({name: affected_rows(df) for name, df in frames.items()})

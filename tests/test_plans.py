@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import COURSES, FrameSource, ParquetSource, Warehouse, extract, run
-from tidemark.operators import reference_violations, star_join
+from tidemark.operators import reference_violations
 from tidemark.plans.files import names_in
 from tidemark.sources.sample import create_source
 from workload import queries as q
@@ -98,8 +98,9 @@ def test_stored_ancestors_spare_the_detail_rows_a_shuffle(spark, new_root):
         spark__sql__autoBroadcastJoinThreshold=60_000,
         spark__sql__adaptive__autoBroadcastJoinThreshold=60_000,
     ):
-        lazy = extract(LINES, FrameSource(tables), "1998-01-01", "1998-02-01")["line"]
-        stored = extract(LINES, FrameSource(tables), "1998-01-01", "1998-02-01", warehouse.begin().store)
+        january = (LINES, FrameSource(tables), "1998-01-01", "1998-02-01")
+        lazy = extract(*january)["line"]
+        stored = extract(*january, warehouse.begin().store)
         plans = [plan_of(lazy), plan_of(stored["line"])]
     shuffled = r"Exchange hashpartitioning\(l_orderkey"
     assert re.search(shuffled, plans[0]) and not re.search(shuffled, plans[1])
@@ -116,7 +117,7 @@ def test_small_batch_does_not_shuffle_the_parent(spark):
     ):
         found = reference_violations(nations, "fk", orders, "o_orderkey")
         plan = plan_of(found)
-    assert re.search(r"BroadcastHashJoin \[fk#\d+L?\].*LeftSemi, BuildRight|LeftSemi, BuildRight", plan)
+    assert "LeftSemi, BuildRight" in plan
     assert not re.search(r"Exchange hashpartitioning\(o_orderkey", plan)
     assert found.count() == 0
 

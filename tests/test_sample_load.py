@@ -10,14 +10,14 @@ from tidemark.plans.extract import extract, extract_counts
 from tidemark.sources.sample import create_source, sample_tables
 
 MART = [
-    (lesson, f"Lesson {(lesson - 1) % 3 + 1}", teacher, module, stream, name, 5, course, title, False)
+    (i, f"Lesson {(i - 1) % 3 + 1}", teacher, module, stream, name, 5, course, title, False)
     for lessons, teacher, module, stream, name, course, title in [
         (range(1, 4), 1, 1, 1, "Stream Python 1", 1, "Python development"),
         (range(4, 7), 2, 2, 1, "Stream Python 1", 1, "Python development"),
         (range(7, 10), 2, 4, 3, "Stream Java 1 ", 2, "Java development"),
         (range(10, 13), 3, 5, 3, "Stream Java 1 ", 2, "Java development"),
     ]
-    for lesson in lessons
+    for i in lessons
 ]
 COUNTS = {"course": 4, "stream": 4, "stream_module": 5, "lesson": 12}
 

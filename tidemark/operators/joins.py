@@ -7,9 +7,10 @@ so one hot parent does not become one long task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,8 +41,11 @@ def payload_bytes(df: DataFrame) -> DataFrame:
 
 
 def broadcast_limit(spark: SparkSession) -> int:
-    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
-    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    """The session's ``spark.sql.autoBroadcastJoinThreshold`` in bytes;
+    negative where broadcasts are switched off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", text).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
 
 
 def star_join(mart: StarMart, tables: Mapping[str, DataFrame]) -> DataFrame:

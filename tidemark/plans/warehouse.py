@@ -110,7 +110,9 @@ class Warehouse:
 
     # -- reading ----------------------------------------------------------
 
-    def _read(self, name: str, placement: Placement, only: Collection[int] | None = None) -> DataFrame:
+    def _read(
+        self, name: str, placement: Placement, only: Collection[int] | None = None
+    ) -> DataFrame:
         schema = self.model.schema_of(name)
         wanted = placement.keys() if only is None else placement.keys() & set(only)
         paths = [
@@ -260,6 +262,7 @@ class Load:
             return self._placed(name, batch, gather=True)
         key = self._model.key_of(name)
         old = self._warehouse._read(name, self._before[name], old_buckets)
+        # Counted on the JVM side, without fetching the names.
         few_files = len(old._jdf.inputFiles()) <= MAX_FILES_PER_BUCKET * len(old_buckets)
         key_bytes = KEY_BYTES * sum(touched.values())
         if not few_files or key_bytes > broadcast_limit(self._warehouse.spark):
