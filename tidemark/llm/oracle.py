@@ -1,3 +1,40 @@
 """SQL for DuckDB with the rows of the queries it can express."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+import string
+
+_LOWER = f"translate(coalesce({{}}, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_INDEX_WORDS = f"regexp_extract_all({_LOWER}, '[0-9a-z\\x{{{{80}}}}-\\x{{{{10FFFF}}}}]+')"
+
+OP9 = f"""
+with d as (select doc_id, {_INDEX_WORDS.format("text")} as w from documents),
+b as (select item_id, {_INDEX_WORDS.format("text")} as w from benchmark),
+sized as (select item_id, w, least(len(w), 10) as n from b where len(w) > 0),
+win as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as p
+  from (select *, unnest(range(1, len(w) - n + 2)) as i from sized)
+),
+sizes as (select distinct n from win),
+places as (
+  select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as p
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, sizes where len(w) >= n)
+),
+hits as (select doc_id, item_id, i, n from places join win using (n, p)),
+covered as (
+  select doc_id, count(distinct k) as n_hit
+  from (select doc_id, unnest(range(i, i + n)) as k from hits) group by doc_id
+),
+items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id
+)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (doc_id) left join items using (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op9_decontaminate": OP9,
+}

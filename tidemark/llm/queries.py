@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm import decontaminate, substring_repeats
 from tidemark.llm.minmax_dedup import near_duplicates
 from tidemark.llm.oracle import SQL
 
@@ -19,11 +20,26 @@ def op2_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_repeats.digest(
+        substring_repeats.cut_repeats(_table(spark, sf_dir, "documents"))
+    )
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return decontaminate.digest(found)
+
+
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_minmax_near_dedup,
+        op7_substring_dedup,
+        op9_decontaminate,
     )
 }
