@@ -35,6 +35,51 @@ select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
 from d left join covered using (doc_id) left join items using (doc_id)
 """
 
+OP6 = r"""
+with d as (
+  select doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents
+),
+windows as (
+  select doc_id, i, w[i:i + 2] as p
+  from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d)
+),
+twice as (select doc_id, p from windows group by doc_id, p having count(*) > 1),
+repeats as (
+  select doc_id, count(distinct k) as n
+  from (select doc_id, unnest(range(i, i + 3)) as k from windows join twice using (doc_id, p))
+  group by doc_id
+),
+m as (
+  select d.doc_id, cast(len(w) as bigint) as n_words,
+    cast(length(array_to_string(w, '')) as bigint) as word_chars,
+    cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+    coalesce(n, 0) as n_repeat_words,
+    cast(len(lines) as bigint) as n_lines,
+    cast(length(regexp_replace(text, '[^A-Z]', '', 'g')) as bigint) as n_capitals
+  from d left join repeats using (doc_id)
+),
+judged as (
+  select *, n_words < 50 as short, 100 * n_repeat_words > 50 * n_words as repeated,
+    2 * n_symbols > n_words as symbols, 2 * n_dup_lines > n_lines as lines,
+    word_chars < 2 * n_words or word_chars > 20 * n_words as odd,
+    2 * n_capitals > word_chars as capitals, n_words = 0 as nothing
+  from m
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals,
+  cast(short as bigint) + 2 * cast(repeated as bigint) + 4 * cast(symbols as bigint)
+    + 8 * cast(lines as bigint) + 16 * cast(odd as bigint) + 32 * cast(capitals as bigint)
+    + 64 * cast(nothing as bigint) as failed,
+  short or repeated as base_failed,
+  not (short or repeated or symbols or lines or odd or capitals or nothing) as kept
+from judged
+"""
+
 SQL: dict[str, str] = {
+    "op6_rule_ledger": OP6,
     "op9_decontaminate": OP9,
 }
