@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, rule_ledger, substring_repeats
+from tidemark.llm import decontaminate, pu_quality, rule_ledger, substring_repeats
 from tidemark.llm.minmax_dedup import near_duplicates
 from tidemark.llm.oracle import SQL
 
@@ -20,6 +20,11 @@ def op2_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pu_quality.score(docs, pu_quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = rule_ledger.ledger(_table(spark, sf_dir, "documents"))
     return rule_ledger.verdict(entries)
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_minmax_near_dedup,
+        op5_pu_quality,
         op6_rule_ledger,
         op7_substring_dedup,
         op9_decontaminate,
