@@ -11,10 +11,14 @@ Nothing is emitted for all pairs of a group.  Documents with equal sets become
 one representative.  Each band bucket first links its members to its smallest
 one only; components of those links are formed; then only members outside the
 largest component of their bucket are compared with the others, and only pairs
-whose sketch (one bit of each signature value) allows the similarity.
+whose sketches allow the similarity:
 
-At similarity 0.85 a pair misses all bands with probability 9e-7 and the
-sketch test with 4e-6 (4.5 standard deviations); both fall fast above it.
+- a bitmap in which each shingle flips one bit.  Two bitmaps differ in no more
+  bits than the sets differ in shingles, so this test loses nothing;
+- one bit of each signature value, for sets that fill the bitmap.
+
+At similarity 0.85 a pair misses all bands with probability 9e-7 and the second
+test with 4e-6 (4.5 standard deviations); both fall fast above it.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ PERMUTATIONS = 128
 BAND_ROWS = 7
 BANDS = 2 * PERMUTATIONS // BAND_ROWS
 SKETCH_LONGS = 2 * PERMUTATIONS // 64
+FLIP_LONGS = 16
 
 # Shingles hashed at once, which bounds a task's memory for very long texts.
 CHUNK = 4096
@@ -77,11 +82,18 @@ def signature(shingles: np.ndarray, factors: np.ndarray, offsets: np.ndarray) ->
     return np.stack([low, high], axis=1).reshape(-1)
 
 
+def flipped_bits(shingles: np.ndarray) -> np.ndarray:
+    """The bitmap in which every shingle flips the bit its hash names."""
+    bits = np.bincount((shingles % np.uint64(64 * FLIP_LONGS)).astype(np.int64)) & 1
+    bits = np.pad(bits, (0, 64 * FLIP_LONGS - len(bits))).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     factors, offsets = _factors()
     weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
     for batch in batches:
-        sizes, sets, bands, sketches = [], [], [], []
+        sizes, sets, bands, sketches, flips = [], [], [], [], []
         for text in batch["text"]:
             shingles = shingle_set(text.as_py())
             sizes.append(len(shingles))
@@ -89,6 +101,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(shingles):
                 bands.append([])
                 sketches.append([])
+                flips.append([])
                 continue
             values = signature(shingles, factors, offsets)
             keyed = values[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
@@ -102,6 +115,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # A bit that does not depend on the order of the values.
             bit = (values * np.uint32(0x9E3779B1) >> np.uint32(31)).astype(np.uint64)
             sketches.append((bit.reshape(-1, 64) * weights).sum(axis=1).view(np.int64).tolist())
+            flips.append(flipped_bits(shingles).tolist())
         yield pa.RecordBatch.from_arrays(
             [
                 batch["doc_id"].cast(pa.int64()),
@@ -109,17 +123,19 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(sets, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
                 pa.array(sketches, pa.list_(pa.int64())),
+                pa.array(flips, pa.list_(pa.int64())),
             ],
-            names=["doc_id", "n_shingles", "set_id", "bands", "sketch"],
+            names=["doc_id", "n_shingles", "set_id", "bands", "sketch", "flips"],
         )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, set_id, bands, sketch``, a row for each document."""
+    """``doc_id, n_shingles, set_id, bands, sketch, flips`` for each document."""
     prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         _sign,
-        "doc_id long, n_shingles long, set_id binary, bands array<long>, sketch array<long>",
+        "doc_id long, n_shingles long, set_id binary, bands array<long>, "
+        "sketch array<long>, flips array<long>",
     )
 
 
@@ -130,11 +146,21 @@ def differing_bits_allowed() -> int:
     return int(np.ceil(bits * share + 4.5 * np.sqrt(bits * share * (1 - share))))
 
 
-def _sketches_allow(a: str, b: str) -> Column:
+def _differing(column: str, longs: int) -> Column:
+    """Bits in which the columns of the two sides, ``_a`` and ``_b``, differ."""
     bits = [
-        F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])).cast("int") for i in range(SKETCH_LONGS)
+        F.bit_count(F.col(f"{column}_a")[i].bitwiseXOR(F.col(f"{column}_b")[i])).cast("int")
+        for i in range(longs)
     ]
-    return reduce(Column.__add__, bits) <= differing_bits_allowed()
+    return reduce(Column.__add__, bits)
+
+
+def _sketches_allow() -> Column:
+    both = F.col("n_shingles_a") + F.col("n_shingles_b")
+    return (
+        (100 + SIMILAR_PERCENT) * _differing("flips", FLIP_LONGS)
+        <= (100 - SIMILAR_PERCENT) * both
+    ) & (_differing("sketch", SKETCH_LONGS) <= differing_bits_allowed())
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,21 +207,19 @@ def _missed_links(
     open_members = stored(
         labelled.where("doc_id <> head")
         .join(main, "band")
-        .join(reps.select("doc_id", "bands", "sketch"), "doc_id")
-        .select("band", "main", "doc_id", "component", "bands", "sketch")
+        .join(reps, "doc_id")
     )
+    own = [c for c in open_members.columns if c not in ("band", "head", "main")]
     left = open_members.where("component <> main").select(
-        "band", "main", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "component", "bands", "sketch")]
-    )
-    right = open_members.select(
-        "band", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "component", "bands", "sketch")]
+        "band", "main", *[F.col(c).alias(f"{c}_a") for c in own]
     )
+    right = open_members.select("band", *[F.col(c).alias(f"{c}_b") for c in own])
     pairs = left.join(
         right,
         (left.band == right.band)
         & (F.col("component_a") != F.col("component_b"))
         & ((F.col("component_b") == F.col("main")) | (F.col("doc_id_a") < F.col("doc_id_b")))
-        & _sketches_allow("sketch_a", "sketch_b")
+        & _sketches_allow()
         # Band keys differ from band to band: each pair once, at its first.
         & (F.array_intersect("bands_a", "bands_b")[0] == left.band),
     )
@@ -221,7 +245,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         named.join(classes, "set_id")
         .where("doc_id = rep")
         .dropDuplicates(["doc_id", "set_id"])
-        .select("doc_id", "bands", "sketch")
+        .select("doc_id", "n_shingles", "bands", "sketch", "flips")
     )
     members = reps.select("doc_id", F.explode("bands").alias("band"))
     heads = members.groupBy("band").agg(
@@ -236,14 +260,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             shared.select("doc_id").distinct(), "doc_id"
         )
     )
-    sketch = reps.select("doc_id", "sketch")
+    sketches = reps.drop("bands")
     stars = (
         shared.where("head < doc_id")
         .select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
         .distinct()
-        .join(sketch.toDF("a", "sketch_a"), "a")
-        .join(sketch.toDF("b", "sketch_b"), "b")
-        .where(_sketches_allow("sketch_a", "sketch_b"))
+        .join(sketches.toDF(*[f"{c}_a" for c in sketches.columns]), F.expr("a = doc_id_a"))
+        .join(sketches.toDF(*[f"{c}_b" for c in sketches.columns]), F.expr("b = doc_id_b"))
+        .where(_sketches_allow())
         .select("a", "b")
     )
     links = _confirmed(stars, texts)

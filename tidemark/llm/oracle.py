@@ -79,6 +79,41 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 from judged
 """
 
+OP8 = r"""
+with d as (
+  select doc_id, source,
+    greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1) as n_tokens
+  from documents
+),
+s as (select source, sum(n_tokens) as tokens from d group by source),
+-- The repetition of the smallest source is (largest / smallest share) ** (1 - exponent).
+a as (
+  select case when max(tokens) <= 2 * min(tokens) then 0.0::double
+    else ceil(round((1 - ln(2.0::double) / ln(max(tokens)::double / min(tokens))) * 10000, 3))
+      / 10000 end as alpha
+  from s
+),
+p as (
+  select source, tokens, pow(tokens::double / (select sum(tokens) from s)::double, alpha) as power
+  from s, a
+),
+w as (
+  select source, tokens, round(power / (select sum(power) from p), 9) as weight,
+    greatest(tokens, round(power * (select max(tokens::double / power) from p))::bigint) as budget
+  from p
+),
+c as (
+  select doc_id, source, n_tokens, weight, budget, tokens, epoch,
+    substr(md5('17|' || doc_id || '|' || text_id), 1, 3) as block,
+    md5('17|' || epoch || '|' || doc_id || '|' || text_id) as draw
+  from (
+    select *, unnest(range(0, ceil(budget::double / tokens::double)::int)) as epoch
+    from d join w using (source)
+  )
+)
+select 1
+"""
+
 SQL: dict[str, str] = {
     "op6_rule_ledger": OP6,
     "op9_decontaminate": OP9,
