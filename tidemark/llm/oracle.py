@@ -81,7 +81,7 @@ from judged
 
 OP8 = r"""
 with d as (
-  select doc_id, source,
+  select doc_id, md5(text) as text_id, source,
     greatest(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')), 1) as n_tokens
   from documents
 ),
@@ -103,18 +103,36 @@ w as (
   from p
 ),
 c as (
-  select doc_id, source, n_tokens, weight, budget, tokens, epoch,
+  select doc_id, text_id, source, n_tokens, weight, budget, tokens, epoch,
     substr(md5('17|' || doc_id || '|' || text_id), 1, 3) as block,
     md5('17|' || epoch || '|' || doc_id || '|' || text_id) as draw
   from (
     select *, unnest(range(0, ceil(budget::double / tokens::double)::int)) as epoch
     from d join w using (source)
   )
+),
+blocks as (
+  select source, epoch, block, sum(n_tokens) as size, md5('17|' || epoch || '|' || block) as turn
+  from c group by source, epoch, block
+),
+offsets as (
+  select source, epoch, block,
+    sum(size) over (partition by source, epoch order by turn, block) - size as before
+  from blocks
+),
+placed as (
+  select c.*, epoch * tokens + before + sum(n_tokens) over (
+    partition by source, epoch, block order by draw, doc_id, text_id
+    rows between unbounded preceding and current row) as last
+  from c join offsets using (source, epoch, block)
 )
-select 1
+select doc_id, text_id, source, n_tokens, weight, cast(epoch as int) as epoch,
+  round((last - n_tokens)::double / budget::double, 9) as position
+from placed where last <= budget
 """
 
 SQL: dict[str, str] = {
     "op6_rule_ledger": OP6,
+    "op8_source_mix": OP8,
     "op9_decontaminate": OP9,
 }

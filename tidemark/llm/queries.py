@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, pu_quality, rule_ledger, substring_repeats
+from tidemark.llm import decontaminate, pu_quality, rule_ledger, source_mix, substring_repeats
 from tidemark.llm.minmax_dedup import near_duplicates
 from tidemark.llm.oracle import SQL
 
@@ -36,6 +36,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_pu_quality,
         op6_rule_ledger,
         op7_substring_dedup,
+        op8_source_mix,
         op9_decontaminate,
     )
 }

@@ -42,8 +42,8 @@ def tokens(text: Column) -> Column:
 
 def _draw(*parts: Column | str | int) -> Column:
     """A fixed draw for some values, as 32 hexadecimal digits."""
-    text = [F.coalesce(p.cast("string"), F.lit("")) if isinstance(p, Column) else F.lit(str(p)) for p in parts]
-    return F.md5(F.concat_ws("|", *text))
+    given = [part if isinstance(part, Column) else F.lit(str(part)) for part in parts]
+    return F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in given]))
 
 
 def documents_of(docs: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def documents_of(docs: DataFrame) -> DataFrame:
     return (
         docs.select(
             "doc_id",
-            F.xxhash64(text).alias("text_id"),
+            F.coalesce(F.md5(text), F.lit("")).alias("text_id"),
             F.col("source").cast("string").alias("source"),
             tokens(text).alias("n_tokens"),
         )
