@@ -7,7 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, pu_quality, rule_ledger, source_mix, substring_repeats
+from tidemark.llm import (
+    chat_render,
+    decontaminate,
+    pu_quality,
+    rule_ledger,
+    source_mix,
+    substring_repeats,
+    url_filter,
+)
+from tidemark.llm.balanced_shards import balanced_shards
+from tidemark.llm.html_text import extract_text
 from tidemark.llm.minmax_dedup import near_duplicates
 from tidemark.llm.oracle import SQL
 
@@ -16,10 +26,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_filter.filter_urls(pages, url_filter.train(pages)).select(
+        "page_id", "host", "path", "rule", "verdict", "score"
+    )
+
+
 def op2_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    cases = chat_render.with_control_case(spark, conversations)
+    return chat_render.read_back(chat_render.turn_spans(cases))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return pu_quality.score(docs, pu_quality.train(docs, _table(spark, sf_dir, "labels")))
@@ -47,16 +74,24 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op10_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(_table(spark, sf_dir, "documents")).drop("text_id")
+
+
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_url_filter,
         op2_minmax_near_dedup,
+        op3_chat_render,
+        op4_html_text,
         op5_pu_quality,
         op6_rule_ledger,
         op7_substring_dedup,
         op8_source_mix,
         op9_decontaminate,
+        op10_balanced_shards,
     )
 }
