@@ -239,8 +239,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     signed = stored(signatures(docs))
     named = signed.where("n_shingles > 0 and doc_id is not null")
-    # One representative for each set; copies are never paired.
-    classes = named.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
+    # One representative for each set; copies are never paired.  What follows is
+    # stored where rows of one key meet again, so that a hot key can be split.
+    classes = stored(named.groupBy("set_id").agg(F.min("doc_id").alias("rep")))
     reps = stored(
         named.join(classes, "set_id")
         .where("doc_id = rep")
@@ -248,13 +249,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("doc_id", "n_shingles", "bands", "sketch", "flips")
     )
     members = reps.select("doc_id", F.explode("bands").alias("band"))
-    heads = members.groupBy("band").agg(
-        F.min("doc_id").alias("head"), F.max("doc_id").alias("last")
+    heads = stored(
+        members.groupBy("band")
+        .agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last"))
+        .where("head < last")
     )
     # Members of buckets that hold more than one document.
-    shared = stored(
-        members.join(heads.where("head < last"), "band").select("band", "doc_id", "head")
-    )
+    shared = stored(members.join(heads, "band").select("band", "doc_id", "head"))
     texts = stored(
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
             shared.select("doc_id").distinct(), "doc_id"

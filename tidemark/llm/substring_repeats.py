@@ -114,15 +114,21 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """Documents that can be named.  All joins with texts take this one frame, so
+    that their shuffle is planned once and reused."""
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return texts.where("doc_id is not null")
+
+
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """``doc_id, places``: the packed windows of each document that also start in
     a document with a smaller id (documents without any are absent)."""
     prepare(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(
-        "doc_id is not null"
-    )
+    texts = _texts(docs)
     runs = texts.mapInArrow(_seeds, "anchor long, form long, doc_id long, place long")
-    shared = (
+    # Stored, so that a hot anchor's runs can be split in the join.
+    shared = stored(
         runs.groupBy("anchor")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last")
@@ -131,16 +137,16 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     met = stored(runs.join(shared, "anchor"))
     forms = stored(met.groupBy("anchor", "form").agg(F.min("doc_id").alias("first")))
     several = forms.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    owners = (
-        met.join(forms.join(several, "anchor"), ["anchor", "form"])
+    owners = stored(
+        met.join(stored(forms.join(several, "anchor").drop("n")), ["anchor", "form"])
         .where("doc_id = first")
         .groupBy("doc_id")
         .agg(F.collect_set("place").alias("places"))
     )
+    # Not stored: computing these twice costs less than keeping them.
     windows = texts.join(owners, "doc_id").mapInArrow(
         _windows, "high long, low long, doc_id long, place long"
     )
-    windows = stored(windows)
     earliest = (
         windows.groupBy("high", "low")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -209,16 +215,17 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     cuts nothing.  Rows that share an id are one document: they do not cut each
     other.  No rows give no rows.
     """
-    cuts = repeated_windows(docs)
-    return (
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .join(cuts, "doc_id", "left")
-        .mapInArrow(
-            _cut,
-            "doc_id long, n_words long, n_removed long, kept_text string, "
-            "repeats array<struct<start: long, end: long>>",
-        )
+    schema = (
+        "doc_id long, n_words long, n_removed long, kept_text string, "
+        "repeats array<struct<start: long, end: long>>"
+    )
+    named = _texts(docs).join(repeated_windows(docs), "doc_id", "left")
+    nameless = docs.where("doc_id is null").select(
+        F.lit(None).cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        F.lit(None).cast("array<long>").alias("places"),
     )
+    return named.mapInArrow(_cut, schema).union(nameless.mapInArrow(_cut, schema))
 
 
 def digest(cut: DataFrame) -> DataFrame:
