@@ -66,7 +66,7 @@ def phrase_matches(index: DataFrame, phrase: list[str]) -> DataFrame:
         own = index.where(F.col("term") == term)
         for offset in (i for i, word in enumerate(phrase) if word == term):
             starts = own.select(
-                "doc_id", F.transform("positions", lambda p, o=offset: p - o).alias("here")
+                "doc_id", F.expr(f"transform(positions, p -> p - {offset})").alias("here")
             )
             if found is None:
                 found = starts.withColumnRenamed("here", "starts")
@@ -258,3 +258,13 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that no window occurs in."""
+    found = contamination(docs, benchmark, limit).where("contaminated")
+    found = found.select(F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text")).distinct()
+    own_text = F.xxhash64(docs["text"].cast("string"))
+    return docs.join(
+        found, docs["doc_id"].eqNullSafe(found["_doc"]) & (own_text == found["_text"]), "left_anti"
+    )

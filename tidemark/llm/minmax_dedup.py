@@ -299,3 +299,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def first_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without the near copies of a
+    document with a smaller id."""
+    copies = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_doc"))
+    copies = copies.distinct()
+    return docs.join(copies, docs["doc_id"].cast("long") == copies["_doc"], "left_anti")

@@ -268,6 +268,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     return fit(table("trusted"), table("any"))
 
 
+def _scores(texts: pa.Array, model: Model | None) -> np.ndarray:
+    rows = np.array([features(t.as_py()) for t in texts]).reshape(-1, len(FEATURES))
+    value = model.score(rows) if model else np.full(len(rows), 0.5)
+    return np.where(rows[:, 0] > 0, value, 0.0)
+
+
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``
     (``doc_id``, ``text``; other columns do not matter).
@@ -279,11 +285,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([features(t.as_py()) for t in batch["text"]]).reshape(
-                -1, len(FEATURES)
-            )
-            value = model.score(rows) if model else np.full(len(rows), 0.5)
-            value = np.where(rows[:, 0] > 0, value, 0.0)
+            value = _scores(batch["text"], model)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(value, pa.float64())], names=["doc_id", "score"]
             )
@@ -297,3 +299,16 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are predicted 1: one pass
+    over the documents and no join."""
+    prepare(docs.sparkSession)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = _scores(batch["text"], model)
+            yield batch.filter(pa.array(value >= THRESHOLD))
+
+    return docs.mapInArrow(good, docs.schema)

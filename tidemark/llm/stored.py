@@ -8,19 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 ARROW_ROWS = 512
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Make ``checkpoint`` usable and keep Arrow batches small.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; where that is
+    unset (tests), one below the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared").rstrip("/")
 
-    The cluster names the checkpoint folder in ``spark.checkpoint.dir``; where
-    it is unset (tests), a folder below the warehouse serves.
-    """
+
+def prepare(spark: SparkSession) -> None:
+    """Make ``checkpoint`` usable and keep Arrow batches small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        context.setCheckpointDir(folder or f"{warehouse.rstrip('/')}/checkpoints")
-    return spark
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def stored(df: DataFrame) -> DataFrame:
