@@ -87,19 +87,26 @@ def granted(
 def _round(linked: DataFrame, turn: int, quota: list[int]) -> DataFrame:
     """One step of label propagation over ``doc_id, text_id, shard``."""
     shards = len(quota)
-    room = max(1, min(quota))
+    load = [0] * shards
+    for shard, n in linked.groupBy("shard").count().collect():
+        load[shard] = n
+    room = F.array(*[F.lit(max(0, q - n)).cast("long") for q, n in zip(quota, load, strict=True)])
     cells = linked.groupBy("text_id", "shard").agg(F.count(F.lit(1)).alias("n"))
+    # Best where the whole text fits, then where most of it is; at most one cell
+    # for each shard.
     homes = (
-        # At most one cell for each shard.
-        cells.groupBy("text_id")
+        cells.withColumn("room", F.element_at(room, F.col("shard") + 1))
+        .groupBy("text_id")
         .agg(
-            F.sort_array(F.collect_list(F.struct("n", -F.col("shard"))), asc=False).alias("cells"),
             F.sum("n").alias("copies"),
+            F.collect_list(F.struct("n", F.col("shard").alias("at"), "room")).alias("cells"),
         )
         .select(
             "text_id",
             F.expr(
-                f"transform(slice(cells, 1, cast(ceil(copies / {room}) as int)), c -> -c.col2)"
+                f"""transform(slice(sort_array(transform(cells,
+                      c -> struct(copies - c.n <= c.room as fits, c.n as n, -c.at as rank)), false),
+                    1, cast(ceil(copies / {max(1, min(quota))}) as int)), c -> -c.rank)"""
             ).alias("homes"),
         )
     )
@@ -111,9 +118,6 @@ def _round(linked: DataFrame, turn: int, quota: list[int]) -> DataFrame:
         ).drop("homes")
     )
     counts = wished.groupBy("shard", "wish").agg(F.count(F.lit(1))).collect()
-    load = [0] * shards
-    for shard, _, n in counts:
-        load[shard] += n
     share = granted({(s, w): n for s, w, n in counts if s != w}, load, quota)
     # A number for each pair of shards, looked up by place.
     table = F.array(
