@@ -35,7 +35,7 @@ def test_job_arguments():
         as_date("yesterday")
 
 
-def test_window_defaults_are_evaluated_per_call():
+def test_window_defaults_are_evaluated_per_call(spark):
     start, end = window(None, None)
     assert end - start == dt.timedelta(days=1)
     assert window("2021-01-01", "2024-03-15 10:00:00") == (

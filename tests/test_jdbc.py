@@ -1,6 +1,9 @@
 """JDBC settings.  No database is opened here: what is sent to Spark is checked."""
 
+import argparse
+
 from tidemark import COURSES, JdbcSource
+from tidemark.__main__ import source_of
 from tidemark.plans.courses import LESSON_VIEW
 from tidemark.sources import Slices
 from tidemark.sources.jdbc import replace_options
@@ -45,3 +48,17 @@ def test_replace_keeps_the_table_definition():
         "truncate": "true",
         "numPartitions": "4",
     }
+
+
+def test_command_line_reads_a_database(spark):
+    args = argparse.Namespace(
+        source=None,
+        jdbc_url=URL,
+        jdbc_property=["driver=org.postgresql.Driver", "password=a=b"],
+        jdbc_slices=["stream_module_lesson:id:0:1000:8"],
+        jdbc_view=[LESSON_VIEW],
+    )
+    source = source_of(spark, args)
+    options = source.options("stream_module_lesson")
+    assert (options["url"], options["password"], options["numPartitions"]) == (URL, "a=b", "8")
+    assert source.provides(LESSON_VIEW) and source.provides("course")

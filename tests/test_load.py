@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark import COURSES, ConstraintError, FrameSource, Warehouse, load, run
 from tidemark.operators import star_join
 from tidemark.plans.files import names_in
+from tidemark.plans.warehouse import shift_for
 from tidemark.sources import inline_rows
 from tidemark.sources.sample import sample_tables
 
@@ -23,7 +24,7 @@ def sample(spark, as_of):
 
 @pytest.fixture
 def warehouse(spark, new_root):
-    return Warehouse.create(spark, new_root(), COURSES, bucket_width=4)
+    return Warehouse.create(spark, new_root(), COURSES, bucket_rows=4)
 
 
 @pytest.fixture
@@ -123,16 +124,86 @@ def test_missing_warehouse(spark, new_root):
 
 def test_recreate_empties_every_table(sample, warehouse, as_of, content):
     run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
-    again = Warehouse.create(warehouse.spark, warehouse.root, COURSES, bucket_width=4)
+    again = Warehouse.create(warehouse.spark, warehouse.root, COURSES, bucket_rows=4)
     assert content(again) == dict.fromkeys(TABLES, [])
     run(COURSES, FrameSource(sample), again, "2021-01-01", as_of)
     assert again.table("f_lesson").count() == 12
 
 
-def test_sparse_keys_are_refused_not_spread(spark, sample, warehouse, as_of, monkeypatch):
-    monkeypatch.setattr("tidemark.plans.warehouse.MAX_BUCKETS_TOUCHED", 2)
-    with pytest.raises(ValueError, match="sparse"):
-        run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
+def test_of_two_publishers_the_loser_leaves_only_its_stage(spark, sample, warehouse, as_of):
+    late = warehouse.begin()
+    run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
+    with pytest.raises(FileExistsError):
+        late.publish()
+    assert all(n.endswith(".json") for n in names_in(spark, f"{warehouse.root}/versions"))
+
+
+def test_a_failed_load_leaves_only_its_stage(spark, sample, warehouse, as_of, caplog):
+    source = breaking_sources(spark, sample, as_of)["unknown keys"]
+    with caplog.at_level("INFO", logger="tidemark.plans.pipeline"), pytest.raises(ConstraintError):
+        run(COURSES, source, warehouse, "2021-01-01", as_of)
+    assert all(
+        not names_in(spark, f"{warehouse.root}/tables/{name}") for name in TABLES
+    )
+    assert len(names_in(spark, f"{warehouse.root}/versions")) == 1
+    assert names_in(spark, f"{warehouse.root}/stage/f_lesson_stage")
+    # What was extracted is told for every entity, also after the failing one.
+    assert [m for m in caplog.messages if "extracted lesson rows: 12" in m]
+
+
+# -- layouts ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "rows, low, high, bucket_rows, shift",
+    [
+        (1, 5, 5, 4, 2),
+        (12, 1, 12, 4, 2),
+        (1_000_000, 0, 999_999, 1 << 10, 10),
+        (100_000, -(2**63), 2**63 - 1, 1 << 21, 63),
+        (1 << 24, -(2**63), 2**63 - 1, 1 << 20, 60),
+        (10, 0, 10**6, 1, 17),
+    ],
+)
+def test_shift_follows_the_rows(rows, low, high, bucket_rows, shift):
+    found = shift_for(rows, low, high, bucket_rows)
+    assert found == shift
+    assert (high >> found) - (low >> found) + 1 <= 2 * max(1, -(-rows // bucket_rows)) + 1
+
+
+def keyed(spark, keys, title):
+    """Frames with courses of these keys only."""
+    frames = {
+        e.name: inline_rows(spark, e.target.schema, []).toDF(*e.target.staged_columns)
+        for e in COURSES.entities
+    }
+    course = COURSES.targets["d_course"]
+    rows = [(key, title) + (None,) * (len(course.columns) - 2) for key in keys]
+    return frames | {"course": inline_rows(spark, course.schema, rows)}
+
+
+def test_sparse_keys_load(spark, warehouse):
+    """Keys from end to end of their type, then others and some again."""
+    low, high = -(2**31), 2**31 - 1
+    first = [low, low + 1, -1, 0, 1, high] + list(range(-(2**31) + 77, 2**31, 2**24 + 3))
+    load(COURSES, keyed(spark, first, "old"), warehouse)
+    again = first[::3] + list(range(5, 2**31, 2**25))
+    assert load(COURSES, keyed(spark, again, "new"), warehouse).affected["course"] == len(again)
+    found = {r.course_id: r.title for r in warehouse.table("d_course").collect()}
+    assert found == dict.fromkeys(first, "old") | dict.fromkeys(again, "new")
+    assert len(warehouse.placement()["d_course"]) <= (len(found) // 4) * 2
+
+
+def test_a_table_that_outgrows_its_shift_is_laid_out_anew(spark, warehouse):
+    shifts, expected = [], {}
+    for keys in ([1, 2, 3], range(0, 4000, 100), range(0, 40), [10**9, 2 * 10**9]):
+        load(COURSES, keyed(spark, keys, f"t{len(shifts)}"), warehouse)
+        expected |= dict.fromkeys(keys, f"t{len(shifts)}")
+        shifts.append(warehouse._manifest(warehouse.version())[1]["d_course"].shift)
+        found = {r.course_id: r.title for r in warehouse.table("d_course").collect()}
+        assert found == expected
+        assert len(warehouse.placement()["d_course"]) <= len(expected)
+    assert len(set(shifts)) > 2
 
 
 # -- odd rows ---------------------------------------------------------------
@@ -230,9 +301,9 @@ def test_only_stale_buckets_are_rewritten(spark, sample, warehouse, as_of):
     moved = changed(
         sample, "course", "id = 2", title=F.lit("JVM"), updated_at=F.lit(as_of + HOUR)
     )
-    before = warehouse._manifest(warehouse.version())[1]
+    before = warehouse.placement()
     run(COURSES, FrameSource(moved), warehouse, as_of=as_of + DAY)
-    after = warehouse._manifest(warehouse.version())[1]
+    after = warehouse.placement()
     rewritten = {
         name: {b for b in after[name] if after[name][b] != before[name].get(b)} for name in TABLES
     }
@@ -251,9 +322,9 @@ def test_a_change_the_mart_does_not_show_leaves_it_alone(sample, warehouse, as_o
     moved = changed(
         sample, "course", "id = 2", icon_url=F.lit("i"), updated_at=F.lit(as_of + HOUR)
     )
-    before = warehouse._manifest(warehouse.version())[1]
+    before = warehouse.placement()
     run(COURSES, FrameSource(moved), warehouse, as_of=as_of + DAY)
-    after = warehouse._manifest(warehouse.version())[1]
+    after = warehouse.placement()
     assert after["lesson_stream_dm"] == before["lesson_stream_dm"]
     assert after["d_course"] != before["d_course"]
 

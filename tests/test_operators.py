@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,14 +19,16 @@ from tidemark.operators import (
     insert_update_split,
     key_violations,
     map_by_position,
-    payload_bytes,
+    profile,
     prune,
     reference_violations,
     rename_key,
     text_violations,
     upsert,
+    value_bytes,
 )
 from tidemark.plans.courses import D_COURSE, F_LESSON, LESSON_VIEW
+from tidemark.plans.extract import window
 from tidemark.sources import inline_rows, read
 from tidemark.sources.sample import sample_tables
 from tidemark.specs import Entity, Model, Reference, TargetSpec, columns
@@ -208,10 +211,29 @@ def test_broadcast_limit(spark, text, limit):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_payload_bytes(spark):
+def test_value_bytes(spark):
     df = inline_rows(spark, columns("a int, t string"), [(1, "abc"), (2, None), (3, "äö")])
-    assert payload_bytes(df).first()[0] == 3 * 8 + 3 + 4
-    assert payload_bytes(df.limit(0)).first()[0] == 0
+    assert df.agg(F.sum(value_bytes(df, ["a", "t"]))).first()[0] == 3 * 8 + 3 + 4
+    assert df.agg(F.sum(value_bytes(df, ["t"]))).first()[0] == 3 + 4
+
+
+def test_profile_of_a_batch(spark):
+    spec = TargetSpec("t", columns("id bigint, t string"), "id", text_limits={"t": 2})
+    rows = [(-9, "a"), (-1, "abc"), (0, None), (7, "b"), (7, "ab   "), (None, "c"), (2**63 - 1, "")]
+    batch = inline_rows(spark, spec.schema, rows)
+    found = profile(batch, spec, F.shiftright("id", 3), ["id"])
+    assert (found.rows, found.low, found.high, found.bytes) == (7, -9, 2**63 - 1, 56)
+    assert found.broken == {"null_keys": 1, "duplicate_keys": 1, "t_too_long": 1}
+    assert found.buckets == {-2: 1, -1: 1, 0: 3, 2**60 - 1: 1}
+    assert profile(batch.limit(0), spec, F.shiftright("id", 3), ["id"]).rows == 0
+
+
+def test_detail_and_ancestors_may_share_names(spark):
+    detail = inline_rows(spark, columns("id int, up int, updated_at int"), [(1, 5, 10), (2, 6, 20)])
+    parents = inline_rows(spark, columns("up int, updated_at int, name string"), [(5, 99, "p")])
+    found = denormalise(detail, parents, "up")
+    assert found.columns == ["id", "up", "updated_at", "name"]
+    assert [tuple(r) for r in found.collect()] == [(1, 5, 10, "p")]
 
 
 def test_combine_counts(spark):
@@ -260,3 +282,20 @@ def test_load_order_follows_references():
     model = Model({}, {}, (Entity("t", "t", loop),), COURSES.mart)
     with pytest.raises(ValueError, match="circular"):
         model.load_order()
+
+
+@pytest.mark.parametrize("zone, hours", [("Pacific/Kiritimati", 14), ("Pacific/Pago_Pago", -11)])
+def test_today_is_the_sessions_and_not_the_machines(spark, monkeypatch, zone, hours):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        there = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=hours)
+        start, end = window(None, None)
+        assert abs((end - there.date()).days) == 0 or there.hour in (0, 23)
+        assert start == end - dt.timedelta(days=1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        monkeypatch.undo()
+        time.tzset()

@@ -7,11 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import COURSES, FrameSource, ParquetSource, Warehouse, extract, run
-from tidemark.operators import reference_violations
+from tidemark.operators import conform, insert_update_split, profile, reference_violations
 from tidemark.plans.files import names_in
 from tidemark.sources.sample import create_source
 from workload import queries as q
-from workload.model import LINE_KEY, LINES, source, table
+from workload.model import D_ORDER, LINE_KEY, LINES, source, source_tables, table
 
 SF_DIR = "/root/testdata/sf0.01"
 # These run jobs when called; their result is a plain scan.
@@ -48,6 +48,19 @@ def no_broadcast(spark):
     )
 
 
+def profiled(load, name, batch):
+    """A batch's profile and its table's shift, as a load has them."""
+    spec = LINES.targets[name]
+    keys = batch.select(spec.key)
+    shift = load.lay_out(name, *load.extents({name: keys})[name])
+    found = profile(batch, spec, load.bucket_of(F.col(spec.key), shift), [spec.key])
+    return found, shift
+
+
+def put(load, name, batch):
+    load.upsert(name, batch, *profiled(load, name, batch))
+
+
 def test_window_reaches_the_scan(spark):
     pushed = re.search(r"PushedFilters: (.*)", formatted(q.extract_window_orders(spark, SF_DIR)))
     assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in pushed[1]
@@ -154,43 +167,46 @@ def test_hot_parent_is_split_among_tasks(spark, rows):
 def test_hot_bucket_is_written_by_several_tasks(spark, new_root):
     """All keys of the load fall into one bucket; its rows are split."""
     warehouse = Warehouse.create(spark, new_root(), LINES)
+    tables = source_tables(spark, SF_DIR)
+    # As many tasks read a large source.
+    tables["orders"] = tables["orders"].repartition(8)
     with settings(
         spark,
         spark__sql__adaptive__advisoryPartitionSizeInBytes=50_000,
         spark__sql__adaptive__coalescePartitions__minPartitionSize=50_000,
     ):
-        run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
-    placement = warehouse._manifest(warehouse.version())[1]["d_order"]
+        run(LINES, FrameSource(tables), warehouse, "1995-01-01", "2002-01-01")
+    placement = warehouse.placement()["d_order"]
     assert list(placement) == [0]
-    files = names_in(spark, f"{warehouse.root}/tables/d_order/{placement[0]}/key_bucket=0")
+    files = names_in(spark, f"{warehouse.root}/tables/d_order/run={placement[0]}/key_bucket=0")
     assert len([f for f in files if f.endswith(".parquet")]) > 2
     assert warehouse.table("d_order").count() == table(spark, SF_DIR, "orders").count()
 
 
 def test_mart_refresh_needs_no_shuffle_when_dimensions_are_small(spark, new_root):
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_width=20_000)
+    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=4000)
     run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
     load = warehouse.begin()
-    rows, clustered = load._mart_rows(load._after["f_line"])
+    rows, clustered = load._mart_rows(load._after["f_line"].placement)
     assert clustered and not re.search(r"Exchange hashpartitioning", plan_of(rows))
-    placement = warehouse._manifest(warehouse.version())[1]
+    placement = warehouse.placement()
     assert len(placement["line_dm"]) == len(placement["f_line"]) > 4
     with no_broadcast(spark):
-        shuffled, clustered = load._mart_rows(load._after["f_line"])
+        shuffled, clustered = load._mart_rows(load._after["f_line"].placement)
         assert not clustered
         assert shuffled.count() == rows.count()
 
 
 def test_only_touched_buckets_are_read_and_written(spark, new_root):
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_width=1000)
+    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=1000)
     tables = source(spark, SF_DIR)
     run(LINES, tables, warehouse, "1995-01-01", "2002-01-01")
-    before = warehouse._manifest(warehouse.version())[1]["d_order"]
+    before = warehouse.placement()["d_order"]
     load = warehouse.begin()
     batch = warehouse.table("d_order").where("order_id between 3500 and 4499")
-    load.upsert("d_order", batch.withColumn("o_totalprice", F.lit(0.0)))
+    put(load, "d_order", batch.withColumn("o_totalprice", F.lit(0.0)))
     load.publish()
-    after = warehouse._manifest(warehouse.version())[1]["d_order"]
+    after = warehouse.placement()["d_order"]
     assert {b for b in after if after[b] != before[b]} == {3, 4}
     found = warehouse.table("d_order")
     assert found.where("o_totalprice = 0").count() == 1000
@@ -199,27 +215,126 @@ def test_only_touched_buckets_are_read_and_written(spark, new_root):
 
 def test_upsert_shuffles_a_small_batch_only(spark, new_root, rows, monkeypatch):
     """Three ways to write the same rows: broadcast keys, many files, large batch."""
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_width=4000)
+    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=4000)
     run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
     old = warehouse.table("d_order")
     batch = old.where("o_orderstatus = 'P'").withColumn("o_totalprice", F.lit(0.0))
     batch = batch.unionByName(batch.withColumn("order_id", F.col("order_id") + 14_000).limit(100))
     batch = warehouse.begin().store("batch", batch.dropDuplicates(["order_id"]))
     load = warehouse.begin()
-    touched = load._buckets_in(batch, "d_order")
-    narrow = load._upserted("d_order", batch, touched)
+    found, shift = profiled(load, "d_order", batch)
+    load._touched["d_order"] = set(found.buckets)
+    wanted = ("d_order", batch, found, shift, False)
+    narrow, appended = load._upserted(*wanted)
     plan = plan_of(narrow)
     assert plan.count("Exchange hashpartitioning") == 1 and "LeftAnti, BuildRight" in plan
-    with monkeypatch.context() as patch:
-        patch.setattr("tidemark.plans.warehouse.MAX_FILES_PER_BUCKET", 0)
-        merged = load._upserted("d_order", batch, touched)
+    assert appended == 1
+    load._settings["appends_per_bucket"] = 0
+    merged, appended = load._upserted(*wanted)
+    assert appended == 0
     with no_broadcast(spark):
-        large = load._upserted("d_order", batch, touched)
+        large, _ = load._upserted(*wanted)
         assert plan_of(large).count("Exchange hashpartitioning") == 3
         expected = rows(large)
     assert rows(narrow) == rows(merged) == expected
-    load.upsert("d_order", batch)
+    put(load, "d_order", batch)
     load.publish()
     changed = warehouse.table("d_order")
     assert rows(changed.where("o_totalprice = 0")) == rows(batch)
     assert rows(changed) == [r[:-1] for r in expected]
+
+
+def test_a_staged_batch_is_not_shuffled_again(spark, new_root):
+    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=1000)
+    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
+    load = warehouse.begin()
+    batch = conform(load.stage("d_order", warehouse.table("d_order").limit(500)), D_ORDER)
+    found, shift = profiled(load, "d_order", batch)
+    load._touched["d_order"] = set(found.buckets)
+    plan = plan_of(load._upserted("d_order", batch, found, shift, False)[0])
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_reference_check_counts_the_child_once(spark):
+    """Both uses of the counted references are one exchange."""
+    with no_broadcast(spark):
+        found = q.fk_violations_orders(spark, SF_DIR)
+        found.collect()
+        plan = plan_of(found).split("Initial Plan")[0]
+    assert "ReusedExchange" in plan
+    assert len(re.findall(r"FileScan parquet \[o_custkey", plan)) == 1
+
+
+def test_split_narrows_the_target_to_the_batch(spark):
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold=200_000,
+        spark__sql__adaptive__autoBroadcastJoinThreshold=200_000,
+    ):
+        orders = table(spark, SF_DIR, "orders")
+        batch = spark.range(5).select(F.col("id").alias("o_orderkey"))
+        plan = plan_of(insert_update_split(orders, batch, ["o_orderkey"]))
+    assert "LeftSemi, BuildRight" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_stale_facts_are_found_in_one_pass_or_none(spark, new_root, monkeypatch):
+    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=1000)
+    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
+    reads = []
+    own = Warehouse._read
+
+    def counted(self, name, *args, **options):
+        reads.append(name)
+        return own(self, name, *args, **options)
+
+    def stale(**changes):
+        load = warehouse.begin()
+        for name, column in changes.items():
+            batch = warehouse.table(name).where("n_name is not null" if name == "d_nation" else "customer_id = 7")
+            if column:
+                batch = batch.withColumn(column, F.concat(column, F.lit("+")))
+            put(load, name, load.store(f"{name}_batch", batch))
+        reads.clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(Warehouse, "_read", counted)
+            found = load._stale_buckets()
+        return found, reads.count("f_line")
+
+    found, passes = stale(d_customer="c_name", d_nation="n_name")
+    assert passes == 1 and found == set(warehouse.placement()["line_dm"])
+    # Nothing that shows has changed: no fact is read.
+    assert stale(d_customer="c_mktsegment", d_nation=None) == (set(), 0)
+
+
+def test_what_an_increment_rewrites_is_bounded_by_the_buckets_it_touches(spark, new_root):
+    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=500)
+    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
+    total = len(warehouse.placement()["d_order"])
+
+    def rewritten(where):
+        load = warehouse.begin()
+        batch = warehouse.table("d_order").where(where).withColumn("o_totalprice", F.lit(1.0))
+        before = warehouse.placement()["d_order"]
+        put(load, "d_order", load.store("batch", batch))
+        after = load._after["d_order"].placement
+        held = warehouse._read("d_order", {b: r for b, r in after.items() if before.get(b) != r})
+        return sum(after[b] != before[b] for b in after), held.count(), held.inputFiles()
+
+    clustered, rows, files = rewritten("order_id between 5000 and 5029")
+    assert clustered <= 2 and rows <= 2 * 1024 and len(files) <= 4
+    # One key in each bucket rewrites the table: the price of updates that do not
+    # follow the key.
+    scattered, rows, _ = rewritten("order_id % 512 = 3")
+    assert scattered == total and rows == 15_000
+
+
+def test_a_load_runs_few_jobs(spark, new_root):
+    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=1000)
+    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
+    spark.sparkContext.setJobGroup("increment", "a small increment")
+    try:
+        q.small_increment(spark, SF_DIR, warehouse)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("increment")
+    assert 0 < len(jobs) <= 60

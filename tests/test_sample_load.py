@@ -29,7 +29,7 @@ def source(spark, as_of):
 
 @pytest.fixture
 def warehouse(spark, new_root):
-    return Warehouse.create(spark, new_root(), COURSES, bucket_width=5)
+    return Warehouse.create(spark, new_root(), COURSES, bucket_rows=5)
 
 
 def test_extract_counts(spark, source, as_of):

@@ -6,14 +6,30 @@ from __future__ import annotations
 import argparse
 import logging
 
+from pyspark.sql import SparkSession
+
 from tidemark.plans.courses import COURSES
 from tidemark.plans.pipeline import run
-from tidemark.plans.warehouse import DEFAULT_BUCKET_WIDTH, Warehouse
+from tidemark.plans.warehouse import DEFAULT_BUCKET_ROWS, Warehouse
 from tidemark.session import build_session
-from tidemark.sources import ParquetSource
+from tidemark.sources import JdbcSource, ParquetSource, Slices, Source
 from tidemark.sources.sample import create_source
 
 
+def source_of(spark: SparkSession, args: argparse.Namespace) -> Source:
+    """The source that the arguments name."""
+    if args.source:
+        return ParquetSource(spark, args.source, COURSES.sources)
+    properties = dict(text.split("=", 1) for text in args.jdbc_property)
+    slices = {}
+    for text in args.jdbc_slices:
+        table, column, lower, upper, count = text.split(":")
+        slices[table] = Slices(column, lower, upper, int(count))
+    return JdbcSource(
+        spark, args.jdbc_url, COURSES.sources, properties, slices, frozenset(args.jdbc_view)
+    )
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -24,23 +40,49 @@ def main(argv: list[str] | None = None) -> None:
 
     create = commands.add_parser("create", help="(re)create the warehouse tables, empty")
     create.add_argument("--warehouse", required=True)
-    create.add_argument("--bucket-width", type=int, default=DEFAULT_BUCKET_WIDTH)
+    create.add_argument("--bucket-rows", type=int, default=DEFAULT_BUCKET_ROWS)
 
     load = commands.add_parser("load", help="load the days [date, as-of)")
-    load.add_argument("--source", required=True)
+    where = load.add_mutually_exclusive_group(required=True)
+    where.add_argument("--source", help="folder of parquet tables")
+    where.add_argument("--jdbc-url", help="database with the tables, instead of a folder")
+    load.add_argument(
+        "--jdbc-property",
+        action="append",
+        default=[],
+        metavar="NAME=VALUE",
+        help="for the connection: driver, user, password, ...; may be repeated",
+    )
+    load.add_argument(
+        "--jdbc-slices",
+        action="append",
+        default=[],
+        metavar="TABLE:COLUMN:LOW:HIGH:COUNT",
+        help="read a large table in parallel; without it, by one task",
+    )
+    load.add_argument(
+        "--jdbc-view", action="append", default=[], help="a view the database joins itself"
+    )
     load.add_argument("--warehouse", required=True)
     load.add_argument("--date", help="first day to load (default: the day before as-of)")
     load.add_argument("--as-of", help="day after the last to load (default: today)")
 
+    clean = commands.add_parser("clean", help="delete old versions, stages and failed loads")
+    clean.add_argument("--warehouse", required=True)
+    clean.add_argument("--keep-versions", type=int, default=2)
+
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     spark = build_session("tidemark")
     if args.command == "sample":
         create_source(spark, args.source, args.as_of)
     elif args.command == "create":
-        Warehouse.create(spark, args.warehouse, COURSES, args.bucket_width)
+        Warehouse.create(spark, args.warehouse, COURSES, args.bucket_rows)
+    elif args.command == "clean":
+        warehouse = Warehouse(spark, args.warehouse, COURSES)
+        print("\n".join(warehouse.drop_unreferenced(args.keep_versions)))
     else:
-        source = ParquetSource(spark, args.source, COURSES.sources)
+        source = source_of(spark, args)
         result = run(
             COURSES, source, Warehouse(spark, args.warehouse, COURSES), args.date, args.as_of
         )

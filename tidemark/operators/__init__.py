@@ -2,14 +2,16 @@
 
 from tidemark.operators.checks import (
     ConstraintError,
+    Profile,
     batch_profile,
     key_violations,
+    profile,
     reference_violations,
     require_known_parents,
     require_valid_batch,
     text_violations,
 )
-from tidemark.operators.joins import broadcast_limit, denormalise, payload_bytes, star_join
+from tidemark.operators.joins import broadcast_limit, denormalise, star_join, value_bytes
 from tidemark.operators.shape import conform, map_by_position, prune, rename_key, transform
 from tidemark.operators.upsert import (
     affected_rows,
@@ -22,6 +24,7 @@ from tidemark.operators.window import changed_between
 
 __all__ = [
     "ConstraintError",
+    "Profile",
     "affected_rows",
     "batch_profile",
     "broadcast_limit",
@@ -32,7 +35,7 @@ __all__ = [
     "insert_update_split",
     "key_violations",
     "map_by_position",
-    "payload_bytes",
+    "profile",
     "prune",
     "reference_violations",
     "rename_key",
@@ -43,4 +46,5 @@ __all__ = [
     "text_violations",
     "transform",
     "upsert",
+    "value_bytes",
 ]

@@ -7,12 +7,14 @@ third of the rows crosses the network as one partial count per task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import exceeds
+from tidemark.operators.joins import value_bytes
 from tidemark.specs import TargetSpec
 
 
@@ -37,14 +39,32 @@ def reference_violations(
     the parent is narrowed to the referenced keys: against a small batch that
     is a broadcast join, and a large parent table is not shuffled.
     """
-    referenced = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("rows"))
+    referenced = _counted_references(child, [column])
+    keys = parent.select(F.lit(column).alias("column"), F.col(parent_key).alias("value"))
+    return _unknown(referenced, keys).select(F.col("value").alias(column), "rows")
+
+
+def _counted_references(child: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, value, rows`` of all references in one pass over ``child``."""
+    if len(columns) == 1:
+        named = child.select(F.lit(columns[0]).alias("column"), F.col(columns[0]).alias("value"))
+    else:
+        pairs = [
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("value"))
+            for c in columns
+        ]
+        named = child.select(F.inline(F.array(*pairs)))
+    return named.where("value is not null").groupBy("column", "value").agg(
+        F.count(F.lit(1)).alias("rows")
     )
-    keys = parent.select(F.col(parent_key).alias(column))
-    known = keys.join(referenced.select(column), column, "left_semi")
-    return referenced.join(known, column, "left_anti")
+
+
+def _unknown(referenced: DataFrame, keys: DataFrame) -> DataFrame:
+    """Referenced values that are no keys.  Both uses of ``referenced`` are the
+    same aggregate, so its shuffle is planned once."""
+    used = referenced.where("rows > 0")
+    known = keys.join(used, ["column", "value"], "left_semi")
+    return used.join(known, ["column", "value"], "left_anti")
 
 
 def text_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
@@ -72,6 +92,54 @@ def batch_profile(
     )
 
 
+@dataclass(frozen=True)
+class Profile:
+    """What one pass over a batch tells: its size and key range, the rules its
+    rows break, and its rows by bucket."""
+
+    rows: int = 0
+    bytes: int = 0
+    low: int | None = None
+    high: int | None = None
+    broken: Mapping[str, int] = field(default_factory=dict)
+    buckets: Mapping[int, int] = field(default_factory=dict)
+
+
+def profile(
+    batch: DataFrame, spec: TargetSpec, bucket: Column, measured: Sequence[str] = ()
+) -> Profile:
+    """The profile of a batch by one aggregate: rows meet by key, then by
+    ``bucket`` (an expression of the key).  ``bytes`` is the uncompressed size of
+    the ``measured`` columns."""
+    over = {f"{c}_too_long": F.count_if(exceeds(F.col(c), n)) for c, n in spec.text_limits.items()}
+    per_key = batch.groupBy(spec.key).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(value_bytes(batch, measured)).alias("bytes"),
+        *[n.alias(name) for name, n in over.items()],
+    )
+    nothing = F.col(spec.key).isNull()
+    found = per_key.groupBy(bucket.alias("bucket")).agg(
+        F.sum("rows").alias("rows"),
+        F.sum("bytes").alias("bytes"),
+        F.min(F.col(spec.key).cast("bigint")).alias("low"),
+        F.max(F.col(spec.key).cast("bigint")).alias("high"),
+        F.sum(F.when(nothing, F.col("rows")).otherwise(0)).alias("null_keys"),
+        F.count_if((F.col("rows") > 1) & ~nothing).alias("duplicate_keys"),
+        *[F.sum(name).alias(name) for name in over],
+    )
+    parts = [row.asDict() for row in found.collect()]
+    rules = ["null_keys", "duplicate_keys", *over]
+    totals = {rule: sum(part[rule] for part in parts) for rule in rules}
+    return Profile(
+        rows=sum(part["rows"] for part in parts),
+        bytes=sum(part["bytes"] for part in parts),
+        low=min((part["low"] for part in parts if part["low"] is not None), default=None),
+        high=max((part["high"] for part in parts if part["high"] is not None), default=None),
+        broken={rule: n for rule, n in totals.items() if n},
+        buckets={part["bucket"]: part["rows"] for part in parts if part["bucket"] is not None},
+    )
+
+
 # How many offending keys an error message names.
 SAMPLE = 5
 
@@ -80,27 +148,34 @@ def _sample(violations: DataFrame, columns: Sequence[str]) -> list[tuple]:
     return [tuple(r) for r in violations.select(*columns).limit(SAMPLE).collect()]
 
 
-def require_valid_batch(batch: DataFrame, spec: TargetSpec) -> int:
-    """Raise on NULL or repeated keys and over-long text; else the row count."""
-    found = batch_profile(batch, [spec.key], spec.text_limits).first().asDict()
-    rows = found.pop("rows")
-    broken = {name: n for name, n in found.items() if n}
-    if broken:
+def require_valid_batch(batch: DataFrame, spec: TargetSpec, found: Profile) -> None:
+    """Raise on NULL or repeated keys and over-long text."""
+    if found.broken:
         sample = _sample(key_violations(batch, [spec.key]), [spec.key]) or _sample(
             text_violations(batch, spec.text_limits), [spec.key]
         )
-        raise ConstraintError(f"{spec.name}: {broken}; for example keys {sample}")
-    return rows
+        raise ConstraintError(f"{spec.name}: {dict(found.broken)}; for example keys {sample}")
 
 
 def require_known_parents(
-    batch: DataFrame, spec: TargetSpec, column: str, parent: DataFrame, parent_key: str
+    batch: DataFrame, spec: TargetSpec, parents: Mapping[str, DataFrame]
 ) -> None:
-    """Raise if ``column`` holds a value that is not a key of ``parent``."""
-    missing = reference_violations(batch, column, parent, parent_key)
-    found = missing.agg(F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")).first()
-    if found["keys"]:
+    """Raise if a reference holds a value that is no key of its parent.
+    ``parents`` has a frame of keys (one column) for each referring column; all
+    references are checked in one pass over the batch."""
+    if not parents:
+        return
+    keys = [
+        df.select(F.lit(column).alias("column"), F.col(df.columns[0]).cast("bigint").alias("value"))
+        for column, df in parents.items()
+    ]
+    missing = _unknown(_counted_references(batch, list(parents)), reduce(DataFrame.unionAll, keys))
+    found = missing.groupBy("column").agg(
+        F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")
+    )
+    for column, unknown, rows in sorted(map(tuple, found.collect())):
+        sample = _sample(missing.where(F.col("column") == column), ["value"])
         raise ConstraintError(
-            f"{spec.name}.{column}: {found['rows']} rows reference {found['keys']} "
-            f"unknown keys; for example {_sample(missing, [column])}"
+            f"{spec.name}.{column}: {rows} rows reference {unknown} "
+            f"unknown keys; for example {sample}"
         )

@@ -8,9 +8,9 @@ so one hot parent does not become one long task.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,19 +25,26 @@ def denormalise(detail: DataFrame, ancestors: DataFrame, reference: str) -> Data
     next to the detail rows, so those are shuffled at most once, on one key.
     """
     inherited = [c for c in ancestors.columns if c != reference]
-    return detail.join(ancestors, reference).select(*detail.columns, *inherited)
+    own, parents = detail.alias("detail"), ancestors.alias("ancestors")
+    return own.join(
+        parents, F.col(f"detail.`{reference}`") == F.col(f"ancestors.`{reference}`")
+    ).select(
+        *[F.col(f"detail.`{c}`") for c in detail.columns],
+        # A name both sides have is the detail rows' own.
+        *[F.col(f"ancestors.`{c}`") for c in inherited if c not in detail.columns],
+    )
 
 
-def payload_bytes(df: DataFrame) -> DataFrame:
-    """One row: the exact size of the values in ``df``, uncompressed (a file
-    or planner size says little about encoded columns)."""
+def value_bytes(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The uncompressed size of some columns of a row (a file or planner size
+    says little about encoded columns)."""
     size = F.lit(0).cast("bigint")
-    for field in df.schema:
-        if isinstance(field.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+    for name in columns:
+        if isinstance(df.schema[name].dataType, T.StringType):
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
         else:
             size = size + F.lit(8)
-    return df.agg(F.coalesce(F.sum(size), F.lit(0).cast("bigint")).alias("bytes"))
+    return size
 
 
 def broadcast_limit(spark: SparkSession) -> int:

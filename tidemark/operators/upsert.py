@@ -33,14 +33,15 @@ def affected_rows(batch: DataFrame) -> DataFrame:
 
 def insert_update_split(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row: how many batch rows are new and how many replace a row.
-    One pass over the batch, on key columns alone."""
-    known = target.select(*key).withColumn("known", F.lit(True))
-    hit = F.col("known").isNotNull()
-    return (
-        batch.select(*key)
-        .join(known, list(key), "left")
-        .agg(F.count_if(~hit).alias("inserted"), F.count_if(hit).alias("updated"))
-    )
+
+    The target's keys are narrowed to the batch's, a broadcast if the batch is
+    small, and counted: they are the updated rows, and the rest is new.
+    """
+    keys = batch.select(*key)
+    updated = target.select(*key).join(keys, list(key), "left_semi")
+    rows = keys.select(F.lit(False).alias("hit")).unionAll(updated.select(F.lit(True)))
+    hits = F.count_if(F.col("hit"))
+    return rows.agg((F.count_if(~F.col("hit")) - hits).alias("inserted"), hits.alias("updated"))
 
 
 def combine_counts(counts: dict[str, DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import as_date, default_start
 from tidemark.functions.timestamps import DateLike
@@ -16,10 +16,17 @@ from tidemark.specs import Entity, Model
 Store = Callable[[str, DataFrame], DataFrame]
 
 
+def _now() -> dt.datetime:
+    """The session's wall clock; a constant that needs no job."""
+    spark = SparkSession.active()
+    return spark.sql("select cast(current_timestamp() as timestamp_ntz)").first()[0]
+
+
 def window(date: DateLike | None, as_of: DateLike | None) -> tuple[dt.date, dt.date]:
     """The days ``[start, end)`` to load: from ``date`` (default: the day
-    before ``as_of``) up to, not including, ``as_of`` (default: today)."""
-    as_of = dt.datetime.now() if as_of is None else as_of
+    before ``as_of``) up to, not including, ``as_of`` (default: today, by the
+    session's time zone and not the driver machine's)."""
+    as_of = _now() if as_of is None else as_of
     start = default_start(as_of) if date is None else as_date(date)
     return start, as_date(as_of)
 
@@ -44,7 +51,9 @@ def _changed_details(
 
     view = model.views[entity.source]
     ancestors = view.ancestors(table)
-    if entity.watermark not in ancestors.columns:
+    # Of a name both have, the view shows the detail rows' own.
+    own = table(view.detail).columns
+    if entity.watermark in own or entity.watermark not in ancestors.columns:
         return changed_between(table(entity.source), entity.watermark, *days)
     ancestors = changed_between(ancestors, entity.watermark, *days)
     if store is not None:

@@ -15,11 +15,14 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def names_in(spark: SparkSession, directory: str) -> list[str]:
-    """Names of the entries of a directory; none if it does not exist."""
+    """Names of the entries of a directory; none if it does not exist.  The
+    names come as one string, in one answer however many there are."""
     fs, path = _file_system(spark, directory), _path(spark, directory)
     if not fs.exists(path):
         return []
-    return sorted(status.getPath().getName() for status in fs.listStatus(path))
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(path))
+    listed = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)[1:-1]
+    return sorted(one.rstrip("/").rpartition("/")[2] for one in listed.split(",") if one)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -42,7 +45,15 @@ def publish_text(spark: SparkSession, path: str, text: str, draft: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
-    if fs.exists(_path(spark, path)) or not fs.rename(_path(spark, draft), _path(spark, path)):
+    published = False
+    try:
+        published = not fs.exists(_path(spark, path)) and fs.rename(
+            _path(spark, draft), _path(spark, path)
+        )
+    finally:
+        if not published:
+            fs.delete(_path(spark, draft), False)
+    if not published:
         raise FileExistsError(f"{path} was published by another load")
 
 

@@ -10,14 +10,21 @@ from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.timestamps import DateLike
-from tidemark.operators import conform, require_known_parents, require_valid_batch, transform
+from tidemark.operators import (
+    conform,
+    profile,
+    require_known_parents,
+    require_valid_batch,
+    transform,
+)
 from tidemark.plans.extract import extract
 from tidemark.plans.warehouse import Load, Warehouse
 from tidemark.sources import Source, inline_rows
-from tidemark.specs import Model, Reference, TargetSpec
+from tidemark.specs import Model, TargetSpec
 
 log = logging.getLogger(__name__)
 
@@ -53,43 +60,63 @@ def load(model: Model, frames: dict[str, DataFrame], warehouse: Warehouse) -> Lo
     run beside the writes they guard: what a load writes does not count until
     it is published, and a failed check raises before that.
     """
-    return _load(model, frames, warehouse.begin(), warehouse.spark)
+    return _guarded(model, lambda _: frames, warehouse)
+
+
+def _guarded(
+    model: Model, frames: Callable[[Load], dict[str, DataFrame]], warehouse: Warehouse
+) -> LoadResult:
+    """A load that leaves only its stage behind if it fails."""
+    change = warehouse.begin()
+    try:
+        return _load(model, frames(change), change, warehouse.spark)
+    except BaseException:
+        change.abandon()
+        raise
 
 
 def _load(
     model: Model, frames: dict[str, DataFrame], change: Load, spark: SparkSession
 ) -> LoadResult:
-    staged = _together(
-        spark,
-        [
-            lambda e=e: conform(change.stage(e.target.name, frames[e.name]), e.target)
-            for e in model.entities
-        ],
+    staged = dict(
+        zip(
+            (e.target.name for e in model.entities),
+            _together(
+                spark,
+                [partial(change.stage, e.target.name, frames[e.name]) for e in model.entities],
+            ),
+            strict=True,
+        )
     )
-    batches = {e.target.name: batch for e, batch in zip(model.entities, staged, strict=True)}
+    extents = change.extents(staged)
+    affected = {e.name: extents[e.target.name][0] for e in model.entities}
+    for name, rows in affected.items():
+        # Told before any check, for whoever has to see why one failed.
+        log.info("extracted %s rows: %d", name, rows)
+    batches = {e.target.name: conform(staged[e.target.name], e.target) for e in model.entities}
+
+    def place(target: TargetSpec) -> None:
+        batch, shift = batches[target.name], change.lay_out(target.name, *extents[target.name])
+        bucket = change.bucket_of(F.col(target.key), shift or 0)
+        found = profile(batch, target, bucket, model.mart.visible(target.name))
+        require_valid_batch(batch, target, found)
+        change.upsert(target.name, batch, found, shift)
+
+    def check_references(target: TargetSpec) -> None:
+        parents = {
+            r.column: change.table(r.parent).select(model.key_of(r.parent))
+            for r in target.references
+        }
+        if extents[target.name][0]:
+            require_known_parents(batches[target.name], target, parents)
 
-    def check_rows(target: TargetSpec) -> int:
-        return require_valid_batch(batches[target.name], target)
-
-    def check_reference(target: TargetSpec, r: Reference) -> None:
-        parent, parent_key = change.table(r.parent), model.key_of(r.parent)
-        require_known_parents(batches[target.name], target, r.column, parent, parent_key)
-
-    affected: dict[str, int] = {}
     for group in model.load_order():
         targets = [e.target for e in group]
         # In this order: of several failures the first job's is raised.
-        done = _together(
+        _together(
             spark,
-            [
-                *[partial(check_rows, t) for t in targets],
-                *[partial(check_reference, t, r) for t in targets for r in t.references],
-                *[partial(change.upsert, t.name, batches[t.name]) for t in targets],
-            ],
+            [*[partial(place, t) for t in targets], *[partial(check_references, t) for t in targets]],
         )
-        for entity, rows in zip(group, done, strict=False):
-            affected[entity.name] = rows
-            log.info("extracted %s rows: %d", entity.name, rows)
     change.refresh_mart()
     version = change.publish()
     log.info("published version %d: %s", version, affected)
@@ -108,6 +135,8 @@ def run(
     By default that is yesterday.  An earlier ``date`` catches up or fills in
     history with the same code; running a window again changes nothing.
     """
-    change = warehouse.begin()
-    frames = extract(model, source, date, as_of, change.store)
-    return _load(model, transform(frames, model.entities), change, warehouse.spark)
+    def frames(change: Load) -> dict[str, DataFrame]:
+        extracted = extract(model, source, date, as_of, change.store)
+        return transform(extracted, model.entities)
+
+    return _guarded(model, frames, warehouse)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # What the plans here rely on at scale; the rest is the cluster's business.
@@ -37,15 +35,10 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's checkpoint folder.  Only
-    a local session, which has no other machines, may go without one."""
+    """Folder for intermediate tables that all executors share: the cluster's
+    checkpoint folder, else one below the warehouse directory, which a cluster
+    points at shared storage."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
+    return folder.rstrip("/")

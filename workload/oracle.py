@@ -23,13 +23,13 @@ _ORDERS_UPSERTED = f"""
     where not exists (select 1 from ({_ORDERS_BATCH}) b where b.o_orderkey = t.o_orderkey)
 """
 
-_UNIQUE_LINES = """
-    select l_orderkey * 8 + l_linenumber as line_key, l_orderkey, l_linenumber,
-           min(l_partkey) as l_partkey, min(l_suppkey) as l_suppkey,
-           min(l_quantity) as l_quantity, min(l_extendedprice) as l_extendedprice,
-           min(l_shipdate) as l_shipdate
+_LINES = """
+    select (l_orderkey * 8 + l_linenumber) * 64 + row_number() over (
+               partition by l_orderkey, l_linenumber
+               order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate
+           ) - 1 as line_key, l_orderkey, l_linenumber,
+           l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate
     from lineitem
-    group by l_orderkey, l_linenumber
 """
 _KNOWN_CUSTOMERS = """
     select c.*, f.known_since
@@ -48,7 +48,7 @@ _KNOWN_NATIONS = f"""
 """
 _LINE_VIEW = f"""
     select l.*, o.o_custkey, c.c_nationkey, cast(o.o_orderdate as date) as ordered_on
-    from ({_UNIQUE_LINES}) l
+    from ({_LINES}) l
     join orders o on l.l_orderkey = o.o_orderkey
     join customer c on o.o_custkey = c.c_custkey
 """
@@ -107,11 +107,12 @@ def _sales_mart(lines: str, parts: str) -> str:
     """
 
 
+# The batch writes all columns, NULL included.
 _PARTS_UPSERTED = """
-    select p_partkey, p_name, p_brand, p_type,
-           p_size + case when p_type in ('PROMO', 'LARGE') then 1 else 0 end as p_size,
-           p_retailprice
-    from part
+    select * from part where p_type not in ('PROMO', 'LARGE')
+    union all
+    select p_partkey, p_name || ' +', null, p_type, p_size + 1, p_retailprice
+    from part where p_type in ('PROMO', 'LARGE')
 """
 
 
@@ -126,9 +127,13 @@ _VIEW = """
 
 
 def _rounded(ts: str) -> str:
+    """By the part below the second: up from the half on, before 2000 above it."""
+    part = f"(date_part('microsecond', {ts}) % 1000000)"
     return f"""
-        date_trunc('second', {ts} + case when {ts} >= timestamp '2000-01-01'
-            then interval 500000 microseconds else interval 499999 microseconds end)
+        date_trunc('second', {ts}) + case
+            when {part} > 500000 then interval 1 second
+            when {part} = 500000 and date_part('year', {ts}) >= 2000 then interval 1 second
+            else interval 0 second end
     """
 
 
@@ -162,6 +167,11 @@ ORACLE = {
         select c_custkey as customer_id, c_name, c_nationkey, c_acctbal, c_mktsegment
         from customer
     """,
+    "rename_key_inner": """
+        select o_custkey as customer_id, o_orderkey, o_orderstatus, o_totalprice, o_orderdate,
+               o_orderpriority
+        from orders
+    """,
     "prune_columns": "select c_custkey, c_name, c_acctbal, c_mktsegment from customer",
     "positional_map": """
         select o_orderkey as id, o_custkey as customer_id, o_orderdate as ordered_at,
@@ -177,25 +187,26 @@ ORACLE = {
     """,
     "upsert_dim_rows": _ORDERS_UPSERTED,
     "upsert_dim_stream": """
-        select c_custkey, c_name, c_nationkey,
-               c_acctbal + case when c_mktsegment in ('MACHINERY', 'BUILDING')
-                   then 1 else 0 end as c_acctbal,
-               c_mktsegment
-        from customer
+        select * from customer where c_mktsegment not in ('MACHINERY', 'BUILDING')
+        union all
+        select c_custkey, c_name || ' +', null, c_acctbal + 1, c_mktsegment
+        from customer where c_mktsegment in ('MACHINERY', 'BUILDING')
     """,
     "upsert_dim_module": _PARTS_UPSERTED,
     "upsert_fact_rows": f"""
         select line_key as id, l_orderkey as order_id, c_nationkey as nation_id,
-               o_custkey as customer_id, l_linenumber as line_number,
-               {_moved("l_quantity", "l_shipdate")} as quantity, l_extendedprice as price,
-               l_shipdate as ship_date
-        from ({_LINE_VIEW}) v
+               o_custkey as customer_id, l_linenumber as line_number, l_quantity as quantity,
+               l_extendedprice as price, l_shipdate as ship_date
+        from ({_LINE_VIEW}) v where l_shipdate < timestamp '1998-01-01'
+        union all
+        select line_key, l_orderkey, null, o_custkey, l_linenumber, l_quantity + 1, null, l_shipdate
+        from ({_LINE_VIEW}) v where l_shipdate >= timestamp '1998-01-01'
     """,
     "upsert_fact_events": """
-        select event_id, ts, user_id, event_type,
-               value + case when ts >= timestamp '2024-01-15' then 1 else 0 end as value,
-               props
-        from events
+        select * from events where ts < timestamp '2024-01-15'
+        union all
+        select event_id, ts, user_id, 'late', value + 1, null
+        from events where ts >= timestamp '2024-01-15'
     """,
     "upsert_row_count": f"select count(*) as affected_rows from ({_ORDERS_BATCH}) b",
     "upsert_insert_update_split": f"""
@@ -275,7 +286,7 @@ ORACLE = {
         from events
     """,
     "inline_values": """
-        select o_orderkey, o_orderstatus, status_title, is_open from orders
+        select o_orderstatus, o_orderkey, status_title, is_open from orders
         join (values ('O', 'Open', true), ('F', 'Fulfilled', false), ('P', null, true))
             as s(o_orderstatus, status_title, is_open) using (o_orderstatus)
     """,
@@ -285,7 +296,7 @@ ORACLE = {
     ),
     "mart_after_upsert": _sales_mart(
         f"select * replace ({_moved('l_quantity', 'l_shipdate')} as l_quantity)"
-        f" from ({_UNIQUE_LINES}) u where l_orderkey in (select o_orderkey from orders)",
+        f" from ({_LINES}) u where l_orderkey in (select o_orderkey from orders)",
         _PARTS_UPSERTED,
     ),
     "order_view": """
@@ -330,4 +341,39 @@ ORACLE = {
         f" from ({_KNOWN_CUSTOMERS}) c",
     ),
     "load_rerun_mart": _BACKFILL_MART,
+    "load_recreated_lines": f"""
+        select line_key as id, l_orderkey as order_id, c_nationkey as nation_id,
+               o_custkey as customer_id, l_linenumber as line_number, l_quantity as quantity,
+               l_extendedprice as price, l_shipdate as ship_date
+        from ({_LINE_VIEW}) v where ordered_on >= date '1999-01-01'
+    """,
+    "load_small_increment": f"""
+        select line_key as id, l_orderkey as order_id, c_nationkey as nation_id,
+               o_custkey as customer_id, l_linenumber as line_number,
+               l_quantity + case when l_orderkey between 1000 and 1019 then 1 else 0 end
+                   as quantity,
+               l_extendedprice as price, l_shipdate as ship_date
+        from ({_LINE_VIEW}) v
+    """,
+    "load_small_increment_mart": _line_mart(
+        f"select *, l_quantity + case when l_orderkey between 1000 and 1019 then 1 else 0 end"
+        f" as line_quantity from ({_LINE_VIEW}) v",
+        "select *, c_acctbal as balance from customer",
+    ),
+    "load_dimension_change": f"""
+        select m.* replace (
+            case when customer_id = 7 then name || ' +' else name end as name,
+            case when nation_id = 3 then nation_name || ' +' else nation_name end as nation_name
+        ) from ({_line_mart(
+            f"select *, l_quantity + case when l_orderkey between 1000 and 1019 then 1 else 0 end"
+            f" as line_quantity from ({_LINE_VIEW}) v",
+            "select *, c_acctbal as balance from customer",
+        )}) m
+    """,
+    "load_sparse_keys": """
+        select ((c_custkey * 40503) % 65536 - 32768) * 281474976710656 + c_custkey as customer_id,
+               case when hit then null else c_name end as c_name,
+               c_acctbal + case when hit then 1 else 0 end as c_acctbal, c_mktsegment
+        from (select *, c_mktsegment in ('MACHINERY', 'BUILDING') as hit from customer)
+    """,
 }

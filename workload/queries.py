@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import Warehouse, run
+from tidemark import FrameSource, Warehouse, load, run
 from tidemark.functions import (
     drop_blank_excess,
     exceeds,
@@ -38,19 +38,22 @@ from tidemark.operators import (
     rename_key,
     star_join,
     text_violations,
+    transform,
     upsert,
 )
 from tidemark.plans.extract import extract, extract_counts, window
 from tidemark.session import shared_folder
-from tidemark.sources import inline_rows, read
+from tidemark.sources import empty_table, inline_rows, read
 from tidemark.specs import StarMart, TargetSpec, columns
 from workload.model import (
+    D_CUSTOMER,
     D_ORDER,
     F_LINE,
     LINE_KEY,
     LINES,
     line_ancestors,
     source,
+    source_tables,
     table,
 )
 
@@ -123,6 +126,11 @@ def rename_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename_key(table(spark, sf_dir, "customer"), "c_custkey", "customer_id")
 
 
+def rename_inner_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key is the second column, and comes to the front."""
+    return rename_key(table(spark, sf_dir, "orders"), "o_custkey", "customer_id")
+
+
 def prune_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     return prune(customer, [c for c in customer.columns if c != "c_nationkey"])
@@ -177,8 +185,12 @@ def upsert_dim_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_dim_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     target = customer.where("c_mktsegment <> 'MACHINERY'")
-    batch = customer.where("c_mktsegment in ('MACHINERY', 'BUILDING')").withColumn(
-        "c_acctbal", F.col("c_acctbal") + 1
+    batch = customer.where("c_mktsegment in ('MACHINERY', 'BUILDING')").withColumns(
+        {
+            "c_name": F.concat("c_name", F.lit(" +")),
+            "c_nationkey": F.lit(None).cast("int"),
+            "c_acctbal": F.col("c_acctbal") + 1,
+        }
     )
     return upsert(target, batch, ["c_custkey"])
 
@@ -186,29 +198,39 @@ def upsert_dim_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_dim_module(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     target = part.where("p_type <> 'PROMO'")
-    batch = part.where("p_type in ('PROMO', 'LARGE')").withColumn("p_size", F.col("p_size") + 1)
+    batch = part.where("p_type in ('PROMO', 'LARGE')").withColumns(
+        {
+            "p_name": F.concat("p_name", F.lit(" +")),
+            "p_brand": F.lit(None).cast("string"),
+            "p_size": F.col("p_size") + 1,
+        }
+    )
     return upsert(target, batch, ["p_partkey"])
 
 
-def _stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines with their ancestors' keys, stored once as a load stages
-    them, so that what follows does not compute the view again."""
-    view = read(LINES, source(spark, sf_dir), "line_view")
-    return _new_warehouse(spark).begin().stage(F_LINE.name, view)
-
-
 def upsert_fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = conform(rename_key(_stored_lines(spark, sf_dir), "line_key", "line_id"), F_LINE)
+    view = read(LINES, source(spark, sf_dir), "line_view")
+    lines = conform(rename_key(view, "line_key", "line_id"), F_LINE)
     target = changed_between(lines, "ship_date", HISTORY, CUT)
-    batch = changed_between(lines, "ship_date", START, END)
-    return upsert(target, batch.withColumn("quantity", F.col("quantity") + 1), ["id"])
+    batch = changed_between(lines, "ship_date", START, END).withColumns(
+        {
+            "nation_id": F.lit(None).cast("int"),
+            "quantity": F.col("quantity") + 1,
+            "price": F.lit(None).cast("double"),
+        }
+    )
+    return upsert(target, batch, ["id"])
 
 
 def upsert_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     target = changed_between(events, "ts", "2024-01-01", "2024-01-16")
-    batch = changed_between(events, "ts", "2024-01-15", "2024-02-01").withColumn(
-        "value", F.col("value") + 1
+    batch = changed_between(events, "ts", "2024-01-15", "2024-02-01").withColumns(
+        {
+            "event_type": F.lit("late"),
+            "value": F.col("value") + 1,
+            "props": F.lit(None).cast("string"),
+        }
     )
     return upsert(target, batch, ["event_id"])
 
@@ -386,7 +408,7 @@ def mart_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_after_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _stored_lines(spark, sf_dir)
+    lines = read(LINES, source(spark, sf_dir), "line_view")
     target = changed_between(lines, "l_shipdate", HISTORY, CUT)
     batch = changed_between(lines, "l_shipdate", START, END).withColumn(
         "l_quantity", F.col("l_quantity") + 1
@@ -414,14 +436,16 @@ def order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- warehouse: the whole job, stored ---------------------------------------
 
 
-def _new_warehouse(spark: SparkSession) -> Warehouse:
+def _new_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """An empty warehouse that will have some tens of fact buckets."""
     root = f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
-    return Warehouse.create(spark, root, LINES)
+    lines = table(spark, sf_dir, "lineitem").count()
+    return Warehouse.create(spark, root, LINES, bucket_rows=max(1, lines // 48))
 
 
 def stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = rename_key(_orders_batch(spark, sf_dir), "o_orderkey", "order_id")
-    return _new_warehouse(spark).begin().stage(D_ORDER.name, batch)
+    return _new_warehouse(spark, sf_dir).begin().stage(D_ORDER.name, batch)
 
 
 def load_twice(spark: SparkSession, sf_dir: str):
@@ -433,15 +457,118 @@ def load_twice(spark: SparkSession, sf_dir: str):
 # The stored result serves every query that reads it, as a warehouse does.
 @functools.lru_cache(maxsize=1)
 def _load_twice(application: str, spark: SparkSession, sf_dir: str):
-    warehouse = _new_warehouse(spark)
+    warehouse = _new_warehouse(spark, sf_dir)
     first = run(LINES, source(spark, sf_dir), warehouse, HISTORY, CUT)
     second = run(LINES, source(spark, sf_dir, later=True), warehouse, START, END)
     return warehouse, first, second
 
 
 def forget_loads() -> None:
-    """Make the next query that needs the loaded warehouse load it again."""
+    """Make the next query that needs a loaded warehouse load it again."""
     _load_twice.cache_clear()
+    _increments.cache_clear()
+
+
+def whole_load(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse after one load of all there is."""
+    warehouse = _new_warehouse(spark, sf_dir)
+    run(LINES, source(spark, sf_dir), warehouse, HISTORY, END)
+    return warehouse
+
+
+def small_increment(spark: SparkSession, sf_dir: str, warehouse: Warehouse):
+    """Load what has happened to twenty neighbouring orders since."""
+    tables, moved = source_tables(spark, sf_dir), "{0} between 1000 and 1019"
+    orders, lines = tables["orders"], tables["lineitem"]
+    hit_order, hit_line = (F.expr(moved.format(c)) for c in ("o_orderkey", "l_orderkey"))
+    day = F.lit(END).cast("timestamp_ntz")
+    tables |= {
+        "orders": orders.withColumn("o_orderdate", F.when(hit_order, day).otherwise(F.col("o_orderdate"))),
+        "lineitem": lines.withColumn("l_quantity", F.col("l_quantity") + F.when(hit_line, 1).otherwise(0)),
+    }
+    return run(LINES, FrameSource(tables), warehouse, END, "2002-02-01")
+
+
+def dimension_change(spark: SparkSession, sf_dir: str, warehouse: Warehouse):
+    """Load a renamed customer and a renamed nation, and no order."""
+    tables, day = source_tables(spark, sf_dir), F.lit("2002-03-01").cast("timestamp_ntz")
+
+    def renamed(name: str, key: str, value: int, column: str) -> DataFrame:
+        hit = F.col(key) == value
+        return tables[name].withColumns(
+            {
+                column: F.when(hit, F.concat(column, F.lit(" +"))).otherwise(F.col(column)),
+                "known_since": F.when(hit, day).otherwise(F.col("known_since")),
+            }
+        )
+
+    tables |= {
+        "customer": renamed("customer", "c_custkey", 7, "c_name"),
+        "nation": renamed("nation", "n_nationkey", 3, "n_name"),
+    }
+    return run(LINES, FrameSource(tables), warehouse, "2002-03-01", "2002-04-01")
+
+
+def increments(spark: SparkSession, sf_dir: str):
+    """A whole load, then a small increment, then a change of dimensions only:
+    the warehouse and the results of the last two."""
+    return _increments(spark.sparkContext.applicationId, spark, sf_dir)
+
+
+@functools.lru_cache(maxsize=1)
+def _increments(application: str, spark: SparkSession, sf_dir: str):
+    warehouse = whole_load(spark, sf_dir)
+    small = small_increment(spark, sf_dir, warehouse)
+    return warehouse, small, dimension_change(spark, sf_dir, warehouse)
+
+
+def load_small_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse, small, _ = increments(spark, sf_dir)
+    return warehouse.table(F_LINE.name, small.version)
+
+
+def load_small_increment_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse, small, _ = increments(spark, sf_dir)
+    return warehouse.table(LINES.mart.name, small.version)
+
+
+def load_dimension_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warehouse, _, changed = increments(spark, sf_dir)
+    return warehouse.table(LINES.mart.name, changed.version)
+
+
+def load_recreated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load, create the tables again, load another window."""
+    first = _new_warehouse(spark, sf_dir)
+    run(LINES, source(spark, sf_dir), first, HISTORY, CUT)
+    again = Warehouse.create(spark, first.root, LINES, bucket_rows=1000)
+    # Customers and nations of earlier years are needed by later orders.
+    frames = transform(extract(LINES, source(spark, sf_dir), HISTORY, END), LINES.entities)
+    late = transform(extract(LINES, source(spark, sf_dir), CUT, END), LINES.entities)
+    load(LINES, frames | {"line": late["line"]}, again)
+    return again.table(F_LINE.name)
+
+
+def load_sparse_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys spread over all of ``bigint``, loaded and then upserted."""
+    warehouse = _new_warehouse(spark, sf_dir)
+    customer = table(spark, sf_dir, "customer")
+    key = F.expr("(c_custkey * 40503 % 65536 - 32768) * 281474976710656 + c_custkey")
+    hit = "c_mktsegment in ('MACHINERY', 'BUILDING')"
+    batches = (
+        customer.where("c_mktsegment <> 'MACHINERY'"),
+        customer.where(hit).withColumns(
+            {"c_name": F.lit(None).cast("string"), "c_acctbal": F.col("c_acctbal") + 1}
+        ),
+    )
+    for batch in batches:
+        frames = {
+            e.name: empty_table(spark, e.target.schema).toDF(*e.target.staged_columns)
+            for e in LINES.entities
+        }
+        frames["customer"] = batch.select(key.alias("customer_id"), *D_CUSTOMER.columns[1:])
+        load(LINES, frames, warehouse)
+    return warehouse.table(D_CUSTOMER.name)
 
 
 def upsert_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -479,7 +606,7 @@ def load_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_rerun_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same window loaded twice in a row."""
-    warehouse = _new_warehouse(spark)
+    warehouse = _new_warehouse(spark, sf_dir)
     for _ in range(2):
         run(LINES, source(spark, sf_dir), warehouse, HISTORY, CUT)
     return warehouse.table(LINES.mart.name)
@@ -495,6 +622,7 @@ QUERIES = {
     "lesson_view": lesson_view,
     "lesson_view_window": lesson_view_window,
     "rename_key": rename_keys,
+    "rename_key_inner": rename_inner_key,
     "prune_columns": prune_columns,
     "positional_map": positional_map,
     "type_conformity": type_conformity,
@@ -531,4 +659,9 @@ QUERIES = {
     "load_lines": load_lines,
     "load_mart": load_mart,
     "load_rerun_mart": load_rerun_mart,
+    "load_recreated_lines": load_recreated_lines,
+    "load_small_increment": load_small_increment,
+    "load_small_increment_mart": load_small_increment_mart,
+    "load_dimension_change": load_dimension_change,
+    "load_sparse_keys": load_sparse_keys,
 }
