@@ -35,6 +35,42 @@ select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
 from d left join covered using (doc_id) left join items using (doc_id)
 """
 
+def _times(text: str, part: str) -> str:
+    return f"(len({text}) - len(replace({text}, '{part}', ''))) // {len(part)}"
+
+
+def _escapes(text: str) -> str:
+    """How many backslashes the chat format adds to a text: one for each there is,
+    and one after each character that begins, or could begin, a control string."""
+    parts = ["\\", "<s>", "[s>", "<INST]", "[INST]", "</", "[/", "[<"]
+    # Each < before another: all but the last of every run.
+    pairs = f"{_times(text, '<')} - len(regexp_extract_all({text}, '<+'))"
+    return " + ".join([*(_times(text, part) for part in parts), pairs])
+
+
+OP3 = f"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized as (
+  select *, len(text) + {_escapes("text")} + case role
+      when 'user' then len('<s>[INST]  [/INST]')
+      when 'assistant' then len('<s>  </s>')
+      else len('<s><<ROLE>><</ROLE>>  </s>') + len(role) + {_escapes("role")} end as chars,
+    case when role = 'assistant' then text else '' end as loss
+  from c
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text))
+    as turns_sha256,
+  cast(sum(len(loss)) as bigint) as loss_chars,
+  sha256(string_agg(loss, '' order by turn, role, text)) as loss_sha256,
+  cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id
+"""
+
 OP6 = r"""
 with d as (
   select doc_id, coalesce(text, '') as text,
@@ -131,8 +167,71 @@ select doc_id, text_id, source, n_tokens, weight, cast(epoch as int) as epoch,
 from placed where last <= budget
 """
 
+OP2 = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+sized as (select doc_id, w, least(5, len(w)) as n from d where len(w) > 0),
+shingles as (
+  select distinct doc_id, array_to_string(w[i:i + n - 1], ' ') as p
+  from (select *, unnest(range(1, len(w) - n + 2)) as i from sized)
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select x.doc_id as a, y.doc_id as b, count(*) as n
+  from shingles x join shingles y on x.p = y.p and x.doc_id < y.doc_id
+  group by x.doc_id, y.doc_id
+),
+links as (
+  select a, b from shared join sizes s on s.doc_id = a join sizes t on t.doc_id = b
+  where 100 * shared.n >= 85 * (s.n + t.n - shared.n)
+),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (
+  select a as doc_id, b as other from both_ways
+  union
+  select reach.doc_id, l.b from reach join both_ways l on l.a = reach.other
+),
+found as (
+  select d.doc_id, coalesce(n, 0) as n_shingles,
+    least(d.doc_id, coalesce(min(other), d.doc_id)) as component_id
+  from d left join sizes using (doc_id) left join reach using (doc_id)
+  group by d.doc_id, n
+)
+select doc_id, n_shingles, component_id, doc_id = component_id as kept from found
+"""
+
+OP7 = r"""
+with d as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+windows as (
+  select doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as p
+  from (select *, unnest(range(1, len(w) - 48)) as i from d where len(w) >= 50)
+),
+firsts as (select p, min(doc_id) as first from windows group by p),
+cut as (
+  select distinct doc_id, unnest(range(i, i + 50)) as k
+  from windows join firsts using (p) where first < doc_id
+),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as k from d),
+kept as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by k) as text
+  from words anti join cut using (doc_id, k) group by doc_id
+)
+select d.doc_id, cast(len(w) as bigint) as n_words, len(w) - coalesce(n, 0) as n_removed,
+  sha256(coalesce(kept.text, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""
+
 SQL: dict[str, str] = {
+    "op2_minmax_near_dedup": OP2,
+    "op3_chat_render": OP3,
     "op6_rule_ledger": OP6,
+    "op7_substring_dedup": OP7,
     "op8_source_mix": OP8,
     "op9_decontaminate": OP9,
 }
