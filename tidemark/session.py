@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.sources.fileCompressionFactor": "4.0",
     # Lets a filtered parent thin out the detail scan before its shuffle.
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256m",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -42,6 +42,7 @@ from tidemark.operators import (
     upsert,
 )
 from tidemark.plans.extract import extract, extract_counts, window
+from tidemark.plans.files import delete_tree
 from tidemark.session import shared_folder
 from tidemark.sources import empty_table, inline_rows, read
 from tidemark.specs import StarMart, TargetSpec, columns
@@ -436,9 +437,14 @@ def order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- warehouse: the whole job, stored ---------------------------------------
 
 
+# Warehouses that queries have made; their results read them.
+_ROOTS: list[tuple[SparkSession, str]] = []
+
+
 def _new_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """An empty warehouse that will have some tens of fact buckets."""
     root = f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
+    _ROOTS.append((spark, root))
     lines = table(spark, sf_dir, "lineitem").count()
     return Warehouse.create(spark, root, LINES, bucket_rows=max(1, lines // 48))
 
@@ -464,9 +470,12 @@ def _load_twice(application: str, spark: SparkSession, sf_dir: str):
 
 
 def forget_loads() -> None:
-    """Make the next query that needs a loaded warehouse load it again."""
+    """Delete the warehouses that queries have made; the next query that needs a
+    loaded one loads it again.  Earlier results cannot be read any more."""
     _load_twice.cache_clear()
     _increments.cache_clear()
+    while _ROOTS:
+        delete_tree(*_ROOTS.pop())
 
 
 def whole_load(spark: SparkSession, sf_dir: str) -> Warehouse:
