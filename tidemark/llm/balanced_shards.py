@@ -113,7 +113,7 @@ def _round(linked: DataFrame, turn: int, quota: list[int]) -> DataFrame:
     draw = F.xxhash64("doc_id", "text_id", F.lit(turn))
     home = F.element_at("homes", (F.pmod(draw, F.size("homes")) + 1).cast("int"))
     wished = stored(
-        linked.join(homes, "text_id").withColumn(
+        linked.join(stored(homes), "text_id").withColumn(
             "wish", F.when(F.array_contains("homes", F.col("shard")), F.col("shard")).otherwise(home)
         ).drop("homes")
     )
@@ -154,7 +154,8 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     rows = stored(described(docs))
     total = rows.count()
     quota = quotas(total, shards)
-    texts = (
+    # Stored, as the homes below, so that a hot text's rows can be split.
+    texts = stored(
         rows.where("text_id is not null")
         .groupBy("text_id")
         .agg(F.count(F.lit(1)).alias("copies"))
