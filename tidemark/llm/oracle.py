@@ -101,7 +101,7 @@ m as (
 ),
 judged as (
   select *, n_words < 50 as short, 100 * n_repeat_words > 50 * n_words as repeated,
-    2 * n_symbols > n_words as symbols, 2 * n_dup_lines > n_lines as lines,
+    5 * n_symbols > n_words as symbols, 2 * n_dup_lines > n_lines as lines,
     word_chars < 2 * n_words or word_chars > 20 * n_words as odd,
     2 * n_capitals > word_chars as capitals, n_words = 0 as nothing
   from m

@@ -33,7 +33,7 @@ class Rule:
 RULES = (
     Rule("too_few_words", 0, "n_words < 50"),
     Rule("repeated_windows", 1, "100 * n_repeat_words > 50 * n_words"),
-    Rule("symbols", 2, "2 * n_symbols > n_words"),
+    Rule("symbols", 2, "5 * n_symbols > n_words"),
     Rule("repeated_lines", 3, "2 * n_dup_lines > n_lines"),
     Rule("word_length", 4, "word_chars < 2 * n_words or word_chars > 20 * n_words"),
     Rule("capitals", 5, "2 * n_capitals > word_chars"),
