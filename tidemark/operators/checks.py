@@ -40,21 +40,25 @@ def reference_violations(
     is a broadcast join, and a large parent table is not shuffled.
     """
     referenced = _counted_references(child, [column])
-    keys = parent.select(F.lit(column).alias("column"), F.col(parent_key).alias("value"))
-    return _unknown(referenced, keys).select(F.col("value").alias(column), "rows")
+    return _unknown(referenced, _numbered([parent.select(parent_key)])).select(
+        F.col("value").alias(column), "rows"
+    )
+
+
+def _numbered(columns: Sequence[DataFrame]) -> DataFrame:
+    """``number, value``: one-column frames under one another, with their place."""
+    tagged = [
+        df.select(F.lit(i).alias("number"), F.col(df.columns[0]).alias("value"))
+        for i, df in enumerate(columns)
+    ]
+    return reduce(DataFrame.unionAll, tagged)
 
 
 def _counted_references(child: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, value, rows`` of all references in one pass over ``child``."""
-    if len(columns) == 1:
-        named = child.select(F.lit(columns[0]).alias("column"), F.col(columns[0]).alias("value"))
-    else:
-        pairs = [
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("value"))
-            for c in columns
-        ]
-        named = child.select(F.inline(F.array(*pairs)))
-    return named.where("value is not null").groupBy("column", "value").agg(
+    """``number, value, rows`` of all references: each column is read once, and
+    all are counted by one aggregate."""
+    named = _numbered([child.select(column) for column in columns])
+    return named.where("value is not null").groupBy("number", "value").agg(
         F.count(F.lit(1)).alias("rows")
     )
 
@@ -63,8 +67,8 @@ def _unknown(referenced: DataFrame, keys: DataFrame) -> DataFrame:
     """Referenced values that are no keys.  Both uses of ``referenced`` are the
     same aggregate, so its shuffle is planned once."""
     used = referenced.where("rows > 0")
-    known = keys.join(used, ["column", "value"], "left_semi")
-    return used.join(known, ["column", "value"], "left_anti")
+    known = keys.join(used, ["number", "value"], "left_semi")
+    return used.join(known, ["number", "value"], "left_anti")
 
 
 def text_violations(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
@@ -162,20 +166,19 @@ def require_known_parents(
 ) -> None:
     """Raise if a reference holds a value that is no key of its parent.
     ``parents`` has a frame of keys (one column) for each referring column; all
-    references are checked in one pass over the batch."""
+    references are counted and compared together."""
     if not parents:
         return
-    keys = [
-        df.select(F.lit(column).alias("column"), F.col(df.columns[0]).cast("bigint").alias("value"))
-        for column, df in parents.items()
-    ]
-    missing = _unknown(_counted_references(batch, list(parents)), reduce(DataFrame.unionAll, keys))
-    found = missing.groupBy("column").agg(
+    names = list(parents)
+    keys = _numbered([df.select(F.col(df.columns[0]).cast("bigint")) for df in parents.values()])
+    numbers = batch.select(*[F.col(name).cast("bigint").alias(name) for name in names])
+    missing = _unknown(_counted_references(numbers, names), keys)
+    found = missing.groupBy("number").agg(
         F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")
     )
-    for column, unknown, rows in sorted(map(tuple, found.collect())):
-        sample = _sample(missing.where(F.col("column") == column), ["value"])
+    for number, unknown, rows in sorted(map(tuple, found.collect())):
+        sample = _sample(missing.where(F.col("number") == number), ["value"])
         raise ConstraintError(
-            f"{spec.name}.{column}: {rows} rows reference {unknown} "
+            f"{spec.name}.{names[number]}: {rows} rows reference {unknown} "
             f"unknown keys; for example {sample}"
         )
