@@ -1,15 +1,16 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 A posting is a term, the document and the place it stands at.  A benchmark
-window of consecutive words is looked up from its rarest term: only the lists
-of those terms are ever read, and they are short.  A posting of a window's
-rarest term, less the term's offset in the window, is where the window would
-start; there the lists of its other terms have to agree, which a document
-answers from its own word array without moving it.
-
-All of it is DataFrame functions.  The table of windows is broadcast in blocks
-of at most ``BROADCAST_BYTES``, one pass over the documents for each, so a
-benchmark of any size is looked up whole; documents are never shuffled.
+window of consecutive words is looked up from its rarest term, and only the
+lists of those terms are stored; they are short.  A posting of a window's rarest
+term, less the term's offset in the window, is where the window would start;
+there its other terms have to stand at their offsets.  Their lists, far longer,
+are not formed: each stored posting carries the words around it, which are
+exactly the postings of other terms that a window through it can need.
+
+All of it is DataFrame functions.  Terms and windows are broadcast in blocks of
+about ``BROADCAST_BYTES``, one pass for each, so a benchmark of any size is
+looked up whole; documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -130,6 +131,30 @@ def _in_blocks(
     return reduce(DataFrame.union, parts)
 
 
+def stored_postings(documents: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
+    """The index of some terms (``term``) over ``doc_id, text_id, words``: a stored
+    row ``term, doc_id, text_id, pos, before, around`` for every place of each.
+    ``around`` are the words up to a window's length away on either side, and
+    ``before`` how many of them stand before the place: where the other terms of a
+    window would have their postings."""
+
+    def look(block: DataFrame) -> DataFrame:
+        placed = documents.select(
+            "doc_id", "text_id", "words", F.posexplode("words").alias("pos", "term")
+        ).join(block, "term", "left_semi")
+        before = F.least(F.col("pos"), F.lit(WINDOW - 1))
+        return placed.select(
+            "term",
+            "doc_id",
+            "text_id",
+            "pos",
+            before.alias("before"),
+            F.slice("words", F.col("pos") - before + 1, before + WINDOW).alias("around"),
+        )
+
+    return stored(_in_blocks(terms, F.octet_length("term") + 16, limit, look))
+
+
 def window_hits(docs: DataFrame, phrases: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``doc_id, text_id, start, size, phrase_id`` of every occurrence of the
     phrases (``phrase``, ``size``) in ``docs``."""
@@ -150,7 +175,7 @@ def window_hits(docs: DataFrame, phrases: DataFrame, limit: int = BROADCAST_BYTE
         .agg(F.count(F.lit(1)).alias("n")),
     )
     # A window with a term that no document has does not occur.
-    rarest = (
+    rarest = stored(
         terms.join(stored(frequency), "term", "left")
         .groupBy("phrase", "size")
         .agg(
@@ -166,14 +191,13 @@ def window_hits(docs: DataFrame, phrases: DataFrame, limit: int = BROADCAST_BYTE
             F.xxhash64("phrase").alias("phrase_id"),
         )
     )
+    postings = stored_postings(documents, rarest.select("term").distinct(), limit)
+    # Offset by offset, the window's other terms have to stand where they should.
+    there = F.expr(
+        "case when before >= offset then slice(around, before - offset + 1, size) = wanted end"
+    )
 
     def look(block: DataFrame) -> DataFrame:
-        postings = documents.select(
-            "doc_id", "text_id", "words", F.posexplode("words").alias("pos", "term")
-        )
-        there = F.expr(
-            "case when pos >= offset then slice(words, pos - offset + 1, size) = wanted end"
-        )
         # One condition, so that it is judged inside the join.
         return postings.join(block, (postings.term == block.term) & there).select(
             "doc_id",
@@ -184,7 +208,7 @@ def window_hits(docs: DataFrame, phrases: DataFrame, limit: int = BROADCAST_BYTE
         )
 
     size = F.octet_length(F.array_join("wanted", " ")) + 8 * F.col("size") + 64
-    return _in_blocks(stored(rarest), size, limit, look)
+    return _in_blocks(rarest, size, limit, look)
 
 
 def contamination(
