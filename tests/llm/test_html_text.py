@@ -54,15 +54,17 @@ def test_article_without_its_surroundings(begin, end):
 
 def test_parts_of_an_article_that_are_not_its_text():
     inside = (
-        f"<article><header><h1>Head</h1></header><p>{LONG}</p><div class='share-buttons'>Share</div>"
+        f"<article><header><h1>Head</h1></header><div class=post-header>Sub</div><p>{LONG}</p>"
+        "<div class='share-buttons'>Share</div>"
         f"<div class=advert>{LONG}</div><ul><li>one<li>two</ul><footer>by me</footer></article>"
     )
-    assert op.main_text(page(inside)) == f"Head\n{LONG.strip()}\none\ntwo"
+    assert op.main_text(page(inside)) == f"Head\nSub\n{LONG.strip()}\none\ntwo"
 
 
 def test_deep_and_long_pages():
     deep = "<div>" * 3000 + "<p>deep text</p>" + "</div>" * 3000
     assert op.main_text(deep) == "deep text"
+    assert op.main_text("<b>" * 50000 + "x" + "<hr>" * 50000 + "</p>" * 50000) == "x"
     many = "<article>" + "<p>word word</p>" * 20000 + "</article>"
     assert op.main_text(many).count("\n") == 19999
 

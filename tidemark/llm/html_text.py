@@ -13,6 +13,7 @@ its short blocks too: a one-word paragraph has a low ratio and still belongs.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -49,9 +50,11 @@ OTHER_NAMES = re.compile(
     r"(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|"
     r"popup|modal|overlay|newsletter|subscri\w*|signup|login|sidebars?|side|rail|menus?|nav\w*|"
     r"breadcrumbs?|toolbar|pagination|pager|comments?|commentlist|respond|replies|reply|discussion|"
-    r"disqus|shar(?:e|ing)|social|related|recommended|widgets?|footers?|headers?|masthead|topbar|"
-    r"copyright|disclaimer|hidden|form)\Z"
+    r"disqus|shar(?:e|ing)|social|related|recommended|widgets?|footers?|copyright|disclaimer|hidden|"
+    r"form)\Z"
 )
+# Outside an article only: its own header holds its heading.
+HEADER_NAMES = re.compile(r"(?:headers?|masthead|topbar)\Z")
 # A new one ends an open one, as end tags may be missing.
 SELF_CLOSING = {
     "li": ("li",),
@@ -68,13 +71,14 @@ CLOSES_P = frozenset(
 )
 
 
-def _names_other(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def _names_other(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
     if tag in OTHER:
-        return True
+        return tag != "header" or not in_article
     for key, value in attrs:
         if key in ("class", "id"):
-            if any(OTHER_NAMES.match(w) for w in re.split(r"[^a-z0-9]+", (value or "").lower())):
-                return True
+            for word in re.split(r"[^a-z0-9]+", (value or "").lower()):
+                if OTHER_NAMES.match(word) or (not in_article and HEADER_NAMES.match(word)):
+                    return True
         elif key == "role":
             if (value or "").strip().lower() in OTHER_ROLES:
                 return True
@@ -98,6 +102,8 @@ class _Blocks(HTMLParser):
         self.parents, self.stops = [0], [False]
         # Open elements: name, region before it, whether it is left out.
         self._open: list[tuple[str, int, bool]] = []
+        # How many of each are open, so that nothing is searched for in vain.
+        self._names: Counter[str] = Counter()
         self._region, self._other, self._in_link = 0, 0, 0
         self._parts: list[str] = []
         self._tags = self._links = 0
@@ -123,11 +129,10 @@ class _Blocks(HTMLParser):
         self._tags += 1
         if tag in VOID:
             return
-        other = _names_other(tag, attrs) and tag not in ("body", "html")
-        # The header of an article holds its heading.
-        if tag == "header" and any(name in REGIONS for name, _, _ in self._open):
-            other = False
+        in_article = any(self._names[name] for name in REGIONS)
+        other = tag not in ("body", "html") and _names_other(tag, attrs, in_article)
         self._open.append((tag, self._region, other))
+        self._names[tag] += 1
         self._other += other
         self._in_link += tag == "a"
         if tag in CONTAINERS:
@@ -147,6 +152,8 @@ class _Blocks(HTMLParser):
 
     def _close(self, tags: tuple[str, ...], across: bool) -> None:
         """Close the innermost open element of these; ``across`` blocks too."""
+        if not any(self._names[tag] for tag in tags):
+            return
         for i in range(len(self._open) - 1, -1, -1):
             name = self._open[i][0]
             if name in tags:
@@ -161,6 +168,7 @@ class _Blocks(HTMLParser):
             self._region = region
             self._other -= other
             self._in_link -= name == "a"
+            self._names[name] -= 1
         del self._open[i:]
 
     def handle_data(self, data: str) -> None:
