@@ -65,12 +65,13 @@ def shift_for(rows: int, low: int, high: int, bucket_rows: int) -> int:
 @dataclass(frozen=True)
 class Layout:
     """How a table lies: its shift (none before the first row), at most how many
-    rows and bytes (of mart columns) it holds, its key range, and for each
-    bucket the run that wrote it and how many batches were appended since."""
+    rows it holds and the bytes of one (of mart columns, the widest batch's
+    mean), its key range, and for each bucket the run that wrote it and how many
+    batches were appended since."""
 
     shift: int | None = None
     rows: int = 0
-    bytes: int = 0
+    row_bytes: float = 0.0
     low: int | None = None
     high: int | None = None
     placement: dict[int, str] = field(default_factory=dict)
@@ -84,13 +85,18 @@ class Layout:
         low = batch.low if self.low is None else min(self.low, batch.low)
         high = batch.high if self.high is None else max(self.high, batch.high)
         rows = min(self.rows + batch.rows, high - low + 1)
-        return replace(self, rows=rows, bytes=self.bytes + batch.bytes, low=low, high=high)
+        width = max(self.row_bytes, batch.bytes / batch.rows)
+        return replace(self, rows=rows, row_bytes=width, low=low, high=high)
+
+    @property
+    def bytes(self) -> float:
+        return self.rows * self.row_bytes
 
     def to_json(self) -> dict:
         runs: dict[str, list[int]] = {}
         for bucket, run in sorted(self.placement.items()):
             runs.setdefault(run, []).append(bucket)
-        stats = {k: getattr(self, k) for k in ("shift", "rows", "bytes", "low", "high")}
+        stats = {k: getattr(self, k) for k in ("shift", "rows", "row_bytes", "low", "high")}
         return stats | {
             "runs": {r: {"buckets": b, "appends": self.appends.get(r, 0)} for r, b in runs.items()}
         }
