@@ -38,6 +38,9 @@ SEED = 25
 # how many windows it holds (at most WINDOW - SEED + 1).
 _START_BITS, _COUNT_BITS = 32, 8
 
+# Windows whose anchors are sought at once, which bounds a task's memory.
+CHUNK = 1 << 15
+
 
 def _text_bits(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) & 0x7FFFFF
@@ -65,7 +68,9 @@ def anchor_runs(hashes: np.ndarray) -> tuple[np.ndarray, ...]:
     at = np.arange(len(hashes) - SEED + 1)
     seeds = first.of(at, at + SEED)
     places = np.lib.stride_tricks.sliding_window_view(seeds, WINDOW - SEED + 1)
-    chosen = places.argmin(axis=1) + np.arange(windows)
+    # In parts, as each is copied.
+    parts = [places[i : i + CHUNK].argmin(axis=1) for i in range(0, windows, CHUNK)]
+    chosen = np.concatenate(parts) + np.arange(windows)
     starts = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
     counts = np.diff(np.r_[starts, windows])
     forms = second.of(starts, starts + counts + WINDOW - 1)
