@@ -114,7 +114,8 @@ def _round(linked: DataFrame, turn: int, quota: list[int]) -> DataFrame:
     home = F.element_at("homes", (F.pmod(draw, F.size("homes")) + 1).cast("int"))
     wished = stored(
         linked.join(stored(homes), "text_id").withColumn(
-            "wish", F.when(F.array_contains("homes", F.col("shard")), F.col("shard")).otherwise(home)
+            "wish",
+            F.when(F.array_contains("homes", F.col("shard")), F.col("shard")).otherwise(home),
         ).drop("homes")
     )
     counts = wished.groupBy("shard", "wish").agg(F.count(F.lit(1))).collect()

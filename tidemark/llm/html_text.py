@@ -50,8 +50,8 @@ OTHER_NAMES = re.compile(
     r"(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|"
     r"popup|modal|overlay|newsletter|subscri\w*|signup|login|sidebars?|side|rail|menus?|nav\w*|"
     r"breadcrumbs?|toolbar|pagination|pager|comments?|commentlist|respond|replies|reply|discussion|"
-    r"disqus|shar(?:e|ing)|social|related|recommended|widgets?|footers?|copyright|disclaimer|hidden|"
-    r"form)\Z"
+    r"disqus|shar(?:e|ing)|social|related|recommended|widgets?|footers?|copyright|disclaimer|"
+    r"hidden|form)\Z"
 )
 # Outside an article only: its own header holds its heading.
 HEADER_NAMES = re.compile(r"(?:headers?|masthead|topbar)\Z")

@@ -224,7 +224,12 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [features(text.as_py()).tolist() for text in batch["text"]]
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["trusted"], batch["any"], pa.array(rows, pa.list_(pa.float64()))],
+            [
+                batch["doc_id"],
+                batch["trusted"],
+                batch["any"],
+                pa.array(rows, pa.list_(pa.float64())),
+            ],
             names=["doc_id", "trusted", "any", "row"],
         )
 

@@ -87,7 +87,9 @@ def measured(docs: DataFrame) -> DataFrame:
         "doc_id",
         "text",
         F.array_remove(F.split("text", WHITE), "").alias("words"),
-        F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
+        F.filter(
+            F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")
+        ).alias("lines"),
     )
     windows = F.expr(
         "transform(slice(words, 1, greatest(size(words) - 2, 0)), "

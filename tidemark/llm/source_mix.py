@@ -189,7 +189,9 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, once for each of their copies
     in the mix."""
     copies = mix(docs, **options).select(
-        F.col("doc_id").alias("_doc"), F.col("text_id").alias("_text"), F.col("source").alias("_from")
+        F.col("doc_id").alias("_doc"),
+        F.col("text_id").alias("_text"),
+        F.col("source").alias("_from"),
     )
     text_id = F.coalesce(F.md5(docs["text"].cast("string")), F.lit(""))
     return docs.join(

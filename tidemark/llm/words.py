@@ -45,7 +45,8 @@ class Rolling:
         steps[1:] = pow(base, -1, 2**64)
         self._inverse = np.multiply.accumulate(steps)
         self._sums = np.zeros(len(hashes) + 1, np.uint64)
-        np.add.accumulate(mix(hashes + np.uint64(seed * _MIX % 2**64)) * powers[:-1], out=self._sums[1:])
+        salted = mix(hashes + np.uint64(seed * _MIX % 2**64))
+        np.add.accumulate(salted * powers[:-1], out=self._sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64 bits for each run ``[start, end)``."""
