@@ -290,7 +290,8 @@ def test_stale_facts_are_found_in_one_pass_or_none(spark, new_root, monkeypatch)
     def stale(**changes):
         load = warehouse.begin()
         for name, column in changes.items():
-            batch = warehouse.table(name).where("n_name is not null" if name == "d_nation" else "customer_id = 7")
+            where = "n_name is not null" if name == "d_nation" else "customer_id = 7"
+            batch = warehouse.table(name).where(where)
             if column:
                 batch = batch.withColumn(column, F.concat(column, F.lit("+")))
             put(load, name, load.store(f"{name}_batch", batch))

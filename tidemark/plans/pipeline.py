@@ -115,7 +115,10 @@ def _load(
         # In this order: of several failures the first job's is raised.
         _together(
             spark,
-            [*[partial(place, t) for t in targets], *[partial(check_references, t) for t in targets]],
+            [
+                *[partial(place, t) for t in targets],
+                *[partial(check_references, t) for t in targets],
+            ],
         )
     change.refresh_mart()
     version = change.publish()

@@ -187,8 +187,9 @@ class Warehouse:
             whole = T.StructType([*schema, *places])
             return empty_table(self.spark, whole).select(*columns)
         table = f"{self.root}/tables/{name}"
+        stored = T.StructType([*schema, T.StructField(RUN, T.StringType()), *places])
         rows = (
-            self.spark.read.schema(T.StructType([*schema, T.StructField(RUN, T.StringType()), *places]))
+            self.spark.read.schema(stored)
             .option("basePath", table)
             .parquet(*[f"{table}/{RUN}={run}" for run in runs])
         )
@@ -297,7 +298,9 @@ class Load:
     def extents(staged: Mapping[str, DataFrame]) -> dict[str, tuple[int, int | None, int | None]]:
         """Rows and key range of every staged table, in one query."""
         keys = [
-            df.select(F.lit(name).alias("name"), F.col(df.columns[0]).try_cast("bigint").alias("key"))
+            df.select(
+                F.lit(name).alias("name"), F.col(df.columns[0]).try_cast("bigint").alias("key")
+            )
             for name, df in staged.items()
         ]
         found = reduce(DataFrame.unionAll, keys).groupBy("name").agg(

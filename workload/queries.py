@@ -492,8 +492,12 @@ def small_increment(spark: SparkSession, sf_dir: str, warehouse: Warehouse):
     hit_order, hit_line = (F.expr(moved.format(c)) for c in ("o_orderkey", "l_orderkey"))
     day = F.lit(END).cast("timestamp_ntz")
     tables |= {
-        "orders": orders.withColumn("o_orderdate", F.when(hit_order, day).otherwise(F.col("o_orderdate"))),
-        "lineitem": lines.withColumn("l_quantity", F.col("l_quantity") + F.when(hit_line, 1).otherwise(0)),
+        "orders": orders.withColumn(
+            "o_orderdate", F.when(hit_order, day).otherwise(F.col("o_orderdate"))
+        ),
+        "lineitem": lines.withColumn(
+            "l_quantity", F.col("l_quantity") + F.when(hit_line, 1).otherwise(0)
+        ),
     }
     return run(LINES, FrameSource(tables), warehouse, END, "2002-02-01")
 
