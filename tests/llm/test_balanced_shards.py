@@ -60,3 +60,28 @@ def test_grants_keep_loads_within_quotas():
     gained = sum(share[w] * n for w, n in wishes.items() if w[1] == 1)
     lost = share[1, 0] * 10
     assert lost == 10 and 60 + gained - lost <= 80.001
+
+
+@pytest.mark.parametrize("copies, linked", [(2, 1.0), (3, 0.9), (20, 1.0)])
+def test_linked_texts_are_not_cut(frame, copies, linked):
+    n, shards = 2400, 40
+    rows = [(i, f"text {i // copies}" if i < linked * n else f"only {i}") for i in range(n)]
+    result = op.balanced_shards(frame(rows), shards)
+    placed = result.collect()
+    check(rows, placed, shards)
+    homes = defaultdict(set)
+    for r in placed:
+        homes[r.text_id].add(r.shard)
+    # At most one for each end of a shard, of 120 to 1,200 texts.
+    assert sum(len(h) > 1 for h in homes.values()) < shards
+    apart = op.cut_share(result).first()
+    assert apart.copies == linked * n and apart.apart < shards * copies // 2
+
+
+def test_hot_text_among_pairs(frame):
+    rows = [(i, "hot") for i in range(700)] + [(1000 + i, f"t {i // 2}") for i in range(1300)]
+    result = op.balanced_shards(frame(rows), 8).collect()
+    check(rows, result, 8)
+    held = Counter(r.shard for r in result if r.doc_id < 1000)
+    # Two whole shards; the remainder is a text like others.
+    assert [n for _, n in held.most_common(2)] == [250, 250]

@@ -2,18 +2,22 @@
 
 Documents with equal texts are linked: they should lie in one shard, so that a
 reader of a shard can drop its copies.  Linked documents start spread over all
-shards.  In each round a text's documents want to go where most of its
-documents are (a text too large for one shard, to as many shards as it fills);
-wishes are counted for each pair of shards, and as many are granted as are
-balanced by wishes the other way or by room within the shard's quota.
-Documents without a link have no wishes and fill up what is left, as do those
-that a shard has beyond its quota.  In the end the law ``rows`` holds: counts
-of any two shards differ by one at most.
+shards.  A text too large for a shard first fills whole shards; its remainder is a
+text like others.  In each round a text's documents want to go where most of its
+documents are, of equals to one drawn by hash; wishes are counted for each pair
+of shards, and as many are granted as are balanced by wishes the other way or by
+room within the shard's quota.  Rounds go on until the documents with wishes are
+fewer by less than a quarter.  Texts that then still lie in several shards, or lie
+beyond a shard's quota, are laid side by side into what is left of the quotas, so
+that only a text at the end of a shard is cut; documents without a link have no
+wishes and come last.  In the end the law ``rows`` holds: counts of any two shards
+differ by one at most.
 
 Each round is a join of documents with the counts of their text, and its labels
 are stored.  What reaches the driver is a number for each pair of shards.  Ranks
 are prefix sums over ``BUCKETS`` and inside each of them, so that no task sorts
-a shard.  All of it is DataFrame functions.
+a shard, and a text with many copies is ranked in pieces.  All of it is DataFrame
+functions.
 """
 
 from __future__ import annotations
@@ -25,11 +29,12 @@ from tidemark.llm.stored import stored
 
 SHARDS = 40
 OVERHEAD = 16
-ROUNDS = 4
 BUCKETS = 4096
 LAW = "rows"
 
 _STEPS = 1 << 20
+# Copies of one text that are ranked in one piece, at least.
+_PIECE = 64
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -45,23 +50,43 @@ def described(docs: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(rows: DataFrame, by: list[str]) -> DataFrame:
-    """``rows`` with ``rank``, gapless from 0 within each value of ``by``."""
-    draw = F.xxhash64("doc_id", "text_id")
-    dealt = rows.withColumn("draw", draw).withColumn("bucket", F.pmod("draw", F.lit(BUCKETS)))
-    counts = dealt.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("n"))
-    # At most BUCKETS rows for each value.
-    before = Window.partitionBy(*by).orderBy("bucket")
-    offsets = counts.select(*by, "bucket", (F.sum("n").over(before) - F.col("n")).alias("before"))
-    inside = Window.partitionBy(*by, "bucket").orderBy("draw", "doc_id", "text_id")
+def _ranked(rows: DataFrame, by: list[str], keys: dict[str, Column]) -> DataFrame:
+    """``rows`` with ``rank``, gapless from 0 within each value of ``by``, in the
+    order of ``keys``, then of texts."""
+    dealt = rows.withColumns({"draw": F.xxhash64("doc_id", "text_id")}).withColumns(keys)
+    counts = dealt.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("n"))
+    # About BUCKETS rows for each value.
+    before = Window.partitionBy(*by).orderBy(*keys)
+    offsets = counts.select(*by, *keys, (F.sum("n").over(before) - F.col("n")).alias("before"))
+    inside = Window.partitionBy(*by, *keys).orderBy("text_id", "draw", "doc_id")
     return (
         dealt.withColumn("place", F.row_number().over(inside) - 1)
-        .join(offsets, [*by, "bucket"])
+        .join(offsets, [*by, *keys])
         .withColumn("rank", F.col("before") + F.col("place"))
-        .drop("draw", "bucket", "place", "before")
+        .drop("draw", *keys, "place", "before")
     )
 
 
+def _spread(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Ranked in the order of hashes."""
+    return _ranked(rows, by, {"bucket": F.pmod("draw", F.lit(BUCKETS))})
+
+
+def _side_by_side(rows: DataFrame, by: list[str], total: int) -> DataFrame:
+    """Ranked so that rows of one text (of ``copies`` rows) are neighbours.  A text
+    with more than its share of ``total`` is dealt to pieces, so there are at most
+    3 * BUCKETS keys."""
+    piece = max(_PIECE, -(-total // BUCKETS))
+    many = F.col("copies") > piece
+    pieces = F.ceil(F.col("copies") / piece).cast("long")
+    keys = {
+        "bucket": F.pmod(F.xxhash64("text_id"), F.lit(BUCKETS)),
+        "hot": F.when(many, F.col("text_id")).otherwise(F.unhex(F.lit(""))),
+        "piece": F.when(many, F.pmod("draw", pieces)).otherwise(F.lit(0).cast("long")),
+    }
+    return _ranked(rows, by, keys)
+
+
 def quotas(rows: int, shards: int) -> list[int]:
     """Rows of each shard under the law."""
     return [rows // shards + (s < rows % shards) for s in range(shards)]
@@ -84,16 +109,17 @@ def granted(
     return share
 
 
-def _round(linked: DataFrame, turn: int, quota: list[int]) -> DataFrame:
-    """One step of label propagation over ``doc_id, text_id, shard``."""
+def _round(linked: DataFrame, turn: int, quota: list[int]) -> tuple[DataFrame, int]:
+    """One step of label propagation over ``doc_id, text_id, shard``; how many
+    documents wished to move."""
     shards = len(quota)
     load = [0] * shards
     for shard, n in linked.groupBy("shard").count().collect():
         load[shard] = n
     room = F.array(*[F.lit(max(0, q - n)).cast("long") for q, n in zip(quota, load, strict=True)])
     cells = linked.groupBy("text_id", "shard").agg(F.count(F.lit(1)).alias("n"))
-    # Best where the whole text fits, then where most of it is; at most one cell
-    # for each shard.
+    # Best where the whole text fits, then where most of it is, and of equals one by
+    # hash, so that wishes go both ways; at most one cell for each shard.
     homes = (
         cells.withColumn("room", F.element_at(room, F.col("shard") + 1))
         .groupBy("text_id")
@@ -104,22 +130,16 @@ def _round(linked: DataFrame, turn: int, quota: list[int]) -> DataFrame:
         .select(
             "text_id",
             F.expr(
-                f"""transform(slice(sort_array(transform(cells,
-                      c -> struct(copies - c.n <= c.room as fits, c.n as n, -c.at as rank)), false),
-                    1, cast(ceil(copies / {max(1, min(quota))}) as int)), c -> -c.rank)"""
-            ).alias("homes"),
+                f"""array_max(transform(cells,
+                      c -> struct(copies - c.n <= c.room as fits, c.n as n,
+                                  xxhash64(text_id, c.at, {turn}) as draw, c.at as at))).at"""
+            ).alias("wish"),
         )
     )
-    draw = F.xxhash64("doc_id", "text_id", F.lit(turn))
-    home = F.element_at("homes", (F.pmod(draw, F.size("homes")) + 1).cast("int"))
-    wished = stored(
-        linked.join(stored(homes), "text_id").withColumn(
-            "wish",
-            F.when(F.array_contains("homes", F.col("shard")), F.col("shard")).otherwise(home),
-        ).drop("homes")
-    )
+    wished = stored(linked.join(stored(homes), "text_id"))
     counts = wished.groupBy("shard", "wish").agg(F.count(F.lit(1))).collect()
-    share = granted({(s, w): n for s, w, n in counts if s != w}, load, quota)
+    wishes = {(s, w): n for s, w, n in counts if s != w}
+    share = granted(wishes, load, quota)
     # A number for each pair of shards, looked up by place.
     table = F.array(
         *[F.lit(int(share.get((i, j), 0) * _STEPS)) for i in range(shards) for j in range(shards)]
@@ -127,9 +147,67 @@ def _round(linked: DataFrame, turn: int, quota: list[int]) -> DataFrame:
     chance = F.pmod(F.xxhash64("doc_id", "text_id", F.lit(turn), F.lit("grant")), F.lit(_STEPS))
     place = (F.col("shard") * shards + F.col("wish") + 1).cast("int")
     moves = chance < F.element_at(table, place)
-    return wished.withColumn("shard", F.when(moves, F.col("wish")).otherwise(F.col("shard"))).drop(
-        "wish"
+    moved = wished.withColumn("shard", F.when(moves, F.col("wish")).otherwise(F.col("shard")))
+    return moved.drop("wish"), sum(wishes.values())
+
+
+def _listed(values: list[int], place: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), place + 1)
+
+
+def _interval(ends: list[int]) -> Column:
+    """Which interval ``rank`` lies in."""
+    listed = F.array(*[F.lit(end).cast("long") for end in ends])
+    return F.size(F.filter(listed, lambda end: end <= F.col("rank")))
+
+
+def _whole_shards(
+    large: DataFrame, total: int, least: int
+) -> tuple[DataFrame, DataFrame, int]:
+    """Texts of ``least`` rows and more, the smallest quota: rows that fill shards
+    from 0 on with their slots, the rows left over, and how many shards are filled."""
+    ranked = stored(_side_by_side(large, ["linked"], total))
+    # Rows for at most as many texts as shards.
+    texts = ranked.groupBy("text_id").agg(F.min("rank"), F.count(F.lit(1))).collect()
+    begins, ends, shards, sizes, filled = [], [], [], [], 0
+    for _, begin, copies in sorted(texts, key=lambda text: text[1]):
+        for at in range(begin, begin + copies, least):
+            size = min(least, begin + copies - at)
+            begins.append(at)
+            ends.append(at + size)
+            shards.append(filled if size == least else -1)
+            sizes.append(size)
+            filled += size == least
+    if not ends:
+        empty = large.limit(0).withColumn("shard", F.lit(0)).withColumn("slot", F.lit(0).cast("long"))
+        return empty, large.limit(0), 0
+    dealt = ranked.withColumn("of", _interval(ends)).withColumn(
+        "shard", _listed(shards, F.col("of")).cast("int")
+    )
+    own = large.columns
+    fixed = dealt.where("shard >= 0").select(
+        *own, "shard", (F.col("rank") - _listed(begins, F.col("of"))).alias("slot")
     )
+    rest = dealt.where("shard < 0").withColumn("copies", _listed(sizes, F.col("of")))
+    return fixed, rest.select(*own), filled
+
+
+def _limits(ranked: DataFrame, quota: list[int]) -> list[int]:
+    """Ranks that each shard keeps: its quota, less a text that begins before its
+    end and ends after it."""
+    end = _listed(quota, F.col("shard"))
+    # Two rows for each shard.
+    ids: dict[int, list[bytes]] = {}
+    for r in ranked.where((F.col("rank") == end) | (F.col("rank") == end - 1)).collect():
+        ids.setdefault(r.shard, []).append(bytes(r.text_id))
+    cut = {s: found[0] for s, found in ids.items() if len(found) == 2 and len(set(found)) == 1}
+    limits = list(quota)
+    if cut:
+        begins = ranked.where(F.col("text_id").isin(list(set(cut.values()))))
+        for s, text_id, begin in begins.groupBy("shard", "text_id").agg(F.min("rank")).collect():
+            if cut.get(s) == bytes(text_id):
+                limits[s] = begin
+    return limits
 
 
 def cut_share(placed: DataFrame) -> DataFrame:
@@ -143,14 +221,15 @@ def cut_share(placed: DataFrame) -> DataFrame:
     )
 
 
-def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc_id, size, text_crc32, text_id, law, shard, slot, grown_shard`` for
     every row of ``docs`` (``doc_id``, ``text``; other columns do not matter).
 
     Shards are ``0 .. shards - 1`` and their counts at most one apart; ``slot`` is
     gapless from 0 in each.  Null texts have only the overhead as size, and no
     links; empty texts are equal texts.  Repeated rows are placed one by one, and
-    null ids like others.  No rows give no rows.
+    null ids like others.  Of the texts that fit a shard, fewer than ``shards`` are
+    cut, and others fill whole shards.  No rows give no rows.
     """
     rows = stored(described(docs))
     total = rows.count()
@@ -161,18 +240,38 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         .groupBy("text_id")
         .agg(F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
-        .select(F.col("text_id").alias("of"), F.lit(True).alias("linked"))
+        .select(F.col("text_id").alias("of"), "copies")
     )
     marked = stored(rows.join(texts, F.col("text_id") == F.col("of"), "left").drop("of"))
-    linked = _ranked(marked.where("linked"), ["linked"]).select(
-        *rows.columns, F.pmod("rank", F.lit(shards)).cast("int").alias("shard")
+    one = marked.withColumn("linked", F.col("copies").isNotNull())
+    least = max(1, min(quota))
+    fixed, rest, filled = _whole_shards(
+        one.where("linked").where(F.col("copies") >= least), total, least
     )
-    linked = stored(linked)
-    for turn in range(rounds):
-        linked = stored(_round(linked, turn, quota))
-    own_quota = F.element_at(F.array(*map(F.lit, quota)), F.col("shard") + 1)
-    ranked = stored(_ranked(linked, ["shard"]).withColumn("fits", F.col("rank") < own_quota))
-    kept = ranked.where("fits").select(*rows.columns, "shard", F.col("rank").alias("slot"))
+    few = one.where("linked").where(F.col("copies") < least).union(rest)
+    room = [q - least * (s < filled) for s, q in enumerate(quota)]
+    begin = filled if filled < shards else 0
+    linked = _spread(few, ["linked"]).select(
+        *marked.columns, (F.pmod("rank", F.lit(shards - begin)) + begin).cast("int").alias("shard")
+    )
+    linked, before, turn, falls = stored(linked), 2 * total, 0, total > 0
+    # What is left by then is laid side by side, in whole.
+    while falls:
+        moved, wishes = _round(linked, turn, room)
+        linked, turn = stored(moved), turn + 1
+        falls, before = 0 < 4 * wishes < 3 * before, wishes
+    parts = stored(
+        linked.groupBy("text_id")
+        .agg(F.min("shard").alias("low"), F.max("shard").alias("high"))
+        .where("low < high")
+        .select(F.col("text_id").alias("of"), F.lit(True).alias("split"))
+    )
+    told = stored(linked.join(parts, F.col("text_id") == F.col("of"), "left").drop("of"))
+    ranked = stored(_side_by_side(told.where("split is null"), ["shard"], total).drop("split"))
+    fits = F.col("rank") < _listed(_limits(ranked, room), F.col("shard"))
+    slot = F.col("rank") + F.when(F.col("shard") < filled, least).otherwise(0)
+    kept = ranked.where(fits).select(*rows.columns, "shard", slot.alias("slot"))
+    kept = kept.union(fixed.select(*rows.columns, "shard", "slot"))
     # The others fill what is left, shard after shard.
     loads = {s: n for s, n in kept.groupBy("shard").count().collect()}
     begins, ends, taken, at = [], [], [], 0
@@ -181,28 +280,25 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         at += quota[s] - loads.get(s, 0)
         ends.append(at)
         taken.append(loads.get(s, 0))
-    loose = _ranked(
-        marked.where("linked is null")
-        .select(*rows.columns)
-        .union(ranked.where("not fits").select(*rows.columns))
-        .withColumn("linked", F.lit(False)),
-        ["linked"],
+    homeless = stored(
+        told.where("split")
+        .select(*marked.columns)
+        .union(ranked.where(~fits).select(*marked.columns))
+        .withColumn("linked", F.lit(True))
     )
-
-    def listed(values: list[int]) -> Column:
-        return F.array(*[F.lit(v).cast("long") for v in values])
-
-    shard = F.size(F.filter(listed(ends), lambda end: end <= F.col("rank")))
-    filled = loose.withColumn("shard", shard).select(
+    alone = _spread(one.where("not linked"), ["linked"])
+    alone = alone.withColumn("rank", F.col("rank") + homeless.count())
+    columns = [*rows.columns, "rank"]
+    loose = _side_by_side(homeless, ["linked"], total).select(*columns)
+    loose = loose.union(alone.select(*columns))
+    filling = loose.withColumn("shard", _interval(ends)).select(
         *rows.columns,
         "shard",
         (
-            F.col("rank")
-            - F.element_at(listed(begins), F.col("shard") + 1)
-            + F.element_at(listed(taken), F.col("shard") + 1)
+            F.col("rank") - _listed(begins, F.col("shard")) + _listed(taken, F.col("shard"))
         ).alias("slot"),
     )
-    return kept.union(filled).select(
+    return kept.union(filling).select(
         *rows.columns,
         F.lit(LAW).alias("law"),
         F.col("shard").cast("int").alias("shard"),
