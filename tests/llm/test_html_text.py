@@ -61,6 +61,28 @@ def test_parts_of_an_article_that_are_not_its_text():
     assert op.main_text(page(inside)) == f"Head\nSub\n{LONG.strip()}\none\ntwo"
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<article class='post comments-open'><p>{LONG}</p></article>", LONG.strip()),
+        (f"<main class='no-sidebar'><p>{LONG}</p></main>", LONG.strip()),
+        (f"<div class='content has-sidebar'><p>{LONG}</p></div>", LONG.strip()),
+        (f"<form><div><p>{LONG}</p><p>{LONG}</p></div></form>", f"{LONG.strip()}\n{LONG.strip()}"),
+        (
+            f"<article><p>{LONG}</p><section id=discussion><h2 id=related-work>Work</h2>"
+            "<p id=navy-blue>It is blue.</p></section><div class=share-buttons>no</div></article>",
+            f"{LONG.strip()}\nWork\nIt is blue.",
+        ),
+        (
+            f"<article><p>{LONG}</p></article><div id=comments><p>{LONG * 9}</p></div>",
+            LONG.strip(),
+        ),
+    ],
+)
+def test_names_leave_out_no_text(html, text):
+    assert op.main_text(html) == text
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 3000 + "<p>deep text</p>" + "</div>" * 3000
     assert op.main_text(deep) == "deep text"

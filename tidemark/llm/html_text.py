@@ -2,12 +2,13 @@
 
 A streaming parser turns a page into blocks in page order.  What the markup
 itself names as something else (menus, page headers, footers, adverts, forms,
-comments, hidden parts) is left out at once.  Each block, the *line* of the
-method, has a ratio of text to tags, links not counted as text; the ratios are
-smoothed by a Gaussian over neighbouring blocks, and those above the threshold
-(their standard deviation) are the content cluster.  The smallest region that
-holds the cluster, an ``article`` or ``main`` at the latest, is the main text, with
-its short blocks too: a one-word paragraph has a low ratio and still belongs.
+comments, hidden parts) is left out first; a class or an id counts only as a
+whole and on a container, and neither it nor a form hides what holds most of a
+page's text.  Each block, the *line* of the method, has a ratio of text to tags,
+links not counted as text; the ratios are smoothed by a Gaussian over neighbouring
+blocks, and those above the threshold (their standard deviation) are the content
+cluster.  The smallest region that holds nearly all of the cluster, an ``article`` or ``main`` at the latest, is the main text, with its short blocks too:
+a one-word paragraph has a low ratio and still belongs.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from tidemark.llm.stored import prepare
 
 SIGMA, RADIUS = 1.0, 3
 # A region is entered if it holds this share of the cluster's text.
-REGION_SHARE = 0.9
+ARTICLE_SHARE = 0.9
 
 # Fixed by HTML: elements without an end tag, and elements inside a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -38,21 +39,30 @@ CONTAINERS = frozenset("body article main section div td".split())
 REGIONS = frozenset(("article", "main"))
 # Never main text.
 OTHER = frozenset(
-    "head title script style noscript template nav header footer aside form button select "
+    "head title script style noscript template nav header footer aside button select "
     "textarea iframe object svg canvas audio video dialog menu fieldset datalist".split()
 )
 OTHER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu "
     "menubar toolbar".split()
 )
-# Words of a class or an id that name something else than main text.
+# Elements whose class or id can name something else than main text.
+NAMED = frozenset("div section ul ol li dl table tbody tr td center".split())
+# Words of such a class or id ...
 OTHER_NAMES = re.compile(
-    r"(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alerts?|"
-    r"popup|modal|overlay|newsletter|subscri\w*|signup|login|sidebars?|side|rail|menus?|nav\w*|"
-    r"breadcrumbs?|toolbar|pagination|pager|comments?|commentlist|respond|replies|reply|discussion|"
+    r"(?:ads?|advert(?:s|isements?|ising|orial)?|adbox|sponsor(?:s|ed)?|promo(?:s|ted|tions?)?|"
+    r"banners?|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|"
+    r"subscri(?:be|bers?|ptions?)|signup|login|sidebars?|rail|menus?|nav(?:s|bar|igation)?|"
+    r"breadcrumbs?|toolbar|pagination|pager|comments?|commentlist|respond|replies|reply|"
     r"disqus|shar(?:e|ing)|social|related|recommended|widgets?|footers?|copyright|disclaimer|"
     r"hidden|form)\Z"
 )
+# ... and words that may stand beside them: all of a name must be of both.
+BESIDE = frozenset(
+    "site page main primary secondary global left right top bottom sticky box block bar banner "
+    "section area container wrapper wrap inner outer list links items buttons icons posts "
+    "articles stories media".split()
+)
 # Outside an article only: its own header holds its heading.
 HEADER_NAMES = re.compile(r"(?:headers?|masthead|topbar)\Z")
 # A new one ends an open one, as end tags may be missing.
@@ -71,21 +81,39 @@ CLOSES_P = frozenset(
 )
 
 
-def _names_other(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+def _is_other_name(name: str, in_article: bool) -> bool:
+    words = [word for word in re.split(r"[^a-z0-9]+", name) if word]
+    named = [
+        bool(OTHER_NAMES.match(word) or (not in_article and HEADER_NAMES.match(word)))
+        for word in words
+    ]
+    return any(named) and all(n or w in BESIDE for n, w in zip(named, words, strict=True))
+
+
+def _is_hidden(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+    """What is never text."""
     if tag in OTHER:
         return tag != "header" or not in_article
+    for key, value in attrs:
+        if key == "hidden" or (key == "aria-hidden" and value == "true"):
+            return True
+        if key == "style" and "display:none" in (value or "").replace(" ", "").lower():
+            return True
+    return False
+
+
+def _names_other(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+    """What is named something else, unless it holds most of a page."""
+    if tag == "form":
+        return True
     for key, value in attrs:
         if key in ("class", "id"):
-            for word in re.split(r"[^a-z0-9]+", (value or "").lower()):
-                if OTHER_NAMES.match(word) or (not in_article and HEADER_NAMES.match(word)):
-                    return True
-        elif key == "role":
+            names = (value or "").lower().split() if tag in NAMED else []
+            if any(_is_other_name(name, in_article) for name in names):
+                return True
+        elif key == "role" and tag not in REGIONS:
             if (value or "").strip().lower() in OTHER_ROLES:
                 return True
-        elif key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
-        elif key == "style" and "display:none" in (value or "").replace(" ", "").lower():
-            return True
     return False
 
 
@@ -98,13 +126,18 @@ class _Blocks(HTMLParser):
         self.tags: list[int] = []
         self.links: list[int] = []
         self.regions: list[int] = []
+        # Innermost element around a block that is named something else; each has
+        # the one around it, and 0 is none.
+        self.named: list[int] = []
+        self.around = [0]
         # Regions in the order they begin, so parents come before children.
         self.parents, self.stops = [0], [False]
-        # Open elements: name, region before it, whether it is left out.
-        self._open: list[tuple[str, int, bool]] = []
+        # Open elements: name, region and named element before it, whether it is
+        # left out.
+        self._open: list[tuple[str, int, int, bool]] = []
         # How many of each are open, so that nothing is searched for in vain.
         self._names: Counter[str] = Counter()
-        self._region, self._other, self._in_link = 0, 0, 0
+        self._region, self._named, self._other, self._in_link = 0, 0, 0, 0
         self._parts: list[str] = []
         self._tags = self._links = 0
 
@@ -115,6 +148,7 @@ class _Blocks(HTMLParser):
             self.tags.append(self._tags)
             self.links.append(self._links)
             self.regions.append(self._region)
+            self.named.append(self._named)
             self._tags = 0
         self._parts.clear()
         self._links = 0
@@ -130,8 +164,12 @@ class _Blocks(HTMLParser):
         if tag in VOID:
             return
         in_article = any(self._names[name] for name in REGIONS)
-        other = tag not in ("body", "html") and _names_other(tag, attrs, in_article)
-        self._open.append((tag, self._region, other))
+        page = tag in ("body", "html")
+        other = not page and _is_hidden(tag, attrs, in_article)
+        self._open.append((tag, self._region, self._named, other))
+        if not page and not other and _names_other(tag, attrs, in_article):
+            self.around.append(self._named)
+            self._named = len(self.around) - 1
         self._names[tag] += 1
         self._other += other
         self._in_link += tag == "a"
@@ -162,10 +200,10 @@ class _Blocks(HTMLParser):
                 return
         else:
             return
-        if any(name not in INLINE for name, _, _ in self._open[i:]):
+        if any(name not in INLINE for name, *_ in self._open[i:]):
             self._end_block()
-        for name, region, other in reversed(self._open[i:]):
-            self._region = region
+        for name, region, named, other in reversed(self._open[i:]):
+            self._region, self._named = region, named
             self._other -= other
             self._in_link -= name == "a"
             self._names[name] -= 1
@@ -191,25 +229,71 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return both[0][inside] / both[1][inside]
 
 
-def _region_of(blocks: _Blocks, weight: np.ndarray) -> int:
+def _below(parents: list[int], root: int) -> np.ndarray:
+    """Which nodes are ``root`` or below it; parents come before children."""
+    inside = np.zeros(len(parents), bool)
+    inside[root] = True
+    for child in range(root + 1, len(parents)):
+        inside[child] = inside[parents[child]]
+    return inside
+
+
+def _left_out(blocks: _Blocks, plain: np.ndarray) -> np.ndarray:
+    """Blocks of elements that are named something else.  One that holds most of
+    the plain text is not, unless an article or main has text outside it."""
+    named, out = np.array(blocks.named), np.zeros(len(blocks.around), bool)
+    if len(out) == 1:
+        return out[named]
+    held = np.zeros(len(out))
+    np.add.at(held, named, plain)
+    for element in range(len(out) - 1, 0, -1):
+        held[blocks.around[element]] += held[element]
+    region = np.zeros(len(blocks.parents), bool)
+    for at in range(1, len(region)):
+        region[at] = blocks.stops[at] or region[blocks.parents[at]]
+    article = region[blocks.regions] & (plain > 0)
+    for element in range(1, len(out)):
+        if out[blocks.around[element]]:
+            out[element] = True
+        elif 2 * held[element] <= held[0]:
+            out[element] = True
+        else:
+            # What no element but those that are kept names.
+            outside = ~_below(blocks.around, element)[named] & article
+            kept = ~out & (np.arange(len(out)) < element)
+            out[element] = bool((outside & kept[named]).any())
+    return out[named]
+
+
+def _region_of(blocks: _Blocks, weight: np.ndarray, used: np.ndarray) -> int:
     """The smallest region with nearly all the weight, an article at the latest."""
-    held = np.zeros(len(blocks.parents))
-    np.add.at(held, blocks.regions, weight)
+    n = len(blocks.parents)
+    held, count = np.zeros(n), np.zeros(n)
+    for i in np.flatnonzero(used)[::-1]:
+        own = blocks.regions[i]
+        held[own] += weight[i]
+        count[own] += 1
     children: dict[int, list[int]] = {}
-    for region in range(len(held) - 1, 0, -1):
-        held[blocks.parents[region]] += held[region]
-        children.setdefault(blocks.parents[region], []).append(region)
-    count = np.bincount(blocks.regions, minlength=len(held))
-    for region in range(len(held) - 1, 0, -1):
-        count[blocks.parents[region]] += count[region]
+    for region in range(n - 1, 0, -1):
+        outer = blocks.parents[region]
+        held[outer] += held[region]
+        count[outer] += count[region]
+        children.setdefault(outer, []).append(region)
+    # Regions that are or hold such an article.
+    article = [stop and held[i] >= ARTICLE_SHARE * held[0] for i, stop in enumerate(blocks.stops)]
+    for region in range(n - 1, 0, -1):
+        article[blocks.parents[region]] |= article[region]
     at = 0
     while not blocks.stops[at]:
         inner = max(children.get(at, []), key=held.__getitem__, default=None)
-        if inner is None or held[inner] < REGION_SHARE * held[0]:
-            break
-        # A single block is no region, unless it is all there is.
-        if count[inner] < 2 and count[at] > 1 and not blocks.stops[inner]:
+        if inner is None:
             break
+        if not article[inner]:
+            if held[inner] < ARTICLE_SHARE * held[0]:
+                break
+            # A single block is no region, unless it is all there is.
+            if count[inner] < 2 and count[at] > 1:
+                break
         at = inner
     return at
 
@@ -223,19 +307,21 @@ def main_text(html: str | None) -> str:
         return ""
     sizes = np.array([len(text) for text in blocks.texts], float)
     plain = sizes - np.minimum(np.array(blocks.links, float), sizes)
-    ratios = smoothed(plain / np.maximum(1, blocks.tags))
-    content = ratios >= min(ratios.std(), ratios.max())
-    region = _region_of(blocks, np.where(content, plain, 0))
-    inside = np.zeros(len(blocks.parents), bool)
-    inside[region] = True
-    for child in range(region + 1, len(inside)):
-        inside[child] = inside[blocks.parents[child]]
-    return "\n".join(
-        text
-        for text, own, words, size in zip(blocks.texts, blocks.regions, plain, sizes, strict=True)
+    used = ~_left_out(blocks, plain)
+    if not used.any():
+        return ""
+    # Tags of what is left out count for the next block.
+    tags = np.diff(np.cumsum(blocks.tags)[used], prepend=0)
+    content, weight = np.zeros(len(used), bool), np.zeros(len(used))
+    ratios = smoothed(plain[used] / np.maximum(1, tags))
+    content[used] = ratios >= min(ratios.std(), ratios.max())
+    weight[content] = plain[content]
+    region = _region_of(blocks, weight, used)
+    keep = used & _below(blocks.parents, region)[blocks.regions]
+    if not blocks.stops[region]:
         # Outside an article, lists of links are no text.
-        if inside[own] and (blocks.stops[region] or 2 * words >= size)
-    )
+        keep &= 2 * plain >= sizes
+    return "\n".join(text for text, kept in zip(blocks.texts, keep, strict=True) if kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
