@@ -83,6 +83,16 @@ def test_names_leave_out_no_text(html, text):
     assert op.main_text(html) == text
 
 
+@pytest.mark.parametrize("length", [1, 5, 30])
+def test_headline_and_lead_before_an_inner_region(length):
+    linked = "<p><a href=x>A paragraph that is one link</a></p>"
+    body = f"<p>{LONG}</p>{linked}" + f"<p>{LONG}</p>" * length
+    html = f"<div id=content><h1>Head</h1><p>The lead.</p><div class=body>{body}</div></div>"
+    found = op.main_text(page(html)).split("\n")
+    assert found[:4] == ["Head", "The lead.", LONG.strip(), "A paragraph that is one link"]
+    assert len(found) == 4 + length
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 3000 + "<p>deep text</p>" + "</div>" * 3000
     assert op.main_text(deep) == "deep text"

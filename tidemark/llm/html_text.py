@@ -7,7 +7,8 @@ whole and on a container, and neither it nor a form hides what holds most of a
 page's text.  Each block, the *line* of the method, has a ratio of text to tags,
 links not counted as text; the ratios are smoothed by a Gaussian over neighbouring
 blocks, and those above the threshold (their standard deviation) are the content
-cluster.  The smallest region that holds nearly all of the cluster, an ``article`` or ``main`` at the latest, is the main text, with its short blocks too:
+cluster.  The smallest region that holds all of the cluster and its heading, an
+``article`` or ``main`` at the latest, is the main text, with its short blocks too:
 a one-word paragraph has a low ratio and still belongs.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.stored import prepare
 
 SIGMA, RADIUS = 1.0, 3
-# A region is entered if it holds this share of the cluster's text.
+# An article is entered if it holds this share of the cluster's text.
 ARTICLE_SHARE = 0.9
 
 # Fixed by HTML: elements without an end tag, and elements inside a line.
@@ -48,6 +49,7 @@ OTHER_ROLES = frozenset(
 )
 # Elements whose class or id can name something else than main text.
 NAMED = frozenset("div section ul ol li dl table tbody tr td center".split())
+HEADINGS = frozenset(("h1", "h2"))
 # Words of such a class or id ...
 OTHER_NAMES = re.compile(
     r"(?:ads?|advert(?:s|isements?|ising|orial)?|adbox|sponsor(?:s|ed)?|promo(?:s|ted|tions?)?|"
@@ -126,6 +128,7 @@ class _Blocks(HTMLParser):
         self.tags: list[int] = []
         self.links: list[int] = []
         self.regions: list[int] = []
+        self.headings: list[bool] = []
         # Innermost element around a block that is named something else; each has
         # the one around it, and 0 is none.
         self.named: list[int] = []
@@ -149,6 +152,7 @@ class _Blocks(HTMLParser):
             self.links.append(self._links)
             self.regions.append(self._region)
             self.named.append(self._named)
+            self.headings.append(any(self._names[name] for name in HEADINGS))
             self._tags = 0
         self._parts.clear()
         self._links = 0
@@ -266,18 +270,23 @@ def _left_out(blocks: _Blocks, plain: np.ndarray) -> np.ndarray:
 
 
 def _region_of(blocks: _Blocks, weight: np.ndarray, used: np.ndarray) -> int:
-    """The smallest region with nearly all the weight, an article at the latest."""
+    """The smallest region with all the weight and its heading, an article with
+    nearly all of it at the latest."""
     n = len(blocks.parents)
-    held, count = np.zeros(n), np.zeros(n)
+    held, count, first, heading = np.zeros(n), np.zeros(n), [len(used)] * n, [len(used)] * n
     for i in np.flatnonzero(used)[::-1]:
         own = blocks.regions[i]
         held[own] += weight[i]
         count[own] += 1
+        first[own] = i
+        if blocks.headings[i]:
+            heading[own] = i
     children: dict[int, list[int]] = {}
     for region in range(n - 1, 0, -1):
         outer = blocks.parents[region]
         held[outer] += held[region]
         count[outer] += count[region]
+        first[outer] = min(first[outer], first[region])
         children.setdefault(outer, []).append(region)
     # Regions that are or hold such an article.
     article = [stop and held[i] >= ARTICLE_SHARE * held[0] for i, stop in enumerate(blocks.stops)]
@@ -289,7 +298,8 @@ def _region_of(blocks: _Blocks, weight: np.ndarray, used: np.ndarray) -> int:
         if inner is None:
             break
         if not article[inner]:
-            if held[inner] < ARTICLE_SHARE * held[0]:
+            # All of the cluster; a heading before the region is the region's own.
+            if held[inner] < held[at] or heading[at] < first[inner]:
                 break
             # A single block is no region, unless it is all there is.
             if count[inner] < 2 and count[at] > 1:
@@ -298,6 +308,14 @@ def _region_of(blocks: _Blocks, weight: np.ndarray, used: np.ndarray) -> int:
     return at
 
 
+def _link_lists(heavy: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Blocks in runs of link-heavy ones outside the cluster."""
+    run = heavy & ~content
+    near = np.zeros(len(run) + 2, bool)
+    near[1:-1] = run
+    return run & (near[:-2] | near[2:])
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page, its blocks joined by a line feed."""
     parser = _Blocks()
@@ -320,7 +338,8 @@ def main_text(html: str | None) -> str:
     keep = used & _below(blocks.parents, region)[blocks.regions]
     if not blocks.stops[region]:
         # Outside an article, lists of links are no text.
-        keep &= 2 * plain >= sizes
+        at = np.flatnonzero(keep)
+        keep[at[_link_lists(2 * plain[at] < sizes[at], content[at])]] = False
     return "\n".join(text for text, kept in zip(blocks.texts, keep, strict=True) if kept)
 
 
