@@ -90,6 +90,24 @@ def test_judges_every_row(spark, pages):
     assert by_id[None].verdict == "block" and by_id[1004].verdict == "allow"
 
 
+def test_labels_with_digits_are_segmented(spark, pages):
+    words = op.Segmenter.of({"free": 9, "garden": 9, "news": 9, "win": 5}, 100)
+    for host, expected in [
+        ("freecasino777.com", ["free", "casino"]),
+        ("24cheappills", ["cheap", "pills"]),
+        ("win4bets", ["win", "bets"]),
+        ("777", []),
+    ]:
+        assert op.url_words(host, "", words, frozenset(["com"])) == expected
+    text = "<p>cheap pills and the garden news of our town</p>" * 20
+    rows = [(i, f"http://gardennews{i}.example.com/en/{i}", text) for i in range(20)]
+    rows += [(100, "http://cheappills24.example.com/en/1", None)]
+    df = pages(rows)
+    found = {r.page_id: r for r in op.filter_urls(df, op.train(df)).collect()}
+    assert found[100].words[:2] == ["cheap", "pills"] and found[100].verdict == "block"
+    assert found[3].words == ["garden", "news"] and found[3].verdict == "allow"
+
+
 def test_empty_table(pages):
     df = pages([])
     assert op.filter_urls(df, op.train(df)).collect() == []

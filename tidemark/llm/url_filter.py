@@ -134,8 +134,9 @@ class Segmenter:
 
 
 def url_words(host: str, path: str, segmenter: Segmenter, ignored: frozenset[str]) -> list[str]:
-    """Host words, segmented, and path words, marked as such; no numbers."""
-    labels = [w for w in re.split(r"[^\w]+|_", host) if w]
+    """Host words, cut at digits and segmented, and path words, marked as such; no
+    numbers."""
+    labels = [w for w in re.split(r"[^\w]+|_|\d+", host) if w]
     words = [w for label in labels for w in segmenter.split(label)]
     steps = [w.lower() for w in re.split(r"[^\w]+|_", path) if w]
     return [w for w in words if w not in ignored and not w.isdigit()] + [
