@@ -227,6 +227,170 @@ select d.doc_id, cast(len(w) as bigint) as n_words, len(w) - coalesce(n, 0) as n
 from d left join kept using (doc_id)
 """
 
+_ASSIGN = (
+    r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
+    r"|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+    r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+)
+# Kind, pattern, measured group, least length.
+_SECRETS = [
+    ("assign", _ASSIGN, 2, 8),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32),
+    ("pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+]
+
+
+def _found(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    return f"""
+  select doc, {number} as number, '{kind}' as kind, i, {least} as least,
+    len(gaps[i]) as gap, len(found[i]) as size, len(measured[i]) as measured
+  from (
+    select *, unnest(range(1, len(found) + 1)) as i from (
+      select doc, string_split_regex(text, '{pattern}') as gaps,
+        regexp_extract_all(text, '{pattern}') as found,
+        regexp_extract_all(text, '{pattern}', {group}) as measured
+      from d
+    )
+  )"""
+
+
+OP11 = f"""
+with d as (
+  select row_number() over () as doc, doc_id, coalesce(text, '') as text from documents
+),
+matches as ({" union all ".join(_found(i, *rule) for i, rule in enumerate(_SECRETS))}
+),
+spans as (
+  select *, stop - size as start,
+    kind || ':' || cast(stop - size as varchar) || ':' || cast(stop as varchar) as span
+  from (
+    select *, cast(sum(gap + size) over (partition by doc, number order by i) as bigint) as stop
+    from matches
+  ) where measured >= least
+),
+listed as (
+  select doc, count(*) filter (number = 0) as n_assign, count(*) filter (number = 1) as n_access,
+    count(*) filter (number = 2) as n_hex,
+    string_agg(span, ',' order by start, number) filter (number < 3) as base,
+    string_agg(span, ',' order by start, number) as spans
+  from spans group by doc
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+  coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
+  coalesce(spans, '') as spans
+from d left join listed using (doc)
+"""
+
+OP12 = f"""
+with d as (
+  select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all({_LOWER.format("text")}, '[a-z\\x{{80}}-\\x{{10FFFF}}]+') as w
+  from documents
+),
+uses as (select doc, lang, source, unnest(w) as term from d),
+kept as (
+  select lang, term, count(*)::hugeint as n from uses
+  group by lang, term having count(distinct doc) >= 3
+),
+langs as (select lang, count(*)::hugeint as v, sum(n)::hugeint as size from kept group by lang),
+groups as (select distinct lang, source from d),
+own as (
+  select lang, source, term, count(*)::hugeint as n from uses semi join kept using (lang, term)
+  group by lang, source, term
+),
+sizes as (
+  select lang, source, coalesce(sum(n), 0)::hugeint as size
+  from groups left join own using (lang, source) group by lang, source
+),
+shares as (
+  select lang, source, term, coalesce(own.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(own.n, 0) + 1)) // (sizes.size + v) as p,
+    1 + (1000000000::hugeint * (kept.n + 1)) // (langs.size + v) as q
+  from groups join kept using (lang) left join own using (lang, source, term)
+    join sizes using (lang, source) join langs using (lang)
+),
+pairs as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+  group by a.lang, a.source, b.source
+),
+rows as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join pairs on pairs.lang = a.lang and pairs.source = a.source and item = b.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q)) // q from shares where n > 0 and p > q
+),
+ranked as (
+  select *, row_number() over (
+    partition by lang, source, part order by value desc, encode(item)) as rank
+  from rows
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank
+from ranked where part = 'pair' or rank <= 200
+"""
+
+# The remainder of each byte, and of all bytes of a word.
+_CRC_TABLE = """list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end))"""
+
+OP13 = f"""
+with t as (select {_CRC_TABLE} as crc),
+d as (
+  select row_number() over () as doc, doc_id, {_INDEX_WORDS.format("text")} as w from documents
+),
+b as (select {_INDEX_WORDS.format("text")} as w from benchmark),
+vocabulary as (
+  select word, hex(encode(word)) as h from (
+    select unnest(w) as word from d union select unnest(w) from b)
+),
+buckets as (
+  select word, xor(list_reduce(
+      [4294967295] || list_transform(range(0, len(h) // 2),
+        lambda i: ('0x' || substr(h, cast(2 * i + 1 as int), 2))::bigint),
+      lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) % 10000 as bucket
+  from vocabulary, t
+),
+raw as (
+  select bucket, count(*) as s from (select unnest(w) as word from d) join buckets using (word)
+  group by bucket
+),
+aim as (
+  select bucket, count(*) as t from (select unnest(w) as word from b) join buckets using (word)
+  group by bucket
+),
+gains as (
+  select bucket, floor(1000 * ln(
+      ((coalesce(t, 0) + 1)::double * ((select coalesce(sum(s), 0) from raw) + 10000)::double)
+      / ((coalesce(s, 0) + 1)::double * ((select coalesce(sum(t), 0) from aim) + 10000)::double)
+    ))::bigint as gain
+  from raw full join aim using (bucket)
+),
+weights as (
+  select doc, cast(sum(gain) as bigint) as weight
+  from (select doc, unnest(w) as word from d) join buckets using (word) join gains using (bucket)
+  group by doc
+),
+scored as (
+  select doc_id, cast(len(w) as bigint) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000.0::double * ln(-ln((
+      ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296.0::double
+    )))::bigint as score
+  from d left join weights using (doc)
+),
+ranked as (
+  select *, row_number() over (
+    partition by n_features >= 20 order by score desc, doc_id, n_features) as place,
+    count(*) over (partition by n_features >= 20) as n
+  from scored
+)
+select doc_id, n_features, weight, score,
+  case when n_features >= 20 and place <= 10 * n // 100 then place end as rank
+from ranked
+"""
+
 SQL: dict[str, str] = {
     "op2_minmax_near_dedup": OP2,
     "op3_chat_render": OP3,
@@ -234,4 +398,7 @@ SQL: dict[str, str] = {
     "op7_substring_dedup": OP7,
     "op8_source_mix": OP8,
     "op9_decontaminate": OP9,
+    "op11_secret_ledger": OP11,
+    "op12_source_audit": OP12,
+    "op13_importance_resampling": OP13,
 }

@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import (
     chat_render,
     decontaminate,
+    importance_resampling,
     pu_quality,
     rule_ledger,
+    secret_ledger,
+    source_audit,
     source_mix,
     substring_repeats,
     url_filter,
@@ -78,6 +81,23 @@ def op10_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(_table(spark, sf_dir, "documents")).drop("text_id")
 
 
+def op11_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return secret_ledger.digest(
+        secret_ledger.findings(documents, secret_ledger.scan(documents))
+    )
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -93,5 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mix,
         op9_decontaminate,
         op10_balanced_shards,
+        op11_secret_ledger,
+        op12_source_audit,
+        op13_importance_resampling,
     )
 }
