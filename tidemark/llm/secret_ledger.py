@@ -62,7 +62,9 @@ FURTHER = (
 )
 RULES = BASE + FURTHER
 
-ENTRY = "blob binary, scanned array<string>, spans array<struct<start: int, rule: string, end: int>>"
+# Spans in a ledger row, and as findings.
+ENTRY_SPANS = "array<struct<start: int, rule: string, end: int>>"
+FOUND_SPANS = "array<struct<start: int, kind: string, end: int>>"
 
 
 def _text() -> Column:
@@ -114,9 +116,7 @@ def _matches(rule: Rule) -> Column:
     )
     # What follows the last match is a gap without one.
     found = F.filter(lengths, lambda m: m["size"].isNotNull())
-    return F.when(
-        F.array_contains("todo", rule.id) & F.col("text").rlike(rule.pattern), found
-    )
+    return F.when(F.array_contains("todo", rule.id) & F.col("text").rlike(rule.pattern), found)
 
 
 def spans(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -138,6 +138,7 @@ def spans(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
     before = Window.partitionBy("blob", "row", "number").orderBy("pos")
     end = F.sum(F.col("gap") + F.col("size")).over(before)
+    start = (F.col("end") - F.col("size")).alias("start")
     least = F.element_at(F.array(*[F.lit(rule.least) for rule in rules]), F.col("number") + 1)
     rule = F.element_at(F.array(*[F.lit(rule.id) for rule in rules]), F.col("number") + 1)
     found = (
@@ -145,8 +146,7 @@ def spans(texts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         .where(F.col("measured") >= least)
         .groupBy("blob")
         # A set, as a version may be listed twice.
-        .agg(F.collect_set(F.struct((F.col("end") - F.col("size")).alias("start"), "number",
-                                    rule.alias("rule"), "end")).alias("found"))
+        .agg(F.collect_set(F.struct(start, "number", rule.alias("rule"), "end")).alias("found"))
     )
     ordered = F.transform(
         F.sort_array("found"), lambda s: F.struct(s["start"], s["rule"], s["end"])
@@ -179,8 +179,7 @@ def scan(
         new.join(found, "blob", "left").select(
             "blob",
             F.col("todo").alias("scanned"),
-            F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,rule:string,end:int>>)"))
-            .alias("spans"),
+            F.coalesce("spans", F.array().cast(ENTRY_SPANS)).alias("spans"),
         )
     )
 
@@ -203,7 +202,9 @@ def findings(
     )
     numbered = F.transform(
         F.filter("all", lambda s: s["rule"].isin(ids)),
-        lambda s: F.struct(s["start"], F.array_position(order, s["rule"]).alias("number"), s["end"]),
+        lambda s: F.struct(
+            s["start"], F.array_position(order, s["rule"]).alias("number"), s["end"]
+        ),
     )
     named = F.transform(
         # Of a blob that was scanned twice at once, each span is told once.
@@ -214,7 +215,7 @@ def findings(
             s["end"].alias("end"),
         ),
     )
-    nothing = F.expr("cast(array() as array<struct<start:int,kind:string,end:int>>)")
+    nothing = F.array().cast(FOUND_SPANS)
     return addresses(versions, path).join(
         known.select("blob", named.alias("spans")), "blob", "left"
     ).select(*path, F.coalesce("spans", nothing).alias("spans"))
@@ -224,7 +225,9 @@ def _listed(found: Column) -> Column:
     return F.array_join(
         F.transform(
             found,
-            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+            lambda s: F.concat_ws(
+                ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")
+            ),
         ),
         ",",
     )
@@ -234,16 +237,15 @@ def digest(found: DataFrame) -> DataFrame:
     """``findings`` of documents as counts of the base rules, the digest of their
     spans, and all spans."""
     base = [rule.kind for rule in BASE]
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind))
-        .cast("long")
-        .alias(f"n_{kind}")
-        for kind in base
-    ]
+
+    def count(kind: str) -> Column:
+        found = F.filter("spans", lambda s: s["kind"] == kind)
+        return F.size(found).cast("long").alias(f"n_{kind}")
+
     own = F.filter("spans", lambda s: s["kind"].isin(base))
     return found.select(
         "doc_id",
-        *counts,
+        *map(count, base),
         F.sha2(_listed(own), 256).alias("base_sha256"),
         _listed(F.col("spans")).alias("spans"),
     )
