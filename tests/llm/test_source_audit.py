@@ -104,12 +104,13 @@ def test_no_rows(make):
     assert audit(make([])).count() == 0
 
 
-def test_terms_have_digests_of_their_own(make):
-    found = source_audit.tallies(make(rows_of(7)))
-    distinct = found.select("term").distinct().count()
-    assert found.select("digest").distinct().count() == distinct
-    few = source_audit.tallies(make(rows_of(7)), bits=3)
-    assert few.select("digest").distinct().count() == 8
+def test_only_kept_terms_have_their_strings_compared(make):
+    docs = make(rows_of(7))
+    for bits, shared in ((64, False), (3, True)):
+        occur = source_audit.occurrences(source_audit.tallies(docs, bits), 3)
+        names = source_audit.dictionary(docs, occur.select("lang", "digest"), bits)
+        assert names.count() == occur.where("first").count()
+        assert bool(names.where("low <> high").count()) == shared
 
 
 def test_pieces_cut_no_term(monkeypatch):

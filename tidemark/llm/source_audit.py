@@ -1,11 +1,10 @@
 r"""Source divergence audit: which sources of a language differ, and in what terms.
 
-Tasks tally the terms of the texts they read, and each tally carries a 64-bit
-digest of its term.  Counts are shuffled by digest, as rows of fixed width;
-strings stay where they were tallied.  The smallest and the largest string of
-every digest show whether two terms share it; the tallies of such a digest, and
-no others, are counted again by their strings.  Strings are joined back only to
-the terms that are returned.
+Tasks tally the terms of the texts they read and hand on rows of fixed width: a
+64-bit digest of the term and its counts.  Those are all that counting shuffles.
+Of the digests that are kept, the smallest and the largest string show whether
+terms share one; these terms, and no others, are counted again by their strings.
+Strings are joined back only to the terms that are returned.
 
 A pair of sources is compared over all kept terms of the language, but most of
 them occur in neither: a term that does not occur has one smoothed share per
@@ -17,7 +16,7 @@ integers.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ SCALE = 1_000_000_000
 
 # Terms held by a task before it hands on what it has counted, and bytes of a
 # text that are cut into terms at once.
-HELD = 1 << 18
+HELD = 1 << 19
 PIECE = 1 << 20
 
 # Groups of language and source that are broadcast; a row has about 100 bytes.
@@ -65,7 +64,7 @@ def digests(terms: list[bytes], bits: int) -> np.ndarray:
     return (values >> np.uint64(64 - bits)).view(np.int64)
 
 
-def _tallies(bits: int):
+def _tallies(bits: int, with_terms: bool = False) -> Callable:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # By group: occurrences of each term, and documents that have it.
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
@@ -73,19 +72,16 @@ def _tallies(bits: int):
         def handed_on() -> Iterator[pa.RecordBatch]:
             for (lang, source), (uses, docs) in held.items():
                 terms = list(uses)
-                if not terms:
-                    continue
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(terms), pa.string()),
-                        pa.array([source] * len(terms), pa.string()),
-                        pa.array(digests(terms, bits)),
-                        pa.array(list(uses.values()), pa.int64()),
-                        pa.array([docs[t] for t in terms], pa.int64()),
-                        pa.array(terms, pa.binary()),
-                    ],
-                    names=["lang", "source", "digest", "n", "docs", "term"],
-                )
+                columns = {
+                    "lang": pa.array([lang] * len(terms), pa.string()),
+                    "source": pa.array([source] * len(terms), pa.string()),
+                    "digest": pa.array(digests(terms, bits)),
+                    "n": pa.array(list(uses.values()), pa.int64()),
+                    "docs": pa.array([docs[t] for t in terms], pa.int64()),
+                }
+                if with_terms:
+                    columns["split"] = pa.array(terms, pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
             held.clear()
 
         for batch in batches:
@@ -103,6 +99,34 @@ def _tallies(bits: int):
     return counted
 
 
+def _strings(bits: int) -> Callable:
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, set[bytes]] = {}
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for lang, found in held.items():
+                terms = list(found)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * len(terms), pa.string()),
+                        pa.array(digests(terms, bits)),
+                        pa.array(terms, pa.binary()),
+                    ],
+                    names=["lang", "digest", "term"],
+                )
+            held.clear()
+
+        for batch in batches:
+            for lang, text in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
+                for terms in pieces(text):
+                    held.setdefault(lang, set()).update(terms)
+            if sum(map(len, held.values())) > HELD:
+                yield from handed_on()
+        yield from handed_on()
+
+    return listed
+
+
 def documents_of(docs: DataFrame) -> DataFrame:
     """``lang, source, text`` with nulls as empty strings; the text as bytes."""
     lang, source, text = (
@@ -112,30 +136,66 @@ def documents_of(docs: DataFrame) -> DataFrame:
 
 
 def tallies(docs: DataFrame, bits: int = 64) -> DataFrame:
-    """``lang, source, digest, n, docs, term``: how often and in how many documents
-    a term occurs in what a task has read of a group, in one or more rows."""
+    """``lang, source, digest, split, n, docs``: how often, and in how many documents,
+    a digest's terms occur in what a task has read of a group."""
     prepare(docs.sparkSession)
-    return documents_of(docs).mapInArrow(
-        _tallies(bits),
-        "lang string, source string, digest long, n long, docs long, term binary",
+    schema = "lang string, source string, digest long, n long, docs long"
+    return (
+        documents_of(docs)
+        .mapInArrow(_tallies(bits), schema)
+        .withColumn("split", F.lit(b""))
+    )
+
+
+def strings(docs: DataFrame, bits: int = 64) -> DataFrame:
+    """``lang, digest, term``: the terms in what a task has read of a language."""
+    prepare(docs.sparkSession)
+    texts = documents_of(docs).select("lang", "text")
+    return texts.mapInArrow(_strings(bits), "lang string, digest long, term binary")
+
+
+def occurrences(found: DataFrame, least_docs: int) -> DataFrame:
+    """``lang, digest, split, source, n, total, first`` for each kept term and
+    source that has it: its count there and in the language; ``first`` marks one
+    row of each term.  Tallies are moved once, to all of their term."""
+    term = Window.partitionBy(*KEY)
+    return (
+        found.repartition("lang", "digest")
+        .groupBy(*KEY, "source")
+        .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        .select(
+            *KEY,
+            "source",
+            "n",
+            F.sum("n").over(term).alias("total"),
+            F.sum("docs").over(term).alias("in_docs"),
+            (F.row_number().over(term.orderBy("source")) == 1).alias("first"),
+        )
+        .where(F.col("in_docs") >= least_docs)
+        .drop("in_docs")
     )
 
 
-def counts(found: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """``lang, source, digest, split, n, docs``: tallies added up by digest; those
-    of a digest that several terms of the language share by ``split``, the term."""
-    shared = stored(dictionary.where("low <> high").select("lang", "digest"))
-    total = [F.sum("n").alias("n"), F.sum("docs").alias("docs")]
-    whole = found.groupBy("lang", "source", "digest").agg(*total)
-    whole = whole.withColumn("split", F.lit(b""))
-    if not shared.limit(1).count():
-        return whole
-    apart = (
-        found.join(shared, ["lang", "digest"])
-        .groupBy("lang", "source", "digest", F.col("term").alias("split"))
-        .agg(*total)
+def dictionary(docs: DataFrame, kept: DataFrame, bits: int = 64) -> DataFrame:
+    """``lang, digest, low, high``: the smallest and the largest string of each
+    digest in ``kept`` (``lang, digest``)."""
+    return (
+        strings(docs, bits)
+        .repartition("lang", "digest")
+        .groupBy("lang", "digest")
+        .agg(F.min("term").alias("low"), F.max("term").alias("high"))
+        .join(kept, ["lang", "digest"], "left_semi")
     )
-    return whole.join(shared, ["lang", "digest"], "left_anti").unionByName(apart)
+
+
+def split(docs: DataFrame, shared: DataFrame, least_docs: int, bits: int) -> DataFrame:
+    """``occurrences`` of the terms of digests in ``shared`` (``lang, digest``),
+    which are counted by their strings."""
+    prepare(docs.sparkSession)
+    schema = "lang string, source string, digest long, n long, docs long, split binary"
+    texts = documents_of(docs)
+    found = texts.mapInArrow(_tallies(bits, with_terms=True), schema)
+    return occurrences(found.join(shared, ["lang", "digest"]), least_docs)
 
 
 def smoothed(n: Column | str, total: Column | str, kept: Column | str) -> Column:
@@ -156,25 +216,6 @@ def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_GROUPS else rows
 
 
-def occurrences(counted: DataFrame, least_docs: int) -> DataFrame:
-    """``lang, digest, split, source, n, total, first`` for each kept term and
-    source that has it: its count there and in the language; ``first`` marks one
-    row of each term."""
-    term = Window.partitionBy(*KEY)
-    return (
-        counted.select(
-            *KEY,
-            "source",
-            "n",
-            F.sum("n").over(term).alias("total"),
-            F.sum("docs").over(term).alias("in_docs"),
-            (F.row_number().over(term.orderBy("source")) == 1).alias("first"),
-        )
-        .where(F.col("in_docs") >= least_docs)
-        .drop("in_docs")
-    )
-
-
 def group_sizes(groups: DataFrame, found: DataFrame) -> DataFrame:
     """``lang, source, size, terms, kept, lang_size, p0`` of every group: kept
     occurrences and terms, those of its language, the share of an absent term."""
@@ -252,7 +293,7 @@ def pair_part(shares: DataFrame, sizes: DataFrame) -> DataFrame:
     )
 
 
-def term_part(shares: DataFrame, dictionary: DataFrame, ranks: int) -> DataFrame:
+def term_part(shares: DataFrame, names: DataFrame, ranks: int) -> DataFrame:
     """``lang, source, item, value``: of each group the ``ranks`` terms whose share
     is furthest above the language's, and those that tie with the last of them."""
     above = shares.where("p > q").select(
@@ -266,9 +307,8 @@ def term_part(shares: DataFrame, dictionary: DataFrame, ranks: int) -> DataFrame
         .agg(F.min("value").alias("least"))
     )
     chosen = above.join(_few(stored(least)), ["lang", "source"]).where("value >= least")
-    names = dictionary.select("lang", "digest", "low")
     item = F.when(F.length("split") > 0, F.col("split")).otherwise(F.col("low"))
-    return stored(chosen).join(names, ["lang", "digest"]).select(
+    return stored(chosen).join(names.drop("high"), ["lang", "digest"]).select(
         "lang", "source", item.cast("string").alias("item"), "value"
     )
 
@@ -290,11 +330,13 @@ def audit(
     as often as they are there.  Equal values rank by item, as bytes.  No rows give
     no rows.  ``bits`` are those of a digest: fewer split more, and change nothing.
     """
-    found = stored(tallies(docs, bits))
-    dictionary = stored(
-        found.groupBy("lang", "digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
-    )
-    occur = stored(occurrences(counts(found, dictionary), least_docs))
+    occur = stored(occurrences(tallies(docs, bits), least_docs))
+    names = stored(dictionary(docs, occur.where("first").select("lang", "digest"), bits))
+    shared = stored(names.where("low <> high").select("lang", "digest"))
+    if shared.limit(1).count():
+        apart = split(docs, shared, least_docs, bits)
+        whole = occur.join(shared, ["lang", "digest"], "left_anti")
+        occur = stored(whole.unionByName(apart))
     groups = documents_of(docs).select("lang", "source").distinct()
     sizes = stored(group_sizes(groups, occur))
     shares = stored(
@@ -309,7 +351,7 @@ def audit(
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     parts = (
         ("pair", pair_part(shares, sizes), None),
-        ("term", term_part(shares, dictionary, ranks), ranks),
+        ("term", term_part(shares, names, ranks), ranks),
     )
     ranked = []
     for part, rows, last in parts:
