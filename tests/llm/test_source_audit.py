@@ -109,10 +109,17 @@ def test_only_kept_terms_have_their_strings_compared(make):
     for bits, shared in ((64, False), (3, True)):
         occur = source_audit.occurrences(source_audit.tallies(docs, bits), 3)
         names = source_audit.dictionary(docs, occur.select("lang", "digest"), bits)
-        assert names.count() == occur.where("first").count()
+        assert names.count() == occur.count()
         assert bool(names.where("low <> high").count()) == shared
 
 
+def test_shares_of_huge_counts(spark):
+    cases = [(n, 10**18, 12345) for n in (0, 9 * 10**9, 2**63 // 10**9 - 2, 10**12, 10**18)]
+    rows = spark.createDataFrame(cases, "n long, total long, kept long")
+    found = [r[0] for r in rows.select(source_audit.smoothed("n", "total", "kept")).collect()]
+    assert found == [1 + 10**9 * (n + 1) // (total + kept) for n, total, kept in cases]
+
+
 def test_pieces_cut_no_term(monkeypatch):
     monkeypatch.setattr(source_audit, "PIECE", 7)
     text = "One twothreefour é" * 20 + "x" * 50

@@ -155,24 +155,22 @@ def strings(docs: DataFrame, bits: int = 64) -> DataFrame:
 
 
 def occurrences(found: DataFrame, least_docs: int) -> DataFrame:
-    """``lang, digest, split, source, n, total, first`` for each kept term and
-    source that has it: its count there and in the language; ``first`` marks one
-    row of each term.  Tallies are moved once, to all of their term."""
-    term = Window.partitionBy(*KEY)
+    """``lang, digest, split, total, uses`` for each kept term: its count in the
+    language, and ``source, n`` of the sources that have it.  Tallies are moved
+    once, to all of their term."""
     return (
         found.repartition("lang", "digest")
         .groupBy(*KEY, "source")
         .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-        .select(
-            *KEY,
-            "source",
-            "n",
-            F.sum("n").over(term).alias("total"),
-            F.sum("docs").over(term).alias("in_docs"),
-            (F.row_number().over(term.orderBy("source")) == 1).alias("first"),
+        .groupBy(*KEY)
+        .agg(
+            F.sum("n").alias("total"),
+            F.sum("docs").alias("docs"),
+            # At most one entry for each source.
+            F.collect_list(F.struct("source", "n")).alias("uses"),
         )
-        .where(F.col("in_docs") >= least_docs)
-        .drop("in_docs")
+        .where(F.col("docs") >= least_docs)
+        .drop("docs")
     )
 
 
@@ -201,9 +199,12 @@ def split(docs: DataFrame, shared: DataFrame, least_docs: int, bits: int) -> Dat
 def smoothed(n: Column | str, total: Column | str, kept: Column | str) -> Column:
     """``1 + floor(SCALE * (n + 1) / (total + kept))``; 1 where nothing is kept."""
     n, total, kept = (F.col(c) if isinstance(c, str) else c for c in (n, total, kept))
-    of = F.greatest(total + kept, F.lit(1)).cast("decimal(20,0)")
-    share = F.lit(SCALE).cast("decimal(10,0)") * (n + 1).cast("decimal(20,0)")
-    return 1 + F.call_function("div", share, of)
+    of = F.greatest(total + kept, F.lit(1))
+    # The product fits 64 bits, or is formed as a decimal.
+    long = F.call_function("div", F.lit(SCALE).cast("long") * (n + 1), of)
+    wide = F.lit(SCALE).cast("decimal(10,0)") * (n + 1).cast("decimal(20,0)")
+    wide = F.call_function("div", wide, of.cast("decimal(20,0)"))
+    return 1 + F.when(n < 2**63 // SCALE - 1, long).otherwise(wide)
 
 
 def distance(p: str, q: str) -> Column:
@@ -216,14 +217,16 @@ def _few(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_GROUPS else rows
 
 
-def group_sizes(groups: DataFrame, found: DataFrame) -> DataFrame:
+def group_sizes(groups: DataFrame, occur: DataFrame) -> DataFrame:
     """``lang, source, size, terms, kept, lang_size, p0`` of every group: kept
     occurrences and terms, those of its language, the share of an absent term."""
-    own = found.groupBy("lang", "source").agg(
-        F.sum("n").alias("size"), F.count(F.lit(1)).alias("terms")
+    own = (
+        occur.select("lang", F.inline("uses"))
+        .groupBy("lang", "source")
+        .agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("terms"))
     )
-    lang = found.groupBy("lang").agg(
-        F.sum("n").alias("lang_size"), F.count_if("first").alias("kept")
+    lang = occur.groupBy("lang").agg(
+        F.sum("total").alias("lang_size"), F.count(F.lit(1)).alias("kept")
     )
     return (
         groups.join(own, ["lang", "source"], "left")
@@ -233,10 +236,8 @@ def group_sizes(groups: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def pair_part(shares: DataFrame, sizes: DataFrame) -> DataFrame:
+def pair_part(occur: DataFrame, shares: DataFrame, sizes: DataFrame) -> DataFrame:
     """``lang, source, item, value`` for every two sources of a language."""
-    one = shares.select(*KEY, *[F.col(c).alias(f"{c}1") for c in ("source", "p", "p0")])
-    two = shares.select(*KEY, *[F.col(c).alias(f"{c}2") for c in ("source", "p", "p0")])
 
     def beyond(a: str, b: str) -> Column:
         """What a term both have adds to a sum over those of one and none."""
@@ -247,9 +248,20 @@ def pair_part(shares: DataFrame, sizes: DataFrame) -> DataFrame:
             + distance(f"p0{a}", f"p0{b}")
         )
 
+    def shared(number: str) -> DataFrame:
+        """The sizes of one of two groups."""
+        of = {c: f"{c}{number}" for c in ("source", "size", "p0")}
+        return _few(sizes.select("lang", "kept", "source", "size", "p0").withColumnsRenamed(of))
+
+    # The sources of a term, against each other.
     both = (
-        one.join(two, KEY)
+        occur.select("lang", F.inline("uses").alias("source1", "n1"), "uses")
+        .select("lang", "source1", "n1", F.inline("uses").alias("source2", "n2"))
         .where("source1 < source2")
+        .join(shared("1"), ["lang", "source1"])
+        .join(shared("2").drop("kept"), ["lang", "source2"])
+        .withColumn("p1", smoothed("n1", "size1", "kept"))
+        .withColumn("p2", smoothed("n2", "size2", "kept"))
         .groupBy("lang", "source1", "source2")
         .agg(F.sum(beyond("1", "2")).alias("v12"), F.sum(beyond("2", "1")).alias("v21"))
     )
@@ -331,7 +343,7 @@ def audit(
     no rows.  ``bits`` are those of a digest: fewer split more, and change nothing.
     """
     occur = stored(occurrences(tallies(docs, bits), least_docs))
-    names = stored(dictionary(docs, occur.where("first").select("lang", "digest"), bits))
+    names = stored(dictionary(docs, occur.select("lang", "digest"), bits))
     shared = stored(names.where("low <> high").select("lang", "digest"))
     if shared.limit(1).count():
         apart = split(docs, shared, least_docs, bits)
@@ -339,18 +351,19 @@ def audit(
         occur = stored(whole.unionByName(apart))
     groups = documents_of(docs).select("lang", "source").distinct()
     sizes = stored(group_sizes(groups, occur))
-    shares = stored(
-        occur.join(_few(sizes), ["lang", "source"]).select(
+    shares = (
+        occur.select(*KEY, "total", F.inline("uses"))
+        .join(_few(sizes), ["lang", "source"])
+        .select(
             *KEY,
             "source",
-            "p0",
             smoothed("n", "size", "kept").alias("p"),
             smoothed("total", "lang_size", "kept").alias("q"),
         )
     )
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     parts = (
-        ("pair", pair_part(shares, sizes), None),
+        ("pair", pair_part(occur, shares, sizes), None),
         ("term", term_part(shares, names, ranks), ranks),
     )
     ranked = []
