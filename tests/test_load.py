@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from tidemark import COURSES, ConstraintError, FrameSource, Warehouse, load, run
 from tidemark.operators import star_join
-from tidemark.plans.files import names_in
-from tidemark.plans.warehouse import shift_for
+from tidemark.plans.pipeline import refresh_mart
 from tidemark.sources import inline_rows
 from tidemark.sources.sample import sample_tables
 
 TABLES = [*COURSES.targets, COURSES.mart.name]
 DAY, HOUR = dt.timedelta(days=1), dt.timedelta(hours=1)
+# Four keys in a partition.
+SMALL = COURSES.with_bucket_bits(dict.fromkeys(COURSES.targets, 2))
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,26 @@ def sample(spark, as_of):
 
 @pytest.fixture
 def warehouse(spark, new_root):
-    return Warehouse.create(spark, new_root(), COURSES, bucket_rows=4)
+    return Warehouse.create(spark, new_root(), SMALL)
+
+
+def files(warehouse):
+    """For every table the data files of each partition."""
+    found = {}
+    for name in TABLES:
+        found[name] = {}
+        for path in warehouse.spark.table(warehouse.name_of(name)).inputFiles():
+            bucket = int(path.split("key_bucket=")[1].split("/")[0])
+            found[name].setdefault(bucket, set()).add(path)
+    return found
+
+
+def rewritten(before, after):
+    """For every table the partitions whose files have changed."""
+    return {
+        name: {b for b in before[name] | after[name] if before[name].get(b) != after[name].get(b)}
+        for name in TABLES
+    }
 
 
 @pytest.fixture
@@ -69,15 +89,15 @@ def breaking_sources(spark, sample, as_of):
     "rule",
     ["duplicate_keys", "null_keys", "title_too_long", "homework_url_too_long", "unknown keys"],
 )
-def test_broken_rule_raises_and_publishes_nothing(
+def test_broken_rule_raises_and_changes_only_the_stage(
     spark, sample, warehouse, as_of, content, rule
 ):
-    before, version = content(warehouse), warehouse.version()
+    run(COURSES, FrameSource(sample), warehouse, "2024-02-01", "2024-03-01")
+    before, stored = content(warehouse), files(warehouse)
     source = breaking_sources(spark, sample, as_of)[rule]
     with pytest.raises(ConstraintError, match=rule):
         run(COURSES, source, warehouse, "2021-01-01", as_of)
-    assert warehouse.version() == version
-    assert content(warehouse) == before
+    assert content(warehouse) == before and files(warehouse) == stored
     # The stage shows what was tried, and the next good load replaces it.
     assert warehouse.staged("d_course").count() >= 4
     good = run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
@@ -89,88 +109,73 @@ def test_malformed_date_raises(sample, warehouse):
         run(COURSES, FrameSource(sample), warehouse, date="first of May")
 
 
-def test_of_two_overlapping_loads_one_stands(sample, warehouse, as_of):
+def test_a_new_session_finds_the_tables(spark, sample, warehouse, as_of, content):
     run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
-    late = warehouse.begin()
-    run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
-    version = warehouse.version()
-    with pytest.raises(FileExistsError):
-        late.publish()
-    assert warehouse.version() == version
+    before = content(warehouse)
+    for name in TABLES:
+        spark.sql(f"drop table {warehouse.name_of(name)}")
+    found = Warehouse(spark, warehouse.root, SMALL)
+    assert content(found) == before
+    again = run(COURSES, FrameSource(sample), found, "2021-01-01", as_of)
+    assert again.affected["lesson"] == 12 and content(found) == before
 
 
-def test_overlapping_loads_do_not_share_a_stage(sample, warehouse, as_of):
-    slow = warehouse.begin()
-    mine = slow.stage("d_course", sample["course"].where("id = 1"))
+def test_a_load_that_stopped_between_tables_is_run_again(
+    spark, sample, warehouse, as_of, content, new_root, monkeypatch
+):
+    whole = Warehouse.create(spark, new_root(), SMALL)
+    run(COURSES, FrameSource(sample), whole, "2021-01-01", as_of)
+    run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of - DAY)
+    own = Warehouse.replace
+
+    def stopping(self, name, *args):
+        if name in ("f_lesson", "lesson_stream_dm"):
+            raise OSError("lost")
+        own(self, name, *args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "replace", stopping)
+        with pytest.raises(OSError, match="lost"):
+            run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
     run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
-    assert [r.id for r in mine.collect()] == [1]
-    assert warehouse.staged("d_course").count() == 4
-
+    assert content(warehouse) == content(whole)
 
-def test_a_reader_of_an_older_version_is_not_disturbed(spark, sample, warehouse, as_of, rows):
-    first = run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of).version
-    opened = warehouse.table("d_course")
-    renamed = FrameSource(changed(sample, "course", "id = 4", title=F.lit("Sales")))
-    run(COURSES, renamed, warehouse, "2021-01-01", as_of)
-    assert "Marketing" in {r.title for r in opened.collect()}
-    assert "Marketing" in {r.title for r in warehouse.table("d_course", first).collect()}
-    assert "Sales" in {r.title for r in warehouse.table("d_course").collect()}
 
-
-def test_missing_warehouse(spark, new_root):
-    with pytest.raises(FileNotFoundError):
-        Warehouse(spark, new_root(), COURSES).version()
+def test_a_write_of_longer_text_is_refused(spark, sample, warehouse, as_of):
+    """Also one that is no load."""
+    run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        spark.sql(
+            f"insert into {warehouse.name_of('d_course')} "
+            "select 9, repeat('x', 256), null, null, null, null, null, null, 2"
+        )
+    spark.sql(
+        f"insert into {warehouse.name_of('d_course')} "
+        "select 9, rpad('x', 300), null, null, null, null, null, null, 2"
+    )
+    assert len(warehouse.table("d_course").where("course_id = 9").first().title) == 255
 
 
 def test_recreate_empties_every_table(sample, warehouse, as_of, content):
     run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
-    again = Warehouse.create(warehouse.spark, warehouse.root, COURSES, bucket_rows=4)
+    again = Warehouse.create(warehouse.spark, warehouse.root, SMALL)
     assert content(again) == dict.fromkeys(TABLES, [])
     run(COURSES, FrameSource(sample), again, "2021-01-01", as_of)
     assert again.table("f_lesson").count() == 12
 
 
-def test_of_two_publishers_the_loser_leaves_only_its_stage(spark, sample, warehouse, as_of):
-    late = warehouse.begin()
-    run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
-    with pytest.raises(FileExistsError):
-        late.publish()
-    assert all(n.endswith(".json") for n in names_in(spark, f"{warehouse.root}/versions"))
-
-
-def test_a_failed_load_leaves_only_its_stage(spark, sample, warehouse, as_of, caplog):
+def test_a_failed_load_tells_what_it_extracted(spark, sample, warehouse, as_of, caplog):
     source = breaking_sources(spark, sample, as_of)["unknown keys"]
     with caplog.at_level("INFO", logger="tidemark.plans.pipeline"), pytest.raises(ConstraintError):
         run(COURSES, source, warehouse, "2021-01-01", as_of)
-    assert all(
-        not names_in(spark, f"{warehouse.root}/tables/{name}") for name in TABLES
-    )
-    assert len(names_in(spark, f"{warehouse.root}/versions")) == 1
-    assert names_in(spark, f"{warehouse.root}/stage/f_lesson_stage")
-    # What was extracted is told for every entity, also after the failing one.
+    assert all(not warehouse.buckets(name) for name in TABLES)
+    # For every entity, also after the failing one.
     assert [m for m in caplog.messages if "extracted lesson rows: 12" in m]
 
 
 # -- layouts ----------------------------------------------------------------
 
 
-@pytest.mark.parametrize(
-    "rows, low, high, bucket_rows, shift",
-    [
-        (1, 5, 5, 4, 2),
-        (12, 1, 12, 4, 2),
-        (1_000_000, 0, 999_999, 1 << 10, 10),
-        (100_000, -(2**63), 2**63 - 1, 1 << 21, 63),
-        (1 << 24, -(2**63), 2**63 - 1, 1 << 20, 60),
-        (10, 0, 10**6, 1, 17),
-    ],
-)
-def test_shift_follows_the_rows(rows, low, high, bucket_rows, shift):
-    found = shift_for(rows, low, high, bucket_rows)
-    assert found == shift
-    assert (high >> found) - (low >> found) + 1 <= 2 * max(1, -(-rows // bucket_rows)) + 1
-
-
 def keyed(spark, keys, title):
     """Frames with courses of these keys only."""
     frames = {
@@ -182,8 +187,10 @@ def keyed(spark, keys, title):
     return frames | {"course": inline_rows(spark, course.schema, rows)}
 
 
-def test_sparse_keys_load(spark, warehouse):
+def test_sparse_keys_load(spark, new_root):
     """Keys from end to end of their type, then others and some again."""
+    model = COURSES.with_bucket_bits({"d_course": 27})
+    warehouse = Warehouse.create(spark, new_root(), model)
     low, high = -(2**31), 2**31 - 1
     first = [low, low + 1, -1, 0, 1, high] + list(range(-(2**31) + 77, 2**31, 2**24 + 3))
     load(COURSES, keyed(spark, first, "old"), warehouse)
@@ -191,28 +198,16 @@ def test_sparse_keys_load(spark, warehouse):
     assert load(COURSES, keyed(spark, again, "new"), warehouse).affected["course"] == len(again)
     found = {r.course_id: r.title for r in warehouse.table("d_course").collect()}
     assert found == dict.fromkeys(first, "old") | dict.fromkeys(again, "new")
-    assert len(warehouse.placement()["d_course"]) <= (len(found) // 4) * 2
-
+    assert warehouse.buckets("d_course") == set(range(-16, 16))
 
-def test_size_bounds_do_not_grow_with_updates(spark, sample, warehouse, as_of):
-    for _ in range(4):
-        run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
-    layout = warehouse._manifest(warehouse.version())[1]["d_course"]
-    assert (layout.rows, layout.low, layout.high) == (4, 1, 4)
-    # Titles and a flag are what the mart shows.
-    assert 0 < layout.bytes < 200
 
-
-def test_a_table_that_outgrows_its_shift_is_laid_out_anew(spark, warehouse):
-    shifts, expected = [], {}
-    for keys in ([1, 2, 3], range(0, 4000, 100), range(0, 40), [10**9, 2 * 10**9]):
-        load(COURSES, keyed(spark, keys, f"t{len(shifts)}"), warehouse)
-        expected |= dict.fromkeys(keys, f"t{len(shifts)}")
-        shifts.append(warehouse._manifest(warehouse.version())[1]["d_course"].shift)
-        found = {r.course_id: r.title for r in warehouse.table("d_course").collect()}
-        assert found == expected
-        assert len(warehouse.placement()["d_course"]) <= len(expected)
-    assert len(set(shifts)) > 2
+def test_untouched_partitions_keep_their_files(spark, warehouse):
+    load(COURSES, keyed(spark, range(40), "old"), warehouse)
+    before = files(warehouse)
+    load(COURSES, keyed(spark, [5, 6, 13, 100], "new"), warehouse)
+    after = files(warehouse)
+    assert rewritten(before, after)["d_course"] == {1, 3, 25}
+    assert len(before["d_course"]) == 10 and len(after["d_course"]) == 11
 
 
 # -- odd rows ---------------------------------------------------------------
@@ -305,19 +300,15 @@ def test_changed_dimension_reaches_facts_of_earlier_loads(sample, warehouse, as_
     assert found == {(1, "Python"), (2, "Java development")}
 
 
-def test_only_stale_buckets_are_rewritten(spark, sample, warehouse, as_of):
+def test_only_stale_partitions_are_rewritten(spark, sample, warehouse, as_of):
     run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
     moved = changed(
         sample, "course", "id = 2", title=F.lit("JVM"), updated_at=F.lit(as_of + HOUR)
     )
-    before = warehouse.placement()
+    before = files(warehouse)
     run(COURSES, FrameSource(moved), warehouse, as_of=as_of + DAY)
-    after = warehouse.placement()
-    rewritten = {
-        name: {b for b in after[name] if after[name][b] != before[name].get(b)} for name in TABLES
-    }
-    # Course 2 is shown by lessons 7 to 12; keys 4-7 are bucket 1 at width 4.
-    assert rewritten == {
+    # Course 2 is shown by lessons 7 to 12; keys 4-7 are partition 1.
+    assert rewritten(before, files(warehouse)) == {
         "d_course": {0},
         "d_stream": set(),
         "d_stream_module": set(),
@@ -331,11 +322,23 @@ def test_a_change_the_mart_does_not_show_leaves_it_alone(sample, warehouse, as_o
     moved = changed(
         sample, "course", "id = 2", icon_url=F.lit("i"), updated_at=F.lit(as_of + HOUR)
     )
-    before = warehouse.placement()
+    before = files(warehouse)
     run(COURSES, FrameSource(moved), warehouse, as_of=as_of + DAY)
-    after = warehouse.placement()
-    assert after["lesson_stream_dm"] == before["lesson_stream_dm"]
-    assert after["d_course"] != before["d_course"]
+    changed_files = rewritten(before, files(warehouse))
+    assert changed_files["d_course"] and not changed_files["lesson_stream_dm"]
+
+
+def test_facts_that_lose_their_references_leave_the_mart(sample, warehouse, as_of):
+    """A partition without rows is no partition of an overwrite, and must go too."""
+    run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
+    lessons = warehouse.table("f_lesson").where("id between 8 and 12")
+    gone = lessons.withColumn("course_id", F.lit(None).cast("int"))
+    lesson = COURSES.targets["f_lesson"]
+    frames = keyed(warehouse.spark, [], "") | {"lesson": gone.toDF(*lesson.staged_columns)}
+    load(COURSES, frames, warehouse)
+    shown = {r.id for r in warehouse.table("lesson_stream_dm").collect()}
+    assert shown == {1, 2, 3, 4, 5, 6, 7}
+    assert warehouse.buckets("lesson_stream_dm") == {0, 1}
 
 
 @pytest.mark.parametrize("limit", ["64m", "-1"])
@@ -363,22 +366,9 @@ def test_refreshed_mart_equals_a_recomputed_one(spark, sample, warehouse, as_of,
                     f"id = {rng.randint(1, 5)}",
                     **{column: F.lit(f"{table} on day {day}"), "updated_at": touched},
                 )
-        load_ = warehouse.begin()
-        load_.refresh_mart(whole=True)
         before = rows(warehouse.table("lesson_stream_dm"))
-        load_.publish()
+        refresh_mart(warehouse)
         assert rows(warehouse.table("lesson_stream_dm")) == before
     finally:
         for key, value in settings.items():
             spark.conf.set(key, value)
-
-
-def test_unreferenced_runs_can_be_dropped(spark, sample, warehouse, as_of, content):
-    for _ in range(3):
-        run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
-    before = content(warehouse)
-    runs = names_in(spark, f"{warehouse.root}/tables/d_course")
-    dropped = warehouse.drop_unreferenced(keep_versions=1)
-    assert len(runs) == 3 and len(names_in(spark, f"{warehouse.root}/tables/d_course")) == 1
-    assert len([d for d in dropped if "/d_course/" in d]) == 2
-    assert content(warehouse) == before

@@ -9,29 +9,35 @@ from pyspark.sql import functions as F
 
 from tidemark import COURSES, FrameSource
 from tidemark.operators import (
+    Profile,
     affected_rows,
+    apply_delta,
     batch_profile,
-    broadcast_limit,
     changed_between,
+    changed_keys,
     combine_counts,
     conform,
     denormalise,
     insert_update_split,
+    integer_key_violations,
+    integer_reference_violations,
     key_violations,
     map_by_position,
-    profile,
+    mart_delta,
+    profile_metrics,
+    profile_of,
     prune,
     reference_violations,
     rename_key,
+    star_join,
     text_violations,
     upsert,
-    value_bytes,
 )
 from tidemark.plans.courses import D_COURSE, F_LESSON, LESSON_VIEW
 from tidemark.plans.extract import window
 from tidemark.sources import inline_rows, read
 from tidemark.sources.sample import sample_tables
-from tidemark.specs import Entity, Model, Reference, TargetSpec, columns
+from tidemark.specs import Entity, Model, Reference, StarMart, TargetSpec, columns
 
 
 def test_window_edges(spark):
@@ -198,34 +204,117 @@ def test_text_violations_and_profile(spark, rows):
     assert set(batch_profile(df.where("k > 9"), ["k"], {"a": 2}).first()) == {0}
 
 
-@pytest.mark.parametrize(
-    "text, limit",
-    [("10485760b", 10 << 20), ("32m", 32 << 20), ("1GB", 1 << 30), ("5", 5), ("-1", -1)],
-)
-def test_broadcast_limit(spark, text, limit):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
-    try:
-        assert broadcast_limit(spark) == limit
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_profile_of_a_batch_is_observed(spark):
+    spec = TargetSpec(
+        "t",
+        columns("id bigint, t string, up int"),
+        "id",
+        text_limits={"t": 2},
+        references=(Reference("up", "p"),),
+        staged_as=("key", "text", "up"),
+    )
+    rows = [
+        (-9, "a", 5),
+        (-1, "abc", None),
+        (0, None, 70),
+        (7, "b", 5),
+        (7, "ab   ", -1),
+        (None, "c", 5),
+        (2**63 - 1, "", 5),
+    ]
+    batch = inline_rows(spark, spec.schema, rows).toDF(*spec.staged_columns)
+
+    def found(df):
+        metrics = profile_metrics(spec, df.columns, {"t": 3, "p": 4})
+        return profile_of(spec, df.agg(*metrics).first().asDict())
+
+    profile = found(batch)
+    assert (profile.rows, profile.low, profile.high) == (7, -9, 2**63 - 1)
+    assert profile.broken == {"null_keys": 1, "t_too_long": 1}
+    assert profile.buckets == {-2, -1, 0, 2**60 - 1}
+    up = profile.references["up"]
+    assert (up.rows, up.low, up.high, up.buckets) == (6, -1, 70, {-1, 0, 4})
+    assert found(batch.limit(0)) == Profile(references={"up": Profile()})
+
+
+ENDS = [-(2**63), -(2**63) + 1, -32769, -32768, -32767, -1, 0, 1, 32768, 32769, 2**63 - 1]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bitmaps_find_the_same_violations(spark, rows, seed):
+    """Keys from end to end of their type, dense, sparse and repeated."""
+    rng = random.Random(seed)
+    keys = ENDS + rng.sample(range(-500, 500), 300)
+    keys += [rng.randint(-(2**63), 2**63 - 1) for _ in range(50)]
+    keys += rng.sample(keys, 20 * seed) + [None] * seed
+    df = inline_rows(spark, columns("k bigint"), [(k,) for k in keys])
+    assert rows(integer_key_violations(df, "k")) == rows(key_violations(df, ["k"]))
+    child = inline_rows(
+        spark, columns("f bigint"), [(k,) for k in rng.choices(keys + [4, 5, 2**40, None], k=300)]
+    )
+    known = rng.sample(keys, len(keys) * 9 // 10)
+    parent = inline_rows(spark, columns("id bigint"), [(k,) for k in known])
+    expected = rows(reference_violations(child, "f", parent.distinct(), "id"))
+    assert rows(integer_reference_violations(child, "f", parent, "id")) == expected
+    assert integer_reference_violations(df, "k", df, "k").count() == 0
+    assert rows(integer_reference_violations(child, "f", parent.limit(0), "id")) == rows(
+        reference_violations(child, "f", parent.limit(0), "id")
+    )
 
 
-def test_value_bytes(spark):
-    df = inline_rows(spark, columns("a int, t string"), [(1, "abc"), (2, None), (3, "äö")])
-    assert df.agg(F.sum(value_bytes(df, ["a", "t"]))).first()[0] == 3 * 8 + 3 + 4
-    assert df.agg(F.sum(value_bytes(df, ["t"]))).first()[0] == 3 + 4
+MART = StarMart(
+    "m",
+    "f",
+    "id",
+    (("d", "d_id"), ("e", "e_id")),
+    (("f", "id", "id"), ("f", "v", "v"), ("d", "name", "d_name"), ("e", "name", "e_name")),
+)
 
 
-def test_profile_of_a_batch(spark):
-    spec = TargetSpec("t", columns("id bigint, t string"), "id", text_limits={"t": 2})
-    rows = [(-9, "a"), (-1, "abc"), (0, None), (7, "b"), (7, "ab   "), (None, "c"), (2**63 - 1, "")]
-    batch = inline_rows(spark, spec.schema, rows)
-    found = profile(batch, spec, F.shiftright("id", 3), ["id"])
-    assert (found.rows, found.low, found.high, found.bytes) == (7, -9, 2**63 - 1, 56)
-    assert found.broken == {"null_keys": 1, "duplicate_keys": 1, "t_too_long": 1}
-    assert found.buckets == {-2: 1, -1: 1, 0: 3, 2**60 - 1: 1}
-    assert profile(batch.limit(0), spec, F.shiftright("id", 3), ["id"]).rows == 0
+@pytest.mark.parametrize(
+    "case", ["none", "fact", "dimension", "both", "two dimensions", "lost reference", "hidden"]
+)
+def test_mart_delta_equals_recomputation(spark, rows, case):
+    fact = {i: (i, f"v{i}", i % 3 or None, i % 4) for i in range(1, 25)}
+    d = {i: (i, f"d{i}", "hidden") for i in range(1, 3)}
+    e = {i: (i, f"e{i}", "hidden") for i in range(4)}
+
+    def tables(fact, d, e):
+        names = {"f": "id int, v string, d_id int, e_id int"}
+        names |= {n: f"{n}_id int, name string, other string" for n in "de"}
+        content = {"f": fact, "d": d, "e": e}
+        return {
+            n: inline_rows(spark, columns(names[n]), list(content[n].values())) for n in names
+        }
+
+    new_fact, new_d, new_e = {}, {}, {}
+    if case in ("fact", "both"):
+        new_fact = {3: (3, "new", 1, 0), 5: (5, "v5", 2, 3), 99: (99, "more", 2, 2)}
+    if case in ("dimension", "both", "two dimensions"):
+        new_d = {1: (1, "renamed", "hidden"), 7: (7, "unused", "hidden")}
+    if case == "two dimensions":
+        new_e = {3: (3, "renamed too", "hidden")}
+    if case == "lost reference":
+        new_fact = {4: (4, "v4", None, 0), 8: (8, "v8", 77, 0)}
+    if case == "hidden":
+        new_d = {1: (1, "d1", "differs")}
+    before = tables(fact, d, e)
+    after = tables(fact | new_fact, d | new_d, e | new_e)
+    batch = tables(new_fact, new_d, new_e)
+    changed = {
+        n: changed_keys(before[n], batch[n], key, MART.looked_at(n))
+        for n, key in [("f", "id"), ("d", "d_id"), ("e", "e_id")]
+    }
+    delta = mart_delta(MART, after, changed)
+    found = apply_delta(star_join(MART, before), delta)
+    assert rows(found) == rows(star_join(MART, after))
+    # No more than what looks different is computed again.
+    own = {r[0] for r in rows(star_join(MART, before))} | {r[0] for r in rows(found)}
+    old, new = ({r[0]: r for r in rows(df)} for df in (star_join(MART, before), found))
+    different = {i for i in own if old.get(i) != new.get(i)}
+    assert {r.id for r in delta.affected.collect()} & own == different
+    removed = {r.id for r in delta.removed.collect()} & own
+    assert removed == ({4, 8} if case == "lost reference" else set())
 
 
 def test_detail_and_ancestors_may_share_names(spark):

@@ -7,11 +7,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import COURSES, FrameSource, ParquetSource, Warehouse, extract, run
-from tidemark.operators import conform, insert_update_split, profile, reference_violations
-from tidemark.plans.files import names_in
+from tidemark.operators import (
+    facts_showing,
+    insert_update_split,
+    integer_key_violations,
+    integer_reference_violations,
+    key_violations,
+    reference_violations,
+    star_join,
+    upsert,
+)
 from tidemark.sources.sample import create_source
 from workload import queries as q
-from workload.model import D_ORDER, LINE_KEY, LINES, source, source_tables, table
+from workload.model import LINE_KEY, LINES, line_model, source, source_tables, table
 
 SF_DIR = "/root/testdata/sf0.01"
 # These run jobs when called; their result is a plain scan.
@@ -48,19 +56,6 @@ def no_broadcast(spark):
     )
 
 
-def profiled(load, name, batch):
-    """A batch's profile and its table's shift, as a load has them."""
-    spec = LINES.targets[name]
-    keys = batch.select(spec.key)
-    shift = load.lay_out(name, *load.extents({name: keys})[name])
-    found = profile(batch, spec, load.bucket_of(F.col(spec.key), shift), [spec.key])
-    return found, shift
-
-
-def put(load, name, batch):
-    load.upsert(name, batch, *profiled(load, name, batch))
-
-
 def test_window_reaches_the_scan(spark):
     pushed = re.search(r"PushedFilters: (.*)", formatted(q.extract_window_orders(spark, SF_DIR)))
     assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in pushed[1]
@@ -113,7 +108,7 @@ def test_stored_ancestors_spare_the_detail_rows_a_shuffle(spark, new_root):
     ):
         january = (LINES, FrameSource(tables), "1998-01-01", "1998-02-01")
         lazy = extract(*january)["line"]
-        stored = extract(*january, warehouse.begin().store)
+        stored = extract(*january, lambda name, df: warehouse.store(name, df)[0])
         plans = [plan_of(lazy), plan_of(stored["line"])]
     shuffled = r"Exchange hashpartitioning\(l_orderkey"
     assert re.search(shuffled, plans[0]) and not re.search(shuffled, plans[1])
@@ -164,8 +159,21 @@ def test_hot_parent_is_split_among_tasks(spark, rows):
     assert counts == expected and counts[7] > 15_000
 
 
-def test_hot_bucket_is_written_by_several_tasks(spark, new_root):
-    """All keys of the load fall into one bucket; its rows are split."""
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    """All there is, in a warehouse; tests that change it make their own."""
+    root = str(tmp_path_factory.mktemp("warehouse"))
+    warehouse = Warehouse.create(spark, root, line_model(spark, SF_DIR))
+    run(warehouse.model, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
+    return warehouse
+
+
+def data_files(warehouse, name):
+    return set(warehouse.spark.table(warehouse.name_of(name)).inputFiles())
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, new_root):
+    """All keys of the load fall into one partition; its rows are split."""
     warehouse = Warehouse.create(spark, new_root(), LINES)
     tables = source_tables(spark, SF_DIR)
     # As many tasks read a large source.
@@ -176,83 +184,84 @@ def test_hot_bucket_is_written_by_several_tasks(spark, new_root):
         spark__sql__adaptive__coalescePartitions__minPartitionSize=50_000,
     ):
         run(LINES, FrameSource(tables), warehouse, "1995-01-01", "2002-01-01")
-    placement = warehouse.placement()["d_order"]
-    assert list(placement) == [0]
-    files = names_in(spark, f"{warehouse.root}/tables/d_order/run={placement[0]}/key_bucket=0")
-    assert len([f for f in files if f.endswith(".parquet")]) > 2
+    assert warehouse.buckets("d_order") == {0}
+    assert len(data_files(warehouse, "d_order")) > 2
     assert warehouse.table("d_order").count() == table(spark, SF_DIR, "orders").count()
 
 
-def test_mart_refresh_needs_no_shuffle_when_dimensions_are_small(spark, new_root):
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=4000)
-    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
-    load = warehouse.begin()
-    rows, clustered = load._mart_rows(load._after["f_line"].placement)
-    assert clustered and not re.search(r"Exchange hashpartitioning", plan_of(rows))
-    placement = warehouse.placement()
-    assert len(placement["line_dm"]) == len(placement["f_line"]) > 4
-    with no_broadcast(spark):
-        shuffled, clustered = load._mart_rows(load._after["f_line"].placement)
-        assert not clustered
-        assert shuffled.count() == rows.count()
-
-
-def test_only_touched_buckets_are_read_and_written(spark, new_root):
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=1000)
-    tables = source(spark, SF_DIR)
-    run(LINES, tables, warehouse, "1995-01-01", "2002-01-01")
-    before = warehouse.placement()["d_order"]
-    load = warehouse.begin()
-    batch = warehouse.table("d_order").where("order_id between 3500 and 4499")
-    put(load, "d_order", batch.withColumn("o_totalprice", F.lit(0.0)))
-    load.publish()
-    after = warehouse.placement()["d_order"]
-    assert {b for b in after if after[b] != before[b]} == {3, 4}
-    found = warehouse.table("d_order")
-    assert found.where("o_totalprice = 0").count() == 1000
+def test_upsert_reads_and_writes_the_touched_partitions_only(loaded, spark):
+    bits = loaded.model.bucket_bits("d_order")
+    low = 3 << bits
+    old = loaded.table("d_order")
+    batch = old.where(f"order_id between {low + 5} and {low + 40}").withColumn(
+        "o_totalprice", F.lit(0.0)
+    )
+    batch, _ = loaded.store("batch", batch)
+    before = data_files(loaded, "d_order")
+    # Partitions are chosen when the plan is made.
+    plan = formatted(upsert(loaded.rows("d_order", [3]), batch, ["order_id"]))
+    assert re.search(r"PartitionFilters: \[.*key_bucket#\d+L? = 3", plan)
+    loaded.upsert("d_order", batch, [3])
+    after = data_files(loaded, "d_order")
+    assert {f.split("key_bucket=")[1].split("/")[0] for f in before ^ after} == {"3"}
+    found = loaded.table("d_order")
+    assert found.where("o_totalprice = 0").count() == batch.count() == 36
     assert found.count() == table(spark, SF_DIR, "orders").count()
 
 
-def test_upsert_shuffles_a_small_batch_only(spark, new_root, rows, monkeypatch):
-    """Three ways to write the same rows: broadcast keys, many files, large batch."""
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=4000)
-    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
-    old = warehouse.table("d_order")
-    batch = old.where("o_orderstatus = 'P'").withColumn("o_totalprice", F.lit(0.0))
-    batch = batch.unionByName(batch.withColumn("order_id", F.col("order_id") + 14_000).limit(100))
-    batch = warehouse.begin().store("batch", batch.dropDuplicates(["order_id"]))
-    load = warehouse.begin()
-    found, shift = profiled(load, "d_order", batch)
-    load._touched["d_order"] = set(found.buckets)
-    wanted = ("d_order", batch, found, shift, False)
-    narrow, appended = load._upserted(*wanted)
-    plan = plan_of(narrow)
-    assert plan.count("Exchange hashpartitioning") == 1 and "LeftAnti, BuildRight" in plan
-    assert appended == 1
-    load._settings["appends_per_bucket"] = 0
-    merged, appended = load._upserted(*wanted)
-    assert appended == 0
-    with no_broadcast(spark):
-        large, _ = load._upserted(*wanted)
-        assert plan_of(large).count("Exchange hashpartitioning") == 3
-        expected = rows(large)
-    assert rows(narrow) == rows(merged) == expected
-    put(load, "d_order", batch)
-    load.publish()
-    changed = warehouse.table("d_order")
-    assert rows(changed.where("o_totalprice = 0")) == rows(batch)
-    assert rows(changed) == [r[:-1] for r in expected]
-
-
-def test_a_staged_batch_is_not_shuffled_again(spark, new_root):
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=1000)
-    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
-    load = warehouse.begin()
-    batch = conform(load.stage("d_order", warehouse.table("d_order").limit(500)), D_ORDER)
-    found, shift = profiled(load, "d_order", batch)
-    load._touched["d_order"] = set(found.buckets)
-    plan = plan_of(load._upserted("d_order", batch, found, shift, False)[0])
-    assert "Exchange hashpartitioning" not in plan
+def test_small_batch_is_broadcast_and_old_rows_move_once(loaded, rows):
+    old = loaded.rows("d_order")
+    some = loaded.table("d_order").where("order_id % 500 = 3")
+    batch, _ = loaded.store("batch", some.withColumn("o_totalprice", F.lit(1.0)))
+    assert "Exchange hashpartitioning" not in plan_of(upsert(old, batch, ["order_id"]))
+    with no_broadcast(loaded.spark):
+        large = upsert(old, batch, ["order_id"])
+        assert plan_of(large).count("Exchange hashpartitioning") == 2
+        assert rows(large) == rows(upsert(old, batch, ["order_id"]))
+
+
+def test_small_dimensions_are_broadcast_to_the_facts(loaded):
+    """By the size of their files, which the plan knows."""
+    mart = loaded.model.mart
+    tables = {name: loaded.rows(name) for name in [mart.fact, *(n for n, _ in mart.joins)]}
+    assert "Exchange hashpartitioning" not in plan_of(star_join(mart, tables))
+
+
+def test_facts_of_changed_dimensions_are_found_in_one_pass(loaded):
+    mart, facts = loaded.model.mart, loaded.rows("f_line")
+    changed = {
+        "d_customer": loaded.rows("d_customer").where("customer_id = 7").select("customer_id"),
+        "d_nation": loaded.rows("d_nation").where("nation_id = 3").select("nation_id"),
+    }
+    plan = plan_of(facts_showing(mart, facts, changed))
+    scans = re.findall(r"FileScan parquet \S*f_line\[(.*?)\]", plan)
+    assert len(scans) == 1 and "quantity" not in scans[0] and "price" not in scans[0]
+
+
+def test_a_load_runs_few_jobs(spark, new_root):
+    warehouse = Warehouse.create(spark, new_root(), line_model(spark, SF_DIR))
+    run(warehouse.model, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
+    spark.sparkContext.setJobGroup("increment", "a small increment")
+    try:
+        q.small_increment(spark, SF_DIR, warehouse)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("increment")
+    # Four of them read the schemas of the test tables.
+    assert 0 < len(jobs) <= 36
+
+
+def test_bitmaps_move_less_than_keys(spark):
+    """Dense keys: the same violations from a few rows of 4 KB."""
+    keys = spark.range(0, 400_000, 1, 8).select((F.col("id") % 399_990).alias("key"))
+
+    assert sorted(map(tuple, integer_key_violations(keys, "key").collect())) == sorted(
+        map(tuple, key_violations(keys, ["key"]).collect())
+    )
+    plan = plan_of(integer_key_violations(keys, "key"))
+    assert "bitmap_construct_agg" in plan
+    # What is exchanged is by range, and joins back only ranges that fail.
+    assert re.search(r"Exchange hashpartitioning\(range|_groupingexpression", plan)
 
 
 def test_reference_check_counts_the_child_once(spark):
@@ -275,67 +284,3 @@ def test_split_narrows_the_target_to_the_batch(spark):
         batch = spark.range(5).select(F.col("id").alias("o_orderkey"))
         plan = plan_of(insert_update_split(orders, batch, ["o_orderkey"]))
     assert "LeftSemi, BuildRight" in plan and "Exchange hashpartitioning" not in plan
-
-
-def test_stale_facts_are_found_in_one_pass_or_none(spark, new_root, monkeypatch):
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=1000)
-    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
-    reads = []
-    own = Warehouse._read
-
-    def counted(self, name, *args, **options):
-        reads.append(name)
-        return own(self, name, *args, **options)
-
-    def stale(**changes):
-        load = warehouse.begin()
-        for name, column in changes.items():
-            where = "n_name is not null" if name == "d_nation" else "customer_id = 7"
-            batch = warehouse.table(name).where(where)
-            if column:
-                batch = batch.withColumn(column, F.concat(column, F.lit("+")))
-            put(load, name, load.store(f"{name}_batch", batch))
-        reads.clear()
-        with monkeypatch.context() as patch:
-            patch.setattr(Warehouse, "_read", counted)
-            found = load._stale_buckets()
-        return found, reads.count("f_line")
-
-    found, passes = stale(d_customer="c_name", d_nation="n_name")
-    assert passes == 1 and found == set(warehouse.placement()["line_dm"])
-    # Nothing that shows has changed: no fact is read.
-    assert stale(d_customer="c_mktsegment", d_nation=None) == (set(), 0)
-
-
-def test_what_an_increment_rewrites_is_bounded_by_the_buckets_it_touches(spark, new_root):
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=500)
-    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
-    total = len(warehouse.placement()["d_order"])
-
-    def rewritten(where):
-        load = warehouse.begin()
-        batch = warehouse.table("d_order").where(where).withColumn("o_totalprice", F.lit(1.0))
-        before = warehouse.placement()["d_order"]
-        put(load, "d_order", load.store("batch", batch))
-        after = load._after["d_order"].placement
-        held = warehouse._read("d_order", {b: r for b, r in after.items() if before.get(b) != r})
-        return sum(after[b] != before[b] for b in after), held.count(), held.inputFiles()
-
-    clustered, rows, files = rewritten("order_id between 5000 and 5029")
-    assert clustered <= 2 and rows <= 2 * 1024 and len(files) <= 4
-    # One key in each bucket rewrites the table: the price of updates that do not
-    # follow the key.
-    scattered, rows, _ = rewritten("order_id % 512 = 3")
-    assert scattered == total and rows == 15_000
-
-
-def test_a_load_runs_few_jobs(spark, new_root):
-    warehouse = Warehouse.create(spark, new_root(), LINES, bucket_rows=1000)
-    run(LINES, source(spark, SF_DIR), warehouse, "1995-01-01", "2002-01-01")
-    spark.sparkContext.setJobGroup("increment", "a small increment")
-    try:
-        q.small_increment(spark, SF_DIR, warehouse)
-    finally:
-        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("increment")
-    assert 0 < len(jobs) <= 60

@@ -29,7 +29,8 @@ def source(spark, as_of):
 
 @pytest.fixture
 def warehouse(spark, new_root):
-    return Warehouse.create(spark, new_root(), COURSES, bucket_rows=5)
+    model = COURSES.with_bucket_bits(dict.fromkeys(COURSES.targets, 2))
+    return Warehouse.create(spark, new_root(), model)
 
 
 def test_extract_counts(spark, source, as_of):
@@ -46,7 +47,7 @@ def test_tables_exist_empty_after_create(warehouse):
 def test_first_load(spark, warehouse, source, as_of, rows):
     result = run(COURSES, source, warehouse, "2021-01-01", as_of)
     assert result.affected == COUNTS
-    assert result.frame(spark).first().asDict() == {
+    assert result.frame().first().asDict() == {
         "affected_rows_course": 4,
         "affected_rows_stream": 4,
         "affected_rows_stream_module": 5,

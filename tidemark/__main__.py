@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from tidemark.plans.courses import COURSES
 from tidemark.plans.pipeline import run
-from tidemark.plans.warehouse import DEFAULT_BUCKET_ROWS, Warehouse
+from tidemark.plans.warehouse import Warehouse
 from tidemark.session import build_session
 from tidemark.sources import JdbcSource, ParquetSource, Slices, Source
 from tidemark.sources.sample import create_source
@@ -40,7 +40,6 @@ def main(argv: list[str] | None = None) -> None:
 
     create = commands.add_parser("create", help="(re)create the warehouse tables, empty")
     create.add_argument("--warehouse", required=True)
-    create.add_argument("--bucket-rows", type=int, default=DEFAULT_BUCKET_ROWS)
 
     load = commands.add_parser("load", help="load the days [date, as-of)")
     where = load.add_mutually_exclusive_group(required=True)
@@ -67,20 +66,13 @@ def main(argv: list[str] | None = None) -> None:
     load.add_argument("--date", help="first day to load (default: the day before as-of)")
     load.add_argument("--as-of", help="day after the last to load (default: today)")
 
-    clean = commands.add_parser("clean", help="delete old versions, stages and failed loads")
-    clean.add_argument("--warehouse", required=True)
-    clean.add_argument("--keep-versions", type=int, default=2)
-
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     spark = build_session("tidemark")
     if args.command == "sample":
         create_source(spark, args.source, args.as_of)
     elif args.command == "create":
-        Warehouse.create(spark, args.warehouse, COURSES, args.bucket_rows)
-    elif args.command == "clean":
-        warehouse = Warehouse(spark, args.warehouse, COURSES)
-        print("\n".join(warehouse.drop_unreferenced(args.keep_versions)))
+        Warehouse.create(spark, args.warehouse, COURSES)
     else:
         source = source_of(spark, args)
         result = run(

@@ -6,7 +6,7 @@ third of the rows crosses the network as one partial count per task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import exceeds
-from tidemark.operators.joins import value_bytes
+from tidemark.operators.bitmaps import dense, repeated_ranges, stacked, unknown_ranges
 from tidemark.specs import TargetSpec
 
 
@@ -98,49 +98,67 @@ def batch_profile(
 
 @dataclass(frozen=True)
 class Profile:
-    """What one pass over a batch tells: its size and key range, the rules its
-    rows break, and its rows by bucket."""
+    """What the write of a batch tells: its rows, key range and partitions, the rules
+    its rows break, and range and parents' partitions of each reference."""
 
     rows: int = 0
-    bytes: int = 0
     low: int | None = None
     high: int | None = None
+    buckets: frozenset[int] = frozenset()
     broken: Mapping[str, int] = field(default_factory=dict)
-    buckets: Mapping[int, int] = field(default_factory=dict)
-
-
-def profile(
-    batch: DataFrame, spec: TargetSpec, bucket: Column, measured: Sequence[str] = ()
-) -> Profile:
-    """The profile of a batch by one aggregate: rows meet by key, then by
-    ``bucket`` (an expression of the key).  ``bytes`` is the uncompressed size of
-    the ``measured`` columns."""
-    over = {f"{c}_too_long": F.count_if(exceeds(F.col(c), n)) for c, n in spec.text_limits.items()}
-    per_key = batch.groupBy(spec.key).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(value_bytes(batch, measured)).alias("bytes"),
-        *[n.alias(name) for name, n in over.items()],
-    )
-    nothing = F.col(spec.key).isNull()
-    found = per_key.groupBy(bucket.alias("bucket")).agg(
-        F.sum("rows").alias("rows"),
-        F.sum("bytes").alias("bytes"),
-        F.min(F.col(spec.key).cast("bigint")).alias("low"),
-        F.max(F.col(spec.key).cast("bigint")).alias("high"),
-        F.sum(F.when(nothing, F.col("rows")).otherwise(0)).alias("null_keys"),
-        F.count_if((F.col("rows") > 1) & ~nothing).alias("duplicate_keys"),
-        *[F.sum(name).alias(name) for name in over],
-    )
-    parts = [row.asDict() for row in found.collect()]
-    rules = ["null_keys", "duplicate_keys", *over]
-    totals = {rule: sum(part[rule] for part in parts) for rule in rules}
+    references: Mapping[str, Profile] = field(default_factory=dict)
+
+
+def profile_metrics(
+    spec: TargetSpec, columns: Sequence[str], bits: Mapping[str, int]
+) -> list[Column]:
+    """Aggregates over a staged batch (of these columns) to observe as it is written.
+    ``bits`` are the partition bits of the target and of the parents, by name."""
+    staged = dict(zip(spec.columns, spec.staged_columns, strict=True))
+
+    def extent(prefix: str, column: str, table: str) -> list[Column]:
+        value = F.col(f"`{staged[column]}`").try_cast("bigint")
+        return [
+            F.count(value).alias(f"{prefix}rows"),
+            F.min(value).alias(f"{prefix}low"),
+            F.max(value).alias(f"{prefix}high"),
+            # At most one number for each partition of the table.
+            F.collect_set(F.shiftright(value, bits[table])).alias(f"{prefix}buckets"),
+        ]
+
+    found = [
+        F.count(F.lit(1)).alias("all_rows"),
+        F.count_if(F.col(f"`{staged[spec.key]}`").isNull()).alias("null_keys"),
+        *extent("", spec.key, spec.name),
+    ]
+    for reference in spec.references:
+        if staged[reference.column] in columns:
+            found += extent(f"{reference.column} ", reference.column, reference.parent)
+    for column, limit in spec.text_limits.items():
+        if staged[column] in columns:
+            text = F.col(f"`{staged[column]}`").cast("string")
+            found.append(F.count_if(exceeds(text, limit)).alias(f"{column}_too_long"))
+    return found
+
+
+def profile_of(spec: TargetSpec, found: Mapping[str, object]) -> Profile:
+    """The profile of a batch from its observed metrics."""
+
+    def extent(prefix: str) -> dict:
+        names = ("rows", "low", "high", "buckets")
+        values = {name: found.get(f"{prefix}{name}") for name in names}
+        return values | {"buckets": frozenset(values["buckets"] or ())}
+
+    rules = ["null_keys", *[f"{c}_too_long" for c in spec.text_limits]]
+    references = {
+        r.column: Profile(**extent(f"{r.column} "))
+        for r in spec.references
+        if f"{r.column} rows" in found
+    }
     return Profile(
-        rows=sum(part["rows"] for part in parts),
-        bytes=sum(part["bytes"] for part in parts),
-        low=min((part["low"] for part in parts if part["low"] is not None), default=None),
-        high=max((part["high"] for part in parts if part["high"] is not None), default=None),
-        broken={rule: n for rule, n in totals.items() if n},
-        buckets={part["bucket"]: part["rows"] for part in parts if part["bucket"] is not None},
+        **extent("") | {"rows": found["all_rows"]},
+        broken={rule: found[rule] for rule in rules if found.get(rule)},
+        references=references,
     )
 
 
@@ -153,32 +171,83 @@ def _sample(violations: DataFrame, columns: Sequence[str]) -> list[tuple]:
 
 
 def require_valid_batch(batch: DataFrame, spec: TargetSpec, found: Profile) -> None:
-    """Raise on NULL or repeated keys and over-long text."""
+    """Raise on NULL keys and over-long text."""
     if found.broken:
-        sample = _sample(key_violations(batch, [spec.key]), [spec.key]) or _sample(
+        sample = _sample(batch.where(F.col(spec.key).isNull()), [spec.key]) or _sample(
             text_violations(batch, spec.text_limits), [spec.key]
         )
         raise ConstraintError(f"{spec.name}: {dict(found.broken)}; for example keys {sample}")
 
 
+def require_unique_keys(
+    batches: Mapping[str, tuple[DataFrame, TargetSpec, Profile]],
+) -> None:
+    """Raise if a batch has a key twice.  Keys of all batches are looked at together,
+    as bitmaps where they are dense."""
+    keys = {
+        name: batch.select(spec.key) for name, (batch, spec, found) in batches.items() if found.rows
+    }
+    compact = {n: k for n, k in keys.items() if dense(*_extent(batches[n][2]))}
+    apart = {n: k for n, k in keys.items() if n not in compact}
+    failing = []
+    if compact:
+        failing.append(repeated_ranges(stacked(compact), "value", ["name"]).select("name"))
+    if apart:
+        counted = stacked(apart).groupBy("name", "value").agg(F.count(F.lit(1)).alias("rows"))
+        failing.append(counted.where("rows > 1").select("name"))
+    if not failing:
+        return
+    for (name,) in reduce(DataFrame.unionAll, failing).limit(1).collect():
+        batch, spec, _ = batches[name]
+        twice = key_violations(batch, [spec.key])
+        raise ConstraintError(
+            f"{name}: {{'duplicate_keys': {twice.count()}}}; "
+            f"for example keys {_sample(twice, [spec.key])}"
+        )
+
+
+def _extent(found: Profile) -> tuple[int, int | None, int | None]:
+    return found.rows, found.low, found.high
+
+
 def require_known_parents(
-    batch: DataFrame, spec: TargetSpec, parents: Mapping[str, DataFrame]
+    batches: Mapping[str, tuple[DataFrame, TargetSpec, Profile]],
+    parents: Callable[[str, Collection[int]], DataFrame],
 ) -> None:
     """Raise if a reference holds a value that is no key of its parent.
-    ``parents`` has a frame of keys (one column) for each referring column; all
-    references are counted and compared together."""
-    if not parents:
+    ``parents(name, partitions)`` has the keys (one column) of a parent table in some
+    partitions.  All references of all batches are compared together, as bitmaps
+    where they are dense."""
+    values, known, extents = {}, {}, {}
+    for name, (batch, spec, found) in batches.items():
+        for reference in spec.references:
+            extent = found.references.get(reference.column)
+            if extent is not None and extent.rows:
+                label = f"{name}.{reference.column}"
+                values[label] = batch.select(reference.column)
+                known[label] = parents(reference.parent, extent.buckets)
+                extents[label] = extent
+    compact = [label for label in values if dense(*_extent(extents[label]))]
+    apart = [label for label in values if label not in compact]
+    failing = []
+    if compact:
+        children = stacked({label: values[label] for label in compact})
+        keys = stacked({label: known[label] for label in compact})
+        failing.append(unknown_ranges(children, keys, ["name"]).select("name"))
+    if apart:
+        children = stacked({label: values[label] for label in apart})
+        keys = stacked({label: known[label] for label in apart})
+        used = children.where("value is not null").distinct()
+        failing.append(used.join(keys, ["name", "value"], "left_anti").select("name"))
+    if not failing:
         return
-    names = list(parents)
-    keys = _numbered([df.select(F.col(df.columns[0]).cast("bigint")) for df in parents.values()])
-    numbers = batch.select(*[F.col(name).cast("bigint").alias(name) for name in names])
-    missing = _unknown(_counted_references(numbers, names), keys)
-    found = missing.groupBy("number").agg(
-        F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")
-    )
-    for number, unknown, rows in sorted(map(tuple, found.collect())):
-        sample = _sample(missing.where(F.col("number") == number), ["value"])
+    for (label,) in reduce(DataFrame.unionAll, failing).limit(1).collect():
+        child, parent = values[label], known[label]
+        unknown = reference_violations(
+            child, child.columns[0], parent.distinct(), parent.columns[0]
+        )
+        count, rows = unknown.agg(F.count(F.lit(1)), F.sum("rows")).first()
         raise ConstraintError(
-            f"{spec.name}.{names[number]}: {rows} rows reference {unknown} "
-            f"unknown keys; for example {sample}"
+            f"{label}: {rows} rows reference {count} unknown keys; "
+            f"for example {_sample(unknown, child.columns)}"
         )

@@ -1,61 +1,20 @@
-"""The few file operations a load needs, on whatever file system Spark uses
-(HDFS, an object store, a shared mount)."""
+"""Making and deleting a folder, on whatever file system Spark uses."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+def _found(spark: SparkSession, directory: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _file_system(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def names_in(spark: SparkSession, directory: str) -> list[str]:
-    """Names of the entries of a directory; none if it does not exist.  The
-    names come as one string, in one answer however many there are."""
-    fs, path = _file_system(spark, directory), _path(spark, directory)
-    if not fs.exists(path):
-        return []
-    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(path))
-    listed = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)[1:-1]
-    return sorted(one.rstrip("/").rpartition("/")[2] for one in listed.split(",") if one)
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    stream = _file_system(spark, path).open(_path(spark, path))
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def publish_text(spark: SparkSession, path: str, text: str, draft: str) -> None:
-    """Make ``path`` appear with its whole content, or raise if it exists.
-
-    The text is written to ``draft`` and renamed without overwrite, so of two
-    writers of one path only one succeeds (where rename is atomic).
-    """
-    fs = _file_system(spark, path)
-    stream = fs.create(_path(spark, draft), False)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    published = False
-    try:
-        published = not fs.exists(_path(spark, path)) and fs.rename(
-            _path(spark, draft), _path(spark, path)
-        )
-    finally:
-        if not published:
-            fs.delete(_path(spark, draft), False)
-    if not published:
-        raise FileExistsError(f"{path} was published by another load")
+def make_folder(spark: SparkSession, directory: str) -> None:
+    system, path = _found(spark, directory)
+    system.mkdirs(path)
 
 
 def delete_tree(spark: SparkSession, directory: str) -> None:
-    _file_system(spark, directory).delete(_path(spark, directory), True)
+    system, path = _found(spark, directory)
+    system.delete(path, True)

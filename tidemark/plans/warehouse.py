@@ -1,518 +1,177 @@
-"""The warehouse: parquet tables, a stage, and one pointer to all of them.
-
-Layout below the root::
-
-    stage/<table>_stage/<run>/                    what a load extracted
-    tables/<table>/run=<run>/key_bucket=<n>/      written once, never changed
-    versions/<number>.json                        which run holds which bucket
-
-A table is cut into buckets of ``2**shift`` consecutive keys (the key shifted
-right, so negative keys and the ends of the range need no care).  The shift
-follows the rows: a bucket is to hold about ``bucket_rows`` of them, if keys are
-spread evenly, and a table whose rows or key range have outgrown its shift four
-times is laid out anew by the load that finds out.  So there are about as many
-buckets as rows over ``bucket_rows``, whatever the keys; unevenly spread ones
-make some buckets larger, which are split among tasks.
-
-New keys of a sequence fall into the last buckets, and a load rewrites only
-buckets its batch touches.  It writes new bucket directories and then publishes
-one small version file that names the current run of every bucket of every
-table.  Readers go through that file, so all tables change together or not at
-all; a load that fails deletes what it wrote, but for its stage.
+"""The warehouse: plain parquet tables in one database, and their stages.
+
+    <root>/<table>/key_bucket=<n>/     a target or the mart
+    <root>/<table>_stage/              what the last load extracted
+
+A table is partitioned by the upper bits of its key (``TargetSpec.bucket_bits``), so
+that new keys of a sequence fall into the last partitions.  A load writes the
+partitions its batch touches, whole, by a dynamic partition overwrite; all others
+keep their files.  Text limits are declared as ``VARCHAR(n)``, so that a write of
+longer text is refused however it is made.  Versions, isolation of readers and
+upkeep of files belong to the table format in use: plain parquet has none.
 """
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
-from collections.abc import Collection, Mapping
-from dataclasses import dataclass, field, replace
-from functools import reduce
+import hashlib
+from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import broadcast_limit, star_join, survivors, upsert
-from tidemark.operators.checks import Profile
-from tidemark.plans.files import delete_tree, names_in, publish_text, read_text
+from tidemark.operators import upsert
+from tidemark.plans.files import delete_tree, make_folder
 from tidemark.sources import empty_table
 from tidemark.specs import Model
 
-BUCKET, RUN = "key_bucket", "run"
-
-# About 512 MB of 250-byte rows.
-DEFAULT_BUCKET_ROWS = 1 << 21
-
-# Bytes a broadcast key takes in a hashed relation, and how much larger than
-# its values a broadcast row is.
-KEY_BYTES, ROW_FACTOR = 48, 3
-
-# A bucket gets one more file from every small batch; after so many all its
-# rows are gathered (same rows, fewer files).
-APPENDS_PER_BUCKET = 16
-
-
-def shift_for(rows: int, low: int, high: int, bucket_rows: int) -> int:
-    """The shift that spreads ``rows`` keys in ``[low, high]`` over buckets of
-    about ``bucket_rows``; never narrower than those many keys."""
-    buckets = max(1, -(-rows // bucket_rows))
-    width = max(bucket_rows, -(-(high - low + 1) // buckets))
-    return min(63, (width - 1).bit_length())
-
-
-@dataclass(frozen=True)
-class Layout:
-    """How a table lies: its shift (none before the first row), at most how many
-    rows it holds and the bytes of one (of mart columns, the widest batch's
-    mean), its key range, and for each bucket the run that wrote it and how many
-    batches were appended since."""
-
-    shift: int | None = None
-    rows: int = 0
-    row_bytes: float = 0.0
-    low: int | None = None
-    high: int | None = None
-    placement: dict[int, str] = field(default_factory=dict)
-    appends: dict[str, int] = field(default_factory=dict)
-
-    def with_batch(self, batch: Profile) -> Layout:
-        """Bounds after a batch is added; keys are unique, so rows are no more
-        than the range holds."""
-        if not batch.rows:
-            return self
-        low = batch.low if self.low is None else min(self.low, batch.low)
-        high = batch.high if self.high is None else max(self.high, batch.high)
-        rows = min(self.rows + batch.rows, high - low + 1)
-        width = max(self.row_bytes, batch.bytes / batch.rows)
-        return replace(self, rows=rows, row_bytes=width, low=low, high=high)
+BUCKET = "key_bucket"
 
-    @property
-    def bytes(self) -> float:
-        return self.rows * self.row_bytes
-
-    def to_json(self) -> dict:
-        runs: dict[str, list[int]] = {}
-        for bucket, run in sorted(self.placement.items()):
-            runs.setdefault(run, []).append(bucket)
-        stats = {k: getattr(self, k) for k in ("shift", "rows", "row_bytes", "low", "high")}
-        return stats | {
-            "runs": {r: {"buckets": b, "appends": self.appends.get(r, 0)} for r, b in runs.items()}
-        }
 
-    @classmethod
-    def from_json(cls, content: dict) -> Layout:
-        runs = content.pop("runs")
-        return cls(
-            **content,
-            placement={b: run for run, held in runs.items() for b in held["buckets"]},
-            appends={run: held["appends"] for run, held in runs.items()},
-        )
+def write_observed(writer, df: DataFrame, metrics: Collection[Column]) -> dict:
+    """Write ``df`` and return the values that ``metrics`` (named aggregates) have over
+    its rows, from the write itself."""
+    if not metrics:
+        writer(df)
+        return {}
+    observation = Observation()
+    writer(df.observe(observation, *metrics))
+    return observation.get
 
 
 class Warehouse:
+    """The tables of ``model`` below ``root``.  They are made where they are missing,
+    and found again by a new session."""
+
     def __init__(self, spark: SparkSession, root: str, model: Model):
         if model.mart.key != model.targets[model.mart.fact].key:
             raise ValueError("the mart must be keyed like its fact")
         self.spark, self.root, self.model = spark, root.rstrip("/"), model
+        self.database = f"warehouse_{hashlib.md5(self.root.encode()).hexdigest()[:16]}"
+        # An insert replaces the partitions it has rows for, and no others.
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        spark.sql(f"create database if not exists {self.database} location '{self.root}'")
+        for name in self.tables:
+            if not spark.catalog.tableExists(self.name_of(name)):
+                make_folder(spark, self._path(name))
+                spark.sql(self._declaration(name))
+                spark.sql(f"alter table {self.name_of(name)} recover partitions")
 
     @classmethod
-    def create(
-        cls,
-        spark: SparkSession,
-        root: str,
-        model: Model,
-        bucket_rows: int = DEFAULT_BUCKET_ROWS,
-        appends_per_bucket: int = APPENDS_PER_BUCKET,
-    ) -> Warehouse:
-        """(Re)create every table empty: the next version holds no rows."""
+    def create(cls, spark: SparkSession, root: str, model: Model) -> Warehouse:
+        """(Re)create every table empty."""
         warehouse = cls(spark, root, model)
-        names = [*model.targets, model.mart.name]
-        version = max(warehouse._versions(), default=0) + 1
-        settings = {"bucket_rows": bucket_rows, "appends_per_bucket": appends_per_bucket}
-        warehouse._publish(version, settings, {name: Layout() for name in names})
-        return warehouse
-
-    # -- versions ---------------------------------------------------------
-
-    def _versions(self) -> list[int]:
-        found = names_in(self.spark, f"{self.root}/versions")
-        return [int(n.removesuffix(".json")) for n in found if n.endswith(".json")]
-
-    def version(self) -> int:
-        """Number of the current version."""
-        versions = self._versions()
-        if not versions:
-            raise FileNotFoundError(f"no warehouse at {self.root}; create it first")
-        return max(versions)
-
-    def _manifest(self, version: int) -> tuple[dict[str, int], dict[str, Layout]]:
-        text = read_text(self.spark, f"{self.root}/versions/{version:012d}.json")
-        content = json.loads(text)
-        tables = {name: Layout.from_json(held) for name, held in content["tables"].items()}
-        return content["settings"], tables
-
-    def _publish(self, version: int, settings: dict[str, int], tables: dict[str, Layout]) -> None:
-        held = {name: layout.to_json() for name, layout in tables.items()}
-        text = json.dumps({"settings": settings, "tables": held})
-        target = f"{self.root}/versions/{version:012d}.json"
-        publish_text(self.spark, target, text, f"{target}.{uuid.uuid4().hex}")
-
-    def placement(self, version: int | None = None) -> dict[str, dict[int, str]]:
-        """For every table the run that holds each bucket."""
-        _, tables = self._manifest(self.version() if version is None else version)
-        return {name: layout.placement for name, layout in tables.items()}
+        for name in warehouse.tables:
+            spark.sql(f"drop table {warehouse.name_of(name)}")
+            delete_tree(spark, warehouse._path(name))
+        return cls(spark, root, model)
 
-    # -- reading ----------------------------------------------------------
+    @property
+    def tables(self) -> list[str]:
+        return [*self.model.targets, self.model.mart.name]
 
-    def _read(
-        self,
-        name: str,
-        placement: dict[int, str],
-        only: Collection[int] | None = None,
-        bucket: bool = False,
-    ) -> DataFrame:
-        """Rows of the current buckets (or ``only`` some of them), with their
-        number if ``bucket``.  Run directories are read and bucket directories
-        pruned, so paths grow with runs and not with buckets."""
-        schema = self.model.schema_of(name)
-        places = T.StructType([T.StructField(BUCKET, T.LongType())])
-        wanted = placement.keys() if only is None else placement.keys() & set(only)
-        runs: dict[str, list[int]] = {}
-        for number in sorted(wanted):
-            runs.setdefault(placement[number], []).append(number)
-        columns = [*schema.fieldNames(), *([BUCKET] if bucket else [])]
-        if not runs:
-            whole = T.StructType([*schema, *places])
-            return empty_table(self.spark, whole).select(*columns)
-        table = f"{self.root}/tables/{name}"
-        stored = T.StructType([*schema, T.StructField(RUN, T.StringType()), *places])
-        rows = (
-            self.spark.read.schema(stored)
-            .option("basePath", table)
-            .parquet(*[f"{table}/{RUN}={run}" for run in runs])
+    def name_of(self, table: str) -> str:
+        """The name of a table in SQL."""
+        return f"{self.database}.{table}"
+
+    def _path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def _declaration(self, name: str) -> str:
+        columns = ", ".join(
+            f"`{field.name}` {self._declared(name, field)}"
+            for field in self.model.schema_of(name)
+        )
+        return (
+            f"create table {self.name_of(name)} ({columns}, {BUCKET} bigint) using parquet "
+            f"partitioned by ({BUCKET}) location '{self._path(name)}'"
         )
-        current = F.lit(False)
-        for run, numbers in runs.items():
-            current = current | ((F.col(RUN) == run) & F.col(BUCKET).isin(numbers))
-        return rows.where(current).select(*columns)
 
-    def table(self, name: str, version: int | None = None) -> DataFrame:
-        """A target table or the mart, as of the current or a given version."""
-        _, tables = self._manifest(self.version() if version is None else version)
-        return self._read(name, tables[name].placement)
+    def _declared(self, name: str, field: T.StructField) -> str:
+        target = self.model.targets.get(name)
+        limit = target.text_limits.get(field.name) if target else None
+        return f"varchar({limit})" if limit else field.dataType.simpleString()
 
-    def register_views(self) -> None:
-        """Make the current version of every table known to ``spark.sql``."""
-        _, tables = self._manifest(self.version())
-        for name, layout in tables.items():
-            self._read(name, layout.placement).createOrReplaceTempView(name)
+    # -- reading ----------------------------------------------------------
 
-    def staged(self, table: str) -> DataFrame:
-        """The rows the last load staged for a table, also if it then failed."""
-        name = self.model.targets[table].stage_name
-        for run in reversed(names_in(self.spark, f"{self.root}/stage/{name}")):
-            path = f"{self.root}/stage/{name}/{run}"
-            if "_SUCCESS" in names_in(self.spark, path):
-                return self.spark.read.parquet(path)
-        raise FileNotFoundError(f"nothing was staged for {table}")
+    def bucket_of(self, name: str, key: Column) -> Column:
+        """The partition that a row of a table with this key belongs to."""
+        return F.shiftright(key.cast("bigint"), self.model.bucket_bits(name)).alias(BUCKET)
 
-    # -- writing ----------------------------------------------------------
+    def buckets(self, name: str) -> set[int]:
+        """The partitions a table has; the catalog knows them."""
+        found = self.spark.sql(f"show partitions {self.name_of(name)}").collect()
+        return {int(row[0].split("=")[1]) for row in found}
 
-    def begin(self) -> Load:
-        return Load(self)
-
-    def drop_unreferenced(self, keep_versions: int = 2) -> list[str]:
-        """Delete all but the last versions, drafts of versions, the directories
-        only older versions used, and all but the last stage of each table.  Not
-        while a load or a reader of an older version is active."""
-        versions = sorted(self._versions())
-        kept = versions[-keep_versions:]
-        used = {
-            (name, f"{RUN}={run}")
-            for version in kept
-            for name, layout in self._manifest(version)[1].items()
-            for run in layout.placement.values()
-        }
-        dropped = []
-        for name in names_in(self.spark, f"{self.root}/versions"):
-            if not name.endswith(".json") or int(name.removesuffix(".json")) not in kept:
-                dropped.append(f"{self.root}/versions/{name}")
-        for name in names_in(self.spark, f"{self.root}/tables"):
-            for run in names_in(self.spark, f"{self.root}/tables/{name}"):
-                if (name, run) not in used:
-                    dropped.append(f"{self.root}/tables/{name}/{run}")
-        for name in names_in(self.spark, f"{self.root}/stage"):
-            for run in names_in(self.spark, f"{self.root}/stage/{name}")[:-1]:
-                dropped.append(f"{self.root}/stage/{name}/{run}")
-        for path in dropped:
-            delete_tree(self.spark, path)
-        return dropped
-
-
-class Load:
-    """One load: tables change here, and show to readers at ``publish``."""
-
-    def __init__(self, warehouse: Warehouse):
-        self._warehouse, self._model = warehouse, warehouse.model
-        self._version = warehouse.version()
-        self._settings, self._before = warehouse._manifest(self._version)
-        self._after = dict(self._before)
-        # Later runs sort later, also runs towards the same version.
-        self._run = f"{self._version + 1:012d}-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        self._batches: dict[str, DataFrame] = {}
-        self._touched: dict[str, Collection[int]] = {}
-        self._clustered: dict[str, int] = {}
+    def rows(self, name: str, buckets: Collection[int] | None = None) -> DataFrame:
+        """A table's rows, or those of some partitions."""
+        # Filtered by partition, a scan has the size of its files for the planner.
+        part = F.col(BUCKET)
+        wanted = part.isNotNull() if buckets is None else part.isin(sorted(buckets))
+        return self.spark.table(self.name_of(name)).where(wanted).drop(BUCKET)
 
     def table(self, name: str) -> DataFrame:
-        """A table as this load leaves it so far."""
-        return self._warehouse._read(name, self._after[name].placement)
-
-    def store(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` below ``stage/<name>`` and read it back."""
-        path = f"{self._warehouse.root}/stage/{name}/{self._run}"
-        df.write.mode("overwrite").parquet(path)
-        return self._warehouse.spark.read.schema(df.schema).parquet(path)
-
-    def stage(self, table: str, df: DataFrame) -> DataFrame:
-        """Replace a table's stage; its rows as stored.
-
-        What follows reads those, so the extract runs once and later changes at
-        the source do not show.  Rows are stored by the bucket they will go to,
-        where the table has a layout, and are not moved again; this also turns
-        the mostly empty tasks of a narrow window into few files.
-        """
-        shift, key = self._before[table].shift, F.col(df.columns[0]).try_cast("bigint")
-        placed = df
-        if shift is not None:
-            placed = (
-                df.withColumn(BUCKET, self.bucket_of(key, shift))
-                .hint("rebalance", F.col(BUCKET))
-                .select(*df.columns)
-            )
-            self._clustered[table] = shift
-        return self.store(self._model.targets[table].stage_name, placed)
-
-    @staticmethod
-    def extents(staged: Mapping[str, DataFrame]) -> dict[str, tuple[int, int | None, int | None]]:
-        """Rows and key range of every staged table, in one query."""
-        keys = [
-            df.select(
-                F.lit(name).alias("name"), F.col(df.columns[0]).try_cast("bigint").alias("key")
-            )
-            for name, df in staged.items()
-        ]
-        found = reduce(DataFrame.unionAll, keys).groupBy("name").agg(
-            F.count(F.lit(1)), F.min("key"), F.max("key")
-        )
-        return dict.fromkeys(staged, (0, None, None)) | {
-            name: (rows, low, high) for name, rows, low, high in found.collect()
-        }
-
-    def lay_out(self, name: str, rows: int, low: int | None, high: int | None) -> int | None:
-        """The shift of a table for a batch with these keys: the one it has, or
-        another if its rows and range have outgrown that four times."""
-        after = self._before[name].with_batch(Profile(rows=rows, low=low, high=high))
-        if low is None:
-            return after.shift
-        wanted = shift_for(after.rows, after.low, after.high, self._settings["bucket_rows"])
-        shift = after.shift
-        return wanted if shift is None or abs(wanted - shift) >= 2 else shift
-
-    @staticmethod
-    def bucket_of(key: Column, shift: int) -> Column:
-        return F.shiftright(key.cast("bigint"), shift).alias(BUCKET)
-
-    def _write(self, name: str, placed: DataFrame) -> list[int]:
-        """Write rows with their bucket into new bucket directories; the buckets
-        written.  Sorting by key gives the files narrow key ranges."""
-        warehouse = self._warehouse
-        path = f"{warehouse.root}/tables/{name}/{RUN}={self._run}"
-        (
-            placed.sortWithinPartitions(BUCKET, self._model.key_of(name))
-            .write.mode("errorifexists")
-            .partitionBy(BUCKET)
-            .parquet(path)
-        )
-        written = names_in(warehouse.spark, path)
-        return [int(n.split("=")[1]) for n in written if n.startswith(f"{BUCKET}=")]
-
-    def _placed(self, name: str, rows: DataFrame, shift: int, gather: bool) -> DataFrame:
-        """Rows with their bucket.  ``gather`` brings those of a bucket together,
-        where AQE joins small buckets and splits large ones."""
-        placed = rows.select("*", self.bucket_of(F.col(self._model.key_of(name)), shift))
-        return placed.hint("rebalance", F.col(BUCKET)) if gather else placed
-
-    def upsert(self, name: str, batch: DataFrame, profile: Profile, shift: int | None) -> None:
-        """Write ``batch`` over a table, rewriting the buckets it touches, or all
-        if the table is laid out anew.  The batch must have passed its checks
-        and be cheap to read again."""
-        before = self._before[name]
-        self._batches[name], self._touched[name] = batch, set(profile.buckets)
-        if not profile.rows:
-            return
-        anew = before.shift != shift
-        if anew:
-            self._touched[name] = set(before.placement)
-        rows, appended = self._upserted(name, batch, profile, shift, anew)
-        written = self._write(name, rows)
-        layout = replace(before.with_batch(profile), shift=shift)
-        if anew:
-            self._touched[name] = set(written)
-            layout = replace(layout, placement={})
-            if before.placement:
-                # The bound has grown with every update; now it is exact again.
-                whole = self._warehouse._read(name, dict.fromkeys(written, self._run))
-                layout = replace(layout, rows=whole.count())
-        placement = dict(layout.placement) | dict.fromkeys(written, self._run)
-        appends = before.appends | {self._run: appended}
-        self._after[name] = replace(layout, placement=placement, appends=appends)
-
-    def _upserted(
-        self, name: str, batch: DataFrame, profile: Profile, shift: int, anew: bool
-    ) -> tuple[DataFrame, int]:
-        """The placed rows of the touched buckets after the upsert, and how often
-        these were appended to.
-
-        If the batch's keys are counted to be within the broadcast limit,
-        surviving rows go from their old files to new ones without a shuffle, and
-        so does a batch that was staged by bucket.  Once a touched bucket has had
-        ``appends_per_bucket`` batches, all rows are gathered.
-        """
-        before = self._before[name]
-        gather = self._clustered.get(name) != shift
-        touched = before.placement.keys() & set(self._touched[name])
-        if not touched:
-            return self._placed(name, batch, shift, gather), 0
-        key = self._model.key_of(name)
-        old = self._warehouse._read(name, before.placement, touched)
-        appends = 1 + max(before.appends.get(before.placement[b], 0) for b in touched)
-        small = KEY_BYTES * profile.rows <= broadcast_limit(self._warehouse.spark)
-        if anew or not small or appends > self._settings["appends_per_bucket"]:
-            return self._placed(name, upsert(old, batch, [key]), shift, gather=True), 0
-        kept = survivors(old, F.broadcast(batch.select(key)))
-        return self._placed(name, kept, shift, gather=False).unionByName(
-            self._placed(name, batch, shift, gather)
-        ), appends
-
-    def _changed(self, name: str, key: str) -> DataFrame:
-        """Keys of the batch whose row is new or looks different in the mart.
-        Old rows are narrowed to the batch's keys, a broadcast if it is small."""
-        visible = [c for c in self._model.mart.visible(name) if c != key]
-        look = F.struct(F.lit(True).alias("known"), *visible)
-        batch = self._batches[name]
-        old = self._warehouse._read(
-            name, self._before[name].placement, self._touched[name]
-        ).join(batch.select(key), key, "left_semi")
-        changed = ~F.col("old").eqNullSafe(F.col("new"))
-        return (
-            batch.select(key, look.alias("new"))
-            .join(old.select(key, look.alias("old")), key, "left")
-            .where(changed)
-            .select(key)
-        )
+        """A target table or the mart."""
+        # Without the declared lengths, which a scan tells as metadata.
+        names = self.model.schema_of(name).fieldNames()
+        return self.rows(name).select(*[F.col(c).alias(c, metadata={}) for c in names])
+
+    def register_views(self) -> None:
+        """Make every table known to ``spark.sql`` by its bare name."""
+        for name in self.tables:
+            self.table(name).createOrReplaceTempView(name)
+
+    # -- writing ----------------------------------------------------------
+
+    def store(self, name: str, df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
+        """Replace a table of the load's own (a stage); its rows as stored, and the
+        values of ``metrics`` over them."""
+
+        def write(rows: DataFrame) -> None:
+            options = rows.write.mode("overwrite").option("path", self._path(name))
+            options.saveAsTable(self.name_of(name))
+
+        found = write_observed(write, df, metrics)
+        # By its files, whose size the planner knows.
+        return self.spark.read.schema(df.schema).parquet(self._path(name)), found
 
-    def _changed_keys(self) -> tuple[DataFrame, set[str]]:
-        """``name, key`` of all changed rows of the fact and the dimensions in one
-        stored table, and the names that have any."""
-        mart, spark = self._model.mart, self._warehouse.spark
-        keys = [(mart.fact, mart.key), *mart.joins]
-        parts = [
-            self._changed(name, key).select(
-                F.lit(name).alias("name"), F.col(key).cast("bigint").alias("key")
-            )
-            for name, key in keys
-            # A dimension without old rows cannot be shown by facts yet.
-            if self._touched.get(name) and self._before[name].placement
-        ]
-        if not parts:
-            return empty_table(spark, T.StructType([])), set()
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionAll(part)
-        stored = self.store("changed_keys", rows)
-        return stored, {row[0] for row in stored.select("name").distinct().collect()}
-
-    def _stale_buckets(self) -> set[int]:
-        """Mart buckets whose rows can differ after this load: those of facts that
-        are new or look different, and those of facts that show a changed
-        dimension row, found in one pass over the facts' references."""
-        mart, fact = self._model.mart, self._after[self._model.mart.fact]
-        touched = set(self._touched.get(mart.fact, ()))
-        if touched and not self._before[mart.fact].placement:
-            return touched
-        changed, names = self._changed_keys()
-        if not names:
-            return set()
-
-        def keys_of(name: str, column: str) -> DataFrame:
-            return changed.where(F.col("name") == name).select(F.col("key").alias(column))
-
-        stale: set[int] = set()
-        if mart.fact in names:
-            buckets = keys_of(mart.fact, "k").select(self.bucket_of(F.col("k"), fact.shift))
-            stale = {row[0] for row in buckets.distinct().collect()}
-        others = fact.placement.keys() - stale
-        shown = [(name, column) for name, column in mart.joins if name in names]
-        if not others or not shown:
-            return stale
-        facts = self._warehouse._read(mart.fact, fact.placement, others, bucket=True)
-        facts = facts.select(BUCKET, *[column for _, column in shown])
-        hit = F.lit(False)
-        for name, column in shown:
-            flag = f"changed_{name}"
-            facts = facts.join(keys_of(name, column).withColumn(flag, F.lit(True)), column, "left")
-            hit = hit | F.col(flag).isNotNull()
-        return stale | {row[0] for row in facts.where(hit).select(BUCKET).distinct().collect()}
-
-    def refresh_mart(self, whole: bool = False) -> None:
-        """Bring the mart up to date with the tables of this load.
-
-        Only stale buckets are joined and rewritten; the result equals a
-        recomputation of the whole mart, which ``whole`` asks for.  The mart has
-        its fact's layout and is recomputed when that changes.
-        """
-        mart = self._model.mart
-        fact, before = self._after[mart.fact], self._after[mart.name]
-        whole = whole or before.shift != fact.shift
-        stale = set(fact.placement) if whole else self._stale_buckets()
-        if not stale:
-            return
-        rows, clustered = self._mart_rows(stale)
-        placement = {} if whole else {b: r for b, r in before.placement.items() if b not in stale}
-        placed = self._placed(mart.name, rows, fact.shift, gather=not clustered)
-        placement |= dict.fromkeys(self._write(mart.name, placed), self._run)
-        self._after[mart.name] = Layout(shift=fact.shift, placement=placement)
-
-    def _mart_rows(self, buckets: Collection[int]) -> tuple[DataFrame, bool]:
-        """The mart's rows of some buckets, and whether tasks hold them by bucket.
-        If what all dimensions show is small enough to broadcast together, facts
-        stay as they lie in their bucket files and the refresh has no shuffle."""
-        mart = self._model.mart
-        tables = {
-            name: self.table(name).select(
-                column, *[c for c in mart.visible(name) if c != column]
-            )
-            for name, column in mart.joins
-        }
-        size = ROW_FACTOR * sum(self._after[name].bytes for name in tables)
-        clustered = size <= broadcast_limit(self._warehouse.spark)
-        if clustered:
-            tables = {name: F.broadcast(df) for name, df in tables.items()}
-        facts = self._after[mart.fact].placement
-        tables[mart.fact] = self._warehouse._read(mart.fact, facts, buckets)
-        return star_join(mart, tables), clustered
-
-    def publish(self) -> int:
-        """Make this load's tables the current version.  Raises if another
-        load published first; its tables then stand."""
-        version = self._version + 1
-        self._warehouse._publish(version, self._settings, self._after)
-        return version
-
-    def abandon(self) -> None:
-        """Delete what this load wrote, but for its stage."""
-        warehouse = self._warehouse
-        for name in names_in(warehouse.spark, f"{warehouse.root}/tables"):
-            delete_tree(warehouse.spark, f"{warehouse.root}/tables/{name}/{RUN}={self._run}")
+    def stage(self, table: str, df: DataFrame, *metrics: Column) -> tuple[DataFrame, dict]:
+        """Replace a table's stage.  What follows reads that, so the extract runs once
+        and later changes at the source do not show."""
+        return self.store(self.model.targets[table].stage_name, df, *metrics)
+
+    def staged(self, table: str) -> DataFrame:
+        """The rows the last load staged for a table, also if it then failed."""
+        return self.spark.read.parquet(self._path(self.model.targets[table].stage_name))
+
+    def replace(self, name: str, rows: DataFrame, buckets: Collection[int]) -> None:
+        """``rows`` become the whole content of the partitions ``buckets``.  Each
+        partition's rows come together; AQE joins small ones and splits large."""
+        key = F.col(self.model.key_of(name))
+        placed = rows.select(
+            *self.model.schema_of(name).fieldNames(), self.bucket_of(name, key)
+        ).hint("rebalance", F.col(BUCKET))
+
+        def write(placed: DataFrame) -> None:
+            placed.write.insertInto(self.name_of(name), overwrite=True)
+
+        # At most one number for each partition written.
+        written = write_observed(write, placed, [F.collect_set(BUCKET).alias("buckets")])
+        for bucket in sorted(set(buckets) & self.buckets(name) - set(written["buckets"])):
+            self._empty(name, bucket)
+
+    def _empty(self, name: str, bucket: int) -> None:
+        """An overwrite has no rows that would replace this partition's."""
+        schema = self.model.schema_of(name)
+        view = f"no_rows_of_{self.database}_{name}"
+        empty_table(self.spark, schema).createOrReplaceTempView(view)
+        table, partition = self.name_of(name), f"partition ({BUCKET} = {bucket})"
+        self.spark.sql(f"insert overwrite table {table} {partition} select * from {view}")
+        self.spark.sql(f"alter table {table} drop if exists {partition}")
+
+    def upsert(self, name: str, batch: DataFrame, buckets: Collection[int]) -> None:
+        """Write ``batch`` over a table.  Its keys must be unique and not NULL, lie in
+        ``buckets``, and it must be cheap to read again."""
+        if buckets:
+            old = self.rows(name, buckets)
+            self.replace(name, upsert(old, batch, [self.model.key_of(name)]), buckets)

@@ -7,7 +7,7 @@ nothing here touches Spark beyond its types.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -52,6 +52,9 @@ class TargetSpec:
     # Names of the same columns in the staged batch, in the target's order.
     # None: they carry the target's names.
     staged_as: tuple[str, ...] | None = None
+    # The stored table is cut into partitions of 2**bucket_bits consecutive keys:
+    # by default of 2 Mi keys, about 512 MB of 250-byte rows.  Sparse keys want more.
+    bucket_bits: int = 21
 
     @property
     def columns(self) -> list[str]:
@@ -101,6 +104,13 @@ class StarMart:
         """Columns of ``table`` that show in the mart."""
         return [column for owner, column, _ in self.columns if owner == table]
 
+    def looked_at(self, table: str) -> list[str]:
+        """Columns that decide how the mart looks: visible ones, and a fact's
+        references."""
+        references = [column for _, column in self.joins] if table == self.fact else []
+        shown = self.visible(table)
+        return [*shown, *[column for column in references if column not in shown]]
+
 
 TableReader = Callable[[str], DataFrame]
 
@@ -162,3 +172,17 @@ class Model:
 
     def key_of(self, table: str) -> str:
         return self.mart.key if table == self.mart.name else self.targets[table].key
+
+    def bucket_bits(self, table: str) -> int:
+        """Those of a target; the mart lies like its fact."""
+        return self.targets[self.mart.fact if table == self.mart.name else table].bucket_bits
+
+    def with_bucket_bits(self, bits: Mapping[str, int]) -> Model:
+        """The same model, some targets in partitions of another size."""
+        entities = tuple(
+            replace(e, target=replace(e.target, bucket_bits=bits[e.target.name]))
+            if e.target.name in bits
+            else e
+            for e in self.entities
+        )
+        return replace(self, entities=entities)

@@ -191,3 +191,20 @@ LINES = Model(
     ),
     mart=LINE_MART,
 )
+
+
+def line_model(spark: SparkSession, sf_dir: str) -> Model:
+    """``LINES`` with partitions for the keys these tables have: some tens of the
+    fact, fewer of the larger dimensions."""
+
+    def bits(name: str, key: str, parts: int) -> int:
+        last = table(spark, sf_dir, name).agg(F.max(F.expr(key)).cast("bigint")).first()[0]
+        return max(1, (last or 0) // parts).bit_length()
+
+    return LINES.with_bucket_bits(
+        {
+            F_LINE.name: bits("lineitem", f"({LINE_KEY}) * {SHARING}", 24),
+            D_ORDER.name: bits("orders", "o_orderkey", 12),
+            D_CUSTOMER.name: bits("customer", "c_custkey", 4),
+        }
+    )

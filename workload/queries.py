@@ -9,13 +9,12 @@ is updated, later years are inserted and earlier ones stay.
 
 from __future__ import annotations
 
-import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import FrameSource, Warehouse, load, run
+from tidemark import FrameSource, LoadResult, Warehouse, load, run
 from tidemark.functions import (
     drop_blank_excess,
     exceeds,
@@ -53,6 +52,7 @@ from workload.model import (
     LINE_KEY,
     LINES,
     line_ancestors,
+    line_model,
     source,
     source_tables,
     table,
@@ -437,43 +437,44 @@ def order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- warehouse: the whole job, stored ---------------------------------------
 
 
-# Warehouses that queries have made; their results read them.
+# Folders that queries have made; their results read them.
 _ROOTS: list[tuple[SparkSession, str]] = []
 
 
-def _new_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """An empty warehouse that will have some tens of fact buckets."""
+def _new_root(spark: SparkSession) -> str:
     root = f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
     _ROOTS.append((spark, root))
-    lines = table(spark, sf_dir, "lineitem").count()
-    return Warehouse.create(spark, root, LINES, bucket_rows=max(1, lines // 48))
+    return root
+
+
+def _new_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """An empty warehouse that will have some tens of fact partitions."""
+    return Warehouse.create(spark, _new_root(spark), line_model(spark, sf_dir))
 
 
 def stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = rename_key(_orders_batch(spark, sf_dir), "o_orderkey", "order_id")
-    return _new_warehouse(spark, sf_dir).begin().stage(D_ORDER.name, batch)
+    return _new_warehouse(spark, sf_dir).stage(D_ORDER.name, batch)[0]
 
 
-def load_twice(spark: SparkSession, sf_dir: str):
-    """A warehouse after a backfill up to 1999 and a later load from 1998 on,
-    and the counts of both loads."""
-    return _load_twice(spark.sparkContext.applicationId, spark, sf_dir)
+def _run(warehouse: Warehouse, tables, start: str, end: str) -> LoadResult:
+    return run(warehouse.model, tables, warehouse, start, end)
 
 
-# The stored result serves every query that reads it, as a warehouse does.
-@functools.lru_cache(maxsize=1)
-def _load_twice(application: str, spark: SparkSession, sf_dir: str):
+def load_once(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, LoadResult]:
+    """A warehouse after a backfill up to 1999."""
     warehouse = _new_warehouse(spark, sf_dir)
-    first = run(LINES, source(spark, sf_dir), warehouse, HISTORY, CUT)
-    second = run(LINES, source(spark, sf_dir, later=True), warehouse, START, END)
-    return warehouse, first, second
+    return warehouse, _run(warehouse, source(spark, sf_dir), HISTORY, CUT)
+
+
+def load_twice(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, LoadResult]:
+    """The same after a later load from 1998 on."""
+    warehouse, _ = load_once(spark, sf_dir)
+    return warehouse, _run(warehouse, source(spark, sf_dir, later=True), START, END)
 
 
 def forget_loads() -> None:
-    """Delete the warehouses that queries have made; the next query that needs a
-    loaded one loads it again.  Earlier results cannot be read any more."""
-    _load_twice.cache_clear()
-    _increments.cache_clear()
+    """Delete what queries have stored.  Earlier results cannot be read any more."""
     while _ROOTS:
         delete_tree(*_ROOTS.pop())
 
@@ -481,7 +482,7 @@ def forget_loads() -> None:
 def whole_load(spark: SparkSession, sf_dir: str) -> Warehouse:
     """A warehouse after one load of all there is."""
     warehouse = _new_warehouse(spark, sf_dir)
-    run(LINES, source(spark, sf_dir), warehouse, HISTORY, END)
+    _run(warehouse, source(spark, sf_dir), HISTORY, END)
     return warehouse
 
 
@@ -499,7 +500,7 @@ def small_increment(spark: SparkSession, sf_dir: str, warehouse: Warehouse):
             "l_quantity", F.col("l_quantity") + F.when(hit_line, 1).otherwise(0)
         ),
     }
-    return run(LINES, FrameSource(tables), warehouse, END, "2002-02-01")
+    return _run(warehouse, FrameSource(tables), END, "2002-02-01")
 
 
 def dimension_change(spark: SparkSession, sf_dir: str, warehouse: Warehouse):
@@ -519,52 +520,44 @@ def dimension_change(spark: SparkSession, sf_dir: str, warehouse: Warehouse):
         "customer": renamed("customer", "c_custkey", 7, "c_name"),
         "nation": renamed("nation", "n_nationkey", 3, "n_name"),
     }
-    return run(LINES, FrameSource(tables), warehouse, "2002-03-01", "2002-04-01")
+    return _run(warehouse, FrameSource(tables), "2002-03-01", "2002-04-01")
 
 
-def increments(spark: SparkSession, sf_dir: str):
-    """A whole load, then a small increment, then a change of dimensions only:
-    the warehouse and the results of the last two."""
-    return _increments(spark.sparkContext.applicationId, spark, sf_dir)
-
-
-@functools.lru_cache(maxsize=1)
-def _increments(application: str, spark: SparkSession, sf_dir: str):
+def _after_small_increment(spark: SparkSession, sf_dir: str) -> Warehouse:
     warehouse = whole_load(spark, sf_dir)
-    small = small_increment(spark, sf_dir, warehouse)
-    return warehouse, small, dimension_change(spark, sf_dir, warehouse)
+    small_increment(spark, sf_dir, warehouse)
+    return warehouse
 
 
 def load_small_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse, small, _ = increments(spark, sf_dir)
-    return warehouse.table(F_LINE.name, small.version)
+    return _after_small_increment(spark, sf_dir).table(F_LINE.name)
 
 
 def load_small_increment_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse, small, _ = increments(spark, sf_dir)
-    return warehouse.table(LINES.mart.name, small.version)
+    return _after_small_increment(spark, sf_dir).table(LINES.mart.name)
 
 
 def load_dimension_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse, _, changed = increments(spark, sf_dir)
-    return warehouse.table(LINES.mart.name, changed.version)
+    warehouse = _after_small_increment(spark, sf_dir)
+    dimension_change(spark, sf_dir, warehouse)
+    return warehouse.table(LINES.mart.name)
 
 
 def load_recreated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load, create the tables again, load another window."""
-    first = _new_warehouse(spark, sf_dir)
-    run(LINES, source(spark, sf_dir), first, HISTORY, CUT)
-    again = Warehouse.create(spark, first.root, LINES, bucket_rows=1000)
+    first, _ = load_once(spark, sf_dir)
+    again = Warehouse.create(spark, first.root, first.model)
     # Customers and nations of earlier years are needed by later orders.
     frames = transform(extract(LINES, source(spark, sf_dir), HISTORY, END), LINES.entities)
     late = transform(extract(LINES, source(spark, sf_dir), CUT, END), LINES.entities)
-    load(LINES, frames | {"line": late["line"]}, again)
+    load(again.model, frames | {"line": late["line"]}, again)
     return again.table(F_LINE.name)
 
 
 def load_sparse_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys spread over all of ``bigint``, loaded and then upserted."""
-    warehouse = _new_warehouse(spark, sf_dir)
+    model = LINES.with_bucket_bits({D_CUSTOMER.name: 59})
+    warehouse = Warehouse.create(spark, _new_root(spark), model)
     customer = table(spark, sf_dir, "customer")
     key = F.expr("(c_custkey * 40503 % 65536 - 32768) * 281474976710656 + c_custkey")
     hit = "c_mktsegment in ('MACHINERY', 'BUILDING')"
@@ -580,21 +573,20 @@ def load_sparse_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
             for e in LINES.entities
         }
         frames["customer"] = batch.select(key.alias("customer_id"), *D_CUSTOMER.columns[1:])
-        load(LINES, frames, warehouse)
+        load(model, frames, warehouse)
     return warehouse.table(D_CUSTOMER.name)
 
 
 def upsert_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_twice(spark, sf_dir)[2].frame(spark)
+    return load_twice(spark, sf_dir)[1].frame()
 
 
 def backfill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_twice(spark, sf_dir)[1].frame(spark)
+    return load_once(spark, sf_dir)[1].frame()
 
 
 def load_backfill_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse, first, _ = load_twice(spark, sf_dir)
-    return warehouse.table(LINES.mart.name, first.version)
+    return load_once(spark, sf_dir)[0].table(LINES.mart.name)
 
 
 def load_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -619,9 +611,8 @@ def load_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_rerun_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same window loaded twice in a row."""
-    warehouse = _new_warehouse(spark, sf_dir)
-    for _ in range(2):
-        run(LINES, source(spark, sf_dir), warehouse, HISTORY, CUT)
+    warehouse, _ = load_once(spark, sf_dir)
+    _run(warehouse, source(spark, sf_dir), HISTORY, CUT)
     return warehouse.table(LINES.mart.name)
 
 
