@@ -4,13 +4,24 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tidemark import COURSES, ConstraintError, FrameSource, Warehouse, load, run
-from tidemark.operators import star_join
+from tidemark import COURSES, ConstraintError, FrameSource, Warehouse, extract, load, run
+from tidemark.operators import (
+    affected_rows,
+    changed_between_sql,
+    conform,
+    star_join,
+    text_violations,
+    transform,
+    upsert,
+)
 from tidemark.plans.pipeline import refresh_mart
-from tidemark.sources import inline_rows
+from tidemark.plans.sql_functions import create_functions
+from tidemark.sources import declared_columns, inline_rows
 from tidemark.sources.sample import sample_tables
+from tidemark.specs import columns
 
 TABLES = [*COURSES.targets, COURSES.mart.name]
 DAY, HOUR = dt.timedelta(days=1), dt.timedelta(hours=1)
@@ -372,3 +383,63 @@ def test_refreshed_mart_equals_a_recomputed_one(spark, sample, warehouse, as_of,
     finally:
         for key, value in settings.items():
             spark.conf.set(key, value)
+
+
+# -- in SQL -----------------------------------------------------------------
+
+
+def test_sql_functions_tell_what_an_upsert_does(spark, sample, warehouse, as_of, rows):
+    run(COURSES, FrameSource(sample), warehouse, "2021-01-01", as_of)
+    moved = changed(sample, "course", "id in (1, 2)", title=F.lit("Moved"))
+    more = plus(spark, moved, "stream", id=9, course_id=1, name="New", updated_at=as_of - DAY)
+    frames = transform(extract(COURSES, more, "2021-01-01", as_of), COURSES.entities)
+    before = {name: warehouse.table(name) for name in COURSES.targets}
+    batches = {}
+    for entity in COURSES.entities:
+        staged, _ = warehouse.stage(entity.target.name, frames[entity.name])
+        batches[entity.target.name] = conform(staged, entity.target)
+    names = create_functions(warehouse)
+    assert len(names) == 2 * len(COURSES.targets) + 1
+    for name, target in COURSES.targets.items():
+        expected = upsert(before[name], batches[name], [target.key])
+        assert rows(spark.sql(f"select * from upserted_{name}()")) == rows(expected)
+        count = spark.sql(f"select * from upsert_{name}()").first()[0]
+        assert count == affected_rows(batches[name]).first()[0]
+    assert spark.sql("select * from upsert_all()").first().asDict() == {
+        "affected_rows_course": 4,
+        "affected_rows_stream": 5,
+        "affected_rows_stream_module": 5,
+        "affected_rows_lesson": 12,
+    }
+
+
+def test_a_table_name_is_only_a_name(spark, sample, as_of):
+    sample["course"].createOrReplaceTempView("course_of_sql")
+    found = changed_between_sql(spark, "course_of_sql", "updated_at", "2021-01-01", as_of)
+    assert found.count() == 4
+    for name in ("course_of_sql where 1 = 1 --", "course_of_sql'; drop table x", "`a'b`.`c`"):
+        with pytest.raises(AnalysisException):
+            changed_between_sql(spark, name, "updated_at", "2021-01-01", as_of)
+
+
+def test_a_declared_table_refuses_each_violating_row(spark, new_root):
+    texts = ["abc", "abcd", "ab   ", "äöüß", None]
+    df = inline_rows(spark, columns("k int, t string"), list(enumerate(texts, 1)))
+    declared = declared_columns(df.schema, {"t": 3})
+    spark.sql(f"create table short_text ({declared}) using parquet location '{new_root()}'")
+    try:
+        refused = set()
+        for row in df.collect():
+            try:
+                df.where(F.col("k") == row.k).write.insertInto("short_text")
+            except Exception as error:
+                assert "EXCEED_LIMIT_LENGTH" in str(error)
+                refused.add(row.k)
+        assert refused == {r.k for r in text_violations(df, {"t": 3}).collect()} == {2, 4}
+        assert {(r.k, r.t) for r in spark.table("short_text").collect()} == {
+            (1, "abc"),
+            (3, "ab "),
+            (5, None),
+        }
+    finally:
+        spark.sql("drop table short_text")

@@ -1,29 +1,36 @@
 """The plans behind the operators: what is pushed, shuffled, split, broadcast."""
 
 import contextlib
+import dataclasses
 import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import COURSES, FrameSource, ParquetSource, Warehouse, extract, run
 from tidemark.operators import (
     facts_showing,
     insert_update_split,
-    integer_key_violations,
     integer_reference_violations,
-    key_violations,
     reference_violations,
     star_join,
     upsert,
 )
+from tidemark.operators.bitmaps import unknown_ranges
+from tidemark.sources import write_by_column
 from tidemark.sources.sample import create_source
+from tidemark.specs import columns
 from workload import queries as q
 from workload.model import LINE_KEY, LINES, line_model, source, source_tables, table
 
 SF_DIR = "/root/testdata/sf0.01"
-# These run jobs when called; their result is a plain scan.
-STORED = {n for n in q.QUERIES if n.startswith(("load_", "upsert_all", "backfill", "stage_"))}
+# These run jobs when called.
+STORED = {
+    n
+    for n in q.QUERIES
+    if n.startswith(("load_", "upsert_all", "backfill", "stage_", "sql_"))
+}
 
 
 def plan_of(df):
@@ -251,19 +258,6 @@ def test_a_load_runs_few_jobs(spark, new_root):
     assert 0 < len(jobs) <= 36
 
 
-def test_bitmaps_move_less_than_keys(spark):
-    """Dense keys: the same violations from a few rows of 4 KB."""
-    keys = spark.range(0, 400_000, 1, 8).select((F.col("id") % 399_990).alias("key"))
-
-    assert sorted(map(tuple, integer_key_violations(keys, "key").collect())) == sorted(
-        map(tuple, key_violations(keys, ["key"]).collect())
-    )
-    plan = plan_of(integer_key_violations(keys, "key"))
-    assert "bitmap_construct_agg" in plan
-    # What is exchanged is by range, and joins back only ranges that fail.
-    assert re.search(r"Exchange hashpartitioning\(range|_groupingexpression", plan)
-
-
 def test_reference_check_counts_the_child_once(spark):
     """Both uses of the counted references are one exchange."""
     with no_broadcast(spark):
@@ -284,3 +278,112 @@ def test_split_narrows_the_target_to_the_batch(spark):
         batch = spark.range(5).select(F.col("id").alias("o_orderkey"))
         plan = plan_of(insert_update_split(orders, batch, ["o_orderkey"]))
     assert "LeftSemi, BuildRight" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_bucketed_sides_of_an_upsert_are_not_shuffled(spark, rows):
+    with no_broadcast(spark):
+        found = q.upsert_bucketed(spark, SF_DIR)
+        assert "Exchange" not in plan_of(found) and "SortMergeJoin" in plan_of(found)
+        assert "Bucketed: true" in formatted(found)
+        assert rows(found) == rows(q.upsert_dim_rows(spark, SF_DIR))
+
+
+def scans_of(df):
+    """The file scans of a plan that has run, with how many partitions they read."""
+    df.collect()
+    found, waiting = {}, [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            waiting.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            waiting.append(node.plan())
+        elif kind == "FileSourceScanExec":
+            metrics = node.metrics()
+            parts = metrics.get("numPartitions")
+            files = metrics.apply("numFiles").value()
+            found[node.toString()] = (files, parts.get().value() if parts.isDefined() else None)
+        else:
+            children = node.children()
+            waiting += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_months_without_orders_in_the_window_are_not_read(spark):
+    found = q.lesson_view_by_month(spark, SF_DIR)
+    scans = scans_of(found)
+    detail, (_, months) = next((k, v) for k, v in scans.items() if "l_shipdate" in k)
+    assert "dynamicpruning" in detail.lower()
+    assert months == 12
+    assert found.count() == q.lesson_view_window(spark, SF_DIR).count() > 0
+
+
+def test_extract_prunes_details_laid_out_by_month(spark, tmp_path, rows):
+    """Also where the load has stored the ancestors of the window."""
+    month = F.date_format("ordered_on", "yyyyMM").cast("int")
+    view = LINES.views["line_view"]
+    model = dataclasses.replace(
+        LINES,
+        sources={
+            **LINES.sources,
+            "lineitem": T.StructType([*LINES.sources["lineitem"], *columns("month int")]),
+        },
+        views={
+            "line_view": dataclasses.replace(
+                view,
+                ancestors=lambda table: view.ancestors(table).withColumn("month", month),
+                laid_out_by="month",
+            )
+        },
+    )
+    tables = source_tables(spark, SF_DIR)
+    months = view.ancestors(tables.__getitem__).select("l_orderkey", month.alias("month"))
+    lines = tables["lineitem"]
+    lines = lines.join(months, "l_orderkey").select(*lines.columns, "month")
+    tables["lineitem"] = write_by_column(lines, str(tmp_path / "lines"), "month")
+
+    def store(name, df):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.schema(df.schema).parquet(str(tmp_path / name))
+
+    window = ("1998-02-01", "1998-04-01")
+    found = extract(model, FrameSource(tables), *window, store)["line"]
+    scans = scans_of(found)
+    assert [parts for k, (_, parts) in scans.items() if "l_shipdate" in k] == [2]
+    plain = extract(LINES, source(spark, SF_DIR), *window)["line"]
+    assert rows(found.select(*plain.columns)) == rows(plain)
+
+
+def test_a_reference_check_by_bitmaps_moves_ranges_and_not_keys(spark):
+    """What leaves the tasks is a row for each range of 32,768 keys."""
+    child = spark.range(0, 1_000_000, 1, 4).select((F.col("id") + 5).alias("f"))
+    parent = spark.range(0, 1_000_000, 1, 4)
+    with no_broadcast(spark):
+        by_keys = reference_violations(child, "f", parent, "id")
+        by_bits = integer_reference_violations(child, "f", parent, "id")
+        values, known = child.toDF("value"), parent.toDF("value")
+        moved = shuffled(unknown_ranges(values, known)) + shuffled(by_bits)
+        assert moved * 5 < shuffled(by_keys)
+        found = sorted(map(tuple, by_bits.collect()))
+        assert found == sorted(map(tuple, by_keys.collect()))
+        assert found == [(1_000_000 + i, 1) for i in range(5)]
+
+
+def shuffled(df):
+    """Bytes that the exchanges of a plan have written."""
+    df.collect()
+    total, waiting = 0, [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            waiting.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            waiting.append(node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                total += node.metrics().apply("shuffleBytesWritten").value()
+            children = node.children()
+            waiting += [children.apply(i) for i in range(children.size())]
+    return total

@@ -30,7 +30,7 @@ from tidemark.operators.upsert import (
     survivors,
     upsert,
 )
-from tidemark.operators.window import changed_between
+from tidemark.operators.window import changed_between, changed_between_sql
 
 __all__ = [
     "ConstraintError",
@@ -40,6 +40,7 @@ __all__ = [
     "apply_delta",
     "batch_profile",
     "changed_between",
+    "changed_between_sql",
     "changed_keys",
     "combine_counts",
     "conform",

@@ -9,7 +9,7 @@ bit, negative ones too; where keys are so sparse that a bitmap holds only a few
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 # Bytes of a key with its row overhead, as a shuffle writes it.
 KEY_BYTES = 16
 
+# So many failing ranges are named in the filter of the second pass; of more, the
+# second pass is joined with them.
+NAMED_RANGES = 10_000
+
 
 def dense(rows: int, low: int | None, high: int | None) -> bool:
     """Whether the bitmaps of keys in ``[low, high]`` take less than ``rows`` keys."""
@@ -44,15 +48,25 @@ def repeated_ranges(keys: DataFrame, key: str, by: Sequence[str] = ()) -> DataFr
     )
 
 
+def _within(failing: DataFrame, key: str) -> Callable[[DataFrame], DataFrame]:
+    """Narrows frames to rows whose ``key`` is in a ``failing`` range.  These are found
+    now: as a rule there are none or few, and then no other key is moved."""
+    found = failing.limit(NAMED_RANGES + 1).collect()
+    if len(found) <= NAMED_RANGES:
+        ranges = [row[0] for row in found]
+        return lambda rows: rows.where(_range(key).isin(ranges))
+    return lambda rows: (
+        rows.withColumn("range", _range(key)).join(failing, "range", "left_semi").drop("range")
+    )
+
+
 def integer_key_violations(df: DataFrame, key: str) -> DataFrame:
     """``key_violations`` of one integer column: ``key`` and ``rows`` of keys that
-    are NULL or occur more than once."""
+    are NULL or occur more than once.  Runs a job that finds the ranges to look at."""
     keys = df.select(F.col(key).cast("bigint").alias("key"))
-    failing = repeated_ranges(keys, "key")
     found = (
-        keys.withColumn("range", _range("key"))
-        .join(failing, "range", "left_semi")
-        .unionByName(keys.where("key is null").withColumn("range", F.lit(None).cast("bigint")))
+        _within(repeated_ranges(keys, "key"), "key")(keys)
+        .unionAll(keys.where("key is null"))
         .groupBy("key")
         .agg(F.count(F.lit(1)).alias("rows"))
         .where("rows > 1 or key is null")
@@ -85,19 +99,16 @@ def integer_reference_violations(
     child: DataFrame, column: str, parent: DataFrame, parent_key: str
 ) -> DataFrame:
     """``reference_violations`` of integer keys, which may repeat in ``parent``:
-    values of ``column`` that no parent row has, with their row counts."""
+    values of ``column`` that no parent row has, with their row counts.  Runs a job
+    that finds the ranges to look at."""
     values = child.select(F.col(column).cast("bigint").alias("value"))
     known = parent.select(F.col(parent_key).cast("bigint").alias("value"))
-    failing = unknown_ranges(values, known)
-
-    def within(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("range", _range("value")).join(failing, "range", "left_semi")
-
+    within = _within(unknown_ranges(values, known), "value")
     return (
-        within(values)
+        within(values.where("value is not null"))
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("rows"))
-        .join(within(known).select("value"), "value", "left_anti")
+        .join(within(known), "value", "left_anti")
         .select(F.col("value").cast(child.schema[column].dataType).alias(column), "rows")
     )
 

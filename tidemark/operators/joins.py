@@ -15,18 +15,22 @@ from pyspark.sql import functions as F
 from tidemark.specs import StarMart
 
 
-def denormalise(detail: DataFrame, ancestors: DataFrame, reference: str) -> DataFrame:
+def denormalise(
+    detail: DataFrame, ancestors: DataFrame, reference: str, laid_out_by: str | None = None
+) -> DataFrame:
     """``detail`` with the columns of its ancestors' row; without one a detail
     row drops out.
 
     The ancestors are joined among themselves before they come here: small
     next to the detail rows, so those are shuffled at most once, on one key.
+    A column both have that the details are ``laid_out_by`` joins too, so that
+    filtered ancestors prune the details' folders at run time.
     """
-    inherited = [c for c in ancestors.columns if c != reference]
+    keys = [reference, *([laid_out_by] if laid_out_by else [])]
+    inherited = [c for c in ancestors.columns if c not in keys]
     own, parents = detail.alias("detail"), ancestors.alias("ancestors")
-    return own.join(
-        parents, F.col(f"detail.`{reference}`") == F.col(f"ancestors.`{reference}`")
-    ).select(
+    same = [F.col(f"detail.`{c}`") == F.col(f"ancestors.`{c}`") for c in keys]
+    return own.join(parents, same).select(
         *[F.col(f"detail.`{c}`") for c in detail.columns],
         # A name both sides have is the detail rows' own.
         *[F.col(f"ancestors.`{c}`") for c in inherited if c not in detail.columns],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import as_date, to_date
@@ -21,3 +21,20 @@ def changed_between(
     """
     day = to_date(F.col(watermark))
     return df.where((day >= F.lit(as_date(start))) & (day < F.lit(as_date(end))))
+
+
+_WINDOW = """
+    select * from identifier(:table)
+    where cast(identifier(:watermark) as date) >= :start
+      and cast(identifier(:watermark) as date) < :end
+"""
+
+
+def changed_between_sql(
+    spark: SparkSession, table: str, watermark: str, start: DateLike, end: DateLike
+) -> DataFrame:
+    """``changed_between`` over a table or view known to SQL by name.  Names and days
+    are parameters of the statement, never part of its text: a name can only be a
+    name."""
+    days = {"start": as_date(start), "end": as_date(end)}
+    return spark.sql(_WINDOW, args={"table": table, "watermark": watermark, **days})

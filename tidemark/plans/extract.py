@@ -57,8 +57,10 @@ def _changed_details(
         return changed_between(table(entity.source), entity.watermark, *days)
     ancestors = changed_between(ancestors, entity.watermark, *days)
     if store is not None:
+        # The window once more, as only a filtered side prunes the other's folders.
         ancestors = store(f"{entity.source}_ancestors", ancestors)
-    return denormalise(table(view.detail), ancestors, view.reference)
+        ancestors = changed_between(ancestors, entity.watermark, *days)
+    return denormalise(table(view.detail), ancestors, view.reference, view.laid_out_by)
 
 
 def extract(

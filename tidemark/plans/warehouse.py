@@ -18,11 +18,10 @@ from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators import upsert
 from tidemark.plans.files import delete_tree, make_folder
-from tidemark.sources import empty_table
+from tidemark.sources import declared_columns, empty_table
 from tidemark.specs import Model
 
 BUCKET = "key_bucket"
@@ -78,20 +77,13 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def _declaration(self, name: str) -> str:
-        columns = ", ".join(
-            f"`{field.name}` {self._declared(name, field)}"
-            for field in self.model.schema_of(name)
-        )
+        target = self.model.targets.get(name)
+        columns = declared_columns(self.model.schema_of(name), target.text_limits if target else {})
         return (
             f"create table {self.name_of(name)} ({columns}, {BUCKET} bigint) using parquet "
             f"partitioned by ({BUCKET}) location '{self._path(name)}'"
         )
 
-    def _declared(self, name: str, field: T.StructField) -> str:
-        target = self.model.targets.get(name)
-        limit = target.text_limits.get(field.name) if target else None
-        return f"varchar({limit})" if limit else field.dataType.simpleString()
-
     # -- reading ----------------------------------------------------------
 
     def bucket_of(self, name: str, key: Column) -> Column:

@@ -65,4 +65,36 @@ def read(model: Model, source: Source, name: str) -> DataFrame:
         return read(model, source, other)
 
     view = model.views[name]
-    return denormalise(table(view.detail), view.ancestors(table), view.reference)
+    return denormalise(
+        table(view.detail), view.ancestors(table), view.reference, view.laid_out_by
+    )
+
+
+def declared_columns(schema: T.StructType, limits: Mapping[str, int]) -> str:
+    """The columns of a table in SQL.  Limited text is ``VARCHAR(n)``: a write of
+    longer text is refused, and blanks beyond the limit go."""
+    return ", ".join(
+        f"`{field.name}` "
+        + (
+            f"varchar({limits[field.name]})"
+            if field.name in limits
+            else field.dataType.simpleString()
+        )
+        for field in schema
+    )
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Replace a catalog table whose files are bucketed and sorted by ``key``: joins
+    and groups by the key of tables with as many buckets need no shuffle.  A bucket
+    is one file; choose as many as make files of 128 MB to 1 GB."""
+    placed = df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+    placed.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def write_by_column(df: DataFrame, path: str, column: str) -> DataFrame:
+    """Replace a table laid out by ``column``, a folder for each of its values."""
+    placed = df.hint("rebalance", column).write.mode("overwrite")
+    placed.option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

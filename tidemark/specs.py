@@ -122,11 +122,16 @@ class DetailView:
     ``ancestors`` joins the parent tables into one row per parent: the parent's
     key, named like the column ``reference`` of the detail rows that holds it,
     and the columns those rows inherit.
+
+    ``laid_out_by`` names a column that detail rows and ancestors share and that the
+    detail table's folders follow (such as the ancestor's month): a scan of details
+    then skips, at run time, the folders of no ancestor in the window.
     """
 
     detail: str
     reference: str
     ancestors: Callable[[TableReader], DataFrame]
+    laid_out_by: str | None = None
 
 
 @dataclass(frozen=True)

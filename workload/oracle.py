@@ -377,3 +377,30 @@ ORACLE = {
         from (select *, c_mktsegment in ('MACHINERY', 'BUILDING') as hit from customer)
     """,
 }
+ORACLE |= {
+    "extract_window_sql": ORACLE["extract_window_orders"],
+    "session_now": """
+        select event_id, cast(ts as date) < current_date as is_over,
+               date_diff('day', cast(ts as date), current_date) as days_ago
+        from events
+    """,
+    "lesson_view_by_month": ORACLE["lesson_view_window"],
+    "upsert_bucketed": ORACLE["upsert_dim_rows"],
+    "key_violations_bitmap": """
+        select odd_key, count(*) as "rows" from (
+            select case o_orderstatus when 'P' then -o_custkey
+                when 'O' then o_orderkey * 1099511627776 + o_custkey % 5
+                else case when o_orderpriority = '1-URGENT' then null else o_orderkey end
+                end as odd_key
+            from orders
+        ) group by odd_key having count(*) > 1 or odd_key is null
+    """,
+    "fk_violations_bitmap": ORACLE["fk_violations_orders"],
+    "varchar_accepted": """
+        select c_custkey, rpad(c_mktsegment, 9, ' ') as c_mktsegment from customer
+        where length(c_mktsegment) <= 9
+    """,
+    "mart_delta_refresh": ORACLE["mart_after_upsert"],
+    "sql_upsert_counts": ORACLE["upsert_all_counts"],
+    "sql_upserted_orders": ORACLE["load_orders"],
+}

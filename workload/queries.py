@@ -25,13 +25,19 @@ from tidemark.functions import (
 )
 from tidemark.operators import (
     affected_rows,
+    apply_delta,
     batch_profile,
     changed_between,
+    changed_between_sql,
+    changed_keys,
     conform,
     denormalise,
     insert_update_split,
+    integer_key_violations,
+    integer_reference_violations,
     key_violations,
     map_by_position,
+    mart_delta,
     prune,
     reference_violations,
     rename_key,
@@ -42,8 +48,16 @@ from tidemark.operators import (
 )
 from tidemark.plans.extract import extract, extract_counts, window
 from tidemark.plans.files import delete_tree
+from tidemark.plans.sql_functions import create_functions
 from tidemark.session import shared_folder
-from tidemark.sources import empty_table, inline_rows, read
+from tidemark.sources import (
+    declared_columns,
+    empty_table,
+    inline_rows,
+    read,
+    write_bucketed,
+    write_by_column,
+)
 from tidemark.specs import StarMart, TargetSpec, columns
 from workload.model import (
     D_CUSTOMER,
@@ -73,6 +87,23 @@ def extract_window_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed_between(table(spark, sf_dir, "events"), "ts", "2024-01-10", "2024-01-11")
 
 
+def extract_window_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows, the table named to SQL by a parameter."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders_of_sql")
+    return changed_between_sql(spark, "orders_of_sql", "o_orderdate", START, CUT)
+
+
+def session_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default window's end is today, by the session's clock."""
+    _, today = window(None, None)
+    day = F.col("ts").cast("date")
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        (day < F.lit(today)).alias("is_over"),
+        F.date_diff(F.lit(today), day).cast("bigint").alias("days_ago"),
+    )
+
+
 def default_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     start, end = window(None, "2024-01-11 09:00:00")
     return changed_between(table(spark, sf_dir, "events"), "ts", start, end)
@@ -98,7 +129,11 @@ def extract_default_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The view over the table as it is, repeated keys included."""
     ancestors = line_ancestors(lambda name: table(spark, sf_dir, name))
-    return denormalise(table(spark, sf_dir, "lineitem"), ancestors, "l_orderkey").select(
+    return _visible(denormalise(table(spark, sf_dir, "lineitem"), ancestors, "l_orderkey"))
+
+
+def _visible(view: DataFrame) -> DataFrame:
+    return view.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -120,6 +155,25 @@ def lesson_view_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed_between(_view(spark, sf_dir), "updated_at", START, CUT)
 
 
+def lesson_view_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window of the view over lines laid out by the month of their order: the
+    orders in the window tell, at run time, which months of lines to read."""
+    month = F.date_format("o_orderdate", "yyyyMM").cast("int").alias("month")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", month)
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey).drop("o_orderkey")
+    root = _new_root(spark)
+    lines = write_by_column(lines, f"{root}/lines_by_month", "month")
+    ancestors = line_ancestors(lambda name: table(spark, sf_dir, name)).withColumn(
+        "month", F.date_format("ordered_on", "yyyyMM").cast("int")
+    )
+    changed_between(ancestors, "ordered_on", START, CUT).write.parquet(f"{root}/ancestors")
+    # Stored, their size is known; filtered, they prune.
+    known = spark.read.schema(ancestors.schema).parquet(f"{root}/ancestors")
+    in_window = changed_between(known, "ordered_on", START, CUT)
+    return _visible(denormalise(lines, in_window, "l_orderkey", "month"))
+
+
 # -- shape ------------------------------------------------------------------
 
 
@@ -246,6 +300,17 @@ def upsert_insert_update_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and batch stored in buckets by key, so that neither is shuffled."""
+    root, tag = _new_root(spark), uuid.uuid4().hex
+    frames = {"target": _orders_target(spark, sf_dir), "batch": _orders_batch(spark, sf_dir)}
+    stored = {
+        name: write_bucketed(df, f"{name}_{tag}", f"{root}/{name}", "o_orderkey", 8)
+        for name, df in frames.items()
+    }
+    return upsert(stored["target"], stored["batch"], ["o_orderkey"])
+
+
 # -- checks -----------------------------------------------------------------
 
 
@@ -258,6 +323,25 @@ def key_violations_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_violations(table(spark, sf_dir, "events").select(key), ["event_key"])
 
 
+# Dense, sparse, negative, NULL and repeated keys.
+_ODD_KEY = """
+    case o_orderstatus when 'P' then -o_custkey
+        when 'O' then o_orderkey * 1099511627776 + o_custkey % 5
+        else if(o_orderpriority = '1-URGENT', null, o_orderkey) end
+"""
+
+
+def key_violations_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = table(spark, sf_dir, "orders").select(F.expr(_ODD_KEY).cast("bigint").alias("odd_key"))
+    return integer_key_violations(keys, "odd_key")
+
+
+def fk_violations_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integer_reference_violations(
+        table(spark, sf_dir, "orders"), "o_custkey", table(spark, sf_dir, "events"), "user_id"
+    )
+
+
 def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").where("r_name <> 'AFRICA'")
     nation = table(spark, sf_dir, "nation")
@@ -302,6 +386,18 @@ def varchar_blank_excess(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def varchar_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a declared table takes: too long a text would fail the write, so those
+    rows are left out; blanks beyond the limit go by the write itself."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    padded = customer.withColumn("c_mktsegment", F.rpad("c_mktsegment", 14, " "))
+    name = f"declared_{uuid.uuid4().hex}"
+    declared = declared_columns(padded.schema, {"c_mktsegment": 9})
+    spark.sql(f"create table {name} ({declared}) using parquet location '{_new_root(spark)}/{name}'")
+    padded.where(~exceeds(F.col("c_mktsegment"), 9)).write.insertInto(name)
+    return spark.table(name)
+
+
 def batch_profile_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_profile(table(spark, sf_dir, "events"), ["user_id"], {"event_type": 5})
 
@@ -383,24 +479,27 @@ _SALES_MART = StarMart(
 
 def _sales_mart(lines: DataFrame, part: DataFrame, supplier: DataFrame) -> DataFrame:
     """Lines joined to the two tables they reference directly."""
+    return star_join(_SALES_MART, _sales_tables(lines, part, supplier))
+
+
+def _sales_tables(
+    lines: DataFrame, part: DataFrame, supplier: DataFrame
+) -> dict[str, DataFrame]:
     fact = prune(
         lines, ["line_key", "l_quantity", "l_extendedprice", "l_shipdate", "l_partkey", "l_suppkey"]
     )
-    return star_join(
-        _SALES_MART,
-        {
-            "line": map_by_position(
-                fact, ["id", "quantity", "price", "ship_date", "part_id", "supplier_id"]
-            ),
-            "part": map_by_position(
-                prune(part, ["p_partkey", "p_name", "p_size"]), ["part_id", "name", "size"]
-            ),
-            "supplier": map_by_position(
-                prune(supplier, ["s_suppkey", "s_name", "s_acctbal"]),
-                ["supplier_id", "name", "balance"],
-            ),
-        },
-    )
+    return {
+        "line": map_by_position(
+            fact, ["id", "quantity", "price", "ship_date", "part_id", "supplier_id"]
+        ),
+        "part": map_by_position(
+            prune(part, ["p_partkey", "p_name", "p_size"]), ["part_id", "name", "size"]
+        ),
+        "supplier": map_by_position(
+            prune(supplier, ["s_suppkey", "s_name", "s_acctbal"]),
+            ["supplier_id", "name", "balance"],
+        ),
+    }
 
 
 def mart_star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,6 +520,24 @@ def mart_after_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mart_delta_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart of earlier lines and parts, changed by what came since."""
+    lines = read(LINES, source(spark, sf_dir), "line_view")
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    old_part, new_part = part.where("p_type <> 'PROMO'"), upsert_dim_module(spark, sf_dir)
+    target = changed_between(lines, "l_shipdate", HISTORY, CUT)
+    batch = changed_between(lines, "l_shipdate", START, END).withColumn(
+        "l_quantity", F.col("l_quantity") + 1
+    )
+    before = _sales_tables(target, old_part, supplier)
+    after = _sales_tables(upsert(target, batch, ["line_key"]), new_part, supplier)
+    changed = {
+        name: changed_keys(before[name], after[name], key, _SALES_MART.looked_at(name))
+        for name, key in (("line", "id"), ("part", "part_id"))
+    }
+    return apply_delta(star_join(_SALES_MART, before), mart_delta(_SALES_MART, after, changed))
+
+
 def order_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with columns of their customer and nation."""
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
@@ -609,6 +726,20 @@ def load_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_twice(spark, sf_dir)[0].table(LINES.mart.name)
 
 
+def sql_upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    create_functions(load_twice(spark, sf_dir)[0])
+    return spark.sql("select * from upsert_all()")
+
+
+def sql_upserted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later window is staged over a backfill, and not written."""
+    warehouse, _ = load_once(spark, sf_dir)
+    later = extract(LINES, source(spark, sf_dir, later=True), START, END)
+    warehouse.stage(D_ORDER.name, transform(later, LINES.entities)["order"])
+    create_functions(warehouse)
+    return spark.sql("select * from upserted_d_order()")
+
+
 def load_rerun_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same window loaded twice in a row."""
     warehouse, _ = load_once(spark, sf_dir)
@@ -617,6 +748,16 @@ def load_rerun_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "extract_window_sql": extract_window_sql,
+    "session_now": session_now,
+    "lesson_view_by_month": lesson_view_by_month,
+    "upsert_bucketed": upsert_bucketed,
+    "key_violations_bitmap": key_violations_bitmap,
+    "fk_violations_bitmap": fk_violations_bitmap,
+    "varchar_accepted": varchar_accepted,
+    "mart_delta_refresh": mart_delta_refresh,
+    "sql_upsert_counts": sql_upsert_counts,
+    "sql_upserted_orders": sql_upserted_orders,
     "extract_window_orders": extract_window_orders,
     "extract_window_events": extract_window_events,
     "default_window": default_window,
