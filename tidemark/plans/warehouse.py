@@ -42,7 +42,7 @@ class Warehouse:
     """The tables of ``model`` below ``root``.  They are made where they are missing,
     and found again by a new session."""
 
-    def __init__(self, spark: SparkSession, root: str, model: Model):
+    def __init__(self, spark: SparkSession, root: str, model: Model, empty: bool = False):
         if model.mart.key != model.targets[model.mart.fact].key:
             raise ValueError("the mart must be keyed like its fact")
         self.spark, self.root, self.model = spark, root.rstrip("/"), model
@@ -51,19 +51,20 @@ class Warehouse:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         spark.sql(f"create database if not exists {self.database} location '{self.root}'")
         for name in self.tables:
-            if not spark.catalog.tableExists(self.name_of(name)):
-                make_folder(spark, self._path(name))
-                spark.sql(self._declaration(name))
+            if empty:
+                spark.sql(f"drop table if exists {self.name_of(name)}")
+                delete_tree(spark, self._path(name))
+            elif spark.catalog.tableExists(self.name_of(name)):
+                continue
+            make_folder(spark, self._path(name))
+            spark.sql(self._declaration(name))
+            if not empty:
                 spark.sql(f"alter table {self.name_of(name)} recover partitions")
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, model: Model) -> Warehouse:
         """(Re)create every table empty."""
-        warehouse = cls(spark, root, model)
-        for name in warehouse.tables:
-            spark.sql(f"drop table {warehouse.name_of(name)}")
-            delete_tree(spark, warehouse._path(name))
-        return cls(spark, root, model)
+        return cls(spark, root, model, empty=True)
 
     @property
     def tables(self) -> list[str]:

@@ -571,7 +571,7 @@ def _new_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 def stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = rename_key(_orders_batch(spark, sf_dir), "o_orderkey", "order_id")
-    return _new_warehouse(spark, sf_dir).stage(D_ORDER.name, batch)[0]
+    return Warehouse.create(spark, _new_root(spark), LINES).stage(D_ORDER.name, batch)[0]
 
 
 def _run(warehouse: Warehouse, tables, start: str, end: str) -> LoadResult:
