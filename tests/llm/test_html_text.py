@@ -83,6 +83,57 @@ def test_names_leave_out_no_text(html, text):
     assert op.main_text(html) == text
 
 
+PLAIN = LONG.strip()
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        # Reader comments, larger than the text, outside of any article.
+        (
+            f"<div class=post><p>{LONG}</p><p>{LONG}</p><p>Ok.</p></div>"
+            f"<div id=comments>{f'<p>First! {LONG}</p>' * 10}</div>",
+            f"{PLAIN}\n{PLAIN}\nOk.",
+        ),
+        # Inside an article, by a name of two words, and as articles of their own.
+        (
+            f"<article><p>{LONG}</p><div class=user-comments><p>Me too. {LONG * 3}</p></div></article>",
+            PLAIN,
+        ),
+        (
+            f"<main><p>{LONG}</p><article class=comment><p>{LONG * 3}</p></article></main>",
+            PLAIN,
+        ),
+        # A notice that is longer than the text and comes first.
+        (
+            f"<div class=cookie-notice><p>{LONG * 5}</p></div><div><p>{LONG}</p><p>Ok.</p></div>",
+            f"{PLAIN}\nOk.",
+        ),
+        # Adverts inside an article.
+        (f"<article><p>{LONG}</p><p class=ad>Buy {LONG}</p><p>Ok.</p></article>", f"{PLAIN}\nOk."),
+        (
+            f"<article><p>{LONG}</p><div class=advert-box-300>{LONG}</div><p>Ok.</p></article>",
+            f"{PLAIN}\nOk.",
+        ),
+        # Two articles of different length.
+        (
+            f"<article>{f'<p>{LONG}</p>' * 14}</article><article><p>{LONG}</p></article>",
+            "\n".join([PLAIN] * 15),
+        ),
+        # What only says something about comments or adverts hides nothing.
+        (f"<div class=no-ads><div class=has-comments><p>{LONG}</p></div></div><p>Ok.</p>", f"{PLAIN}\nOk."),
+        # A page that has nothing else.
+        (f"<div id=comments><p>{LONG}</p></div>", PLAIN),
+        (f"<div class=sidebar><p>{LONG}</p></div><footer>f</footer>", PLAIN),
+        # A form around an article, and one beside it.
+        (f"<p>Skip</p><form><article><p>{LONG}</p></article></form>", PLAIN),
+        (f"<div><p>{LONG}</p><p>Ok.</p></div><form><p>Name {LONG * 4}</p></form>", f"{PLAIN}\nOk."),
+    ],
+)
+def test_names_decide_whatever_the_size(html, text):
+    assert op.main_text(html) == text
+
+
 @pytest.mark.parametrize("length", [1, 5, 30])
 def test_headline_and_lead_before_an_inner_region(length):
     linked = "<p><a href=x>A paragraph that is one link</a></p>"

@@ -2,14 +2,15 @@
 
 A streaming parser turns a page into blocks in page order.  What the markup
 itself names as something else (menus, page headers, footers, adverts, forms,
-comments, hidden parts) is left out first; a class or an id counts only as a
-whole and on a container, and neither it nor a form hides what holds most of a
-page's text.  Each block, the *line* of the method, has a ratio of text to tags,
-links not counted as text; the ratios are smoothed by a Gaussian over neighbouring
-blocks, and those above the threshold (their standard deviation) are the content
-cluster.  The smallest region that holds all of the cluster and its heading, an
-``article`` or ``main`` at the latest, is the main text, with its short blocks too:
-a one-word paragraph has a low ratio and still belongs.
+comments, hidden parts) is left out first.  Adverts, notices and comments stay out
+whatever their size, unless a page has no other text; other names and forms
+do not hide an article inside them, nor all that the ratios call content.  Each
+block, the *line* of the method, has a ratio of text to tags, links not counted as
+text; the ratios are smoothed by a Gaussian over neighbouring blocks, and those
+above the threshold (their standard deviation) are the content cluster.  Every
+outermost ``article`` or ``main`` with a block of the cluster is main text, with its
+short blocks too: a one-word paragraph has a low ratio and still belongs.  Without
+any, it is the smallest region that holds all of the cluster and its heading.
 """
 
 from __future__ import annotations
@@ -27,8 +28,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.stored import prepare
 
 SIGMA, RADIUS = 1.0, 3
-# An article is entered if it holds this share of the cluster's text.
-ARTICLE_SHARE = 0.9
 
 # Fixed by HTML: elements without an end tag, and elements inside a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,24 +46,32 @@ OTHER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu "
     "menubar toolbar".split()
 )
-# Elements whose class or id can name something else than main text.
+# Elements whose class or id can name something else than main text; on the others
+# here, only a whole name of an advert, a notice or a comment counts.
 NAMED = frozenset("div section ul ol li dl table tbody tr td center".split())
+WHOLLY_NAMED = frozenset("article p span figure blockquote".split())
 HEADINGS = frozenset(("h1", "h2"))
-# Words of such a class or id ...
-OTHER_NAMES = re.compile(
+# Words of such a class or id that name an advert, a notice or comments, as their
+# last word but for words that may stand beside ...
+NEVER_NAMES = re.compile(
     r"(?:ads?|advert(?:s|isements?|ising|orial)?|adbox|sponsor(?:s|ed)?|promo(?:s|ted|tions?)?|"
-    r"banners?|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|"
-    r"subscri(?:be|bers?|ptions?)|signup|login|sidebars?|rail|menus?|nav(?:s|bar|igation)?|"
-    r"breadcrumbs?|toolbar|pagination|pager|comments?|commentlist|respond|replies|reply|"
-    r"disqus|shar(?:e|ing)|social|related|recommended|widgets?|footers?|copyright|disclaimer|"
+    r"cookies?|consent|gdpr|notices?|alerts?|comments?|commentlist|respond|replies|reply|disqus)\Z"
+)
+# ... and unless the first word says something about them.
+ABOUT = frozenset("no has have with without show hide is not allow open closed".split())
+# Other words of such a name: all of it must be of these or stand beside them.
+OTHER_NAMES = re.compile(
+    r"(?:banners?|popup|modal|overlay|newsletter|subscri(?:be|bers?|ptions?)|signup|login|"
+    r"sidebars?|rail|menus?|nav(?:s|bar|igation)?|breadcrumbs?|toolbar|pagination|pager|"
+    r"shar(?:e|ing)|social|related|recommended|widgets?|footers?|copyright|disclaimer|"
     r"hidden|form)\Z"
 )
-# ... and words that may stand beside them: all of a name must be of both.
 BESIDE = frozenset(
     "site page main primary secondary global left right top bottom sticky box block bar banner "
     "section area container wrapper wrap inner outer list links items buttons icons posts "
     "articles stories media".split()
 )
+NEVER, OTHERWISE = 2, 1
 # Outside an article only: its own header holds its heading.
 HEADER_NAMES = re.compile(r"(?:headers?|masthead|topbar)\Z")
 # A new one ends an open one, as end tags may be missing.
@@ -83,13 +90,22 @@ CLOSES_P = frozenset(
 )
 
 
-def _is_other_name(name: str, in_article: bool) -> bool:
-    words = [word for word in re.split(r"[^a-z0-9]+", name) if word]
+def _kind_of_name(name: str, in_article: bool) -> int:
+    """``NEVER`` for adverts, notices and comments, ``OTHERWISE`` for other things that
+    are no main text, else 0."""
+    words = [word for word in re.split(r"[^a-z]+", name) if word]
+    own = list(words)
+    while len(own) > 1 and own[-1] in BESIDE:
+        own.pop()
+    if own and NEVER_NAMES.match(own[-1]) and own[0] not in ABOUT:
+        return NEVER
     named = [
         bool(OTHER_NAMES.match(word) or (not in_article and HEADER_NAMES.match(word)))
+        or bool(NEVER_NAMES.match(word))
         for word in words
     ]
-    return any(named) and all(n or w in BESIDE for n, w in zip(named, words, strict=True))
+    whole = all(n or w in BESIDE for n, w in zip(named, words, strict=True))
+    return OTHERWISE if any(named) and whole else 0
 
 
 def _is_hidden(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
@@ -104,19 +120,23 @@ def _is_hidden(tag: str, attrs: list[tuple[str, str | None]], in_article: bool)
     return False
 
 
-def _names_other(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
-    """What is named something else, unless it holds most of a page."""
-    if tag == "form":
-        return True
+def _kind(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> int:
+    """What an element is named, the strongest of its names."""
+    found = [OTHERWISE] if tag == "form" else [0]
     for key, value in attrs:
         if key in ("class", "id"):
-            names = (value or "").lower().split() if tag in NAMED else []
-            if any(_is_other_name(name, in_article) for name in names):
-                return True
+            names = (value or "").lower().split()
+            if tag in NAMED:
+                found += [_kind_of_name(name, in_article) for name in names]
+            elif tag in WHOLLY_NAMED and any(NEVER_NAMES.match(name) for name in names):
+                found.append(NEVER)
         elif key == "role" and tag not in REGIONS:
-            if (value or "").strip().lower() in OTHER_ROLES:
-                return True
-    return False
+            role = (value or "").strip().lower()
+            if role in ("alert", "alertdialog"):
+                found.append(NEVER)
+            elif role in OTHER_ROLES:
+                found.append(OTHERWISE)
+    return max(found)
 
 
 class _Blocks(HTMLParser):
@@ -132,7 +152,10 @@ class _Blocks(HTMLParser):
         # Innermost element around a block that is named something else; each has
         # the one around it, and 0 is none.
         self.named: list[int] = []
-        self.around = [0]
+        self.around, self.kinds = [0], [0]
+        # How many articles were open around each block and each such element.
+        self.depths: list[int] = []
+        self.outside = [0]
         # Regions in the order they begin, so parents come before children.
         self.parents, self.stops = [0], [False]
         # Open elements: name, region and named element before it, whether it is
@@ -144,6 +167,9 @@ class _Blocks(HTMLParser):
         self._parts: list[str] = []
         self._tags = self._links = 0
 
+    def _articles(self) -> int:
+        return sum(self._names[name] for name in REGIONS)
+
     def _end_block(self) -> None:
         text = " ".join("".join(self._parts).split())
         if text:
@@ -152,6 +178,7 @@ class _Blocks(HTMLParser):
             self.links.append(self._links)
             self.regions.append(self._region)
             self.named.append(self._named)
+            self.depths.append(self._articles())
             self.headings.append(any(self._names[name] for name in HEADINGS))
             self._tags = 0
         self._parts.clear()
@@ -167,12 +194,15 @@ class _Blocks(HTMLParser):
         self._tags += 1
         if tag in VOID:
             return
-        in_article = any(self._names[name] for name in REGIONS)
+        in_article = self._articles() > 0
         page = tag in ("body", "html")
         other = not page and _is_hidden(tag, attrs, in_article)
         self._open.append((tag, self._region, self._named, other))
-        if not page and not other and _names_other(tag, attrs, in_article):
+        kind = 0 if page or other else _kind(tag, attrs, in_article)
+        if kind:
             self.around.append(self._named)
+            self.kinds.append(kind)
+            self.outside.append(self._articles())
             self._named = len(self.around) - 1
         self._names[tag] += 1
         self._other += other
@@ -242,36 +272,58 @@ def _below(parents: list[int], root: int) -> np.ndarray:
     return inside
 
 
+def _cluster(blocks: _Blocks, plain: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Which of the ``used`` blocks are the content cluster."""
+    # Tags of what is left out count for the next block.
+    tags = np.diff(np.cumsum(blocks.tags)[used], prepend=0)
+    ratios = smoothed(plain[used] / np.maximum(1, tags))
+    content = np.zeros(len(used), bool)
+    content[used] = ratios >= min(ratios.std(), ratios.max())
+    return content
+
+
 def _left_out(blocks: _Blocks, plain: np.ndarray) -> np.ndarray:
-    """Blocks of elements that are named something else.  One that holds most of
-    the plain text is not, unless an article or main has text outside it."""
-    named, out = np.array(blocks.named), np.zeros(len(blocks.around), bool)
-    if len(out) == 1:
-        return out[named]
-    held = np.zeros(len(out))
-    np.add.at(held, named, plain)
-    for element in range(len(out) - 1, 0, -1):
-        held[blocks.around[element]] += held[element]
-    region = np.zeros(len(blocks.parents), bool)
-    for at in range(1, len(region)):
-        region[at] = blocks.stops[at] or region[blocks.parents[at]]
-    article = region[blocks.regions] & (plain > 0)
-    for element in range(1, len(out)):
-        if out[blocks.around[element]]:
-            out[element] = True
-        elif 2 * held[element] <= held[0]:
-            out[element] = True
-        else:
-            # What no element but those that are kept names.
-            outside = ~_below(blocks.around, element)[named] & article
-            kept = ~out & (np.arange(len(out)) < element)
-            out[element] = bool((outside & kept[named]).any())
-    return out[named]
+    """Blocks of elements that are named something else."""
+    named, depths = np.array(blocks.named), np.array(blocks.depths)
+    if len(blocks.around) == 1:
+        return np.zeros(len(named), bool)
+    # Whether such an element, or one around it, is never main text.
+    never = np.array(blocks.kinds) == NEVER
+    for element in range(1, len(never)):
+        never[element] |= never[blocks.around[element]]
+    out = never[named]
+    text = plain > 0
+    if not (text & ~out).any():
+        return np.zeros(len(named), bool)
+    # The deepest article with text in an element that is named otherwise.
+    deepest = np.zeros(len(never), int)
+    shown = np.flatnonzero(text & ~out)
+    np.maximum.at(deepest, named[shown], depths[shown])
+    for element in range(len(never) - 1, 0, -1):
+        outer = blocks.around[element]
+        deepest[outer] = max(deepest[outer], deepest[element])
+    other = np.zeros(len(never), bool)
+    for element in range(1, len(other)):
+        wraps_article = deepest[element] > blocks.outside[element]
+        other[element] = other[blocks.around[element]] or not (never[element] or wraps_article)
+    content = _cluster(blocks, plain, ~out)
+    if (content & text & ~other[named]).any():
+        out |= other[named]
+    return out
+
+
+def _articles(blocks: _Blocks, content: np.ndarray) -> np.ndarray:
+    """Blocks of the outermost articles that have one of the cluster."""
+    outermost = np.zeros(len(blocks.parents), int)
+    for region in range(1, len(outermost)):
+        outer = outermost[blocks.parents[region]]
+        outermost[region] = outer or (region if blocks.stops[region] else 0)
+    own = outermost[blocks.regions]
+    return (own > 0) & np.isin(own, own[content])
 
 
 def _region_of(blocks: _Blocks, weight: np.ndarray, used: np.ndarray) -> int:
-    """The smallest region with all the weight and its heading, an article with
-    nearly all of it at the latest."""
+    """The smallest region with all the weight and its heading."""
     n = len(blocks.parents)
     held, count, first, heading = np.zeros(n), np.zeros(n), [len(used)] * n, [len(used)] * n
     for i in np.flatnonzero(used)[::-1]:
@@ -288,24 +340,16 @@ def _region_of(blocks: _Blocks, weight: np.ndarray, used: np.ndarray) -> int:
         count[outer] += count[region]
         first[outer] = min(first[outer], first[region])
         children.setdefault(outer, []).append(region)
-    # Regions that are or hold such an article.
-    article = [stop and held[i] >= ARTICLE_SHARE * held[0] for i, stop in enumerate(blocks.stops)]
-    for region in range(n - 1, 0, -1):
-        article[blocks.parents[region]] |= article[region]
     at = 0
-    while not blocks.stops[at]:
+    while True:
         inner = max(children.get(at, []), key=held.__getitem__, default=None)
-        if inner is None:
-            break
-        if not article[inner]:
-            # All of the cluster; a heading before the region is the region's own.
-            if held[inner] < held[at] or heading[at] < first[inner]:
-                break
-            # A single block is no region, unless it is all there is.
-            if count[inner] < 2 and count[at] > 1:
-                break
+        # All of the cluster; a heading before the region is the region's own.
+        if inner is None or held[inner] < held[at] or heading[at] < first[inner]:
+            return at
+        # A single block is no region, unless it is all there is.
+        if count[inner] < 2 and count[at] > 1:
+            return at
         at = inner
-    return at
 
 
 def _link_lists(heavy: np.ndarray, content: np.ndarray) -> np.ndarray:
@@ -328,15 +372,11 @@ def main_text(html: str | None) -> str:
     used = ~_left_out(blocks, plain)
     if not used.any():
         return ""
-    # Tags of what is left out count for the next block.
-    tags = np.diff(np.cumsum(blocks.tags)[used], prepend=0)
-    content, weight = np.zeros(len(used), bool), np.zeros(len(used))
-    ratios = smoothed(plain[used] / np.maximum(1, tags))
-    content[used] = ratios >= min(ratios.std(), ratios.max())
-    weight[content] = plain[content]
-    region = _region_of(blocks, weight, used)
-    keep = used & _below(blocks.parents, region)[blocks.regions]
-    if not blocks.stops[region]:
+    content = _cluster(blocks, plain, used)
+    keep = used & _articles(blocks, content & (plain > 0))
+    if not keep.any():
+        region = _region_of(blocks, np.where(content, plain, 0.0), used)
+        keep = used & _below(blocks.parents, region)[blocks.regions]
         # Outside an article, lists of links are no text.
         at = np.flatnonzero(keep)
         keep[at[_link_lists(2 * plain[at] < sizes[at], content[at])]] = False
