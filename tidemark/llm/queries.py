@@ -43,7 +43,8 @@ def op2_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _table(spark, sf_dir, "conversations")
     cases = chat_render.with_control_case(spark, conversations)
-    return chat_render.read_back(chat_render.turn_spans(cases))
+    spans = chat_render.turn_spans(cases, looks_back=chat_render.LOOKS_BACK)
+    return chat_render.read_back(spans)
 
 
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
