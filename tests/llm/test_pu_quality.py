@@ -85,3 +85,62 @@ def test_prior_is_the_smallest_ratio():
     positive = draw.normal(2, 1, 4000)
     mixed = np.concatenate([draw.normal(2, 1, 2000), draw.normal(-2, 1, 2000)])
     assert abs(op.estimate_prior(positive, mixed) - 0.5) < 0.06
+
+
+def test_unlabelled_texts_are_of_all_documents(frame, labels, prose):
+    """One row for each id, also of ids that repeat, and of documents without labels."""
+    rows, marks = corpus(prose, 300)
+    some = [m for m in marks if m[0] % 3 == 0]
+    positive, unlabelled = op.training_rows(frame(rows), labels(some))
+    in_folds = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    assert len(unlabelled) == len(in_folds)
+    assert len(positive) == len([m for m in some if m[1] == 1 and m[0] in in_folds])
+    hot = next(i for i in in_folds if (i, 1, 0) in some)
+    repeated = rows + [(hot, f"copy {n} of it") for n in range(5000)]
+    positive, unlabelled = op.training_rows(frame(repeated), labels([*some, (hot, 0, 0)]))
+    assert len(unlabelled) == len(in_folds)
+    assert len(op.training_rows(frame(rows), labels(some), 20, 30)[1]) == 30
+
+
+@pytest.mark.parametrize("prior, shift", [(0.0, 0.0), (0.3, 0.0), (0.6, 0.0), (0.9, 4.0)])
+def test_risk_and_gradients(prior, shift):
+    """Against the formula, and against finite differences; the last case has a negative
+    part below zero."""
+    draw = np.random.Generator(np.random.PCG64(5))
+    p, u = draw.normal(0.5 + shift, 1, (40, 3)), draw.normal(-shift, 1, (70, 3))
+    weights = [
+        draw.normal(0.3, 1, (3, op.HIDDEN)),
+        draw.normal(0, 1, op.HIDDEN),
+        draw.normal(0.3, 1, op.HIDDEN),
+        np.array(0.2),
+    ]
+
+    def output(weights, rows):
+        return np.tanh(rows @ weights[0] + weights[1]) @ weights[2] + weights[3]
+
+    def parts(weights):
+        f, g = output(weights, p), output(weights, u)
+        if not prior:
+            return np.log1p(np.exp(-f)).mean(), np.log1p(np.exp(g)).mean()
+        negative = np.log1p(np.exp(g)).mean() - prior * np.log1p(np.exp(f)).mean()
+        return prior * np.log1p(np.exp(-f)).mean(), negative
+
+    positive, negative = parts(weights)
+    value, lowered, gradients = op.risk(weights, p, u, prior)
+    assert (negative < 0) == (shift > 0)
+    assert value == pytest.approx(positive + max(0, negative))
+    assert lowered == pytest.approx(value if negative >= 0 else -negative)
+
+    def objective(weights):
+        positive, negative = parts(weights)
+        return positive + negative if negative >= 0 else -negative
+
+    for i, gradient in enumerate(gradients):
+        for at in list(np.ndindex(weights[i].shape))[:10]:
+            ends = []
+            for step in (1e-6, -1e-6):
+                moved = [w.copy() for w in weights]
+                moved[i][at] += step
+                ends.append(objective(moved))
+            slope = (ends[0] - ends[1]) / 2e-6
+            assert np.asarray(gradient)[at] == pytest.approx(slope, abs=1e-6, rel=1e-4)

@@ -1,16 +1,17 @@
 """Quality scores by positive-unlabelled learning.
 
 Trusted positives are labelled rows of quality 1.  The unlabelled texts are a
-sample of the labelled rows whose labels are not looked at, so they hold
-positives and negatives as the web does.  The class prior is estimated from
+sample of all documents, labelled or not, and no label of theirs is looked at, so
+they hold positives and negatives as the web does.  The class prior is estimated from
 the two (the smallest ratio of unlabelled to positive mass among the highest
 scores), and a small network minimises the non-negative unbiased risk
 
     prior * E_P[loss(f)] + max(0, E_U[loss(-f)] - prior * E_P[loss(-f)]),
 
 undoing a step whenever the second part falls below zero.  Negative labels are
-never used.  The fit sees at most ``POSITIVES`` and ``UNLABELLED`` rows, chosen by
-a hash of their ids; every text is then scored whole, in tasks.
+never used.  The fit sees at most ``POSITIVES`` and ``UNLABELLED`` documents, chosen
+by a hash of their ids among those of the training folds, one row of each; every
+text is then scored whole, in tasks.
 """
 
 from __future__ import annotations
@@ -141,6 +142,42 @@ def _backward(weights, rows, hidden, slope):
     return rows.T @ inner, inner.sum(axis=0), hidden.T @ slope, slope.sum()
 
 
+def risk(
+    weights, p: np.ndarray, u: np.ndarray, prior: float
+) -> tuple[float, float, list[np.ndarray]]:
+    """The non-negative risk on rows ``p`` (positive) and ``u`` (unlabelled); what a step
+    lowers, and its gradients.  That is the risk, or, where its second part is below
+    zero, that part's distance from zero.  A prior of 0 asks for the plain separation
+    of the two."""
+    out_p, hidden_p = _forward(weights, p)
+    out_u, hidden_u = _forward(weights, u)
+    sure_p, sure_u = 1 / (1 + np.exp(-out_p)), 1 / (1 + np.exp(-out_u))
+    n, m = len(p), len(u)
+    # Means of log(1 + exp(-f)) and log(1 + exp(f)), and slopes of what is lowered.
+    positive, negative = np.logaddexp(0, -out_p).mean(), np.logaddexp(0, out_u).mean()
+    if prior:
+        positive, negative = prior * positive, negative - prior * np.logaddexp(0, out_p).mean()
+        value = lowered = positive + max(0.0, negative)
+        if negative >= 0:
+            slope_p, slope_u = (prior * (sure_p - 1) - prior * sure_p) / n, sure_u / m
+        else:
+            # Overfitted: only raise the negative part again.
+            lowered = -negative
+            slope_p, slope_u = prior * sure_p / n, -sure_u / m
+    else:
+        value = lowered = positive + negative
+        slope_p, slope_u = (sure_p - 1) / n, sure_u / m
+    gradients = [
+        a + b
+        for a, b in zip(
+            _backward(weights, p, hidden_p, slope_p),
+            _backward(weights, u, hidden_u, slope_u),
+            strict=True,
+        )
+    ]
+    return value, lowered, gradients
+
+
 def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np.ndarray, ...]:
     """The network of least non-negative risk; a prior of 0 asks for the plain
     separation of positive from unlabelled rows."""
@@ -157,28 +194,7 @@ def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[np
     for step in range(1, STEPS + 1):
         p = positive[draw.integers(0, len(positive), BATCH)]
         u = unlabelled[draw.integers(0, len(unlabelled), BATCH)]
-        out_p, hidden_p = _forward(weights, p)
-        out_u, hidden_u = _forward(weights, u)
-        sure_p, sure_u = 1 / (1 + np.exp(-out_p)), 1 / (1 + np.exp(-out_u))
-        # Slopes of log(1 + exp(-f)) and log(1 + exp(f)).
-        if prior:
-            negative = np.logaddexp(0, out_u).mean() - prior * np.logaddexp(0, out_p).mean()
-            if negative >= 0:
-                slope_p = (prior * (sure_p - 1) - prior * sure_p) / BATCH
-                slope_u = sure_u / BATCH
-            else:
-                # Overfitted: only raise the negative part again.
-                slope_p, slope_u = prior * sure_p / BATCH, -sure_u / BATCH
-        else:
-            slope_p, slope_u = (sure_p - 1) / BATCH, sure_u / BATCH
-        gradients = [
-            a + b
-            for a, b in zip(
-                _backward(weights, p, hidden_p, slope_p),
-                _backward(weights, u, hidden_u, slope_u),
-                strict=True,
-            )
-        ]
+        _, _, gradients = risk(weights, p, u, prior)
         rate = RATE * (1 - (step - 1) / STEPS)
         for i, gradient in enumerate(gradients):
             gradient = gradient + DECAY * weights[i]
@@ -234,43 +250,52 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Fit on the training folds of ``labels`` (``doc_id``, ``quality``).
-
-    Labels that are null, or name no document, do not count.
-    """
+def training_rows(
+    docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED
+) -> tuple[np.ndarray, np.ndarray]:
+    """Features of trusted positives and of unlabelled documents, of the training
+    folds: one row for each of at most so many ids (of rows with the same id, the
+    least by features).  Labels that are null, or name no document, do not count."""
     prepare(docs.sparkSession)
-    usable = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where(
-        F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))
-    )
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    trained = F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
+    good = labels.select(doc_id, F.col("quality").cast("int").alias("quality"))
+    texts = docs.select(doc_id, F.col("text").cast("string").alias("text")).where(trained)
 
     def sample(rows: DataFrame, size: int, salt: str) -> DataFrame:
         order = F.xxhash64("doc_id", F.lit(salt))
         return rows.select("doc_id").distinct().orderBy(order, "doc_id").limit(size)
 
-    trusted = sample(usable.where("quality = 1"), POSITIVES, "positive")
-    every = sample(usable, UNLABELLED, "unlabelled")
+    trusted = sample(good.where(trained & (F.col("quality") == 1)), positives, "positive")
+    every = sample(texts, unlabelled, "unlabelled")
     chosen = (
         trusted.select("doc_id", F.lit(1).alias("trusted"), F.lit(0).alias("any"))
         .union(every.select("doc_id", F.lit(0), F.lit(1)))
         .groupBy("doc_id")
         .agg(F.max("trusted").alias("trusted"), F.max("any").alias("any"))
     )
-    # At most POSITIVES + UNLABELLED ids.
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
-        F.broadcast(chosen), "doc_id"
-    )
+    # At most positives + unlabelled ids, and as many rows.
     rows = (
-        texts.select("doc_id", "trusted", "any", "text")
+        texts.join(F.broadcast(chosen), "doc_id")
+        .select("doc_id", "trusted", "any", "text")
         .mapInArrow(_measure, "doc_id long, trusted int, any int, row array<double>")
+        .groupBy("doc_id", "trusted", "any")
+        .agg(F.min("row").alias("row"))
         .collect()
     )
-    rows.sort(key=lambda r: (r["doc_id"], r["row"]))
+    rows.sort(key=lambda r: r["doc_id"])
 
     def table(flag: str) -> np.ndarray:
         return np.array([r["row"] for r in rows if r[flag]]).reshape(-1, len(FEATURES))
 
-    return fit(table("trusted"), table("any"))
+    return table("trusted"), table("any")
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """Fit on the training folds of ``docs`` (``doc_id``, ``text``) and ``labels``
+    (``doc_id``, ``quality``); none where one side has no row.  See
+    ``training_rows`` for nulls and repeated ids."""
+    return fit(*training_rows(docs, labels))
 
 
 def _scores(texts: pa.Array, model: Model | None) -> np.ndarray:
