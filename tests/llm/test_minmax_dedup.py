@@ -8,7 +8,7 @@ import pytest
 from tidemark.llm import minmax_dedup as op
 
 
-def brute_force(rows):
+def brute_force(rows, percent=85):
     """Components by comparing all sets of word shingles."""
     sets = {}
     for doc_id, text in rows:
@@ -28,14 +28,14 @@ def brute_force(rows):
             places[shingle].append(d)
     shared = Counter(pair for ids in places.values() for pair in combinations(sorted(ids), 2))
     for (a, b), n in shared.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             a, b = find(a), find(b)
             parent[max(a, b)] = min(a, b)
     return {d: (len(sets[d]), find(d), find(d) == d) for d in sets}
 
 
-def result(df):
-    rows = op.near_duplicates(df).collect()
+def result(df, percent=85):
+    rows = op.near_duplicates(df, percent).collect()
     return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows}
 
 
@@ -54,9 +54,50 @@ def families(prose, groups=6, size=14):
     return list(enumerate(rows))
 
 
-def test_components_equal_brute_force(frame, prose):
+@pytest.mark.parametrize("percent", [85, 80, 95])
+def test_components_equal_brute_force(frame, prose, percent):
     rows = families(prose)
-    assert result(frame(rows)) == brute_force(rows)
+    assert result(frame(rows), percent) == brute_force(rows, percent)
+
+
+def test_bands_follow_from_the_similarity():
+    assert [op.band_rows(percent) for percent in (80, 85, 90)] == [5, 7, 8]
+    for percent in (50, 80, 85, 99):
+        rows = op.band_rows(percent)
+        bands = 2 * op.PERMUTATIONS // rows
+        assert (1 - (percent / 100) ** rows) ** bands <= op.MISSED
+
+
+def template_pages(prose, n):
+    """Pages of one template that differ by about a fifth: similar, but below 0.85."""
+    shared = prose(160, "template").split()
+    rows = []
+    for i in range(n):
+        own = prose(8, f"page {i}").split()
+        words = list(shared)
+        for j, word in enumerate(own):
+            words.insert(10 + 18 * j, word)
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_pages_of_one_template_do_not_all_meet(frame, prose, monkeypatch):
+    pairs = []
+    own = op.compared_pairs
+
+    def counted(members, rare):
+        found = own(members, rare)
+        pairs.append((members.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(op, "compared_pairs", counted)
+    for n in (100, 400):
+        rows = template_pages(prose, n)
+        assert result(frame(rows)) == brute_force(rows)
+    (few, few_pairs), (many, many_pairs) = pairs
+    # Most pages are in buckets with others, and hardly any two are compared.
+    assert few > 50 and many > 200
+    assert few_pairs <= few and many_pairs <= many
 
 
 def test_test_table_equals_brute_force(spark):

@@ -7,29 +7,34 @@ make twice as many values, each an unbiased estimate of the Jaccard similarity
 documents that agree on a whole band are candidates, and every candidate link
 is confirmed on the full shingle sets.
 
-Nothing is emitted for all pairs of a group.  Documents with equal sets become
+Nothing is compared for all pairs of a group.  Documents with equal sets become
 one representative.  Each band bucket first links its members to its smallest
-one only; components of those links are formed; then only members outside the
-largest component of their bucket are compared with the others, and only pairs
-whose sketches allow the similarity:
+one only, if their sketches allow the similarity:
 
 - a bitmap in which each shingle flips one bit.  Two bitmaps differ in no more
   bits than the sets differ in shingles, so this test loses nothing;
 - one bit of each signature value, for sets that fill the bitmap.
 
-At similarity 0.85 a pair misses all bands with probability 9e-7 and the second
-test with 4e-6 (4.5 standard deviations); both fall fast above it.
+Components of those links are formed.  Of buckets that still hold several, members
+meet by prefix filtering: similar sets share a shingle among the rarest of each (all
+but the similarity's share of a set, plus one), so only members that share such a
+rare shingle are compared.  Pages of one template that differ by a fifth share their
+common shingles only, and never meet.
+
+Bands follow from the similarity: as wide as a pair at the threshold misses all of
+them with probability 1e-6 at most (9e-7 at 0.85), and the second test with 4e-6 (4.5
+standard deviations); both fall fast above it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -40,8 +45,9 @@ SHINGLE = 5
 SIMILAR_PERCENT = 85
 
 PERMUTATIONS = 128
-BAND_ROWS = 7
-BANDS = 2 * PERMUTATIONS // BAND_ROWS
+MISSED = 1e-6
+# Slots that shingles are counted in, to tell rare ones from common ones.
+SLOT_BITS = 18
 SKETCH_LONGS = 2 * PERMUTATIONS // 64
 FLIP_LONGS = 16
 
@@ -49,6 +55,15 @@ FLIP_LONGS = 16
 CHUNK = 4096
 
 
+def band_rows(percent: int) -> int:
+    """The most values of a band with which a pair of this similarity misses all bands
+    with a probability of at most ``MISSED``."""
+    values, share = 2 * PERMUTATIONS, percent / 100
+    return max(
+        [r for r in range(1, values + 1) if (1 - share**r) ** (values // r) <= MISSED], default=1
+    )
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """The distinct shingles, hashed and sorted; a shorter text is one shingle.
     On bytes, ``lower`` changes A-Z only."""
@@ -89,8 +104,9 @@ def flipped_bits(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     factors, offsets = _factors()
+    n_bands = 2 * PERMUTATIONS // rows
     weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
     for batch in batches:
         sizes, sets, bands, sketches, flips = [], [], [], [], []
@@ -104,7 +120,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 flips.append([])
                 continue
             values = signature(shingles, factors, offsets)
-            keyed = values[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
+            keyed = values[: n_bands * rows].reshape(n_bands, rows)
             bands.append(
                 [
                     # Signed, and different for each band.
@@ -129,20 +145,20 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """``doc_id, n_shingles, set_id, bands, sketch, flips`` for each document."""
     prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _sign,
+        partial(_sign, band_rows(percent)),
         "doc_id long, n_shingles long, set_id binary, bands array<long>, "
         "sketch array<long>, flips array<long>",
     )
 
 
-def differing_bits_allowed() -> int:
+def differing_bits_allowed(percent: int) -> int:
     """Bits of a sketch that may differ between similar sets."""
     bits = 64 * SKETCH_LONGS
-    share = (1 - SIMILAR_PERCENT / 100) / 2
+    share = (1 - percent / 100) / 2
     return int(np.ceil(bits * share + 4.5 * np.sqrt(bits * share * (1 - share))))
 
 
@@ -155,15 +171,14 @@ def _differing(column: str, longs: int) -> Column:
     return reduce(Column.__add__, bits)
 
 
-def _sketches_allow() -> Column:
+def _sketches_allow(percent: int) -> Column:
     both = F.col("n_shingles_a") + F.col("n_shingles_b")
     return (
-        (100 + SIMILAR_PERCENT) * _differing("flips", FLIP_LONGS)
-        <= (100 - SIMILAR_PERCENT) * both
-    ) & (_differing("sketch", SKETCH_LONGS) <= differing_bits_allowed())
+        (100 + percent) * _differing("flips", FLIP_LONGS) <= (100 - percent) * both
+    ) & (_differing("sketch", SKETCH_LONGS) <= differing_bits_allowed(percent))
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: tuple[str | None, np.ndarray] = (None, np.empty(0, np.uint64))
     for batch in batches:
         keep = []
@@ -174,70 +189,122 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left, right = known[1], shingle_set(text_b.as_py())
             total = len(left) + len(right)
             both = total - len(np.unique(np.concatenate([left, right])))
-            keep.append(100 * both >= SIMILAR_PERCENT * (total - both))
+            keep.append(100 * both >= percent * (total - both))
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(
             pa.array(keep, pa.bool_())
         )
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a``, ``b`` whose full sets are similar enough."""
     first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     full = pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
-    return stored(full.mapInArrow(_confirm, "a long, b long"))
+    return stored(full.mapInArrow(partial(_confirm, percent), "a long, b long"))
 
 
-def _missed_links(
-    shared: DataFrame, reps: DataFrame, groups: DataFrame, texts: DataFrame
-) -> DataFrame:
-    """Links that the stars have not shown: in buckets that hold several
-    components, members outside the largest one against all others."""
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    for batch in batches:
+        for text in batch["text"].to_pylist():
+            np.add.at(counts, _slots(shingle_set(text)), 1)
+    hit = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], names=["slot", "n"])
+
+
+def _prefixes(
+    percent: int, counts: np.ndarray, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, found = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+        for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            doc_id, shingles = doc_id.as_py(), shingle_set(text.as_py())
+            # All that similar sets may differ in, and one more.
+            size = len(shingles) - -(-percent * len(shingles) // 100) + 1
+            rarest = np.lexsort((shingles, counts[_slots(shingles)]))[:size]
+            found.append(shingles[rarest])
+            ids.append(np.full(len(rarest), doc_id, np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(ids)), pa.array(np.concatenate(found).view(np.int64))],
+            names=["doc_id", "shingle"],
+        )
+
+
+def rare_shingles(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, shingle``: of each member (``doc_id``) the rarest shingles, of which two
+    similar sets share one.  That holds for any order all sets are sorted by; the
+    counts it follows here are those of ``1 << SLOT_BITS`` slots, at most so many
+    rows, and where shingles share a slot, more members meet but no link is lost."""
+    own = texts.join(members.select("doc_id").distinct(), "doc_id").select("doc_id", "text")
+    counts = np.zeros(1 << SLOT_BITS, np.int64)
+    tallies = own.mapInArrow(_tally, "slot long, n long").groupBy("slot").agg(F.sum("n"))
+    for slot, n in tallies.collect():
+        counts[slot] = n
+    # Rows of one id may repeat.
+    schema = "doc_id long, shingle long"
+    return own.mapInArrow(partial(_prefixes, percent, counts), schema).distinct()
+
+
+def open_members(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    """``doc_id, component`` of members of buckets that hold several components.
+    Heads have met everyone in their buckets."""
     labelled = shared.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "band", "doc_id", "head", F.coalesce("component", "doc_id").alias("component")
     )
-    sizes = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"))
-    main = (
-        sizes.groupBy("band")
-        .agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("band", F.col("main.component").alias("main"))
-    )
-    # Heads have met everyone in their buckets.
-    open_members = stored(
-        labelled.where("doc_id <> head")
-        .join(main, "band")
-        .join(reps, "doc_id")
+    several = (
+        labelled.groupBy("band")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
+        .select("band")
     )
-    own = [c for c in open_members.columns if c not in ("band", "head", "main")]
-    left = open_members.where("component <> main").select(
-        "band", "main", *[F.col(c).alias(f"{c}_a") for c in own]
+    return labelled.where("doc_id <> head").join(several, "band").select(
+        "doc_id", "component"
+    ).distinct()
+
+
+def compared_pairs(members: DataFrame, rare: DataFrame) -> DataFrame:
+    """Members of different components that share a rare shingle, side by side."""
+    full = rare.join(members, "doc_id")
+    left = full.select("shingle", *[F.col(c).alias(f"{c}_a") for c in members.columns])
+    right = full.select("shingle", *[F.col(c).alias(f"{c}_b") for c in members.columns])
+    return left.join(right, "shingle").where(
+        "doc_id_a < doc_id_b and component_a <> component_b"
     )
-    right = open_members.select("band", *[F.col(c).alias(f"{c}_b") for c in own])
-    pairs = left.join(
-        right,
-        (left.band == right.band)
-        & (F.col("component_a") != F.col("component_b"))
-        & ((F.col("component_b") == F.col("main")) | (F.col("doc_id_a") < F.col("doc_id_b")))
-        & _sketches_allow()
-        # Band keys differ from band to band: each pair once, at its first.
-        & (F.array_intersect("bands_a", "bands_b")[0] == left.band),
+
+
+def _missed_links(
+    shared: DataFrame, reps: DataFrame, groups: DataFrame, texts: DataFrame, percent: int
+) -> DataFrame:
+    """Links that the stars have not shown."""
+    members = stored(
+        open_members(shared, groups).join(
+            reps.select("doc_id", "n_shingles", "sketch", "flips"), "doc_id"
+        )
     )
+    rare = stored(rare_shingles(members, texts, percent))
+    pairs = compared_pairs(members, rare).where(_sketches_allow(percent))
     return _confirmed(
-        pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")), texts
+        pairs.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct(),
+        texts,
+        percent,
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``
-    (``doc_id``, ``text``; other columns do not matter).
+    (``doc_id``, ``text``; other columns do not matter).  ``percent`` is the least
+    similarity of a link.
 
     Null, empty and blank texts have no shingles and link with nothing.  Rows
     that share a ``doc_id`` are one document: they get one component, and links
     of any of their texts count.  A row without a ``doc_id`` cannot be named by
     others: its component is null and it is kept.  No rows give no rows.
     """
-    signed = stored(signatures(docs))
+    signed = stored(signatures(docs, percent))
     named = signed.where("n_shingles > 0 and doc_id is not null")
     # One representative for each set; copies are never paired.  What follows is
     # stored where rows of one key meet again, so that a hot key can be split.
@@ -268,11 +335,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .distinct()
         .join(sketches.toDF(*[f"{c}_a" for c in sketches.columns]), F.expr("a = doc_id_a"))
         .join(sketches.toDF(*[f"{c}_b" for c in sketches.columns]), F.expr("b = doc_id_b"))
-        .where(_sketches_allow())
+        .where(_sketches_allow(percent))
         .select("a", "b")
     )
-    links = _confirmed(stars, texts)
-    links = links.union(_missed_links(shared, reps, components(links), texts))
+    links = _confirmed(stars, texts, percent)
+    links = links.union(_missed_links(shared, reps, components(links), texts, percent))
     # An id with several texts joins their classes.
     several = (
         named.groupBy("doc_id")
@@ -301,9 +368,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def first_of_each_group(docs: DataFrame) -> DataFrame:
+def first_of_each_group(docs: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, without the near copies of a
     document with a smaller id."""
-    copies = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_doc"))
+    copies = near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("_doc"))
     copies = copies.distinct()
     return docs.join(copies, docs["doc_id"].cast("long") == copies["_doc"], "left_anti")
