@@ -21,29 +21,38 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted to be of quality 1, by a model learned from
-    ``labels``."""
+    """Documents predicted to be of quality 1, by a model learned from ``labels``.
+    Null, empty and blank texts go; without labels nothing else does."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return pu_quality.keep_good(docs, pu_quality.train(docs, labels))
 
 
+# The least similarity of near copies here.
+SIMILAR_PERCENT = 80
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    return minmax_dedup.first_of_each_group(docs)
+    """The document with the smallest id of each group of near copies: five-word
+    shingles, a similarity of 0.8 or more.  Null, empty and blank texts and null ids
+    have no copies; rows that repeat one id are one document."""
+    return minmax_dedup.first_of_each_group(docs, SIMILAR_PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a ``benchmark`` item occurs."""
+    """Documents in which no window of a ``benchmark`` item occurs; null and empty
+    texts have none, and an empty benchmark takes nothing."""
     return decontaminate.clean_rows(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, those of small sources up to twice."""
+    """Every document, those of small sources up to twice.  Rows that repeat are one
+    document; a null source is a source."""
     return source_mix.mixed_rows(docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row, copies together."""
+    """Shard and slot of every row, copies together; null texts are empty, and no rows
+    have no shards."""
     return balanced_shards(docs).drop("text_id")
 
 
