@@ -4,8 +4,9 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from __spark_entry__ import oracle_sql, queries
+from test_minmax_dedup import brute_force
 
-from tidemark.llm import decontaminate, minmax_dedup, pu_quality
+from tidemark.llm import decontaminate, pu_quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,8 +43,10 @@ def test_quality_decides(spark, steps):
 
 def test_one_of_each_group_stays(steps):
     before, after = steps["near_dedup"]
-    groups = {r.doc_id: r.component_id for r in minmax_dedup.near_duplicates(before).collect()}
-    assert ids(after) == Counter(set(groups.values()))
+    rows = [tuple(r) for r in before.select("doc_id", "text").collect()]
+    found = brute_force(rows, corpus_pipeline.SIMILAR_PERCENT)
+    assert ids(after) == Counter(doc_id for doc_id, (_, _, kept) in found.items() if kept)
+    assert 0 < after.count() < before.count()
 
 
 def test_contaminated_documents_go(spark, steps):
