@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import DateLike
@@ -128,7 +128,7 @@ def _changes(warehouse: Warehouse, batches: Mapping[str, Batch]) -> Changes:
     return Changes(keys, frozenset(found["buckets"]))
 
 
-def _fact_buckets(warehouse: Warehouse, key: F.Column) -> F.Column:
+def _fact_buckets(warehouse: Warehouse, key: Column) -> Column:
     """At most one number for each of the mart's partitions."""
     return F.collect_set(warehouse.bucket_of(warehouse.model.mart.name, key)).alias("buckets")
 

@@ -391,9 +391,9 @@ def varchar_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows are left out; blanks beyond the limit go by the write itself."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     padded = customer.withColumn("c_mktsegment", F.rpad("c_mktsegment", 14, " "))
-    name = f"declared_{uuid.uuid4().hex}"
+    name, path = f"declared_{uuid.uuid4().hex}", f"{_new_root(spark)}/declared"
     declared = declared_columns(padded.schema, {"c_mktsegment": 9})
-    spark.sql(f"create table {name} ({declared}) using parquet location '{_new_root(spark)}/{name}'")
+    spark.sql(f"create table {name} ({declared}) using parquet location '{path}'")
     padded.where(~exceeds(F.col("c_mktsegment"), 9)).write.insertInto(name)
     return spark.table(name)
 
