@@ -1,16 +1,19 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-A posting is a term, the document and the place it stands at.  A benchmark
-window of consecutive words is looked up from its rarest term, and only the
-lists of those terms are stored; they are short.  A posting of a window's rarest
-term, less the term's offset in the window, is where the window would start;
-there its other terms have to stand at their offsets.  Their lists, far longer,
-are not formed: each stored posting carries the words around it, which are
-exactly the postings of other terms that a window through it can need.
-
-All of it is DataFrame functions.  Terms and windows are broadcast in blocks of
-about ``BROADCAST_BYTES``, one pass for each, so a benchmark of any size is
-looked up whole; documents are never shuffled.
+A posting list holds the places of a term in a document.  A benchmark window of
+consecutive words is looked up from its rarest terms on: the lists of the two
+rarest are stored for all documents, the second is adjusted by the offset
+between them and intersected with the first.  Windows with the same two terms at
+the same offset, as neighbours in an item mostly are, share that intersection.
+Only in documents where it leaves a place are the lists of the other terms
+formed, and intersected the same way, the rarest first.  Places that survive with
+every term at its offset are exact matches of the phrase; those that survive
+with every term at most ``SLACK`` words from there are proximity matches, which
+tell of windows with a word put in, left out or moved.
+
+All of it is DataFrame functions.  Terms, pairs and windows are broadcast in
+blocks of about ``BROADCAST_BYTES``, one pass for each, so a benchmark of any
+size is looked up whole.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.stored import stored
 
 WINDOW = 10
+SLACK = 2
 BROADCAST_BYTES = 64 << 20
 
 # What separates words, once A-Z are in lower case.
@@ -131,36 +135,36 @@ def _in_blocks(
     return reduce(DataFrame.union, parts)
 
 
-def stored_postings(documents: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
-    """The index of some terms (``term``) over ``doc_id, text_id, words``: a stored
-    row ``term, doc_id, text_id, pos, before, around`` for every place of each.
-    ``around`` are the words up to a window's length away on either side, and
-    ``before`` how many of them stand before the place: where the other terms of a
-    window would have their postings."""
+def _posting_lists(words: DataFrame, terms: DataFrame, limit: int) -> DataFrame:
+    """``doc, term, positions``: the lists of some terms (``term``) over ``doc, words``."""
 
     def look(block: DataFrame) -> DataFrame:
-        placed = documents.select(
-            "doc_id", "text_id", "words", F.posexplode("words").alias("pos", "term")
-        ).join(block, "term", "left_semi")
-        before = F.least(F.col("pos"), F.lit(WINDOW - 1))
-        return placed.select(
-            "term",
-            "doc_id",
-            "text_id",
-            "pos",
-            before.alias("before"),
-            F.slice("words", F.col("pos") - before + 1, before + WINDOW).alias("around"),
+        placed = words.select("doc", F.posexplode("words").alias("pos", "term"))
+        # A set, as a row may be repeated.
+        return (
+            placed.join(block, "term", "left_semi")
+            .groupBy("doc", "term")
+            .agg(F.sort_array(F.collect_set("pos")).alias("positions"))
         )
 
-    return stored(_in_blocks(terms, F.octet_length("term") + 16, limit, look))
+    return _in_blocks(terms, F.octet_length("term") + 16, limit, look)
 
 
-def window_hits(docs: DataFrame, phrases: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``doc_id, text_id, start, size, phrase_id`` of every occurrence of the
-    phrases (``phrase``, ``size``) in ``docs``."""
-    documents = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_id"), index_words(F.col("text")).alias("words")
-    )
+def _documents(docs: DataFrame) -> DataFrame:
+    """``doc, text``; a row is named by its id and its text, so that ids may repeat
+    or be null."""
+    doc = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_id"))
+    return docs.select(doc.alias("doc"), "text")
+
+
+def _words(documents: DataFrame) -> DataFrame:
+    return documents.select("doc", index_words(F.col("text")).alias("words"))
+
+
+def window_plans(documents: DataFrame, phrases: DataFrame, limit: int) -> DataFrame:
+    """``phrase_id, size, plan`` for the phrases (``phrase``, ``size``) whose words all
+    occur in ``documents``: ``plan`` has ``n, term, offset`` of each word, the rarest
+    first."""
     terms = phrases.select(
         "phrase", "size", F.posexplode(F.split("phrase", " ")).alias("offset", "term")
     )
@@ -169,71 +173,165 @@ def window_hits(docs: DataFrame, phrases: DataFrame, limit: int = BROADCAST_BYTE
         vocabulary,
         F.octet_length("term") + 16,
         limit,
-        lambda block: documents.select(F.explode("words").alias("term"))
+        lambda block: _words(documents)
+        .select(F.explode("words").alias("term"))
         .join(block, "term", "left_semi")
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n")),
     )
     # A window with a term that no document has does not occur.
-    rarest = stored(
+    return (
         terms.join(stored(frequency), "term", "left")
         .groupBy("phrase", "size")
         .agg(
-            F.min(F.struct("n", "term", "offset")).alias("rarest"),
+            F.sort_array(F.collect_list(F.struct("n", "term", "offset"))).alias("plan"),
             F.min(F.col("n").isNotNull()).alias("possible"),
         )
         .where("possible")
-        .select(
-            "rarest.term",
-            "rarest.offset",
-            "size",
-            F.split("phrase", " ").alias("wanted"),
-            F.xxhash64("phrase").alias("phrase_id"),
-        )
+        .select(F.xxhash64("phrase").alias("phrase_id"), "size", "plan")
     )
-    postings = stored_postings(documents, rarest.select("term").distinct(), limit)
-    # Offset by offset, the window's other terms have to stand where they should.
-    there = F.expr(
-        "case when before >= offset then slice(around, before - offset + 1, size) = wanted end"
+
+
+def _beside(positions: str, shift: str) -> str:
+    """SQL for a list moved by ``shift``, with all places up to ``SLACK`` around."""
+    return (
+        f"flatten(transform(sequence(-{SLACK}, {SLACK}), "
+        f"slack -> transform({positions}, q -> q - ({shift}) + slack)))"
+    )
+
+
+def pair_places(lists: DataFrame, plans: DataFrame, limit: int) -> DataFrame:
+    """``doc, term, second, delta, places``: where in a document the rarest term of
+    a window has the second rarest about ``delta`` words on; once for all windows
+    that share the two."""
+    pairs = plans.where("size > 1").select(
+        F.expr("plan[0].term").alias("term"),
+        F.expr("plan[1].term").alias("second"),
+        F.expr("plan[1].offset - plan[0].offset").alias("delta"),
+    )
+    size = F.octet_length("term") + F.octet_length("second") + 32
+    first = _in_blocks(
+        stored(pairs.distinct()), size, limit, lambda block: lists.join(block, "term")
+    )
+    other = lists.select("doc", F.col("term").alias("second"), F.col("positions").alias("others"))
+    places = F.expr(f"array_intersect(positions, {_beside('others', 'delta')})")
+    return (
+        first.join(other, ["doc", "second"])
+        .select("doc", "term", "second", "delta", places.alias("places"))
+        .where("size(places) > 0")
     )
 
-    def look(block: DataFrame) -> DataFrame:
-        # One condition, so that it is judged inside the join.
-        return postings.join(block, (postings.term == block.term) & there).select(
-            "doc_id",
-            "text_id",
-            (F.col("pos") - F.col("offset")).alias("start"),
-            "size",
-            "phrase_id",
-        )
 
-    size = F.octet_length(F.array_join("wanted", " ")) + 8 * F.col("size") + 64
-    return _in_blocks(rarest, size, limit, look)
+def candidates(lists: DataFrame, plans: DataFrame, limit: int) -> DataFrame:
+    """``doc, phrase_id, size, plan, starts``: where windows would start by their two
+    rarest terms."""
+    places = stored(pair_places(lists, plans, limit))
+    leads = plans.where("size > 1").select(
+        "*",
+        F.expr("plan[0].term").alias("term"),
+        F.expr("plan[1].term").alias("second"),
+        F.expr("plan[1].offset - plan[0].offset").alias("delta"),
+    )
+    words = F.expr("aggregate(plan, 0, (b, t) -> b + octet_length(t.term) + 32)")
+    return _in_blocks(
+        leads, words + 64, limit, lambda block: places.join(block, ["term", "second", "delta"])
+    ).select(
+        "doc",
+        "phrase_id",
+        "size",
+        "plan",
+        F.expr("transform(places, p -> p - plan[0].offset)").alias("starts"),
+    )
+
+
+def window_matches(docs: DataFrame, phrases: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``doc, phrase_id, size, starts, near`` for every document and phrase
+    (``phrase``, ``size``) with a match: ``starts`` of the exact ones, and ``near``
+    of all that hold by proximity.
+
+    A phrase matches by proximity at a place of its rarest word (of equals the first
+    by UTF-8, then by offset) if each other word stands at most ``SLACK`` words from
+    where the phrase has it."""
+    documents = _documents(docs)
+    plans = stored(window_plans(documents, phrases, limit))
+    leads = plans.select(F.explode(F.slice("plan", 1, 2)).alias("lead"))
+    lists = stored(
+        _posting_lists(_words(documents), stored(leads.select("lead.term").distinct()), limit)
+    )
+    found = stored(candidates(lists, plans, limit))
+    # The lists of the other terms, in documents with a candidate.
+    alive = stored(found.select("doc").distinct())
+    few = alive.count() * 64 <= limit
+    texts = documents.join(F.broadcast(alive) if few else alive, "doc", "left_semi")
+    rest = stored(found.select(F.explode("plan.term").alias("term")).distinct())
+    index = (
+        _posting_lists(_words(texts), rest, limit)
+        .groupBy("doc")
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("lists"))
+    )
+    listed = "coalesce(lists[t.term], array())"
+    exact = f"transform({listed}, q -> q - t.offset)"
+    near = _beside(listed, "t.offset")
+    tried = (
+        found.groupBy("doc")
+        .agg(F.collect_list(F.struct("phrase_id", "size", "plan", "starts")).alias("windows"))
+        .join(index, "doc")
+        .withColumn(
+            "windows",
+            F.expr(
+                "filter(transform(windows, w -> struct(w.phrase_id, w.size, w.plan, "
+                "aggregate(slice(w.plan, 2, w.size), w.starts, "
+                f"(s, t) -> array_intersect(s, {near})) as near)), "
+                "w -> size(w.near) > 0)"
+            ),
+        )
+        .select(
+            "doc",
+            F.expr(
+                "inline(transform(windows, w -> struct(w.phrase_id, w.size, "
+                "aggregate(slice(w.plan, 2, w.size), w.near, "
+                f"(s, t) -> array_intersect(s, {exact})) as starts, w.near)))"
+            ),
+        )
+    )
+    # A phrase of one word is its list.
+    single = plans.where("size = 1").select(
+        F.expr("plan[0].term").alias("term"), "phrase_id", "size"
+    )
+    alone = _in_blocks(
+        single, F.octet_length("term") + 32, limit, lambda block: lists.join(block, "term")
+    ).select(
+        "doc", "phrase_id", "size", F.col("positions").alias("starts"), F.col("positions").alias("near")
+    )
+    return tried.union(alone)
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """``doc_id, text_id, n_words, n_hit, items, contaminated`` for every row of
-    ``docs`` (``doc_id``, ``text``) against ``benchmark`` (``item_id``, ``text``);
+    """``doc_id, text_id, n_words, n_hit, items, near_items, contaminated`` for every
+    row of ``docs`` (``doc_id``, ``text``) against ``benchmark`` (``item_id``, ``text``);
     other columns do not matter.
 
     A word is hit if it stands inside an occurrence of an item's window; ``items``
-    are the ids, as sorted strings, of the items with such windows.  Null and
-    empty texts have no words, on either side.  An item without an id marks words
-    but is not listed.  Repeated rows and ids are judged row by row.  No items: no
-    hits; no documents: no rows.
+    are the ids, as sorted strings, of the items with such windows, and
+    ``near_items`` of those with a window that matches by proximity (or exactly).
+    Proximity contaminates nothing.  Null and empty texts have no words, on either
+    side.  An item without an id marks words but is not listed.  Repeated rows and
+    ids are judged row by row.  No items: no hits; no documents: no rows.
     """
     docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     windows = stored(item_windows(benchmark))
-    hits = stored(window_hits(docs, windows.select("phrase", "size").distinct(), limit).distinct())
-    places = hits.groupBy("doc_id", "text_id").agg(
+    phrases = windows.select("phrase", "size").distinct()
+    matches = stored(window_matches(docs, phrases, limit))
+    places = matches.groupBy("doc").agg(
         F.size(
             F.array_distinct(
                 F.flatten(
-                    F.transform(
-                        F.collect_set(F.struct("start", "size")),
-                        lambda hit: F.sequence(hit["start"], hit["start"] + hit["size"] - 1),
+                    F.flatten(
+                        F.collect_list(
+                            F.expr("transform(starts, s -> sequence(s, s + size - 1))")
+                        )
                     )
                 )
             )
@@ -242,38 +340,33 @@ def contamination(
         .alias("n_hit")
     )
     owners = windows.select(F.xxhash64("phrase").alias("phrase_id"), "item_id")
+    exact = F.when(F.col("exact"), F.col("item_id"))
     items = (
-        hits.select("doc_id", "text_id", "phrase_id")
-        .distinct()
+        matches.select("doc", "phrase_id", (F.size("starts") > 0).alias("exact"))
         .join(owners, "phrase_id")
-        .groupBy("doc_id", "text_id")
-        .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    )
-
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        return df.withColumnsRenamed({"doc_id": f"{name}_doc", "text_id": f"{name}_text"})
-
-    found = keyed(places, "p").join(
-        keyed(items, "i"),
-        F.expr("p_doc <=> i_doc and p_text = i_text"),
+        .groupBy("doc")
+        .agg(
+            F.sort_array(F.collect_set(exact)).alias("items"),
+            F.sort_array(F.collect_set("item_id")).alias("near_items"),
+        )
     )
-    own = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_id"),
-        F.size(index_words(F.col("text"))).cast("long").alias("n_words"),
+    own = _documents(docs).select(
+        "doc", F.size(index_words(F.col("text"))).cast("long").alias("n_words")
     )
-    return own.join(found, F.expr("doc_id <=> p_doc and text_id = p_text"), "left").select(
-        "doc_id",
-        "text_id",
+    nothing = F.array().cast("array<string>")
+    return own.join(places.join(items, "doc"), "doc", "left").select(
+        "doc.doc_id",
+        "doc.text_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("items", nothing).alias("items"),
+        F.coalesce("near_items", nothing).alias("near_items"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
     )
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """``contamination`` with the items as a number and a SHA-256."""
+    """``contamination`` with the items as numbers and a SHA-256."""
     return found.select(
         "doc_id",
         "n_words",
@@ -281,6 +374,7 @@ def digest(found: DataFrame) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
+        F.size("near_items").cast("long").alias("n_near"),
     )
 
 

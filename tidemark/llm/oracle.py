@@ -28,11 +28,42 @@ covered as (
 items as (
   select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
   from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id
+),
+tokens as (
+  select doc_id, generate_subscripts(w, 1) - 1 as pos, unnest(w) as term from d
+),
+counted as (select term, count(*) as total from tokens group by term),
+planned as (
+  select p, n, o, term,
+    row_number() over (partition by p order by total, term, o) as turn,
+    count(total) over (partition by p) as known
+  from (
+    select p, n, generate_subscripts(string_split(p, ' '), 1) - 1 as o,
+      unnest(string_split(p, ' ')) as term
+    from (select distinct p, n from win)
+  ) left join counted using (term)
+),
+rarest as (
+  select p, n, o, doc_id, pos from planned join tokens using (term) where turn = 1 and known = n
+),
+near as (
+  select p, doc_id from (
+    select r.p, r.n, r.doc_id, r.pos, count(distinct other.turn) as others
+    from rarest r
+    left join planned other on other.p = r.p and other.turn > 1
+    left join tokens t on t.doc_id = r.doc_id and t.term = other.term
+    where r.n = 1 or t.pos - r.pos - (other.o - r.o) between -2 and 2
+    group by r.p, r.n, r.doc_id, r.pos
+  ) where others = n - 1
+),
+beside as (
+  select doc_id, count(distinct item_id) as n_near from near join win using (p) group by doc_id
 )
 select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
   coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
-  coalesce(n_hit, 0) > 0 as contaminated
+  coalesce(n_hit, 0) > 0 as contaminated, coalesce(n_near, 0) as n_near
 from d left join covered using (doc_id) left join items using (doc_id)
+  left join beside using (doc_id)
 """
 
 def _times(text: str, part: str) -> str:
