@@ -54,12 +54,30 @@ def test_everything_linked(frame):
     check(rows, op.balanced_shards(frame(rows), 4).collect(), 4)
 
 
-def test_grants_keep_loads_within_quotas():
-    wishes = {(0, 1): 30, (1, 0): 10, (2, 1): 20}
-    share = op.granted(wishes, load=[50, 60, 40], quota=[60, 80, 60])
-    gained = sum(share[w] * n for w, n in wishes.items() if w[1] == 1)
-    lost = share[1, 0] * 10
-    assert lost == 10 and 60 + gained - lost <= 80.001
+def test_grants_keep_loads_within_caps():
+    wanted, leaving, load, cap = [10, 50, 0], [30, 10, 20], [50, 60, 40], [60, 80, 60]
+    share = op.granted(wanted, leaving, load, cap)
+    mean = sum(s * w for s, w in zip(share, wanted)) / sum(wanted)
+    for s, w, out, n, most in zip(share, wanted, leaving, load, cap):
+        assert 0 <= s <= 1 and n + s * w - out * mean <= most + 0.01
+    assert share[0] == 1 and 0.4 < share[1] < 1
+    assert op.granted([0, 7], [7, 0], [5, 9], [5, 9]) == pytest.approx([1, 0])
+
+
+@pytest.mark.parametrize("copies, linked", [(2, 1.0), (3, 0.9), (5, 1.0), (20, 1.0), (2, 0.3)])
+def test_propagation_places_linked_texts(frame, copies, linked):
+    n, shards = 2400, 40
+    rows = frame([(i, f"text {i // copies}") for i in range(int(linked * n))])
+    quota = op.quotas(n, shards)
+    start = op.described(rows).selectExpr("*", f"cast(pmod(xxhash64(doc_id), {shards}) as int) as shard")
+    homes = defaultdict(Counter)
+    for r in op.propagated(start, quota).collect():
+        homes[r.text_id][r.shard] += 1
+    apart = sum(sum(h.values()) for h in homes.values() if len(h) > 1)
+    load = Counter(s for h in homes.values() for s in h.elements())
+    beyond = sum(max(0, load[s] - q) for s, q in enumerate(quota))
+    # The rest is what packing places.
+    assert sum(load.values()) == linked * n and apart + beyond <= 0.05 * linked * n
 
 
 @pytest.mark.parametrize("copies, linked", [(2, 1.0), (3, 0.9), (20, 1.0)])

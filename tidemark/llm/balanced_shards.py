@@ -3,32 +3,37 @@
 Documents with equal texts are linked: they should lie in one shard, so that a
 reader of a shard can drop its copies.  Linked documents start spread over all
 shards.  A text too large for a shard first fills whole shards; its remainder is a
-text like others.  In each round a text's documents want to go where most of its
-documents are, of equals to one drawn by hash; wishes are counted for each pair
-of shards, and as many are granted as are balanced by wishes the other way or by
-room within the shard's quota.  Rounds go on until the documents with wishes are
-fewer by less than a quarter.  Texts that then still lie in several shards, or lie
-beyond a shard's quota, are laid side by side into what is left of the quotas, so
-that only a text at the end of a shard is cut; documents without a link have no
-wishes and come last.  In the end the law ``rows`` holds: counts of any two shards
-differ by one at most.
-
-Each round is a join of documents with the counts of their text, and its labels
-are stored.  What reaches the driver is a number for each pair of shards.  Ranks
-are prefix sums over ``BUCKETS`` and inside each of them, so that no task sorts
-a shard, and a text with many copies is ranked in pieces.  All of it is DataFrame
-functions.
+text like others.  In each round a text wishes to be where most of its documents
+are, of equals in one drawn by hash; a whole text in a shard beyond its quota may,
+by the excess, wish for a shard with room.  A shard grants the share of the wishes
+for it that its quota and a slack leave room for, counting what is about to leave
+it; whole texts are granted, by hash, and the slack halves with every round.
+Rounds go on until fewer documents than there are shards wish to move, or two
+rounds in a row bring no fewer wishes than ever before.  Texts that then still lie
+in several shards, or beyond a shard's quota, are laid side by side into what is
+left of the quotas, so that only a text at the end of a shard is cut; documents
+without a link have no wishes and come last.  In the end the law ``rows`` holds:
+counts of any two shards differ by one at most.
+
+Each round is a join of documents with the wish of their text, and its labels
+are stored.  What reaches the driver, and goes back as a small table, is a few
+numbers for each shard.  Ranks are prefix sums over buckets and inside each of
+them, so that no task sorts a shard, and a text with many copies is ranked in
+pieces.  All of it is DataFrame functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from math import isqrt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.stored import stored
 
 SHARDS = 40
 OVERHEAD = 16
+# Buckets of a ranking, at least; for many rows as many as each then holds.
 BUCKETS = 4096
 LAW = "rows"
 
@@ -55,7 +60,7 @@ def _ranked(rows: DataFrame, by: list[str], keys: dict[str, Column]) -> DataFram
     order of ``keys``, then of texts."""
     dealt = rows.withColumns({"draw": F.xxhash64("doc_id", "text_id")}).withColumns(keys)
     counts = dealt.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("n"))
-    # About BUCKETS rows for each value.
+    # A row for each bucket and value.
     before = Window.partitionBy(*by).orderBy(*keys)
     offsets = counts.select(*by, *keys, (F.sum("n").over(before) - F.col("n")).alias("before"))
     inside = Window.partitionBy(*by, *keys).orderBy("text_id", "draw", "doc_id")
@@ -67,20 +72,24 @@ def _ranked(rows: DataFrame, by: list[str], keys: dict[str, Column]) -> DataFram
     )
 
 
-def _spread(rows: DataFrame, by: list[str]) -> DataFrame:
+def _buckets(total: int) -> int:
+    return max(BUCKETS, isqrt(total))
+
+
+def _spread(rows: DataFrame, by: list[str], total: int) -> DataFrame:
     """Ranked in the order of hashes."""
-    return _ranked(rows, by, {"bucket": F.pmod("draw", F.lit(BUCKETS))})
+    return _ranked(rows, by, {"bucket": F.pmod("draw", F.lit(_buckets(total)))})
 
 
 def _side_by_side(rows: DataFrame, by: list[str], total: int) -> DataFrame:
     """Ranked so that rows of one text (of ``copies`` rows) are neighbours.  A text
     with more than its share of ``total`` is dealt to pieces, so there are at most
-    3 * BUCKETS keys."""
-    piece = max(_PIECE, -(-total // BUCKETS))
+    3 * _buckets keys."""
+    piece = max(_PIECE, -(-total // _buckets(total)))
     many = F.col("copies") > piece
     pieces = F.ceil(F.col("copies") / piece).cast("long")
     keys = {
-        "bucket": F.pmod(F.xxhash64("text_id"), F.lit(BUCKETS)),
+        "bucket": F.pmod(F.xxhash64("text_id"), F.lit(_buckets(total))),
         "hot": F.when(many, F.col("text_id")).otherwise(F.unhex(F.lit(""))),
         "piece": F.when(many, F.pmod("draw", pieces)).otherwise(F.lit(0).cast("long")),
     }
@@ -93,62 +102,104 @@ def quotas(rows: int, shards: int) -> list[int]:
 
 
 def granted(
-    wishes: dict[tuple[int, int], int], load: list[int], quota: list[int]
-) -> dict[tuple[int, int], float]:
-    """The share of the wishes from one shard to another that is granted: what is
-    balanced by wishes the other way, and the rest as the target has room."""
-    swapped = {(i, j): min(n, wishes.get((j, i), 0)) for (i, j), n in wishes.items()}
-    more = [0] * len(load)
-    for (i, j), n in wishes.items():
-        more[j] += n - swapped[i, j]
-    share = {}
-    for (i, j), n in wishes.items():
-        room = max(0, quota[j] - load[j])
-        extra = (n - swapped[i, j]) * min(1.0, room / more[j]) if more[j] else 0
-        share[i, j] = (swapped[i, j] + extra) / n
+    wanted: list[int], leaving: list[int], load: list[int], cap: list[float]
+) -> list[float]:
+    """The share of the wishes for each shard that is granted: what ``cap`` leaves
+    room for, and as much as leaves when wishes are granted at their mean share."""
+    total, mean, share = sum(wanted), 1.0, [1.0] * len(load)
+    for _ in range(100):
+        room = [c - n + out * mean for c, n, out in zip(cap, load, leaving, strict=True)]
+        share = [min(1.0, max(0.0, r) / w) if w else 1.0 for r, w in zip(room, wanted, strict=True)]
+        before, mean = mean, sum(s * w for s, w in zip(share, wanted, strict=True)) / max(1, total)
+        if before - mean < 1e-4:
+            break
     return share
 
 
+def _table(spark: SparkSession, **columns: list[int]) -> DataFrame:
+    """A broadcast table of a few numbers for each shard."""
+    listed = [
+        F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>").alias(name)
+        for name, values in columns.items()
+    ]
+    return F.broadcast(spark.range(1).select(F.inline(F.arrays_zip(*listed))))
+
+
+def _draw(turn: int, what: str, steps: int = _STEPS) -> Column:
+    return F.pmod(F.xxhash64("text_id", F.lit(turn), F.lit(what)), F.lit(steps))
+
+
 def _round(linked: DataFrame, turn: int, quota: list[int]) -> tuple[DataFrame, int]:
     """One step of label propagation over ``doc_id, text_id, shard``; how many
     documents wished to move."""
-    shards = len(quota)
+    spark, shards = linked.sparkSession, len(quota)
     load = [0] * shards
     for shard, n in linked.groupBy("shard").count().collect():
         load[shard] = n
-    room = F.array(*[F.lit(max(0, q - n)).cast("long") for q, n in zip(quota, load, strict=True)])
-    cells = linked.groupBy("text_id", "shard").agg(F.count(F.lit(1)).alias("n"))
+    state = _table(
+        spark,
+        at=list(range(shards)),
+        room=[max(0, q - n) for q, n in zip(quota, load, strict=True)],
+        # The share of a shard's rows beyond its quota.
+        excess=[_STEPS * max(0, n - q) // max(1, n) for q, n in zip(quota, load, strict=True)],
+    )
+    roomy = [s for s in range(shards) if load[s] < quota[s]] or [0]
+    open_shards = _table(spark, number=list(range(len(roomy))), target=roomy)
+    cells = linked.groupBy("text_id", F.col("shard").cast("long").alias("at")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
     # Best where the whole text fits, then where most of it is, and of equals one by
     # hash, so that wishes go both ways; at most one cell for each shard.
-    homes = (
-        cells.withColumn("room", F.element_at(room, F.col("shard") + 1))
+    best = f"""array_max(transform(cells,
+        c -> struct(copies - c.n <= c.room as fits, c.n as n,
+                    xxhash64(text_id, c.at, {turn}) as draw, c.at as at))).at"""
+    leaves = (F.size("cells") == 1) & (_draw(turn, "leave") < F.col("cells")[0]["excess"])
+    homes = stored(
+        cells.join(state, "at")
         .groupBy("text_id")
         .agg(
             F.sum("n").alias("copies"),
-            F.collect_list(F.struct("n", F.col("shard").alias("at"), "room")).alias("cells"),
+            F.collect_list(F.struct("n", "at", "room", "excess")).alias("cells"),
         )
-        .select(
-            "text_id",
+        .withColumn("number", F.when(leaves, _draw(turn, "open", len(roomy))))
+        .join(open_shards, "number", "left")
+        .select("text_id", F.coalesce("target", F.expr(best)).alias("wish"), "cells")
+    )
+    wanted, leaving = [0] * shards, [0] * shards
+    flows = homes.select("wish", F.inline("cells")).where("at <> wish")
+    flows = flows.select(
+        F.inline(
             F.expr(
-                f"""array_max(transform(cells,
-                      c -> struct(copies - c.n <= c.room as fits, c.n as n,
-                                  xxhash64(text_id, c.at, {turn}) as draw, c.at as at))).at"""
-            ).alias("wish"),
+                "array(struct(wish as shard, n as come, 0L as go), "
+                "struct(at as shard, 0L as come, n as go))"
+            )
         )
     )
-    wished = stored(linked.join(stored(homes), "text_id"))
-    counts = wished.groupBy("shard", "wish").agg(F.count(F.lit(1))).collect()
-    wishes = {(s, w): n for s, w, n in counts if s != w}
-    share = granted(wishes, load, quota)
-    # A number for each pair of shards, looked up by place.
-    table = F.array(
-        *[F.lit(int(share.get((i, j), 0) * _STEPS)) for i in range(shards) for j in range(shards)]
+    for r in flows.groupBy("shard").agg(F.sum("come"), F.sum("go")).collect():
+        wanted[r[0]], leaving[r[0]] = r[1], r[2]
+    cap = [q + q / 2 ** (turn + 1) for q in quota]
+    share = granted(wanted, leaving, load, cap)
+    grants = _table(spark, wish=list(range(shards)), granted=[int(s * _STEPS) for s in share])
+    allowed = F.when(_draw(turn, "grant") < F.col("granted"), F.col("wish").cast("int"))
+    moved = linked.join(
+        homes.join(grants, "wish").select(F.col("text_id").alias("of"), allowed.alias("to")),
+        F.col("text_id") == F.col("of"),
     )
-    chance = F.pmod(F.xxhash64("doc_id", "text_id", F.lit(turn), F.lit("grant")), F.lit(_STEPS))
-    place = (F.col("shard") * shards + F.col("wish") + 1).cast("int")
-    moves = chance < F.element_at(table, place)
-    moved = wished.withColumn("shard", F.when(moves, F.col("wish")).otherwise(F.col("shard")))
-    return moved.drop("wish"), sum(wishes.values())
+    shard = F.coalesce("to", "shard").alias("shard")
+    return moved.select(*[c for c in linked.columns if c != "shard"], shard), sum(wanted)
+
+
+def propagated(linked: DataFrame, quota: list[int]) -> DataFrame:
+    """``linked`` (``doc_id, text_id, shard``) after all rounds."""
+    fewest, vain, turn = None, 0, 0
+    while vain < 2:
+        moved, wishes = _round(linked, turn, quota)
+        if wishes < len(quota):
+            break
+        linked, turn = stored(moved), turn + 1
+        vain = 0 if fewest is None or wishes < fewest else vain + 1
+        fewest = wishes if fewest is None else min(fewest, wishes)
+    return linked
 
 
 def _listed(values: list[int], place: Column) -> Column:
@@ -251,15 +302,11 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     few = one.where("linked").where(F.col("copies") < least).union(rest)
     room = [q - least * (s < filled) for s, q in enumerate(quota)]
     begin = filled if filled < shards else 0
-    linked = _spread(few, ["linked"]).select(
+    linked = _spread(few, ["linked"], total).select(
         *marked.columns, (F.pmod("rank", F.lit(shards - begin)) + begin).cast("int").alias("shard")
     )
-    linked, before, turn, falls = stored(linked), 2 * total, 0, total > 0
-    # What is left by then is laid side by side, in whole.
-    while falls:
-        moved, wishes = _round(linked, turn, room)
-        linked, turn = stored(moved), turn + 1
-        falls, before = 0 < 4 * wishes < 3 * before, wishes
+    linked = propagated(stored(linked), room)
+    # What is still apart is laid side by side, in whole.
     parts = stored(
         linked.groupBy("text_id")
         .agg(F.min("shard").alias("low"), F.max("shard").alias("high"))
@@ -286,7 +333,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         .union(ranked.where(~fits).select(*marked.columns))
         .withColumn("linked", F.lit(True))
     )
-    alone = _spread(one.where("not linked"), ["linked"])
+    alone = _spread(one.where("not linked"), ["linked"], total)
     alone = alone.withColumn("rank", F.col("rank") + homeless.count())
     columns = [*rows.columns, "rank"]
     loose = _side_by_side(homeless, ["linked"], total).select(*columns)
