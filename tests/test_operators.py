@@ -38,6 +38,7 @@ from tidemark.plans.extract import window
 from tidemark.sources import inline_rows, read
 from tidemark.sources.sample import sample_tables
 from tidemark.specs import Entity, Model, Reference, StarMart, TargetSpec, columns
+from workload.queries import key_violations_bitmap
 
 
 def test_window_edges(spark):
@@ -237,6 +238,25 @@ def test_profile_of_a_batch_is_observed(spark):
     assert found(batch.limit(0)) == Profile(references={"up": Profile()})
 
 
+def test_integer_keys_wider_than_64_bits(spark, rows):
+    """Sparse, dense, negative, NULL and repeated ones."""
+    key = "id * 1099511627776BD - if(id % 10 = 0, 1, 0)"
+    df = spark.range(-20_000_000, 20_000_000, 50_000).selectExpr(f"{key} as k")
+    dense = spark.range(-40_000, 40_000).selectExpr("cast(id as decimal(38, 0)) as k")
+    some = spark.range(3).selectExpr("if(id = 2, null, 2000001 * 1099511627776BD) as k")
+    df = df.unionAll(dense).unionAll(some).unionAll(dense.where("k % 39999 = 0"))
+    found = rows(integer_key_violations(df, "k"))
+    assert found == rows(key_violations(df, ["k"])) and len(found) == 6
+
+
+def test_odd_keys_of_many_orders(spark, rows, tmp_path):
+    """Beyond 2 ** 23 orders a sparse key has more than 64 bits."""
+    orders = [(9_000_000, 1, "O", "x"), (9_000_001, 1, "O", "x"), (5, 7, "P", "x"), (6, 7, "P", "x")]
+    names = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"
+    spark.createDataFrame(orders, names).write.parquet(f"{tmp_path}/orders.parquet")
+    assert rows(key_violations_bitmap(spark, str(tmp_path))) == [(-7, 2)]
+
+
 ENDS = [-(2**63), -(2**63) + 1, -32769, -32768, -32767, -1, 0, 1, 32768, 32769, 2**63 - 1]
 
 

@@ -4,7 +4,7 @@ What crosses the network is one bitmap for each task and range of keys it holds,
 however many rows there are: for dense keys a thirtieth of the keys themselves.
 Keys are only grouped one by one in the ranges that fail.  Any 64-bit key has its
 bit, negative ones too; where keys are so sparse that a bitmap holds only a few
-(see ``dense``), comparing keys moves less.
+(see ``dense`` and ``FEW``), comparing keys moves less.
 """
 
 from __future__ import annotations
@@ -14,10 +14,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Bytes of a key with its row overhead, as a shuffle writes it.
 KEY_BYTES = 16
 
+# Keys of a range: the bits of a bitmap.
+BITS = 32_768
+
+# A range with fewer rows is compared by its keys: they take less than its bitmap.
+FEW = BITS // 8 // KEY_BYTES
+
 # So many failing ranges are named in the filter of the second pass; of more, the
 # second pass is joined with them.
 NAMED_RANGES = 10_000
@@ -48,24 +55,49 @@ def repeated_ranges(keys: DataFrame, key: str, by: Sequence[str] = ()) -> DataFr
     )
 
 
-def _within(failing: DataFrame, key: str) -> Callable[[DataFrame], DataFrame]:
-    """Narrows frames to rows whose ``key`` is in a ``failing`` range.  These are found
-    now: as a rule there are none or few, and then no other key is moved."""
+def _within(
+    failing: DataFrame, key: str, at: Column | None = None
+) -> Callable[[DataFrame], DataFrame]:
+    """Narrows frames to rows whose ``key`` is in a ``failing`` range (``at``, if it is
+    not a 64-bit key's own).  These are found now: as a rule there are none or few, and
+    then no other key is moved."""
+    at = _range(key) if at is None else at
     found = failing.limit(NAMED_RANGES + 1).collect()
     if len(found) <= NAMED_RANGES:
         ranges = [row[0] for row in found]
-        return lambda rows: rows.where(_range(key).isin(ranges))
+        return lambda rows: rows.where(at.isin(ranges))
     return lambda rows: (
-        rows.withColumn("range", _range(key)).join(failing, "range", "left_semi").drop("range")
+        rows.withColumn("range", at).join(failing, "range", "left_semi").drop("range")
     )
 
 
 def integer_key_violations(df: DataFrame, key: str) -> DataFrame:
-    """``key_violations`` of one integer column: ``key`` and ``rows`` of keys that
-    are NULL or occur more than once.  Runs a job that finds the ranges to look at."""
-    keys = df.select(F.col(key).cast("bigint").alias("key"))
+    """``key`` and ``rows`` of keys that are NULL or occur more than once: the
+    ``key_violations`` of one column of integers, or of decimals without fraction, which
+    may be wider than 64 bits.  Runs jobs that find the ranges to look at: those with
+    more than one row, and of these with many rows only where a bitmap shows a repeat."""
+    wide = isinstance(df.schema[key].dataType, T.DecimalType)
+    keys = df.select(F.col(key).alias("key") if wide else F.col(key).cast("bigint").alias("key"))
+    # A wide key's place in its range stands for it there, as any 64-bit number does.
+    at = F.expr(f"(key - pmod(key, {BITS})) div {BITS}") if wide else _range("key")
+    place = F.expr(f"cast(pmod(key, {BITS}) as bigint)") if wide else F.col("key")
+    shared = (
+        keys.where("key is not null")
+        .groupBy(at.alias("range"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1")
+    )
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(place))
+    repeated = (
+        _within(shared.where(f"rows >= {FEW}").select("range"), "key", at)(keys)
+        .groupBy(at.alias("range"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.bitmap_count(bits).alias("bits"))
+        .where("rows > bits")
+        .select("range")
+    )
+    failing = repeated.unionAll(shared.where(f"rows < {FEW}").select("range"))
     found = (
-        _within(repeated_ranges(keys, "key"), "key")(keys)
+        _within(failing, "key", at)(keys.where("key is not null"))
         .unionAll(keys.where("key is null"))
         .groupBy("key")
         .agg(F.count(F.lit(1)).alias("rows"))
