@@ -6,6 +6,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from tidemark.llm import chat_render as op
+from tidemark.llm.queries import op3_chat_render
 
 TABLE = "conv_id long, turn long, role string, text string, place long, piece string"
 
@@ -66,6 +67,22 @@ def test_empty_table(conversations):
     assert result(conversations([])) == []
 
 
+def test_the_query_renders_every_prefix(spark, tmp_path, monkeypatch):
+    """Each turn after the whole conversation before it, as the method says."""
+    rows = [(1, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(9)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    asked, spans = [], op.turn_spans
+
+    def spy(*args, **options):
+        asked.append((args[1:], options))
+        return spans(*args, **options)
+
+    monkeypatch.setattr(op, "turn_spans", spy)
+    assert [r.n_turns for r in op3_chat_render(spark, str(tmp_path)).orderBy("conv_id").collect()] == [2, 9]
+    assert asked == [((), {})]
+
+
 CHARACTERS = st.sampled_from(["<", "s", ">", "/", "[", "INST", "]", "\\", "ROLE", "</s>", " ", "x", "é", "\n"])
 
 

@@ -21,6 +21,7 @@ that no text can end its turn and every text can be read back.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import re
@@ -62,16 +63,29 @@ def unescape(text: str) -> str:
     return _UNESCAPE.sub(r"\1", text)
 
 
+# A turn is rendered again with every later one: so many marked turns are kept, of
+# texts of up to so many code points.
+KEPT_TURNS, KEPT_CHARS = 4096, 8192
+
+
+def _marked(role: str, text: str) -> str:
+    if role == "user":
+        return f"<s>[INST] {escape(text)} [/INST]"
+    if role == "assistant":
+        return f"<s> {escape(text)} </s>"
+    return f"<s><<ROLE>>{escape(role)}<</ROLE>> {escape(text)} </s>"
+
+
+_kept = functools.lru_cache(maxsize=KEPT_TURNS)(_marked)
+
+
 def marked_turns(turns: Sequence[Turn]) -> str:
-    pieces = []
-    for role, text in turns:
-        if role == "user":
-            pieces.append(f"<s>[INST] {escape(text)} [/INST]")
-        elif role == "assistant":
-            pieces.append(f"<s> {escape(text)} </s>")
-        else:
-            pieces.append(f"<s><<ROLE>>{escape(role)}<</ROLE>> {escape(text)} </s>")
-    return "".join(pieces)
+    return "".join(
+        [
+            (_kept if len(role) + len(text) <= KEPT_CHARS else _marked)(role, text)
+            for role, text in turns
+        ]
+    )
 
 
 def read_turn(piece: str) -> Turn:
