@@ -43,7 +43,8 @@ def keyed_lines(lineitem: DataFrame) -> DataFrame:
     others = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
     number = F.row_number().over(Window.partitionBy(*key).orderBy(*others))
     own = F.expr(LINE_KEY) * SHARING + number - 1
-    return lineitem.select(own.alias("line_key"), *key, *others)
+    # By order, as the view's join with the orders needs them: they move once.
+    return lineitem.repartition("l_orderkey").select(own.alias("line_key"), *key, *others)
 
 
 def first_orders(orders: DataFrame) -> DataFrame:
