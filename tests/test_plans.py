@@ -18,7 +18,7 @@ from tidemark.operators import (
     upsert,
 )
 from tidemark.operators.bitmaps import unknown_ranges
-from tidemark.sources import write_by_column
+from tidemark.sources import read, write_by_column
 from tidemark.sources.sample import create_source
 from tidemark.specs import columns
 from workload import queries as q
@@ -94,6 +94,15 @@ def test_view_shuffles_the_detail_rows_once(spark):
     assert plan.count("Exchange hashpartitioning") == 4
 
 
+def test_lines_move_once_for_their_key_and_the_view(spark):
+    with no_broadcast(spark):
+        plan = plan_of(read(LINES, source(spark, SF_DIR), "line_view"))
+    assert "Window" in plan and "l_linenumber#" in plan
+    # The lines and the orders; numbering the lines would make three.
+    moved = re.findall(r"Exchange hashpartitioning\([lo]_orderkey#\d+L?, .*", plan)
+    assert len(moved) == 2 and not any("l_linenumber" in m for m in moved)
+
+
 @pytest.mark.parametrize("name", sorted(set(q.QUERIES) - STORED))
 def test_all_work_is_built_in_expressions_without_products(spark, name):
     plan = plan_of(q.QUERIES[name](spark, SF_DIR))
@@ -179,6 +188,14 @@ def data_files(warehouse, name):
     return set(warehouse.spark.table(warehouse.name_of(name)).inputFiles())
 
 
+def test_files_are_compressed_in_order_of_the_key(loaded, spark):
+    for name in ("f_line", "line_dm", "d_order"):
+        for file in sorted(data_files(loaded, name))[:3]:
+            assert file.endswith(".zstd.parquet")
+            ids = [r[0] for r in spark.read.parquet(file).select(loaded.model.key_of(name)).collect()]
+            assert ids == sorted(ids)
+
+
 def test_hot_partition_is_written_by_several_tasks(spark, new_root):
     """All keys of the load fall into one partition; its rows are split."""
     warehouse = Warehouse.create(spark, new_root(), LINES)
