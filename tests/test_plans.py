@@ -305,6 +305,40 @@ def test_bucketed_sides_of_an_upsert_are_not_shuffled(spark, rows):
         assert rows(found) == rows(q.upsert_dim_rows(spark, SF_DIR))
 
 
+def small_tables(spark, folder, orders=40):
+    """The tables a line view and a mart need: four lines an order, one of them repeated,
+    and an order and a part that are not there."""
+    day = "timestamp_ntz'1997-06-01' + make_interval(0, o_orderkey % 60)"
+    named = {
+        "nation": "select cast(id as int) n_nationkey, 'N' n_name, 1 n_regionkey from range(3)",
+        "customer": "select id c_custkey, 'C' c_name, cast(id % 3 as int) c_nationkey, 1d c_acctbal,"
+        " 'BUILDING' c_mktsegment from range(5)",
+        "supplier": "select id s_suppkey, 'S' s_name, 1 s_nationkey, 2d s_acctbal from range(4)",
+        "part": "select id p_partkey, 'P' p_name, 'B' p_brand,"
+        " element_at(array('PROMO', 'LARGE', 'SMALL'), cast(id % 3 as int) + 1) p_type,"
+        " cast(id as int) p_size from range(7)",
+        "orders": f"select o_orderkey, o_orderkey % 5 o_custkey, 'O' o_orderstatus,"
+        f" 3d o_totalprice, {day} o_orderdate, '1-URGENT' o_orderpriority"
+        f" from (select id o_orderkey from range({orders}))",
+        "lineitem": f"select o_orderkey l_orderkey, o_orderkey % 8 l_partkey, o_orderkey % 4 l_suppkey,"
+        f" greatest(n, 2) l_linenumber, cast(n as double) l_quantity, 5d l_extendedprice, {day} l_shipdate"
+        f" from (select id o_orderkey, explode(array(1, 2, 3, 4)) n from range({orders + 1}))",
+    }
+    for name, sql in named.items():
+        spark.sql(sql).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_delta_refresh_joins_the_view_once_and_moves_no_line_by_its_key(spark, tmp_path, rows):
+    folder = small_tables(spark, tmp_path)
+    with no_broadcast(spark):
+        refreshed = q.mart_delta_refresh(spark, folder)
+        plan = plan_of(refreshed)
+    assert "lineitem.parquet" not in plan and "orders.parquet" not in plan
+    assert not re.search(r"Exchange hashpartitioning\(line_key", plan)
+    assert rows(refreshed) == rows(q.mart_after_upsert(spark, folder)) != []
+
+
 def scans_of(df):
     """The file scans of a plan that has run, with how many partitions they read."""
     df.collect()

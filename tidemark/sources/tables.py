@@ -89,6 +89,7 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     and groups by the key of tables with as many buckets need no shuffle.  A bucket
     is one file; choose as many as make files of 128 MB to 1 GB."""
     placed = df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+    placed = placed.option("compression", "zstd")
     placed.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return df.sparkSession.table(table)
 
