@@ -306,8 +306,8 @@ def test_bucketed_sides_of_an_upsert_are_not_shuffled(spark, rows):
 
 
 def small_tables(spark, folder, orders=40):
-    """The tables a line view and a mart need: four lines an order, one of them repeated,
-    and an order and a part that are not there."""
+    """The tables a line view and a mart need: an order a month from June 1997 on, of four
+    lines, two with one number, and an order and a part that are not there."""
     day = "timestamp_ntz'1997-06-01' + make_interval(0, o_orderkey % 60)"
     named = {
         "nation": "select cast(id as int) n_nationkey, 'N' n_name, 1 n_regionkey from range(3)",
@@ -339,6 +339,26 @@ def test_delta_refresh_joins_the_view_once_and_moves_no_line_by_its_key(spark, t
     assert rows(refreshed) == rows(q.mart_after_upsert(spark, folder)) != []
 
 
+def test_few_ancestors_narrow_the_details_before_the_source_numbers_them(
+    spark, tmp_path, rows, monkeypatch
+):
+    tables = source(spark, small_tables(spark, tmp_path))
+    months = (LINES, tables, "1997-08-01", "1998-03-01")
+
+    def store(name, df):
+        df.write.mode("overwrite").parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}"), df.count()
+
+    plain, few = extract(*months)["line"], extract(*months, store)["line"]
+    # The scan's side of the shuffle is further down.
+    narrowed = r"REPARTITION_BY_COL[\s\S]*BroadcastHashJoin .* LeftSemi"
+    assert re.search(narrowed, plan_of(few)) and not re.search(narrowed, plan_of(plain))
+    assert rows(few) == rows(plain) and len(rows(few)) == 7 * 4
+    monkeypatch.setattr("tidemark.plans.extract.FEW_ANCESTORS", 6)
+    many = extract(*months, store)["line"]
+    assert not re.search("LeftSemi", plan_of(many)) and rows(many) == rows(plain)
+
+
 def scans_of(df):
     """The file scans of a plan that has run, with how many partitions they read."""
     df.collect()

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions import as_date, default_start
 from tidemark.functions.timestamps import DateLike
@@ -13,7 +14,11 @@ from tidemark.operators import affected_rows, changed_between, combine_counts, d
 from tidemark.sources import Source, read
 from tidemark.specs import Entity, Model
 
-Store = Callable[[str, DataFrame], DataFrame]
+# Writes a frame; returns it as read back, alone or with its number of rows.
+Store = Callable[[str, DataFrame], DataFrame | tuple[DataFrame, int]]
+
+# So many keys of ancestors are sent to all tasks, to drop other detail rows at their scan.
+FEW_ANCESTORS = 500_000
 
 
 def _now() -> dt.datetime:
@@ -43,7 +48,9 @@ def _changed_details(
 
     The planner cannot tell how few ancestors a window leaves.  Stored, their
     size is known: within the broadcast limit the detail rows, the largest
-    table there is, are then scanned and joined without a shuffle.
+    table there is, are then scanned and joined without a shuffle.  What the source
+    itself does to rows of one parent (such as numbering them) is, if the ancestors
+    are few, done for theirs only: Spark moves this filter (unlike a join) below it.
     """
 
     def table(name: str) -> DataFrame:
@@ -55,12 +62,16 @@ def _changed_details(
     own = table(view.detail).columns
     if entity.watermark in own or entity.watermark not in ancestors.columns:
         return changed_between(table(entity.source), entity.watermark, *days)
-    ancestors = changed_between(ancestors, entity.watermark, *days)
+    ancestors, details = changed_between(ancestors, entity.watermark, *days), table(view.detail)
     if store is not None:
+        stored = store(f"{entity.source}_ancestors", ancestors)
+        ancestors, count = stored if isinstance(stored, tuple) else (stored, None)
         # The window once more, as only a filtered side prunes the other's folders.
-        ancestors = store(f"{entity.source}_ancestors", ancestors)
         ancestors = changed_between(ancestors, entity.watermark, *days)
-    return denormalise(table(view.detail), ancestors, view.reference, view.laid_out_by)
+        if count is not None and count <= FEW_ANCESTORS:
+            keys = F.broadcast(ancestors.select(view.reference))
+            details = details.where(F.col(view.reference).isin(keys))
+    return denormalise(details, ancestors, view.reference, view.laid_out_by)
 
 
 def extract(
@@ -73,7 +84,7 @@ def extract(
     """The rows of every entity that changed in the window.
 
     Lazy, but for what ``store`` is given to write: a function of a name and
-    a frame that returns the frame as read back.
+    a frame that returns the frame as read back, alone or with its number of rows.
     """
     days = window(date, as_of)
     frames = {}

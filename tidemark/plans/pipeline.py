@@ -216,8 +216,9 @@ def run(
     history with the same code; running a window again changes nothing.
     """
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        return warehouse.store(name, df)[0]
+    def store(name: str, df: DataFrame) -> tuple[DataFrame, int]:
+        rows, found = warehouse.store(name, df, F.count(F.lit(1)).alias("rows"))
+        return rows, found["rows"]
 
     extracted = extract(model, source, date, as_of, store)
     return load(model, transform(extracted, model.entities), warehouse)
