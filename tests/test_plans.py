@@ -347,13 +347,18 @@ def test_few_ancestors_narrow_the_details_before_the_source_numbers_them(
 
     def store(name, df):
         df.write.mode("overwrite").parquet(f"{tmp_path}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}"), df.count()
+        return spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}"), told
 
+    # As if the keys were far apart.
+    told = {"rows": 7, "low": 2, "high": 8000}
     plain, few = extract(*months)["line"], extract(*months, store)["line"]
     # The scan's side of the shuffle is further down.
     narrowed = r"REPARTITION_BY_COL[\s\S]*BroadcastHashJoin .* LeftSemi"
     assert re.search(narrowed, plan_of(few)) and not re.search(narrowed, plan_of(plain))
     assert rows(few) == rows(plain) and len(rows(few)) == 7 * 4
+    told = {"rows": 7, "low": 2, "high": 8}
+    near = extract(*months, store)["line"]
+    assert "LessThanOrEqual(l_orderkey,8)" in formatted(near) and rows(near) == rows(plain)
     monkeypatch.setattr("tidemark.plans.extract.FEW_ANCESTORS", 6)
     many = extract(*months, store)["line"]
     assert not re.search("LeftSemi", plan_of(many)) and rows(many) == rows(plain)

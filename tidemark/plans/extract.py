@@ -14,12 +14,16 @@ from tidemark.operators import affected_rows, changed_between, combine_counts, d
 from tidemark.sources import Source, read
 from tidemark.specs import Entity, Model
 
-# Writes a frame; returns it as read back, alone or with its number of rows.
-Store = Callable[[str, DataFrame], DataFrame | tuple[DataFrame, int]]
+# Writes a frame; returns it as read back, alone or with its number of ``rows`` and the
+# ``low`` and ``high`` of its reference.
+Store = Callable[[str, DataFrame], DataFrame | tuple[DataFrame, dict]]
 
 # So many keys of ancestors are sent to all tasks, to drop other detail rows at their scan.
 FEW_ANCESTORS = 500_000
 
+# Keys this close together are told by their range, which costs no job.
+SPREAD = 8
+
 
 def _now() -> dt.datetime:
     """The session's wall clock; a constant that needs no job."""
@@ -65,12 +69,14 @@ def _changed_details(
     ancestors, details = changed_between(ancestors, entity.watermark, *days), table(view.detail)
     if store is not None:
         stored = store(f"{entity.source}_ancestors", ancestors)
-        ancestors, count = stored if isinstance(stored, tuple) else (stored, None)
+        ancestors, found = stored if isinstance(stored, tuple) else (stored, None)
         # The window once more, as only a filtered side prunes the other's folders.
         ancestors = changed_between(ancestors, entity.watermark, *days)
-        if count is not None and count <= FEW_ANCESTORS:
-            keys = F.broadcast(ancestors.select(view.reference))
-            details = details.where(F.col(view.reference).isin(keys))
+        if found is not None and found["rows"] <= FEW_ANCESTORS:
+            rows, low, high = (found[n] for n in ("rows", "low", "high"))
+            reference, keys = F.col(view.reference), F.broadcast(ancestors.select(view.reference))
+            near = low is None or high - low < SPREAD * rows
+            details = details.where(reference.between(low, high) if near else reference.isin(keys))
     return denormalise(details, ancestors, view.reference, view.laid_out_by)
 
 
@@ -84,7 +90,7 @@ def extract(
     """The rows of every entity that changed in the window.
 
     Lazy, but for what ``store`` is given to write: a function of a name and
-    a frame that returns the frame as read back, alone or with its number of rows.
+    a frame that returns the frame as read back, alone or with what is known of it.
     """
     days = window(date, as_of)
     frames = {}

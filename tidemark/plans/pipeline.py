@@ -216,9 +216,10 @@ def run(
     history with the same code; running a window again changes nothing.
     """
 
-    def store(name: str, df: DataFrame) -> tuple[DataFrame, int]:
-        rows, found = warehouse.store(name, df, F.count(F.lit(1)).alias("rows"))
-        return rows, found["rows"]
+    def store(name: str, df: DataFrame) -> tuple[DataFrame, dict]:
+        key = model.views[name.removesuffix("_ancestors")].reference
+        extent = [F.count(F.lit(1)).alias("rows"), F.min(key).alias("low"), F.max(key).alias("high")]
+        return warehouse.store(name, df, *extent)
 
     extracted = extract(model, source, date, as_of, store)
     return load(model, transform(extracted, model.entities), warehouse)
